@@ -42,3 +42,57 @@ ORACLE_SQL: dict[str, str] = {
     "vector_offset": _vector(COS, COS, k=5, offset=5),
     "vector_threshold": _vector(COS, COS, threshold=0.25),
 }
+
+SEG_ROWS = "SELECT id, file_id, partition_name FROM segments"
+KIDS = """kids AS (SELECT DISTINCT knowledge_id FROM (
+    SELECT concat_ws('-', lang, source) AS knowledge_id FROM documents
+    UNION ALL SELECT concat_ws('_', lang, source) FROM documents))"""
+CONV = """conv AS (SELECT 'conv_' || CAST(conv_id AS VARCHAR) || '_' || CAST(turn AS VARCHAR) AS id,
+    'conv_' || CAST(conv_id AS VARCHAR) AS file_id, text AS content,
+    'partition_' || regexp_replace(role, '[^a-zA-Z0-9]', '_', 'g') AS partition_name FROM conversations)"""
+CHANGES = """changes AS (
+    SELECT CAST(d.doc_id AS VARCHAR) AS id, d.source AS file_id, d.text || ' (rev)' AS content,
+           'partition_' || regexp_replace(d.lang, '[^a-zA-Z0-9]', '_', 'g') AS partition_name
+    FROM documents d WHERE d.doc_id IN (SELECT doc_id FROM labels WHERE quality = 0)
+    UNION ALL SELECT id, file_id, content, partition_name FROM conv)"""
+
+ORACLE_SQL.update({
+    "query_page": f"""WITH {SEGMENTS} SELECT id, file_id, partition_name, content FROM segments
+        WHERE file_id IN ('src1', 'src2') ORDER BY id, partition_name LIMIT 100 OFFSET 20""",
+    "query_columns": f"""WITH {SEGMENTS} SELECT id, file_id FROM segments
+        WHERE partition_name = 'partition_de' ORDER BY id, partition_name LIMIT 100""",
+    "get_by_ids": f"""WITH {SEGMENTS} {SEG_ROWS}
+        WHERE id IN (SELECT CAST(doc_id AS VARCHAR) FROM labels WHERE quality = 1)""",
+    "get_by_ids_partition": f"""WITH {SEGMENTS} {SEG_ROWS}
+        WHERE id IN (SELECT CAST(doc_id AS VARCHAR) FROM labels WHERE quality = 1)
+          AND partition_name = 'partition_en'""",
+    "filter_eq": f"WITH {SEGMENTS} {SEG_ROWS} WHERE file_id = 'src3'",
+    "filter_in": f"""WITH {SEGMENTS} {SEG_ROWS} WHERE file_id IN (
+        SELECT source FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1))""",
+    "count_all": f"WITH {SEGMENTS} SELECT CAST(count(*) AS BIGINT) AS count FROM segments",
+    "count_partition": f"""WITH {SEGMENTS} SELECT CAST(count(*) AS BIGINT) AS count FROM segments
+        WHERE partition_name = 'partition_en'""",
+    "list_partitions": f"""WITH {SEGMENTS} SELECT partition_name, CAST(count(*) AS BIGINT) AS n_rows
+        FROM segments GROUP BY partition_name""",
+    "partition_name": f"""WITH {KIDS} SELECT knowledge_id,
+        'partition_' || regexp_replace(knowledge_id, '[^a-zA-Z0-9]', '_', 'g') AS partition_name FROM kids""",
+    "knowledge_id": f"""WITH {SEGMENTS} SELECT DISTINCT partition_name,
+        CASE WHEN starts_with(partition_name, 'partition_') THEN substr(partition_name, 11)
+             ELSE partition_name END AS knowledge_id FROM segments""",
+    "partition_collisions": f"""WITH {KIDS}, p AS (SELECT knowledge_id,
+        'partition_' || regexp_replace(knowledge_id, '[^a-zA-Z0-9]', '_', 'g') AS partition_name FROM kids)
+        SELECT partition_name, CAST(count(*) AS BIGINT) AS n_ids,
+               string_agg(knowledge_id, ',' ORDER BY knowledge_id) AS knowledge_ids
+        FROM p GROUP BY partition_name HAVING count(*) > 1""",
+    "add": f"""WITH {SEGMENTS}, {CONV} SELECT id, file_id, partition_name, content FROM segments
+        UNION ALL SELECT id, file_id, partition_name, content FROM conv""",
+    "upsert": f"""WITH {SEGMENTS}, {CONV}, {CHANGES}
+        SELECT id, file_id, partition_name, content FROM segments s
+        WHERE NOT EXISTS (SELECT 1 FROM changes c WHERE c.id = s.id AND c.partition_name = s.partition_name)
+        UNION ALL SELECT id, file_id, partition_name, content FROM changes""",
+    "delete_by_ids": f"""WITH {SEGMENTS} {SEG_ROWS}
+        WHERE id NOT IN (SELECT CAST(doc_id AS VARCHAR) FROM labels WHERE toxic = 1)""",
+    "delete_by_filter": f"WITH {SEGMENTS} {SEG_ROWS} WHERE NOT coalesce(file_id IN ('src0', 'src1'), FALSE)",
+    "drop_partition": f"WITH {SEGMENTS} {SEG_ROWS} WHERE partition_name <> 'partition_en'",
+    "compact": f"WITH {SEGMENTS} {SEG_ROWS}",
+})

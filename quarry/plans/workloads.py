@@ -45,3 +45,87 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Exact cosine top-10 of every embedding against the segments corpus."""
     return QUERIES["vector_exact_cosine"](spark, sf)
+
+
+# ------------------------------------------------------------ reads, filters
+from ..functions.partitions import knowledge_id, partition_collisions, partition_name  # noqa: E402
+from ..operators import tables as tb  # noqa: E402
+from ..session import ensure_checkpoint_dir  # noqa: E402
+from ..sources.versions import compact_table, read_current, write_version  # noqa: E402
+
+PAGE_COLS = ["id", "file_id", "partition_name", "content"]
+ROW_COLS = ["id", "file_id", "partition_name"]
+
+
+def _seg(spark, sf):
+    return testdata_segments(spark, sf)
+
+
+def _labels(spark, sf, where):
+    return read_table(spark, sf, "labels").where(where).select(F.col("doc_id").cast("string").alias("id"))
+
+
+def _knowledge_ids(spark, sf):
+    d = read_table(spark, sf, "documents")
+    return (d.select(F.concat_ws("-", "lang", "source").alias("knowledge_id"))
+            .unionByName(d.select(F.concat_ws("_", "lang", "source").alias("knowledge_id"))).distinct())
+
+
+def _conversation_docs(spark, sf):
+    c = read_table(spark, sf, "conversations")
+    return c.select(F.concat(F.lit("conv_"), F.col("conv_id").cast("string"), F.lit("_"),
+                             F.col("turn").cast("string")).alias("id"),
+                    F.concat(F.lit("conv_"), F.col("conv_id").cast("string")).alias("file_id"),
+                    F.col("text").alias("content"),
+                    F.lit(None).cast("array<float>").alias("embedding"),
+                    F.to_json(F.struct("role")).alias("metadata"),
+                    partition_name("role").alias("partition_name"))
+
+
+def _upsert_changes(spark, sf):
+    d = read_table(spark, sf, "documents")
+    lab = read_table(spark, sf, "labels").where("quality = 0")
+    changed = (d.join(lab, "doc_id", "left_semi")
+               .select(F.col("doc_id").cast("string").alias("id"), F.col("source").alias("file_id"),
+                       F.concat("text", F.lit(" (rev)")).alias("content"), F.lit(None).cast("array<float>").alias("embedding"),
+                       F.lit("{}").alias("metadata"), partition_name("lang").alias("partition_name")))
+    return changed.unionByName(_conversation_docs(spark, sf))
+
+
+def _compact(spark, sf):
+    import uuid
+    root = f"{ensure_checkpoint_dir(spark)}/quarry-compact-{uuid.uuid4().hex}"
+    write_version(_seg(spark, sf).repartition(16), root)
+    compact_table(spark, root, rows_per_file=5000)
+    return read_current(spark, root).select(*ROW_COLS)
+
+
+QUERIES.update({
+    "query_page": lambda s, sf: tb.query(_seg(s, sf), pred="file_id IN ('src1', 'src2')", offset=20,
+                                         limit=100, columns=PAGE_COLS),
+    "query_columns": lambda s, sf: tb.query(_seg(s, sf), partition="partition_de", columns=["id", "file_id"]),
+    "get_by_ids": lambda s, sf: tb.get_by_ids(_seg(s, sf), _labels(s, sf, "quality = 1"), columns=ROW_COLS),
+    "get_by_ids_partition": lambda s, sf: tb.get_by_ids(_seg(s, sf), _labels(s, sf, "quality = 1"),
+                                                        partition="partition_en", columns=ROW_COLS),
+    "filter_eq": lambda s, sf: tb.filter_eq(_seg(s, sf), "file_id", "src3").select(*ROW_COLS),
+    "filter_in": lambda s, sf: tb.filter_in(
+        _seg(s, sf), "file_id",
+        read_table(s, sf, "documents").join(read_table(s, sf, "labels").where("toxic = 1"), "doc_id", "left_semi")
+        .select("source")).select(*ROW_COLS),
+    "count_all": lambda s, sf: tb.count(_seg(s, sf)),
+    "count_partition": lambda s, sf: tb.count(_seg(s, sf), partition="partition_en"),
+    "list_partitions": lambda s, sf: tb.list_partitions(_seg(s, sf)),
+    "partition_name": lambda s, sf: _knowledge_ids(s, sf).select(
+        "knowledge_id", partition_name("knowledge_id").alias("partition_name")),
+    "knowledge_id": lambda s, sf: _seg(s, sf).select("partition_name").distinct().select(
+        "partition_name", knowledge_id("partition_name").alias("knowledge_id")),
+    "partition_collisions": lambda s, sf: partition_collisions(_knowledge_ids(s, sf)).select(
+        "partition_name", "n_ids", F.array_join("knowledge_ids", ",").alias("knowledge_ids")),
+    "add": lambda s, sf: tb.add(_seg(s, sf), _conversation_docs(s, sf)).select(*PAGE_COLS),
+    "upsert": lambda s, sf: tb.upsert(_seg(s, sf), _upsert_changes(s, sf)).select(*PAGE_COLS),
+    "delete_by_ids": lambda s, sf: tb.delete_by_ids(_seg(s, sf), _labels(s, sf, "toxic = 1")).select(*ROW_COLS),
+    "delete_by_filter": lambda s, sf: tb.delete_by_filter(_seg(s, sf), "file_id IN ('src0', 'src1')")
+    .select(*ROW_COLS),
+    "drop_partition": lambda s, sf: tb.drop_partition(_seg(s, sf), "partition_en").select(*ROW_COLS),
+    "compact": _compact,
+})
