@@ -96,3 +96,51 @@ ORACLE_SQL.update({
     "drop_partition": f"WITH {SEGMENTS} {SEG_ROWS} WHERE partition_name <> 'partition_en'",
     "compact": f"WITH {SEGMENTS} {SEG_ROWS}",
 })
+
+TOKENS = r"regexp_extract_all(lower(coalesce({0}, '')), '[\p{{L}}\p{{N}}]+')"
+BM25_BASE = f"""docs AS (SELECT partition_name, id, {TOKENS.format('content')} AS toks FROM segments),
+stats AS (SELECT count(*) AS n, avg(len(toks)) AS avgdl FROM docs),
+post AS (SELECT term, partition_name, id, dl, count(*) AS tf FROM (
+    SELECT partition_name, id, len(toks) AS dl, unnest(toks) AS term FROM docs) GROUP BY ALL),
+terms AS (SELECT term, count(*) AS df, sum(tf) AS cf FROM post GROUP BY term)"""
+
+
+def _bm25_scored(queries: str, drop_ratio: float = 0.0, where: str = "TRUE") -> str:
+    """CTEs up to ``scored(query_id, partition_name, id, score)``; ``queries``
+    is a SELECT of (query_id, text)."""
+    drop = (f"qd AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY query_id) AS n_terms, "
+            f"row_number() OVER (PARTITION BY query_id ORDER BY weight, term) AS pos FROM qw) "
+            f"WHERE pos > floor(n_terms * {drop_ratio}))") if drop_ratio else "qd AS (SELECT * FROM qw)"
+    return f"""{BM25_BASE},
+qt AS (SELECT query_id, term, count(*) AS qtf FROM (SELECT query_id, unnest({TOKENS.format('text')}) AS term
+    FROM ({queries}) WHERE text IS NOT NULL AND trim(text) <> '') GROUP BY ALL),
+qw AS (SELECT qt.query_id, qt.term,
+    ln(1.0 + ((SELECT n FROM stats) - terms.df + 0.5) / (terms.df + 0.5)) * qt.qtf AS weight
+    FROM qt JOIN terms USING (term)),
+{drop},
+allowed AS (SELECT partition_name, id FROM segments WHERE {where}),
+scored AS (SELECT qd.query_id, p.partition_name, p.id,
+    sum(qd.weight * (p.tf * 2.2 / (p.tf + 1.2 * (1.0 - 0.75 + 0.75 * p.dl / (SELECT avgdl FROM stats))))) AS score
+    FROM qd JOIN post p USING (term) JOIN allowed a ON a.id = p.id AND a.partition_name = p.partition_name
+    GROUP BY ALL)"""
+
+
+BENCH_Q = "SELECT item_id AS query_id, text FROM benchmark"
+
+
+def _bm25(k: int = 10, offset: int = 0, drop_ratio: float = 0.0, where: str = "TRUE") -> str:
+    return f"""WITH {SEGMENTS}, {_bm25_scored(BENCH_Q, drop_ratio, where)},
+r AS (SELECT query_id, partition_name, id, round(score, 6) AS score,
+      row_number() OVER (PARTITION BY query_id ORDER BY round(score, 6) DESC, id, partition_name) AS rank
+      FROM scored)
+SELECT query_id, CAST(rank AS BIGINT) AS rank, partition_name, id, score, score AS distance
+FROM r WHERE rank > {offset} AND rank <= {offset + k} AND score >= 0.0"""
+
+
+ORACLE_SQL.update({
+    "bm25_index": f"WITH {SEGMENTS}, {BM25_BASE} SELECT term, CAST(df AS BIGINT) AS df, CAST(cf AS BIGINT) AS cf FROM terms",
+    "bm25_search": _bm25(),
+    "bm25_filtered": _bm25(where="partition_name IN ('partition_en', 'partition_de') AND file_id <> 'src0'"),
+    "bm25_offset": _bm25(k=5, offset=5),
+    "bm25_drop_ratio": _bm25(drop_ratio=0.3),
+})

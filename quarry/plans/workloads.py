@@ -129,3 +129,34 @@ QUERIES.update({
     "drop_partition": lambda s, sf: tb.drop_partition(_seg(s, sf), "partition_en").select(*ROW_COLS),
     "compact": _compact,
 })
+
+
+# ------------------------------------------------------------------- BM25
+from ..operators.bm25 import build_bm25_index, bm25_search  # noqa: E402
+
+
+def _bench_queries(spark, sf):
+    return read_table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+
+
+def bm25(**kw):
+    def run(spark, sf):
+        seg = _seg(spark, sf)
+        index = build_bm25_index(seg)
+        return bm25_search(index, _bench_queries(spark, sf), k=kw.get("k", 10), offset=kw.get("offset", 0),
+                           pred=kw.get("pred"), partitions=kw.get("partitions"), corpus=seg,
+                           drop_ratio=kw.get("drop_ratio", 0.0), columns=[])
+    return run
+
+
+def _bm25_index_terms(spark, sf):
+    return build_bm25_index(_seg(spark, sf)).terms
+
+
+QUERIES.update({
+    "bm25_index": _bm25_index_terms,
+    "bm25_search": bm25(),
+    "bm25_filtered": bm25(partitions=["partition_en", "partition_de"], pred="file_id <> 'src0'"),
+    "bm25_offset": bm25(k=5, offset=5),
+    "bm25_drop_ratio": bm25(drop_ratio=0.3),
+})
