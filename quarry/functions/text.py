@@ -18,6 +18,10 @@ from pyspark.sql import functions as F
 CJK_RANGE = r"\x{4e00}-\x{9fff}"
 TOKEN_PATTERN = r"([\x{4e00}-\x{9fff}]+|[\p{L}\p{N}&&[^\x{4e00}-\x{9fff}]]+)"
 PLAIN_TOKEN_PATTERN = r"([\p{L}\p{N}]+)"
+_CJK = r"[\x{4e00}-\x{9fff}]"
+_WORD = r"[\p{L}\p{N}&&[^\x{4e00}-\x{9fff}]]"
+CJK_TOKEN_PATTERN = (r"(?=(" + _CJK + "{2}" + "|(?<!" + _CJK + ")" + _CJK + "(?!" + _CJK + ")"
+                     + "|(?<!" + _WORD + ")" + _WORD + "+))")
 BM25_K1 = 1.2
 BM25_B = 0.75
 
@@ -26,32 +30,24 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _bigrams(token: Column) -> Column:
-    n = F.length(token)
-    return F.when(
-        n >= 2,
-        F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.substring(token, i, 2)),
-    ).otherwise(F.array(token))
-
-
 def analyze(text, analyzer: str | None = None) -> Column:
     """Tokens of ``text`` as ``array<string>``.
 
     ``analyzer=None`` is the default CJK-aware analyzer; any other value is
     a Java regex with one capture group whose matches (on the lower-cased
     text) are the tokens.  NULL text gives an empty array.
+
+    The CJK branch is a single regex pass: a zero-width lookahead captures,
+    at each position, either the ideograph bigram starting there, a lone
+    ideograph, or a whole letter/digit run starting there, so overlapping
+    bigrams come out of ``regexp_extract_all`` without any lambda.
     """
     t = F.lower(F.coalesce(_col(text), F.lit("")))
     if analyzer is not None:
         return F.regexp_extract_all(t, F.lit(analyzer), 1)
-    toks = F.regexp_extract_all(t, F.lit(TOKEN_PATTERN), 1)
-    split = F.flatten(
-        F.transform(
-            toks,
-            lambda tok: F.when(tok.rlike(f"^[{CJK_RANGE}]"), _bigrams(tok)).otherwise(F.array(tok)),
-        )
-    )
-    return F.when(t.rlike(f"[{CJK_RANGE}]"), split).otherwise(toks)
+    plain = F.regexp_extract_all(t, F.lit(TOKEN_PATTERN), 1)
+    split = F.regexp_extract_all(t, F.lit(CJK_TOKEN_PATTERN), 1)
+    return F.when(t.rlike(f"[{CJK_RANGE}]"), split).otherwise(plain)
 
 
 def idf(n_docs, doc_freq) -> Column:

@@ -144,3 +144,95 @@ ORACLE_SQL.update({
     "bm25_offset": _bm25(k=5, offset=5),
     "bm25_drop_ratio": _bm25(drop_ratio=0.3),
 })
+
+HEX = "'0123456789abcdef'"
+
+
+def _hash_vectors(name: str, source: str) -> str:
+    """CTEs ``{name}_hn(key..., bucket, value)`` and ``{name}_hv(key..., v)``
+    for the hash embedder over ``source`` = SELECT k1, k2, text."""
+    return f"""{name}_tok AS (SELECT k1, k2, unnest({TOKENS.format('text')}) AS t FROM ({source})),
+{name}_hb AS (SELECT k1, k2, md5(t) AS m FROM {name}_tok),
+{name}_hs AS (SELECT k1, k2,
+    ((instr({HEX}, substr(m, 1, 1)) - 1) * 16 + instr({HEX}, substr(m, 2, 1)) - 1) % 64 AS bucket,
+    sum(CASE WHEN instr({HEX}, substr(m, 3, 1)) - 1 < 8 THEN 1.0 ELSE -1.0 END) AS v
+    FROM {name}_hb GROUP BY ALL),
+{name}_nn AS (SELECT *, sqrt(sum(v * v) OVER (PARTITION BY k1, k2)) AS nrm FROM {name}_hs),
+{name}_hn AS (SELECT k1, k2, bucket, CAST(CAST(v / nrm AS FLOAT) AS DOUBLE) AS value FROM {name}_nn WHERE nrm > 0),
+{name}_hv AS (SELECT g.k1, g.k2, list(coalesce(h.value, 0.0) ORDER BY g.bucket) AS v
+    FROM (SELECT DISTINCT k1, k2, range AS bucket FROM {name}_hn, range(64)) g
+    LEFT JOIN {name}_hn h USING (k1, k2, bucket) GROUP BY ALL)"""
+
+
+EMB = f"""{_hash_vectors('d', "SELECT partition_name AS k1, id AS k2, content AS text FROM segments "
+                              "WHERE embedding IS NULL AND content IS NOT NULL AND trim(content) <> ''")},
+{_hash_vectors('q', "SELECT item_id AS k1, 0 AS k2, text FROM benchmark WHERE text IS NOT NULL AND trim(text) <> ''")},
+cv AS (SELECT partition_name, id, CAST(embedding AS DOUBLE[]) AS v, file_id FROM segments WHERE embedding IS NOT NULL
+       UNION ALL SELECT d_hv.k1, d_hv.k2, d_hv.v, s.file_id FROM d_hv
+       JOIN segments s ON s.partition_name = d_hv.k1 AND s.id = d_hv.k2),
+qv AS (SELECT k1 AS query_id, v FROM q_hv)"""
+
+
+def _dense_ranked(where: str = "TRUE") -> str:
+    return f"""SELECT query_id, partition_name, id, score, score AS distance,
+      row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id, partition_name) AS rank FROM (
+      SELECT qv.query_id, cv.partition_name, cv.id, round(list_cosine_similarity(qv.v, cv.v), 6) AS score
+      FROM qv, cv WHERE {where}) WHERE score IS NOT NULL"""
+
+
+def _bm25_ranked() -> str:
+    return """SELECT query_id, partition_name, id, round(score, 6) AS score, round(score, 6) AS distance,
+      row_number() OVER (PARTITION BY query_id ORDER BY round(score, 6) DESC, id, partition_name) AS rank
+      FROM scored"""
+
+
+def _hybrid(wd: float = 0.5, ws: float = 0.5, k: int = 10, offset: int = 0, where: str = "TRUE",
+            norm: str = "arctan") -> str:
+    kk = k + offset
+    if norm == "arctan":
+        nd, ns = "(1.0 + score) / 2.0", "2.0 * atan(score) / pi()"
+    else:
+        mm = ("CASE WHEN max(score) OVER (PARTITION BY query_id) > min(score) OVER (PARTITION BY query_id) "
+              "THEN (score - min(score) OVER (PARTITION BY query_id)) / (max(score) OVER (PARTITION BY query_id) "
+              "- min(score) OVER (PARTITION BY query_id)) ELSE 1.0 END")
+        nd = ns = mm
+    seg_where = where.replace("file_id", "s.file_id").replace("partition_name", "s.partition_name")
+    return f"""WITH {SEGMENTS}, {EMB}, {_bm25_scored(BENCH_Q.replace('FROM benchmark', "FROM benchmark WHERE text IS NOT NULL AND trim(text) <> ''"), 0.0, where)},
+dense AS (SELECT * FROM ({_dense_ranked(where.replace('file_id', 'cv.file_id').replace('partition_name', 'cv.partition_name'))}) WHERE rank <= {kk}),
+sparse AS (SELECT * FROM ({_bm25_ranked()}) WHERE rank <= {kk}),
+fused AS (SELECT query_id, partition_name, id, sum(w) AS score FROM (
+    SELECT query_id, partition_name, id, {wd} * ({nd}) AS w FROM dense
+    UNION ALL SELECT query_id, partition_name, id, {ws} * ({ns}) AS w FROM sparse) GROUP BY ALL),
+r AS (SELECT query_id, partition_name, id, round(score, 6) AS score,
+      row_number() OVER (PARTITION BY query_id ORDER BY round(score, 6) DESC, id, partition_name) AS rank FROM fused)
+SELECT query_id, CAST(rank AS BIGINT) AS rank, partition_name, id, score, score AS distance
+FROM r WHERE rank > {offset} AND rank <= {kk} AND score >= 0.0""".replace("{seg_where}", seg_where)
+
+
+ORACLE_SQL.update({
+    "embed_documents": f"""WITH {SEGMENTS}, {EMB}
+        SELECT partition_name, id, CAST(ord - 1 AS BIGINT) AS bucket, round(CAST(value AS DOUBLE), 6) AS value
+        FROM (SELECT partition_name, id, unnest(embedding) AS value,
+                     generate_subscripts(embedding, 1) AS ord FROM segments WHERE embedding IS NOT NULL)
+        WHERE value <> 0
+        UNION ALL SELECT k1, k2, CAST(bucket AS BIGINT), round(value, 6) FROM d_hn WHERE value <> 0""",
+    "text_vector_search": f"""WITH {SEGMENTS}, {EMB}
+        SELECT query_id, CAST(rank AS BIGINT) AS rank, partition_name, id, score, distance
+        FROM ({_dense_ranked()}) WHERE rank <= 10 AND score >= 0.0""",
+    "hybrid_default": _hybrid(),
+    "hybrid_weighted": _hybrid(0.7, 0.3),
+    "hybrid_weighted_text": _hybrid(0.3, 0.7),
+    "hybrid_filtered": _hybrid(offset=2, where="partition_name IN ('partition_en', 'partition_fr') AND file_id <> 'src1'"),
+    "hybrid_minmax": _hybrid(norm="minmax"),
+})
+
+
+def _compare() -> str:
+    body, _ = _hybrid().split("SELECT query_id, CAST(rank AS BIGINT) AS rank, partition_name, id, score, score AS distance\nFROM r")
+    cols = "query_id, CAST(rank AS BIGINT) AS rank, partition_name, id, score"
+    return (body + f"SELECT 'vector' AS method, {cols} FROM dense WHERE rank <= 10 AND score >= 0.0\n"
+            f"UNION ALL SELECT 'bm25' AS method, {cols} FROM sparse WHERE rank <= 10 AND score >= 0.0\n"
+            f"UNION ALL SELECT 'hybrid' AS method, {cols} FROM r WHERE rank <= 10 AND score >= 0.0")
+
+
+ORACLE_SQL["compare_methods"] = _compare()

@@ -160,3 +160,56 @@ QUERIES.update({
     "bm25_offset": bm25(k=5, offset=5),
     "bm25_drop_ratio": bm25(drop_ratio=0.3),
 })
+
+
+# ------------------------------------------------- embeddings and hybrid
+from ..functions.embed import HashEmbedder, embed_documents, embed_queries  # noqa: E402
+from ..operators.hybrid import compare_methods, hybrid_search  # noqa: E402
+
+MODEL = HashEmbedder()
+
+
+def _embedded_corpus(spark, sf):
+    return embed_documents(_seg(spark, sf), MODEL)
+
+
+def _embedded_queries(spark, sf):
+    return embed_queries(_bench_queries(spark, sf), MODEL)
+
+
+def _embed_documents_long(spark, sf):
+    emb = _embedded_corpus(spark, sf)
+    return (emb.where(F.col("embedding").isNotNull())
+            .select("partition_name", "id", F.posexplode("embedding").alias("bucket", "value"))
+            .where(F.col("value") != 0)
+            .select("partition_name", "id", F.col("bucket").cast("long").alias("bucket"),
+                    F.round(F.col("value").cast("double"), 6).alias("value")))
+
+
+def hybrid(**kw):
+    def run(spark, sf):
+        corpus = _embedded_corpus(spark, sf)
+        index = build_bm25_index(corpus)
+        return hybrid_search(corpus, index, _embedded_queries(spark, sf), k=kw.get("k", 10),
+                             offset=kw.get("offset", 0), weights=kw.get("weights", (0.5, 0.5)),
+                             norm=kw.get("norm", "arctan"), pred=kw.get("pred"),
+                             partitions=kw.get("partitions"), columns=[])
+    return run
+
+
+def _compare(spark, sf):
+    corpus = _embedded_corpus(spark, sf)
+    return compare_methods(corpus, build_bm25_index(corpus), _embedded_queries(spark, sf), 10)
+
+
+QUERIES.update({
+    "embed_documents": _embed_documents_long,
+    "text_vector_search": lambda s, sf: vector_search(_embedded_corpus(s, sf), _embedded_queries(s, sf), 10,
+                                                      columns=[]),
+    "hybrid_default": hybrid(),
+    "hybrid_weighted": hybrid(weights=(0.7, 0.3)),
+    "hybrid_weighted_text": hybrid(weights=(0.3, 0.7)),
+    "hybrid_filtered": hybrid(partitions=["partition_en", "partition_fr"], pred="file_id <> 'src1'", offset=2),
+    "hybrid_minmax": hybrid(norm="minmax"),
+    "compare_methods": _compare,
+})
