@@ -236,3 +236,27 @@ def _compare() -> str:
 
 
 ORACLE_SQL["compare_methods"] = _compare()
+
+SQ8 = """sq_raw AS (SELECT partition_name, id, CAST(unnest(embedding) AS DOUBLE) AS x,
+                   generate_subscripts(embedding, 1) AS i FROM segments WHERE embedding IS NOT NULL),
+sq_dims AS (SELECT i, min(x) AS lo, max(x) AS hi FROM sq_raw GROUP BY i),
+sq_enc AS (SELECT r.partition_name, r.id, r.i, d.lo, d.hi,
+    CASE WHEN d.hi - d.lo > 0 THEN greatest(least(round((r.x - d.lo) / (d.hi - d.lo) * 255.0), 255.0), 0.0)
+         ELSE 0.0 END AS code FROM sq_raw r JOIN sq_dims d USING (i)),
+c AS (SELECT partition_name, id, list(lo + code / 255.0 * (hi - lo) ORDER BY i) AS v FROM sq_enc GROUP BY ALL)"""
+
+
+def _sq8() -> str:
+    return f"""WITH {SEGMENTS}, {VQ}, {SQ8},
+s AS (SELECT vq.query_id, c.partition_name, c.id, round({COS}, 6) AS score FROM vq, c),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id, partition_name) AS rank
+      FROM s WHERE score IS NOT NULL)
+SELECT query_id, CAST(rank AS BIGINT) AS rank, partition_name, id, score, score AS distance
+FROM r WHERE rank <= 10 AND score >= 0.0"""
+
+
+ORACLE_SQL.update({
+    "ivf_full_probe": ORACLE_SQL["vector_exact_cosine"],
+    "sq8_search": _sq8(),
+    "ivf_sq8_full_probe": _sq8(),
+})

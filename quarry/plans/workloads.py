@@ -213,3 +213,25 @@ QUERIES.update({
     "hybrid_minmax": hybrid(norm="minmax"),
     "compare_methods": _compare,
 })
+
+
+# --------------------------------------------------------- approximate
+from ..operators.ivf import build_ivf, ivf_search  # noqa: E402
+
+
+def ivf(nlist: int, nprobe: int, kind: str = "flat", **kw):
+    def run(spark, sf):
+        index = build_ivf(_seg(spark, sf), nlist=nlist, kind=kind, m=kw.get("m", 8), nbits=kw.get("nbits", 8))
+        return ivf_search(index, _vector_queries(spark, sf), 10, nprobe=nprobe, rerank=kw.get("rerank", 0),
+                          columns=[])
+    return run
+
+
+QUERIES.update({
+    "ivf_full_probe": ivf(8, 8),
+    "ivf_recall": ivf(16, 4),
+    "sq8_search": ivf(1, 1, "sq8"),
+    "ivf_sq8_full_probe": ivf(8, 8, "sq8"),
+    "pq_recall": ivf(1, 1, "pq", m=8, nbits=4),
+    "ivf_pq_rerank": ivf(8, 3, "pq", m=8, nbits=4, rerank=4),
+})
