@@ -260,3 +260,28 @@ ORACLE_SQL.update({
     "sq8_search": _sq8(),
     "ivf_sq8_full_probe": _sq8(),
 })
+
+ORACLE_SQL.update({
+    "to_json_rows": f"""WITH {SEGMENTS} SELECT id, file_id, partition_name, lang,
+        CAST(len(embedding) AS BIGINT) AS n_dims FROM segments""",
+    "from_json_rows": f"""WITH {SEGMENTS} SELECT id, file_id, partition_name, content,
+        CAST(len(embedding) AS BIGINT) AS n_dims, round(list_sum(CAST(embedding AS DOUBLE[])), 6) AS v_sum
+        FROM segments""",
+    "promote_metadata": f"WITH {SEGMENTS} SELECT id, lang, n_chars FROM segments",
+    "promote_event_props": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events",
+    "set_metadata": f"""WITH {SEGMENTS} SELECT s.id, s.lang, s.n_chars, CAST(l.quality AS BIGINT) AS quality
+        FROM segments s LEFT JOIN labels l ON s.id = CAST(l.doc_id AS VARCHAR)""",
+    "pack_dynamic": """SELECT CAST(doc_id AS VARCHAR) AS id, source AS file_id, lang, n_chars FROM documents""",
+    "validate_batch": f"""WITH {SEGMENTS}, {CONV}, {CHANGES},
+        batch AS (SELECT partition_name, id, file_id, content, embedding FROM segments
+                  UNION ALL SELECT partition_name, id, file_id, content, NULL FROM changes),
+        dup AS (SELECT partition_name, id FROM batch GROUP BY ALL HAVING count(*) > 1)
+        SELECT partition_name, id, 'id: longer than 64 bytes' AS violation FROM batch WHERE strlen(id) > 64
+        UNION ALL SELECT partition_name, id, 'file_id: longer than 64 bytes' FROM batch WHERE strlen(file_id) > 64
+        UNION ALL SELECT partition_name, id, 'content: longer than 65535 bytes' FROM batch WHERE strlen(content) > 65535
+        UNION ALL SELECT partition_name, id, 'embedding: missing vector' FROM batch
+            WHERE embedding IS NULL OR len(embedding) = 0
+        UNION ALL SELECT partition_name, id, 'embedding: dimension is not 64' FROM batch
+            WHERE len(embedding) > 0 AND len(embedding) <> 64
+        UNION ALL SELECT b.partition_name, b.id, 'id: duplicate key' FROM batch b JOIN dup USING (partition_name, id)""",
+})

@@ -235,3 +235,75 @@ QUERIES.update({
     "pq_recall": ivf(1, 1, "pq", m=8, nbits=4),
     "ivf_pq_rerank": ivf(8, 3, "pq", m=8, nbits=4, rerank=4),
 })
+
+
+# ------------------------------------------------- JSON rows and schemas
+from ..functions.metadata import set_metadata  # noqa: E402
+from ..sources.rows import from_json_rows, promote_metadata_field, to_json_rows  # noqa: E402
+from ..sources.schema import default_schema, pack_dynamic_fields, segment_schema, validate_batch  # noqa: E402
+
+
+def _json_rows(spark, sf):
+    j = F.col("json")
+    return to_json_rows(_seg(spark, sf)).select(
+        F.get_json_object(j, "$.id").alias("id"), F.get_json_object(j, "$.file_id").alias("file_id"),
+        F.get_json_object(j, "$.partition_name").alias("partition_name"),
+        F.get_json_object(F.get_json_object(j, "$.metadata"), "$.lang").alias("lang"),
+        F.json_array_length(F.get_json_object(j, "$.embedding")).cast("long").alias("n_dims"))
+
+
+def _json_round_trip(spark, sf):
+    seg = _seg(spark, sf)
+    back = from_json_rows(to_json_rows(seg), seg.schema)
+    emb = F.col("embedding")
+    return back.select("id", "file_id", "partition_name", "content",
+                       F.when(emb.isNotNull(), F.size(emb)).cast("long").alias("n_dims"),
+                       F.round(F.aggregate(emb, F.lit(0.0), lambda a, x: a + x.cast("double")), 6).alias("v_sum"))
+
+
+def _promote(spark, sf):
+    seg = promote_metadata_field(promote_metadata_field(_seg(spark, sf), "lang"), "n_chars", "long")
+    return seg.select("id", "lang", "n_chars")
+
+
+def _promote_events(spark, sf):
+    ev = read_table(spark, sf, "events")
+    return promote_metadata_field(ev, "k", "long", source="props").select("event_id", "k")
+
+
+def _set_metadata(spark, sf):
+    lab = read_table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("id"), "quality")
+    seg = _seg(spark, sf).join(lab, "id", "left")
+    m = set_metadata("metadata", "quality", F.col("quality"))
+    return seg.select("id", m.alias("metadata")).select(
+        "id", F.get_json_object("metadata", "$.lang").alias("lang"),
+        F.get_json_object("metadata", "$.n_chars").cast("long").alias("n_chars"),
+        F.get_json_object("metadata", "$.quality").cast("long").alias("quality"))
+
+
+def _pack_dynamic(spark, sf):
+    d = read_table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"),
+                                                  F.col("text").alias("content"), F.col("source").alias("file_id"),
+                                                  "lang", "n_chars")
+    packed = pack_dynamic_fields(d, default_schema(64))
+    dyn = F.col("dynamic_fields")
+    return packed.select("id", F.get_json_object(dyn, "$.file_id").alias("file_id"),
+                         F.get_json_object(dyn, "$.lang").alias("lang"),
+                         F.get_json_object(dyn, "$.n_chars").cast("long").alias("n_chars"))
+
+
+def _validate(spark, sf):
+    batch = _seg(spark, sf).unionByName(_upsert_changes(spark, sf))
+    _, bad = validate_batch(batch, segment_schema(64), allow_missing_vectors=False)
+    return bad.select("partition_name", "id", F.explode("violations").alias("violation"))
+
+
+QUERIES.update({
+    "to_json_rows": _json_rows,
+    "from_json_rows": _json_round_trip,
+    "promote_metadata": _promote,
+    "promote_event_props": _promote_events,
+    "set_metadata": _set_metadata,
+    "pack_dynamic": _pack_dynamic,
+    "validate_batch": _validate,
+})
