@@ -285,3 +285,10 @@ ORACLE_SQL.update({
             WHERE len(embedding) > 0 AND len(embedding) <> 64
         UNION ALL SELECT b.partition_name, b.id, 'id: duplicate key' FROM batch b JOIN dup USING (partition_name, id)""",
 })
+
+ORACLE_SQL.update({
+    "search_dispatch_vector": ORACLE_SQL["text_vector_search"],
+    "search_dispatch_bm25": ORACLE_SQL["bm25_search"],
+    "search_dispatch_hybrid": ORACLE_SQL["hybrid_default"],
+    "query_request": ORACLE_SQL["query_page"],
+})

@@ -307,3 +307,25 @@ QUERIES.update({
     "pack_dynamic": _pack_dynamic,
     "validate_batch": _validate,
 })
+
+
+# ------------------------------------------------------------- dispatch
+from .search import QueryRequest, SearchRequest, SearchType, run_query, search  # noqa: E402
+
+
+def _dispatch(kind: str):
+    def run(spark, sf):
+        corpus = _embedded_corpus(spark, sf)
+        req = SearchRequest(SearchType.parse(kind), 10, output_fields=("id",))
+        out = search(corpus, _bench_queries(spark, sf), req, model=MODEL)
+        return out.select("query_id", "rank", "partition_name", "id", "score", "distance")
+    return run
+
+
+QUERIES.update({
+    "search_dispatch_vector": _dispatch(" Vector "),
+    "search_dispatch_bm25": _dispatch("bm25"),
+    "search_dispatch_hybrid": _dispatch("HYBRID"),
+    "query_request": lambda s, sf: run_query(_seg(s, sf), QueryRequest(
+        filter="file_id IN ('src1', 'src2')", offset=20, limit=100, output_fields=tuple(PAGE_COLS))),
+})
