@@ -23,6 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
 from .text import analyze
 
 # Fixed values: the hash embedder's rule.
@@ -52,17 +53,23 @@ class HashEmbedder:
         self.dim = dim
 
     def embed_batch(self, values) -> list:
-        out = []
-        for toks in values:
-            if toks is None or len(toks) == 0:
-                out.append(None)
-                continue
-            v = np.zeros(self.dim, dtype=np.float64)
-            for t in toks:
-                b, s = _token_slot(t, self.dim)
-                v[b] += s
-            n = np.sqrt(np.dot(v, v))
-            out.append((v / n).astype(np.float32) if n > 0 else None)
+        """All token lists of a batch at once: factorize the tokens, hash
+        each distinct token once, and sum signs per (row, bucket)."""
+        lists = [np.asarray(v, dtype=object) if v is not None else np.empty(0, dtype=object) for v in values]
+        lengths = np.array([len(v) for v in lists], dtype=np.int64)
+        out = [None] * len(lists)
+        if lengths.sum() == 0:
+            return out
+        flat = np.concatenate(lists)
+        codes, uniques = pd.factorize(flat)
+        slots = np.array([_token_slot(t, self.dim) for t in uniques], dtype=np.float64).reshape(-1, 2)
+        rows = np.repeat(np.arange(len(lists)), lengths)
+        buckets = slots[codes, 0].astype(np.int64)
+        mat = np.zeros((len(lists), self.dim), dtype=np.float64)
+        np.add.at(mat, (rows, buckets), slots[codes, 1])
+        norms = np.sqrt((mat * mat).sum(axis=1))
+        for i in np.nonzero(norms > 0)[0]:
+            out[i] = (mat[i] / norms[i]).astype(np.float32)
         return out
 
 
@@ -89,10 +96,11 @@ def embed_column(model, text, mask: Column | None = None) -> Column:
                 result[i] = None if vec is None else np.asarray(vec, dtype=np.float32)
         return pd.Series(result, dtype=object)
 
-    # A distinct name per UDF instance: two instances of one name in a
-    # session confuse Spark's Python UDF extraction on 4.1.
     _embed.__name__ = f"embed_{next(_UDF_IDS)}"
-    return F.pandas_udf(_embed, "array<float>")(value)
+    # Non-deterministic: a model call is not a pure function, and it keeps
+    # Catalyst from copying the call into pushed-down filters (which would
+    # run the model twice per row).
+    return F.pandas_udf(_embed, "array<float>").asNondeterministic()(value)
 
 
 def _missing(vec: Column) -> Column:
@@ -110,7 +118,7 @@ def embed_documents(df: DataFrame, model, text_col: str = "content", vector_col:
         return df
     vec, text = F.col(vector_col), F.col(text_col)
     need = _missing(vec) & _has_text(text)
-    return df.withColumn(vector_col, F.coalesce(
+    return spread(df).withColumn(vector_col, F.coalesce(
         F.when(~need, vec), embed_column(model, text, need)))
 
 

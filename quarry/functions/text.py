@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 CJK_RANGE = r"\x{4e00}-\x{9fff}"
 TOKEN_PATTERN = r"([\x{4e00}-\x{9fff}]+|[\p{L}\p{N}&&[^\x{4e00}-\x{9fff}]]+)"
 PLAIN_TOKEN_PATTERN = r"([\p{L}\p{N}]+)"
+NON_WORD_PATTERN = r"[^\p{L}\p{N}]+"
 _CJK = r"[\x{4e00}-\x{9fff}]"
 _WORD = r"[\p{L}\p{N}&&[^\x{4e00}-\x{9fff}]]"
 CJK_TOKEN_PATTERN = (r"(?=(" + _CJK + "{2}" + "|(?<!" + _CJK + ")" + _CJK + "(?!" + _CJK + ")"
@@ -45,7 +46,9 @@ def analyze(text, analyzer: str | None = None) -> Column:
     t = F.lower(F.coalesce(_col(text), F.lit("")))
     if analyzer is not None:
         return F.regexp_extract_all(t, F.lit(analyzer), 1)
-    plain = F.regexp_extract_all(t, F.lit(TOKEN_PATTERN), 1)
+    # Without an ideograph the default pattern equals runs of letters/digits,
+    # i.e. a split on runs of anything else (faster than extracting matches).
+    plain = F.array_remove(F.split(t, NON_WORD_PATTERN), "")
     split = F.regexp_extract_all(t, F.lit(CJK_TOKEN_PATTERN), 1)
     return F.when(t.rlike(f"[{CJK_RANGE}]"), split).otherwise(plain)
 

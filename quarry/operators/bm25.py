@@ -19,10 +19,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import BM25_B, BM25_K1, analyze, bm25_doc_weight, idf
+from ..session import broadcast_budget
 from .knn import attach_columns, scope_corpus
 from .topk import apply_threshold, rank_topk
 
@@ -59,19 +61,35 @@ class Bm25Index:
 
 
 def build_bm25_index(corpus: DataFrame, text_col: str = "content", *, k1: float = BM25_K1, b: float = BM25_B,
-                     analyzer: str | None = None) -> Bm25Index:
+                     analyzer: str | None = None, n_partitions: int | None = None,
+                     cache: bool = True) -> Bm25Index:
     """SRCH-6: postings, term table and collection statistics.
 
-    Statistics cover every row of ``corpus`` (a row with no text counts
-    with length 0), whatever filter a later search applies (D5).
+    Documents are hash-partitioned by key before tokenising, so the tf
+    aggregation needs no further shuffle and the postings stay clustered by
+    document: at search time the per-(query, doc) sums and the partial
+    top-k run inside the postings' tasks, and only ``k`` rows per query per
+    task are shuffled.  ``avgdl`` is ``sum(tf) / N``; N counts every row of
+    ``corpus`` (a row without text has length 0) whatever filter a later
+    search applies (D5).  With ``cache`` the postings are persisted
+    (memory and disk, recomputable from lineage) for repeated searches;
+    :meth:`Bm25Index.write` stores them for good.
     """
-    docs = corpus.select("partition_name", "id", analyze(text_col, analyzer).alias("toks"))
-    docs = docs.withColumn("dl", F.size("toks").cast("long"))
-    st = docs.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).first()
-    n_docs, avgdl = int(st["n"] or 0), float(st["avgdl"] or 0.0)
-    postings = (docs.select("partition_name", "id", "dl", F.explode("toks").alias("term"))
-                .groupBy("term", "partition_name", "id", "dl")
-                .agg(F.count(F.lit(1)).cast("long").alias("tf")))
+    spark = corpus.sparkSession
+    n = n_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    docs = (corpus.select("partition_name", "id", F.col(text_col).alias("_text"))
+            .repartition(n, "partition_name", "id")
+            .select("partition_name", "id", analyze("_text", analyzer).alias("toks")))
+    postings = (docs.select("partition_name", "id", F.size("toks").cast("long").alias("dl"),
+                            F.explode("toks").alias("term"))
+                .groupBy("partition_name", "id", "dl", "term")
+                .agg(F.count(F.lit(1)).cast("long").alias("tf"))
+                .select("term", "partition_name", "id", "tf", "dl"))
+    if cache:
+        postings = postings.persist(StorageLevel.MEMORY_AND_DISK)
+    total = postings.agg(F.sum("tf").alias("t")).first()["t"] or 0
+    n_docs = corpus.count()
+    avgdl = float(total) / n_docs if n_docs else 0.0
     terms = postings.groupBy("term").agg(F.count(F.lit(1)).cast("long").alias("df"),
                                          F.sum("tf").cast("long").alias("cf"))
     return Bm25Index(postings, terms, n_docs, avgdl, k1, b, analyzer)
@@ -110,6 +128,12 @@ def bm25_candidates(index: Bm25Index, queries: DataFrame, *, text_col: str = "te
         names = [partitions] if isinstance(partitions, str) else list(partitions)
         post = post.where(F.col("partition_name").isin(names))
     contrib = F.col("weight") * bm25_doc_weight("tf", "dl", F.lit(float(index.avgdl) or 1.0), index.k1, index.b)
+    # The query-term side is counted, and broadcast only when that count
+    # fits the budget: the postings are then streamed in place (no shuffle
+    # by term), keeping their clustering by document.
+    qt = qt.persist(StorageLevel.MEMORY_AND_DISK)
+    if qt.count() * 96 <= broadcast_budget(qt.sparkSession):
+        qt = F.broadcast(qt)
     scored = (qt.join(post, "term")
               .groupBy("query_id", "partition_name", "id")
               .agg(F.sum(contrib).alias("score")))

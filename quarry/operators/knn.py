@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.vectors import check_metric, prepare_queries, score_matrix, topk_per_column
-from ..session import broadcast_budget
+from ..session import broadcast_budget, spread
 from ..sources.segments import default_columns
 from .topk import apply_threshold, rank_topk
 
@@ -172,7 +172,7 @@ def knn_candidates(scope: DataFrame, queries: DataFrame, kk: int, *, metric: str
             source = source.where(extra_filter(qmat.shape[1]))
         bc = spark.sparkContext.broadcast(payload)
         fn = (lambda it, bc=bc: _kernel(it, bc, scorer, kk, cell_col, qid_type))
-        parts.append(source.mapInArrow(fn, out_ddl))
+        parts.append(spread(source).mapInArrow(fn, out_ddl))
     if not parts:
         return spark.createDataFrame([], out_ddl)
     return reduce(DataFrame.unionByName, parts)
