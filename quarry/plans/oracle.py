@@ -292,3 +292,10 @@ ORACLE_SQL.update({
     "search_dispatch_hybrid": ORACLE_SQL["hybrid_default"],
     "query_request": ORACLE_SQL["query_page"],
 })
+
+ORACLE_SQL.update({
+    "typed_view": f"""WITH {SEGMENTS} SELECT file_id AS source_file, content AS text, id,
+        '{{"lang":"' || lang || '","n_chars":' || CAST(n_chars AS VARCHAR) || '}}' AS metadata FROM segments""",
+})
+
+ORACLE_SQL["stream_upsert"] = ORACLE_SQL["add"]

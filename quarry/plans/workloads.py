@@ -329,3 +329,51 @@ QUERIES.update({
     "query_request": lambda s, sf: run_query(_seg(s, sf), QueryRequest(
         filter="file_id IN ('src1', 'src2')", offset=20, limit=100, output_fields=tuple(PAGE_COLS))),
 })
+
+
+from ..sources.schema import CollectionSpec, FieldSpec, typed_view, with_auto_id  # noqa: E402
+
+
+def _typed_view(spark, sf):
+    # A subclass view over the segment schema: file_id renamed to source_file,
+    # a redeclared content field shadows the parent's.
+    child = CollectionSpec("segment_view", (FieldSpec("file_id", "varchar", max_length=64, alias="source_file"),
+                                            FieldSpec("content", "varchar", alias="text")))
+    return typed_view(_seg(spark, sf), child, segment_schema(64))
+
+
+def _auto_id(spark, sf):
+    conv = read_table(spark, sf, "conversations")
+    return with_auto_id(conv, ["conv_id", "turn"]).select("id", "conv_id", "turn")
+
+
+QUERIES.update({
+    "typed_view": _typed_view,
+    "auto_id": _auto_id,
+})
+
+
+# ------------------------------------------------------------- streaming
+from ..streaming.upsert_sink import upsert_stream  # noqa: E402
+
+
+def _stream_upsert(spark, sf):
+    """Conversation turns arrive as a stream and are upserted, micro-batch by
+    micro-batch, into a versioned copy of the segments table."""
+    import uuid
+    root = f"{ensure_checkpoint_dir(spark)}/quarry-stream-{uuid.uuid4().hex}"
+    write_version(_seg(spark, sf), root)
+    conv = read_table(spark, sf, "conversations")
+    stream = (spark.readStream.schema(conv.schema).option("maxFilesPerTrigger", 1)
+              .parquet(f"{sf.rstrip('/')}/conversations*.parquet"))
+    changes = stream.select(
+        F.concat(F.lit("conv_"), F.col("conv_id").cast("string"), F.lit("_"), F.col("turn").cast("string")).alias("id"),
+        F.concat(F.lit("conv_"), F.col("conv_id").cast("string")).alias("file_id"),
+        F.col("text").alias("content"), F.lit(None).cast("array<float>").alias("embedding"),
+        F.to_json(F.struct("role")).alias("metadata"), partition_name("role").alias("partition_name"))
+    q = upsert_stream(changes, root, f"{root}/_checkpoint")
+    q.awaitTermination()
+    return read_current(spark, root).select(*PAGE_COLS)
+
+
+QUERIES["stream_upsert"] = _stream_upsert

@@ -221,3 +221,29 @@ def validate_batch(df: DataFrame, spec: CollectionSpec, *, allow_missing_vectors
     good = out.where(F.size("violations") == 0).drop("violations")
     bad = out.where(F.size("violations") > 0)
     return good, bad
+
+
+def typed_view(df: DataFrame, *specs: CollectionSpec, include_vectors: bool = False) -> DataFrame:
+    """PRJ-3: the columns of a document class, most specific spec first.
+
+    Fields of the first spec win over same-named fields of later (parent)
+    specs; a field's ``alias`` renames it in the view; vector fields are
+    left out unless ``include_vectors``.
+    """
+    seen: set[str] = set()
+    cols = []
+    for spec in specs:
+        for f in spec.fields:
+            if f.name in seen or f.name not in df.columns or (f.exclude and not include_vectors):
+                continue
+            seen.add(f.name)
+            cols.append(F.col(f.name).alias(f.alias or f.name))
+    return df.select(*cols)
+
+
+def with_auto_id(df: DataFrame, key_cols, id_col: str = "id") -> DataFrame:
+    """An id derived from content columns (64-bit hash, as a string).
+
+    Stable across retries and re-runs, unlike ``monotonically_increasing_id``.
+    """
+    return df.withColumn(id_col, F.xxhash64(*[F.col(c) for c in key_cols]).cast("string"))
