@@ -29,6 +29,10 @@ from .knn import attach_columns, scope_corpus
 from .topk import apply_threshold, rank_topk
 
 
+# Largest distinct query-term list pushed into the postings scan as a literal IN.
+MAX_PUSHED_TERMS = 10_000
+
+
 @dataclass
 class Bm25Index:
     postings: DataFrame  # term, partition_name, id, tf, dl
@@ -92,6 +96,8 @@ def build_bm25_index(corpus: DataFrame, text_col: str = "content", *, k1: float
     avgdl = float(total) / n_docs if n_docs else 0.0
     terms = postings.groupBy("term").agg(F.count(F.lit(1)).cast("long").alias("df"),
                                          F.sum("tf").cast("long").alias("cf"))
+    if cache:
+        terms = terms.persist(StorageLevel.MEMORY_AND_DISK)
     return Bm25Index(postings, terms, n_docs, avgdl, k1, b, analyzer)
 
 
@@ -130,10 +136,15 @@ def bm25_candidates(index: Bm25Index, queries: DataFrame, *, text_col: str = "te
     contrib = F.col("weight") * bm25_doc_weight("tf", "dl", F.lit(float(index.avgdl) or 1.0), index.k1, index.b)
     # The query-term side is counted, and broadcast only when that count
     # fits the budget: the postings are then streamed in place (no shuffle
-    # by term), keeping their clustering by document.
-    qt = qt.persist(StorageLevel.MEMORY_AND_DISK)
-    if qt.count() * 96 <= broadcast_budget(qt.sparkSession):
+    # by term), keeping their clustering by document.  A short list of
+    # distinct terms is also pushed into the postings scan, so a stored
+    # index (sorted by term) skips the row groups of every other term.
+    n_qt = qt.count()
+    if n_qt * 96 <= broadcast_budget(qt.sparkSession):
         qt = F.broadcast(qt)
+        if n_qt <= MAX_PUSHED_TERMS:
+            terms = [r["term"] for r in qt.select("term").distinct().collect()]
+            post = post.where(F.col("term").isin(terms))
     scored = (qt.join(post, "term")
               .groupBy("query_id", "partition_name", "id")
               .agg(F.sum(contrib).alias("score")))

@@ -70,12 +70,18 @@ def dense_scorer(vector_col: str, metric: str):
 
 
 def _kernel(batches, bc, scorer, kk: int, cell_col: str | None, qid_type: pa.DataType):
-    """Per Arrow batch: best ``kk`` rows per query, within probed cells."""
+    """Best ``kk`` rows per query over all Arrow batches of one task.
+
+    Each batch is scored (per probed cell when ``cell_col`` is set) and cut
+    to its ``kk`` best rows per query; the survivors of all batches are cut
+    again at the end, so a task emits at most ``kk`` rows per query.
+    """
     payload = bc.value
     qids, qmat = payload["qids"], payload["q"]
     cell_queries = payload.get("cell_queries")  # cell -> query indices, or None
     out_schema = pa.schema([("query_id", qid_type), ("partition_name", pa.string()), ("id", pa.string()),
                             ("score", pa.float64()), ("distance", pa.float64())])
+    keep_q, keep_id, keep_part, keep_s, keep_d = [], [], [], [], []
     for batch in batches:
         n = batch.num_rows
         if n == 0:
@@ -93,7 +99,6 @@ def _kernel(batches, bc, scorer, kk: int, cell_col: str | None, qid_type: pa.Dat
                 qidx = cell_queries.get(int(c))
                 if qidx is not None and len(qidx):
                     groups.append((order[cells == c], qidx))
-        out_q, out_r, out_s, out_d = [], [], [], []
         for rows, qidx in groups:
             step = max(1, _MAX_CELLS // max(1, len(rows)))
             for c0 in range(0, len(qidx), step):
@@ -101,19 +106,26 @@ def _kernel(batches, bc, scorer, kk: int, cell_col: str | None, qid_type: pa.Dat
                 s, d = scorer(batch, rows, qmat[qsub])
                 r, c = topk_per_column(s, kk)
                 if len(r):
-                    out_q.append(qsub[c])
-                    out_r.append(rows[r])
-                    out_s.append(s[r, c])
-                    out_d.append(d[r, c])
-        if not out_q:
-            continue
-        qi, ri = np.concatenate(out_q), np.concatenate(out_r)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(qids[qi], type=qid_type), pa.array(parts[ri], type=pa.string()),
-             pa.array(ids[ri], type=pa.string()), pa.array(np.concatenate(out_s)),
-             pa.array(np.concatenate(out_d))],
-            schema=out_schema,
-        )
+                    keep_q.append(qsub[c])
+                    keep_id.append(ids[rows[r]])
+                    keep_part.append(parts[rows[r]])
+                    keep_s.append(s[r, c])
+                    keep_d.append(d[r, c])
+    if not keep_q:
+        return
+    qi, idv, pv = np.concatenate(keep_q), np.concatenate(keep_id), np.concatenate(keep_part)
+    sv, dv = np.concatenate(keep_s), np.concatenate(keep_d)
+    # Final cut across batches: order by query, rounded score desc, id, partition.
+    order = np.lexsort((pv.astype(str), idv.astype(str), -np.round(sv, 6), qi))
+    qi, idv, pv, sv, dv = qi[order], idv[order], pv[order], sv[order], dv[order]
+    starts = np.r_[0, np.nonzero(np.diff(qi))[0] + 1]
+    pos = np.arange(len(qi)) - np.repeat(starts, np.diff(np.r_[starts, len(qi)]))
+    sel = pos < kk
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(qids[qi[sel]], type=qid_type), pa.array(pv[sel], type=pa.string()),
+         pa.array(idv[sel], type=pa.string()), pa.array(sv[sel]), pa.array(dv[sel])],
+        schema=out_schema,
+    )
 
 
 def _query_blocks(queries: DataFrame, query_vector_col: str, budget: int):

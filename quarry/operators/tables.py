@@ -15,6 +15,8 @@ from ..sources.segments import default_columns
 from .knn import scope_corpus
 
 KEY = ["partition_name", "id"]
+# Largest list of touched partitions an upsert names explicitly.
+MAX_TOUCHED_PARTITIONS = 1000
 
 
 def _with_partition(docs: DataFrame, partition: str | None) -> DataFrame:
@@ -64,7 +66,20 @@ def upsert(base: DataFrame, docs: DataFrame, partition: str | None = None, seq_c
     changes = dedupe_changes(_with_partition(docs, partition), seq_col)
     if seq_col and seq_col in changes.columns and seq_col not in base.columns:
         changes = changes.drop(seq_col)
-    kept = base.join(changes.select(*KEY), KEY, "left_anti")
+    if partition is not None and partition.strip():
+        touched = [partition]
+    else:
+        # Partitions the batch touches: a bounded list when few, so rows of
+        # every other partition skip the key join (and a partitioned table's
+        # scan prunes them out of it).
+        names = changes.select("partition_name").distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()
+        touched = [r[0] for r in names] if len(names) <= MAX_TOUCHED_PARTITIONS else None
+    if touched is None:
+        kept = base.join(changes.select(*KEY), KEY, "left_anti")
+    else:
+        in_touched = F.col("partition_name").isin(touched)
+        kept = base.where(~in_touched).unionByName(
+            base.where(in_touched).join(changes.select(*KEY), KEY, "left_anti"))
     return kept.unionByName(changes, allowMissingColumns=True)
 
 
