@@ -242,8 +242,10 @@ def typed_view(df: DataFrame, *specs: CollectionSpec, include_vectors: bool = Fa
 
 
 def with_auto_id(df: DataFrame, key_cols, id_col: str = "id") -> DataFrame:
-    """An id derived from content columns (64-bit hash, as a string).
+    """An id derived from content columns: the first 16 hex digits
+    (64 bits) of the md5 of the key columns joined by ``|``.
 
     Stable across retries and re-runs, unlike ``monotonically_increasing_id``.
     """
-    return df.withColumn(id_col, F.xxhash64(*[F.col(c) for c in key_cols]).cast("string"))
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key_cols]
+    return df.withColumn(id_col, F.substring(F.md5(F.concat_ws("|", *parts)), 1, 16))
