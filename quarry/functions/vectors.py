@@ -34,7 +34,7 @@ def _c(x) -> Column:
 
 
 def dot(a, b) -> Column:
-    """Inner product of two array<float> columns, in double."""
+    """FN-1: inner product of two array<float> columns, in double."""
     pairs = F.zip_with(_c(a), _c(b), lambda x, y: x.cast("double") * y.cast("double"))
     return F.aggregate(pairs, F.lit(0.0).cast("double"), lambda acc, v: acc + v)
 
@@ -44,12 +44,13 @@ def norm(a) -> Column:
 
 
 def cosine(a, b) -> Column:
-    """Cosine similarity; a zero norm gives NULL (such a row is never returned)."""
+    """FN-2: cosine similarity; a zero norm gives NULL (such a row is never returned)."""
     den = norm(a) * norm(b)
     return F.when(den > 0, dot(a, b) / den)
 
 
 def l2_distance(a, b) -> Column:
+    """FN-3: Euclidean distance."""
     diffs = F.zip_with(_c(a), _c(b), lambda x, y: (x.cast("double") - y.cast("double")) ** 2)
     return F.sqrt(F.aggregate(diffs, F.lit(0.0).cast("double"), lambda acc, v: acc + v))
 

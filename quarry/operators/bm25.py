@@ -127,7 +127,8 @@ def query_terms(index: Bm25Index, queries: DataFrame, text_col: str = "text", dr
 
 def bm25_candidates(index: Bm25Index, queries: DataFrame, *, text_col: str = "text", pred=None,
                     partitions=None, corpus: DataFrame | None = None, drop_ratio: float = 0.0) -> DataFrame:
-    """Every (query, doc) sharing at least one term, with its BM25 score."""
+    """Every (query, doc) sharing at least one term, with its BM25 score
+    (the lexical join JOI-4: query terms join postings on ``term``)."""
     qt = query_terms(index, queries, text_col, drop_ratio)
     post = index.postings
     if partitions:

@@ -48,7 +48,8 @@ def normalize_score(kind: str, norm: str, metric: str = "cosine") -> Column:
 
 def fuse(dense: DataFrame, sparse: DataFrame, weights=(0.5, 0.5), norm: str = "arctan",
          metric: str = "cosine") -> DataFrame:
-    """Weighted sum of normalised branch scores; a missing side adds 0.
+    """JOI-5: weighted sum of normalised branch scores, a union plus a
+    ``groupBy`` (cheaper than a full outer join); a missing side adds 0.
     Weights are used as given, not rescaled."""
     wd, ws = float(weights[0]), float(weights[1])
     keys = ["query_id", "partition_name", "id"]

@@ -251,7 +251,8 @@ def probe_cells(centroids: np.ndarray, metric: str, nprobe: int):
 def ivf_search(index: IvfIndex, queries: DataFrame, k: int = 10, offset: int = 0, *, nprobe: int = 8,
                pred=None, partitions=None, threshold: float | None = 0.0, columns=None,
                query_vector_col: str = "vector", rerank: int = 0) -> DataFrame:
-    """Approximate top-k: only the ``nprobe`` nearest cells of each query are
+    """Approximate top-k (SRCH-2 IVF_FLAT, SRCH-3 IVF_SQ8, SRCH-4 IVF_PQ; the
+    cell join JOI-3): only the ``nprobe`` nearest cells of each query are
     scored (``nprobe >= nlist`` is exact).  SQ8 scores decoded vectors, PQ
     scores by table lookup; ``rerank=r`` rescores the best ``r*k`` PQ/SQ8
     candidates on the raw vectors (a join on the candidates only)."""

@@ -209,7 +209,8 @@ def vector_search(corpus: DataFrame, queries: DataFrame, k: int = 10, offset: in
                   metric: str = "cosine", pred=None, partitions=None, threshold: float | None = 0.0,
                   columns=None, vector_col: str = "embedding", query_vector_col: str = "vector",
                   include_vectors: bool = False) -> DataFrame:
-    """Exact top-k by ``metric`` for every query row (SRCH-1).
+    """Exact top-k by ``metric`` for every query row (SRCH-1; the theta /
+    top-k join JOI-2, planned as broadcast query blocks, not a cross join).
 
     ``queries`` needs ``query_id`` and ``query_vector_col``.  Result:
     ``query_id, rank, partition_name, id, score, distance`` + ``columns``

@@ -117,6 +117,7 @@ def get_by_ids(base: DataFrame, ids: DataFrame, partition: str | None = None, co
 
 
 def _columns(base: DataFrame, columns, include_vectors: bool) -> list[str]:
+    """PRJ-1 default columns, or PRJ-2: a non-empty explicit list replaces them."""
     cols = default_columns(base) if not columns else list(columns)
     if include_vectors and "embedding" in base.columns and "embedding" not in cols:
         cols.append("embedding")
