@@ -97,10 +97,13 @@ def embed_column(model, text, mask: Column | None = None) -> Column:
         return pd.Series(result, dtype=object)
 
     _embed.__name__ = f"embed_{next(_UDF_IDS)}"
-    # Non-deterministic: a model call is not a pure function, and it keeps
-    # Catalyst from copying the call into pushed-down filters (which would
-    # run the model twice per row).
-    return F.pandas_udf(_embed, "array<float>").asNondeterministic()(value)
+    # Deterministic, so identical subplans over embedded rows share their
+    # exchanges; searches never filter on the vector column itself (the
+    # scoring kernel skips missing vectors), so Catalyst has no filter to copy
+    # the model call into.  A model that is not a pure function should have
+    # its output written once (a table under spark.checkpoint.dir) before
+    # several searches read it.
+    return F.pandas_udf(_embed, "array<float>")(value)
 
 
 def _missing(vec: Column) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.vectors import check_metric
+from ..session import materialize
 from .bm25 import Bm25Index, bm25_search
 from .knn import attach_columns, scope_corpus, vector_search
 from .topk import apply_threshold, rank_topk
@@ -84,19 +85,27 @@ def hybrid_search(corpus: DataFrame, index: Bm25Index, queries: DataFrame, k: in
 
 def compare_methods(corpus: DataFrame, index: Bm25Index, queries: DataFrame, k: int = 10, *,
                     weights=(0.5, 0.5), norm: str = "arctan", metric: str = "cosine", pred=None,
-                    partitions=None, text_col: str = "text", query_vector_col: str = "vector") -> DataFrame:
+                    partitions=None, threshold: float | None = 0.0, text_col: str = "text",
+                    query_vector_col: str = "vector") -> DataFrame:
     """SRCH-10: the same queries through VECTOR, BM25 and HYBRID, tagged
-    ``method``: ``method, query_id, rank, partition_name, id, score``."""
+    ``method``: ``method, query_id, rank, partition_name, id, score``.
+
+    Each branch is computed once: both are bounded (``queries * k`` rows)
+    and written as a table under the session's checkpoint folder, then the
+    VECTOR and BM25 results are the branches themselves and HYBRID fuses
+    the same two.
+    """
     common = dict(pred=pred, partitions=partitions)
     good = queries.where(F.col(text_col).isNotNull() & (F.trim(F.col(text_col)) != ""))
-    v = vector_search(corpus, good, k, metric=metric, columns=[], query_vector_col=query_vector_col, **common)
-    b = bm25_search(index, good, k, text_col=text_col, corpus=corpus, columns=[], **common)
-    h = hybrid_search(corpus, index, good, k, weights=weights, norm=norm, metric=metric, columns=[],
-                      text_col=text_col, query_vector_col=query_vector_col, **common)
+    dense = materialize(vector_search(corpus, good, k, metric=metric, threshold=None, columns=[],
+                                      query_vector_col=query_vector_col, **common), "dense-hits")
+    sparse = materialize(bm25_search(index, good, k, text_col=text_col, corpus=corpus, threshold=None,
+                                     columns=[], **common), "bm25-hits")
+    fused = rank_topk(fuse(dense, sparse, weights, norm, metric), k)
     cols = ["query_id", "rank", "partition_name", "id", "score"]
-    return (v.select(F.lit("vector").alias("method"), *cols)
-            .unionByName(b.select(F.lit("bm25").alias("method"), *cols))
-            .unionByName(h.select(F.lit("hybrid").alias("method"), *cols)))
+    return (apply_threshold(dense, threshold).select(F.lit("vector").alias("method"), *cols)
+            .unionByName(apply_threshold(sparse, threshold).select(F.lit("bm25").alias("method"), *cols))
+            .unionByName(apply_threshold(fused, threshold).select(F.lit("hybrid").alias("method"), *cols)))
 
 
 def overlap_at_k(results: DataFrame, method_a: str, method_b: str) -> DataFrame:

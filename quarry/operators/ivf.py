@@ -266,11 +266,13 @@ def ivf_search(index: IvfIndex, queries: DataFrame, k: int = 10, offset: int = 0
         factory, cols = pq_scorer(index.pq_codebooks), ["pq_codes"]
     else:
         factory, cols = None, [index.vector_col]
+    check_dim = index.kind != "pq"  # PQ codes have m entries, not d
     kk = (k + offset) * (max(1, rerank) if index.kind != "flat" else 1)
     cands = knn_candidates(scope.select("partition_name", "id", "cell", *cols), queries, kk, metric=metric,
                            vector_col=index.vector_col, query_vector_col=query_vector_col,
                            scorer_factory=factory, cell_col="cell",
-                           probe_fn=probe_cells(index.centroids, metric, nprobe))
+                           probe_fn=probe_cells(index.centroids, metric, nprobe),
+                           valid_col=cols[0], check_dim=check_dim)
     if rerank and index.kind != "flat":
         cands = _rerank(rank_topk(cands, kk), scope, queries, metric, index.vector_col, query_vector_col)
     return finish_search(cands, scope, queries, k, offset, threshold, columns, False, index.vector_col)

@@ -22,6 +22,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -69,7 +70,17 @@ def dense_scorer(vector_col: str, metric: str):
     return score
 
 
-def _kernel(batches, bc, scorer, kk: int, cell_col: str | None, qid_type: pa.DataType):
+def _valid_rows(batch: pa.RecordBatch, col: str, dim: int | None) -> np.ndarray:
+    """Row indices with a non-null vector (of length ``dim`` when given)."""
+    arr = batch.column(col)
+    ok = arr.is_valid()
+    if dim is not None:
+        ok = pc.and_(ok, pc.equal(pc.list_value_length(arr), dim))
+    return np.nonzero(ok.to_numpy(zero_copy_only=False))[0]
+
+
+def _kernel(batches, bc, scorer, kk: int, cell_col: str | None, qid_type: pa.DataType,
+            valid_col: str | None = None, valid_dim: int | None = None):
     """Best ``kk`` rows per query over all Arrow batches of one task.
 
     Each batch is scored (per probed cell when ``cell_col`` is set) and cut
@@ -88,12 +99,16 @@ def _kernel(batches, bc, scorer, kk: int, cell_col: str | None, qid_type: pa.Dat
             continue
         ids = batch.column("id").to_numpy(zero_copy_only=False)
         parts = batch.column("partition_name").to_numpy(zero_copy_only=False)
-        # Rows in (id, partition) order so row index order is the tie order.
-        order = np.lexsort((parts.astype(str), ids.astype(str)))
+        # Rows with a usable vector, in (id, partition) order so row index
+        # order is the tie order.  Missing or wrong-sized vectors never rank.
+        valid = _valid_rows(batch, valid_col, valid_dim) if valid_col else np.arange(n)
+        if len(valid) == 0:
+            continue
+        order = valid[np.lexsort((parts[valid].astype(str), ids[valid].astype(str)))]
         if cell_col is None:
             groups = [(order, np.arange(len(qids)))]
         else:
-            cells = batch.column(cell_col).to_numpy(zero_copy_only=False)[order]
+            cells = batch.column(cell_col).to_numpy(zero_copy_only=False)[order].astype(np.int64)
             groups = []
             for c in np.unique(cells):
                 qidx = cell_queries.get(int(c))
@@ -147,7 +162,7 @@ def _query_blocks(queries: DataFrame, query_vector_col: str, budget: int):
 def knn_candidates(scope: DataFrame, queries: DataFrame, kk: int, *, metric: str = "cosine",
                    vector_col: str = "embedding", query_vector_col: str = "vector",
                    scorer_factory=None, cell_col: str | None = None, probe_fn=None,
-                   extra_filter=None) -> DataFrame:
+                   valid_col: str | None = None, check_dim: bool = True) -> DataFrame:
     """Up to ``kk`` best rows per query per Arrow batch (not yet globally ranked).
 
     ``scorer_factory(metric)`` builds the batch scorer (raw vectors by
@@ -180,10 +195,10 @@ def knn_candidates(scope: DataFrame, queries: DataFrame, kk: int, *, metric: str
                     inverted.setdefault(int(c), []).append(qi)
             payload["cell_queries"] = {c: np.asarray(v, dtype=np.int64) for c, v in inverted.items()}
             source = source.where(F.col(cell_col).isin(sorted(inverted)))
-        if extra_filter is not None:
-            source = source.where(extra_filter(qmat.shape[1]))
         bc = spark.sparkContext.broadcast(payload)
-        fn = (lambda it, bc=bc: _kernel(it, bc, scorer, kk, cell_col, qid_type))
+        vcol = valid_col or vector_col
+        vdim = qmat.shape[1] if check_dim else None
+        fn = (lambda it, bc=bc, vdim=vdim: _kernel(it, bc, scorer, kk, cell_col, qid_type, vcol, vdim))
         parts.append(spread(source).mapInArrow(fn, out_ddl))
     if not parts:
         return spark.createDataFrame([], out_ddl)
@@ -217,10 +232,9 @@ def vector_search(corpus: DataFrame, queries: DataFrame, k: int = 10, offset: in
     (PRJ-1 defaults: all non-vector columns; ``[]`` for none).
     """
     metric = check_metric(metric)
-    scope = scope_corpus(corpus, pred, partitions).where(F.col(vector_col).isNotNull())
+    scope = scope_corpus(corpus, pred, partitions)
     cands = knn_candidates(scope.select("partition_name", "id", vector_col), queries, k + offset,
-                           metric=metric, vector_col=vector_col, query_vector_col=query_vector_col,
-                           extra_filter=lambda d: F.size(vector_col) == d)
+                           metric=metric, vector_col=vector_col, query_vector_col=query_vector_col)
     return finish_search(cands, scope, queries, k, offset, threshold, columns, include_vectors, vector_col)
 
 

@@ -73,3 +73,14 @@ def spread(df):
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as a parquet table under the session's checkpoint
+    folder (shared on a cluster) and return it read back: lineage is cut
+    and the plan runs exactly once, even when several consumers read it."""
+    import uuid
+    root = ensure_checkpoint_dir(df.sparkSession)
+    path = f"{root.rstrip('/')}/quarry-{name}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return df.sparkSession.read.parquet(path)
