@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import hashlib
 import itertools
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -33,7 +32,6 @@ HEX_DIGITS = "0123456789abcdef"
 _UDF_IDS = itertools.count()
 
 
-@lru_cache(maxsize=1 << 20)
 def _token_slot(token: str, dim: int) -> tuple[int, float]:
     h = hashlib.md5(token.encode("utf-8")).hexdigest()
     bucket = (16 * HEX_DIGITS.index(h[0]) + HEX_DIGITS.index(h[1])) % dim
