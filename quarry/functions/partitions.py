@@ -34,14 +34,12 @@ def partition_or_default(partition) -> Column:
 def partition_collisions(ids: DataFrame, id_col: str = "knowledge_id") -> DataFrame:
     """Knowledge ids that map to the same partition name (``kb-1``/``kb_1``).
 
-    One row per clashing partition: ``partition_name, n_ids, knowledge_ids``
-    (sorted).  The group is the set of *distinct* ids of one name, so it is
-    bounded by the id alphabet, not by the table.
+    One row per clashing id: ``partition_name, knowledge_id, n_ids`` (the
+    number of distinct ids sharing that name).  Counts are a ``groupBy`` with
+    partial aggregation joined back, so no group is ever collected.
     """
-    distinct = ids.select(F.col(id_col).alias("knowledge_id")).where(F.col("knowledge_id").isNotNull()).distinct()
-    return (
-        distinct.withColumn("partition_name", partition_name("knowledge_id"))
-        .groupBy("partition_name")
-        .agg(F.count("*").alias("n_ids"), F.array_sort(F.collect_list("knowledge_id")).alias("knowledge_ids"))
-        .where(F.col("n_ids") > 1)
-    )
+    distinct = (ids.select(F.col(id_col).alias("knowledge_id")).where(F.col("knowledge_id").isNotNull())
+                .distinct().withColumn("partition_name", partition_name("knowledge_id")))
+    clashes = (distinct.groupBy("partition_name").agg(F.count(F.lit(1)).alias("n_ids"))
+               .where(F.col("n_ids") > 1))
+    return distinct.join(clashes, "partition_name").select("partition_name", "knowledge_id", "n_ids")

@@ -35,25 +35,26 @@ def add(base: DataFrame, docs: DataFrame, partition: str | None = None) -> DataF
 def dedupe_changes(changes: DataFrame, seq_col: str | None = "seq") -> DataFrame:
     """One row per key (D7): the highest ``seq`` wins; without a ``seq``
     column (or on a tie at the top) a duplicate key fails the job instead of
-    picking a row arbitrarily."""
-    w = Window.partitionBy(*KEY)
+    picking a row arbitrarily.
+
+    Per-key statistics are ``groupBy`` aggregates (partial counts and maxima
+    before the shuffle) joined back on the key, so a key that holds a large
+    share of the batch never gathers in one task.
+    """
+    def fail_on(cond, message: str) -> Column:
+        return F.when(cond, F.raise_error(F.concat(F.lit(message), F.col("id")))).otherwise(F.lit(True))
+
     if seq_col and seq_col in changes.columns:
-        top = F.max(seq_col).over(w)
-        n_top = F.count(F.when(F.col(seq_col) == top, 1)).over(w)
-        return (changes.withColumn("_top", top).withColumn("_ntop", n_top)
-                .where(F.col(seq_col) == F.col("_top"))
-                .withColumn("_ok", F.when(F.col("_ntop") > 1,
-                                          F.raise_error(F.concat(F.lit("duplicate key with equal seq in one batch: "),
-                                                                 F.col("id")))).otherwise(F.lit(True)))
-                .where(F.col("_ok").isNotNull())
-                .drop("_top", "_ntop", "_ok"))
-    n = F.count(F.lit(1)).over(w)
-    return (changes.withColumn("_n", n)
-            .withColumn("_ok", F.when(F.col("_n") > 1,
-                                      F.raise_error(F.concat(F.lit("duplicate key in one upsert batch: "),
-                                                             F.col("id")))).otherwise(F.lit(True)))
-            .where(F.col("_ok").isNotNull())
-            .drop("_n", "_ok"))
+        top = changes.groupBy(*KEY).agg(F.max(seq_col).alias("_top"))
+        best = changes.join(top, KEY).where(F.col(seq_col) == F.col("_top")).drop("_top")
+        ties = best.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+        return (best.join(ties, KEY, "left")
+                .withColumn("_ok", fail_on(F.col("_n").isNotNull(), "duplicate key with equal seq in one batch: "))
+                .where(F.col("_ok").isNotNull()).drop("_n", "_ok"))
+    dups = changes.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+    return (changes.join(dups, KEY, "left")
+            .withColumn("_ok", fail_on(F.col("_n").isNotNull(), "duplicate key in one upsert batch: "))
+            .where(F.col("_ok").isNotNull()).drop("_n", "_ok"))
 
 
 def upsert(base: DataFrame, docs: DataFrame, partition: str | None = None, seq_col: str | None = "seq") -> DataFrame:

@@ -81,9 +81,8 @@ ORACLE_SQL.update({
              ELSE partition_name END AS knowledge_id FROM segments""",
     "partition_collisions": f"""WITH {KIDS}, p AS (SELECT knowledge_id,
         'partition_' || regexp_replace(knowledge_id, '[^a-zA-Z0-9]', '_', 'g') AS partition_name FROM kids)
-        SELECT partition_name, CAST(count(*) AS BIGINT) AS n_ids,
-               string_agg(knowledge_id, ',' ORDER BY knowledge_id) AS knowledge_ids
-        FROM p GROUP BY partition_name HAVING count(*) > 1""",
+        SELECT partition_name, knowledge_id, CAST(count(*) OVER (PARTITION BY partition_name) AS BIGINT) AS n_ids
+        FROM p QUALIFY count(*) OVER (PARTITION BY partition_name) > 1""",
     "add": f"""WITH {SEGMENTS}, {CONV} SELECT id, file_id, partition_name, content FROM segments
         UNION ALL SELECT id, file_id, partition_name, content FROM conv""",
     "upsert": f"""WITH {SEGMENTS}, {CONV}, {CHANGES}

@@ -119,8 +119,7 @@ QUERIES.update({
         "knowledge_id", partition_name("knowledge_id").alias("partition_name")),
     "knowledge_id": lambda s, sf: _seg(s, sf).select("partition_name").distinct().select(
         "partition_name", knowledge_id("partition_name").alias("knowledge_id")),
-    "partition_collisions": lambda s, sf: partition_collisions(_knowledge_ids(s, sf)).select(
-        "partition_name", "n_ids", F.array_join("knowledge_ids", ",").alias("knowledge_ids")),
+    "partition_collisions": lambda s, sf: partition_collisions(_knowledge_ids(s, sf)),
     "add": lambda s, sf: tb.add(_seg(s, sf), _conversation_docs(s, sf)).select(*PAGE_COLS),
     "upsert": lambda s, sf: tb.upsert(_seg(s, sf), _upsert_changes(s, sf)).select(*PAGE_COLS),
     "delete_by_ids": lambda s, sf: tb.delete_by_ids(_seg(s, sf), _labels(s, sf, "toxic = 1")).select(*ROW_COLS),

@@ -25,7 +25,8 @@ def test_partition_names(spark):
     back = spark.createDataFrame([("partition_abc",), ("other",)], "p string").select(knowledge_id("p")).collect()
     assert [r[0] for r in back] == ["abc", "other"]
     clash = partition_collisions(df.withColumnRenamed("k", "knowledge_id")).collect()
-    assert len(clash) == 1 and clash[0]["knowledge_ids"] == ["kb-1", "kb_1"]
+    assert sorted((r["partition_name"], r["knowledge_id"], r["n_ids"]) for r in clash) == [
+        ("partition_kb_1", "kb-1", 2), ("partition_kb_1", "kb_1", 2)]
 
 
 def test_metadata(spark):
