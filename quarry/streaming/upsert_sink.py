@@ -18,22 +18,23 @@ from ..operators.tables import upsert
 from ..sources.versions import current_version, read_current
 
 
-def _applied_batches(spark: SparkSession, root: str) -> set[int]:
+def _already_applied(spark: SparkSession, root: str, batch_id: int) -> bool:
+    """Whether a committed version records ``batch_id`` (a filtered probe,
+    not a list of every batch ever applied)."""
     try:
         markers = spark.read.json(f"{root}/_versions")
     except AnalysisException:
-        return set()
+        return False
     if "batch_id" not in markers.columns:
-        return set()
-    rows = markers.where(F.col("batch_id").isNotNull()).select("batch_id").collect()
-    return {int(r["batch_id"]) for r in rows}
+        return False
+    return markers.where(F.col("batch_id") == F.lit(int(batch_id))).limit(1).count() > 0
 
 
 def apply_batch(batch: DataFrame, batch_id: int, root: str, seq_col: str | None = "seq") -> int | None:
     """Upsert one micro-batch into the table at ``root``; returns the new
     version, or None when the batch was already applied or is empty."""
     spark = batch.sparkSession
-    if batch_id in _applied_batches(spark, root):
+    if _already_applied(spark, root, batch_id):
         return None
     if batch.isEmpty():
         return None
