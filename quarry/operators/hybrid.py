@@ -63,16 +63,25 @@ def fuse(dense: DataFrame, sparse: DataFrame, weights=(0.5, 0.5), norm: str = "a
 def hybrid_search(corpus: DataFrame, index: Bm25Index, queries: DataFrame, k: int = 10, offset: int = 0, *,
                   weights=(0.5, 0.5), norm: str = "arctan", metric: str = "cosine", pred=None, partitions=None,
                   threshold: float | None = 0.0, columns=None, text_col: str = "text",
-                  query_vector_col: str = "vector", vector_col: str = "embedding") -> DataFrame:
+                  query_vector_col: str = "vector", vector_col: str = "embedding",
+                  ivf_index=None, nprobe: int = 8) -> DataFrame:
     """SRCH-9: ``offset+k`` dense hits and ``offset+k`` BM25 hits per query,
     fused and ranked.  Queries need text (empty text is skipped, see
     :func:`quarry.plans.search.query_errors`) and a vector (embed first with
     :func:`quarry.functions.embed.embed_queries`).  Filter, partitions and
-    offset apply to both branches before their top-k (D3)."""
+    offset apply to both branches before their top-k (D3).  With
+    ``ivf_index`` the dense branch is the approximate IVF search (its own
+    metric), else exact search by ``metric``."""
     good = queries.where(F.col(text_col).isNotNull() & (F.trim(F.col(text_col)) != ""))
     kk = k + offset
-    dense = vector_search(corpus, good, kk, 0, metric=metric, pred=pred, partitions=partitions, threshold=None,
-                          columns=[], vector_col=vector_col, query_vector_col=query_vector_col)
+    if ivf_index is not None:
+        from .ivf import ivf_search
+        metric = ivf_index.metric
+        dense = ivf_search(ivf_index, good, kk, 0, nprobe=nprobe, pred=pred, partitions=partitions,
+                           threshold=None, columns=[], query_vector_col=query_vector_col)
+    else:
+        dense = vector_search(corpus, good, kk, 0, metric=metric, pred=pred, partitions=partitions,
+                              threshold=None, columns=[], vector_col=vector_col, query_vector_col=query_vector_col)
     sparse = bm25_search(index, good, kk, 0, text_col=text_col, pred=pred, partitions=partitions,
                          corpus=corpus, threshold=None, columns=[])
     ranked = rank_topk(fuse(dense, sparse, weights, norm, metric), k, offset).withColumn(

@@ -301,3 +301,5 @@ ORACLE_SQL["stream_upsert"] = ORACLE_SQL["add"]
 
 ORACLE_SQL["auto_id"] = """SELECT substr(md5(concat_ws('|', coalesce(CAST(conv_id AS VARCHAR), ''),
     coalesce(CAST(turn AS VARCHAR), ''))), 1, 16) AS id, conv_id, turn FROM conversations"""
+
+ORACLE_SQL["hybrid_ivf_full_probe"] = ORACLE_SQL["hybrid_default"]

@@ -130,8 +130,8 @@ def search(corpus: DataFrame, queries: DataFrame, request: SearchRequest = Searc
            corpus_text_col: str = "content") -> DataFrame:
     """SRCH-0: run ``request`` for every row of ``queries``.
 
-    VECTOR uses the IVF index when one is given (approximate, ``nprobe``),
-    else exact search; a text query is embedded first when a model is
+    VECTOR (and HYBRID's dense branch) uses the IVF index when one is given
+    (approximate, ``nprobe``), else exact search; a text query is embedded first when a model is
     given (SRCH-5).  BM25 and HYBRID use ``bm25_index`` or build one from
     ``corpus``.
     """
@@ -156,7 +156,8 @@ def search(corpus: DataFrame, queries: DataFrame, request: SearchRequest = Searc
                          weights=(request.vector_weight, request.text_weight), norm=request.norm,
                          metric=request.metric, threshold=request.similarity_threshold,
                          columns=request.columns(), text_col=request.text_col,
-                         query_vector_col=request.vector_col, **common)
+                         query_vector_col=request.vector_col, ivf_index=ivf_index, nprobe=request.nprobe,
+                         **common)
 
 
 def run_query(base: DataFrame, request: QueryRequest = QueryRequest()) -> DataFrame:

@@ -376,3 +376,14 @@ def _stream_upsert(spark, sf):
 
 
 QUERIES["stream_upsert"] = _stream_upsert
+
+
+def _hybrid_ivf(spark, sf):
+    """Hybrid with the dense branch on an IVF index probed in full (equals
+    exact hybrid by construction)."""
+    corpus = _embedded_corpus(spark, sf)
+    return hybrid_search(corpus, build_bm25_index(corpus), _embedded_queries(spark, sf), 10, columns=[],
+                         ivf_index=build_ivf(corpus, nlist=8), nprobe=8)
+
+
+QUERIES["hybrid_ivf_full_probe"] = _hybrid_ivf

@@ -75,3 +75,17 @@ def test_columns_join_back(spark):
                                 "content", "metadata"}
     got = out.join(seg.select("id", F.col("file_id").alias("f2")), "id").where("file_id <> f2").count()
     assert got == 0
+
+
+def test_hybrid_with_full_probe_ivf_equals_exact_hybrid(spark):
+    from quarry.operators.bm25 import build_bm25_index
+    from quarry.operators.hybrid import hybrid_search
+    from quarry.plans.workloads import _embedded_corpus, _embedded_queries
+    corpus, q = _embedded_corpus(spark, SF_SMALL), _embedded_queries(spark, SF_SMALL)
+    index = build_bm25_index(corpus)
+    cols = ["query_id", "rank", "id", "score"]
+    exact = sorted(tuple(r) for r in hybrid_search(corpus, index, q, 5, columns=[]).select(*cols).collect())
+    ivf = build_ivf(corpus, nlist=4)
+    approx = sorted(tuple(r) for r in hybrid_search(corpus, index, q, 5, columns=[], ivf_index=ivf, nprobe=4)
+                    .select(*cols).collect())
+    assert approx == exact
