@@ -380,8 +380,10 @@ QUERIES["stream_upsert"] = _stream_upsert
 
 def _hybrid_ivf(spark, sf):
     """Hybrid with the dense branch on an IVF index probed in full (equals
-    exact hybrid by construction)."""
-    corpus = _embedded_corpus(spark, sf)
+    exact hybrid by construction).  The embedded corpus feeds the index
+    build, the IVF training and both branches, so it is written once."""
+    from ..session import materialize
+    corpus = materialize(_embedded_corpus(spark, sf), "embedded-corpus")
     return hybrid_search(corpus, build_bm25_index(corpus), _embedded_queries(spark, sf), 10, columns=[],
                          ivf_index=build_ivf(corpus, nlist=8), nprobe=8)
 
