@@ -303,3 +303,6 @@ ORACLE_SQL["auto_id"] = """SELECT substr(md5(concat_ws('|', coalesce(CAST(conv_i
     coalesce(CAST(turn AS VARCHAR), ''))), 1, 16) AS id, conv_id, turn FROM conversations"""
 
 ORACLE_SQL["hybrid_ivf_full_probe"] = ORACLE_SQL["hybrid_default"]
+
+ORACLE_SQL["json_source"] = f"""WITH {SEGMENTS} SELECT id, file_id, partition_name, content,
+    CAST(len(embedding) AS BIGINT) AS n_dims FROM segments"""

@@ -389,3 +389,19 @@ def _hybrid_ivf(spark, sf):
 
 
 QUERIES["hybrid_ivf_full_probe"] = _hybrid_ivf
+
+
+def _json_source(spark, sf):
+    """Segments written as JSON files partitioned by partition name, then
+    read back through the file source."""
+    import uuid
+    from ..sources.segments import read_segments
+    path = f"{ensure_checkpoint_dir(spark)}/quarry-json-{uuid.uuid4().hex}"
+    _seg(spark, sf).write.partitionBy("partition_name").json(path)
+    back = read_segments(spark, path, "json")
+    emb = F.col("embedding")
+    return back.select("id", "file_id", "partition_name", "content",
+                       F.when(emb.isNotNull(), F.size(emb)).cast("long").alias("n_dims"))
+
+
+QUERIES["json_source"] = _json_source

@@ -74,3 +74,24 @@ def testdata_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def default_columns(df: DataFrame) -> list[str]:
     """PRJ-1: every column except those marked excluded (vectors)."""
     return [c for c in df.columns if c not in EXCLUDED_COLUMNS]
+
+
+def read_segments(spark: SparkSession, path: str, fmt: str = "parquet", schema: str | None = SEGMENT_DDL,
+                  **mapping) -> DataFrame:
+    """SRC-1 from files: read documents in ``fmt`` (parquet, json, orc, csv)
+    and map them to the canonical columns (``mapping`` as in
+    :func:`load_segments`; none when the files already hold them).
+
+    JSON and CSV are read with the canonical schema (no inference pass);
+    parquet and ORC carry their own.  Partition directories
+    (``partition_name=...``) are discovered and pruned by Spark.
+    """
+    reader = spark.read.format(fmt)
+    if fmt in ("json", "csv") and schema:
+        reader = reader.schema(schema)
+    df = reader.load(path)
+    if mapping:
+        return load_segments(df, **mapping)
+    return load_segments(df, id="id", content="content", embedding="embedding", file_id="file_id",
+                         metadata="metadata", partition="partition_name",
+                         extra=[c for c in df.columns if c not in SEGMENT_COLUMNS])
