@@ -2,14 +2,17 @@
 
 Plan, for a table of queries against a corpus of N rows:
 
-1. Scope the corpus first (partition list, predicate, non-null vectors of
-   the right dimension): these are plain filters that reach the scan.
+1. Scope the corpus first (partition list, predicate): plain filters that
+   reach the scan.  Rows without a vector of the query dimension are
+   skipped inside the kernel, so no filter is ever placed on a computed
+   (e.g. embedded) vector column.
 2. Split the queries into blocks whose float64 matrix fits the broadcast
    budget (one block in practice), broadcast each block once.
 3. ``mapInArrow`` over the corpus: each Arrow batch becomes one (n, d)
-   matrix, is multiplied by the query block, and only the best ``offset+k``
-   rows per query leave the batch.  No row pair is ever materialised and
-   the corpus is never shuffled.
+   matrix, is multiplied by the query block, and is cut to its best
+   ``offset+k`` rows per query; the survivors of all batches of a task are
+   cut again, so each task emits at most ``offset+k`` rows per query.  No
+   row pair is ever materialised and the corpus is never shuffled.
 4. A per-query ``row_number`` top-k over those candidates (a partial
    ``WindowGroupLimit`` runs before the shuffle on ``query_id``).
 5. Wide output columns are joined back for the k winners only.
@@ -163,7 +166,7 @@ def knn_candidates(scope: DataFrame, queries: DataFrame, kk: int, *, metric: str
                    vector_col: str = "embedding", query_vector_col: str = "vector",
                    scorer_factory=None, cell_col: str | None = None, probe_fn=None,
                    valid_col: str | None = None, check_dim: bool = True) -> DataFrame:
-    """Up to ``kk`` best rows per query per Arrow batch (not yet globally ranked).
+    """Up to ``kk`` best rows per query per task (not yet globally ranked).
 
     ``scorer_factory(metric)`` builds the batch scorer (raw vectors by
     default; SQ8/PQ pass their decoders).  With ``cell_col`` and
@@ -205,19 +208,18 @@ def knn_candidates(scope: DataFrame, queries: DataFrame, kk: int, *, metric: str
     return reduce(DataFrame.unionByName, parts)
 
 
-def attach_columns(ranked: DataFrame, scope: DataFrame, columns, n_rows_bound: int | None = None) -> DataFrame:
+def attach_columns(ranked: DataFrame, scope: DataFrame, columns) -> DataFrame:
     """Join the requested document columns back onto the k winners per query.
 
-    The winners table is at most ``queries * k`` rows; it is broadcast when
-    that bound fits the budget, else the join shuffles.
+    The winners table is at most ``queries * k`` rows: AQE broadcasts it
+    from its measured size and the corpus side is a column-pruned scan;
+    beyond the broadcast threshold the join shuffles on the key.
     """
     cols = [c for c in columns if c not in ("partition_name", "id")]
     if not cols:
         return ranked
     side = scope.select("partition_name", "id", *cols)
-    budget = broadcast_budget(scope.sparkSession)
-    small = n_rows_bound is not None and n_rows_bound * 256 <= budget
-    return side.join(F.broadcast(ranked) if small else ranked, ["partition_name", "id"], "inner")
+    return side.join(ranked, ["partition_name", "id"], "inner")
 
 
 def vector_search(corpus: DataFrame, queries: DataFrame, k: int = 10, offset: int = 0, *,
