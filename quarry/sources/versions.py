@@ -1,12 +1,21 @@
-"""Versioned table writes and compaction (SNK-6).
+"""Versioned table writes, partition-level copy-on-write, and
+compaction (SNK-6).
 
 Plain parquet cannot be overwritten in place by a plan that reads it, and
 dynamic partition overwrite does not remove a partition that became empty.
 So every change is written as a new version directory ``root/v=<n>/``
 (partitioned by ``partition_name``) and only then recorded by an
-append-only marker ``root/_versions/v=<n>/``.  Readers resolve the highest
-committed marker first; a crashed writer leaves an unreferenced directory,
-never a half-visible table.
+append-only marker ``root/_versions/v=<n>/``.  Readers resolve the markers
+first; a crashed writer leaves an unreferenced directory, never a
+half-visible table.
+
+A *full* version holds the whole table.  A *partial* version holds only
+the partitions a change touched (its marker lists them; a listed partition
+without rows became empty).  The current table is the last full version
+minus every partition a later partial version overrides, plus each
+overridden partition read from its newest version.  An upsert into a
+100 TB table therefore rewrites only the partitions it touches;
+:func:`compact_table` folds everything back into one full version.
 """
 
 from __future__ import annotations
@@ -17,43 +26,146 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from ..operators.tables import compact
+from ..operators.tables import compact, delete_by_filter, delete_by_ids, upsert
 
+# Largest list of partitions one partial version may name.
+MAX_PARTIAL_PARTITIONS = 1000
 
-def current_version(spark: SparkSession, root: str) -> int | None:
+
+def _markers(spark: SparkSession, root: str) -> DataFrame | None:
     try:
-        row = spark.read.json(f"{root}/_versions").agg(F.max("v").alias("v")).first()
+        m = spark.read.json(f"{root}/_versions")
     except AnalysisException:
         return None
+    if "kind" not in m.columns:
+        m = m.withColumn("kind", F.lit("full"))
+    if "partitions" not in m.columns:
+        m = m.withColumn("partitions", F.lit(None).cast("array<string>"))
+    return m
+
+
+def current_version(spark: SparkSession, root: str) -> int | None:
+    m = _markers(spark, root)
+    if m is None:
+        return None
+    row = m.agg(F.max("v").alias("v")).first()
     return None if row is None or row["v"] is None else int(row["v"])
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame:
-    v = current_version(spark, root)
-    if v is None:
+    """The current table: last full version, overridden partitions replaced
+    by their newest partial versions (partition pruning reads only those)."""
+    m = _markers(spark, root)
+    if m is None:
         raise FileNotFoundError(f"no committed version under {root}")
-    return spark.read.parquet(f"{root}/v={v}")
+    full = m.where(F.coalesce(F.col("kind"), F.lit("full")) == "full").agg(F.max("v").alias("v")).first()["v"]
+    if full is None:
+        raise FileNotFoundError(f"no full version under {root}")
+    base = spark.read.parquet(f"{root}/v={int(full)}")
+    # Partial versions since the last full one: bounded by the compaction
+    # interval times MAX_PARTIAL_PARTITIONS names each.
+    partial = (m.where((F.col("kind") == "partial") & (F.col("v") > F.lit(int(full))))
+               .select("v", "partitions").orderBy("v").collect())
+    if not partial:
+        return base
+    newest: dict[str, int] = {}
+    for row in partial:
+        for p in row["partitions"] or []:
+            newest[p] = int(row["v"])
+    out = base.where(~F.col("partition_name").isin(list(newest)))
+    by_version: dict[int, list[str]] = {}
+    for p, v in newest.items():
+        by_version.setdefault(v, []).append(p)
+    for v, names in sorted(by_version.items()):
+        part = spark.read.schema(base.schema).parquet(f"{root}/v={v}").where(F.col("partition_name").isin(names))
+        out = out.unionByName(part)
+    return out
 
 
-def write_version(df: DataFrame, root: str, partition_by: str | None = "partition_name") -> int:
-    """Write ``df`` as the next version and commit it; returns the version."""
+def _commit(spark: SparkSession, root: str, v: int, kind: str, partitions=None, batch_id=None) -> None:
+    marker = spark.range(1).select(
+        F.lit(v).alias("version"), F.lit(kind).alias("kind"),
+        F.array(*[F.lit(p) for p in (partitions or [])]).cast("array<string>").alias("partitions"),
+        F.lit(batch_id).cast("long").alias("batch_id"))
+    marker.coalesce(1).write.mode("error").json(f"{root}/_versions/v={v}")
+
+
+def write_version(df: DataFrame, root: str, partition_by: str | None = "partition_name",
+                  batch_id: int | None = None) -> int:
+    """Write ``df`` as the next *full* version and commit it; returns the version."""
     spark = df.sparkSession
     v = (current_version(spark, root) or 0) + 1
     writer = df.write.mode("error")
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(f"{root}/v={v}")
-    marker = spark.range(1).select(F.lit(v).alias("version"))
-    marker.coalesce(1).write.mode("error").json(f"{root}/_versions/v={v}")
+    _commit(spark, root, v, "full", batch_id=batch_id)
     return v
 
 
-def compact_table(spark: SparkSession, root: str, rows_per_file: int = 1_000_000) -> int:
-    """Rewrite the current version into fewer, larger files (SNK-6).
+def write_partial_version(df: DataFrame, root: str, partitions, batch_id: int | None = None) -> int:
+    """Write the new content of ``partitions`` (rows of other partitions are
+    ignored) as the next *partial* version; a listed partition with no rows
+    becomes empty."""
+    names = sorted(set(partitions))
+    if len(names) > MAX_PARTIAL_PARTITIONS:
+        raise ValueError("too many partitions for one partial version; write a full version")
+    spark = df.sparkSession
+    v = (current_version(spark, root) or 0) + 1
+    (df.where(F.col("partition_name").isin(names)).write.mode("error")
+     .partitionBy("partition_name").parquet(f"{root}/v={v}"))
+    _commit(spark, root, v, "partial", names, batch_id)
+    return v
+
+
+def _touched(df: DataFrame) -> list[str] | None:
+    """Distinct partition names of a change set, or None when too many."""
+    rows = df.select("partition_name").distinct().limit(MAX_PARTIAL_PARTITIONS + 1).collect()
+    return None if len(rows) > MAX_PARTIAL_PARTITIONS else [r[0] for r in rows]
+
+
+def upsert_table(spark: SparkSession, root: str, changes: DataFrame, seq_col: str | None = "seq",
+                 batch_id: int | None = None) -> int | None:
+    """SNK-2 on a stored table: only the touched partitions are rewritten.
+    Returns the new version, or None for an empty change set."""
+    current = read_current(spark, root)
+    changes = changes.select(*[c for c in changes.columns if c in current.columns or c == seq_col])
+    touched = _touched(changes)
+    if touched == []:
+        return None
+    if touched is None:
+        return write_version(upsert(current, changes, seq_col=seq_col), root, batch_id=batch_id)
+    scoped = current.where(F.col("partition_name").isin(touched))
+    return write_partial_version(upsert(scoped, changes, seq_col=seq_col), root, touched, batch_id)
+
+
+def delete_from_table(spark: SparkSession, root: str, *, ids: DataFrame | None = None, pred=None,
+                      partition: str | None = None) -> int | None:
+    """SNK-3 / SNK-4 on a stored table: only partitions holding a deleted row
+    are rewritten.  Returns the new version, or None when nothing matched."""
+    current = read_current(spark, root)
+    if ids is not None:
+        keep = delete_by_ids(current, ids, partition)
+        hit = current.join(ids.select(F.col(ids.columns[0]).cast("string").alias("id")), "id", "left_semi")
+    else:
+        keep = delete_by_filter(current, pred, partition)
+        if pred is None or (isinstance(pred, str) and not pred.strip()):
+            return None
+        hit = current.where(F.coalesce(F.expr(pred) if isinstance(pred, str) else pred, F.lit(False)))
+    if partition:
+        hit = hit.where(F.col("partition_name") == F.lit(partition))
+    touched = _touched(hit)
+    if touched == []:
+        return None
+    if touched is None:
+        return write_version(keep, root)
+    return write_partial_version(keep.where(F.col("partition_name").isin(touched)), root, touched)
+
 
-    The file count comes from the row count, the layout from a range
-    partitioning on (partition, id); rows are unchanged.
-    """
+def compact_table(spark: SparkSession, root: str, rows_per_file: int = 1_000_000) -> int:
+    """Rewrite the current table as one full version in fewer, larger files
+    (SNK-6).  The file count comes from the row count, the layout from a
+    range partitioning on (partition, id); rows are unchanged."""
     df = read_current(spark, root)
     n = df.count()
     return write_version(compact(df, math.ceil(max(n, 1) / rows_per_file)), root)

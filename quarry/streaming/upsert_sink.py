@@ -1,8 +1,9 @@
 """Streaming upsert into a versioned document table (SNK-2 in ``foreachBatch``).
 
 Each micro-batch is deduplicated by key (highest ``seq`` wins, D7), applied
-to the current version with :func:`quarry.operators.tables.upsert`, and
-written as the next version.  The version marker records the micro-batch
+to the current version with :func:`quarry.sources.versions.upsert_table`,
+and written as the next version, which rewrites only the partitions the
+batch touches.  The version marker records the micro-batch
 id, so a batch replayed after a failure (Structured Streaming re-runs the
 last uncommitted batch) is recognised and skipped: the sink is idempotent
 and the table never shows half a batch.
@@ -14,8 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from ..operators.tables import upsert
-from ..sources.versions import current_version, read_current
+from ..sources.versions import upsert_table
 
 
 def _already_applied(spark: SparkSession, root: str, batch_id: int) -> bool:
@@ -32,20 +32,12 @@ def _already_applied(spark: SparkSession, root: str, batch_id: int) -> bool:
 
 def apply_batch(batch: DataFrame, batch_id: int, root: str, seq_col: str | None = "seq") -> int | None:
     """Upsert one micro-batch into the table at ``root``; returns the new
-    version, or None when the batch was already applied or is empty."""
+    version, or None when the batch was already applied or is empty.  Only
+    the partitions the batch touches are rewritten (a partial version)."""
     spark = batch.sparkSession
     if _already_applied(spark, root, batch_id):
         return None
-    if batch.isEmpty():
-        return None
-    base = read_current(spark, root)
-    changes = batch.select(*[c for c in batch.columns if c in base.columns or c == seq_col])
-    merged = upsert(base, changes, seq_col=seq_col)
-    v = (current_version(spark, root) or 0) + 1
-    merged.write.mode("error").partitionBy("partition_name").parquet(f"{root}/v={v}")
-    (spark.range(1).select(F.lit(v).alias("version"), F.lit(batch_id).cast("long").alias("batch_id"))
-     .coalesce(1).write.mode("error").json(f"{root}/_versions/v={v}"))
-    return v
+    return upsert_table(spark, root, batch, seq_col=seq_col, batch_id=batch_id)
 
 
 def upsert_stream(stream: DataFrame, root: str, checkpoint_location: str, seq_col: str | None = "seq",

@@ -63,3 +63,35 @@ def test_ivf_index_round_trip(spark):
     q = _vector_queries(spark, SF_SMALL)
     cols = ["query_id", "rank", "id", "score"]
     assert rows(ivf_search(back, q, 5, nprobe=2, columns=[]), cols) == rows(ivf_search(index, q, 5, nprobe=2, columns=[]), cols)
+
+
+def test_partial_versions_rewrite_only_touched_partitions(spark):
+    from quarry.operators import tables as tb
+    from quarry.sources.versions import delete_from_table, upsert_table
+    root = scratch(spark, "partial")
+    seg = _seg(spark, SF_SMALL)
+    write_version(seg, root)
+    conv = _conversation_docs(spark, SF_SMALL)
+    v2 = upsert_table(spark, root, conv)
+    cols = ["id", "file_id", "partition_name", "content"]
+    assert rows(read_current(spark, root), cols) == rows(tb.upsert(seg, conv), cols)
+    # the partial version directory holds only the touched partitions
+    written = {r[0] for r in spark.read.parquet(f"{root}/v={v2}").select("partition_name").distinct().collect()}
+    assert written == {r[0] for r in conv.select("partition_name").distinct().collect()}
+    # delete a whole partition by filter: it becomes empty in the current table
+    v3 = delete_from_table(spark, root, pred="partition_name = 'partition_user'")
+    assert v3 == v2 + 1
+    after = read_current(spark, root)
+    assert after.where("partition_name = 'partition_user'").count() == 0
+    assert rows(after, cols) == rows(tb.upsert(seg, conv).where("partition_name <> 'partition_user'"), cols)
+    # deletes by id touch only the partitions holding them
+    ids = spark.read.parquet(f"{SF_SMALL}/labels.parquet").where("toxic = 1").select(
+        F.col("doc_id").cast("string").alias("id"))
+    delete_from_table(spark, root, ids=ids)
+    expect = tb.delete_by_ids(tb.upsert(seg, conv).where("partition_name <> 'partition_user'"), ids)
+    assert rows(read_current(spark, root), cols) == rows(expect, cols)
+    # nothing matched: no new version
+    assert delete_from_table(spark, root, pred="id = 'no such id'") is None
+    # compaction folds everything into one full version with the same rows
+    compact_table(spark, root, rows_per_file=100)
+    assert rows(read_current(spark, root), cols) == rows(expect, cols)
