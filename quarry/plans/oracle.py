@@ -306,3 +306,5 @@ ORACLE_SQL["hybrid_ivf_full_probe"] = ORACLE_SQL["hybrid_default"]
 
 ORACLE_SQL["json_source"] = f"""WITH {SEGMENTS} SELECT id, file_id, partition_name, content,
     CAST(len(embedding) AS BIGINT) AS n_dims FROM segments"""
+
+ORACLE_SQL["stored_delete"] = ORACLE_SQL["delete_by_filter"]

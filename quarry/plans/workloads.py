@@ -405,3 +405,17 @@ def _json_source(spark, sf):
 
 
 QUERIES["json_source"] = _json_source
+
+
+def _stored_delete(spark, sf):
+    """Delete by filter on a stored table: a partial version rewrites only the
+    partitions holding matches, and the current table is read back."""
+    import uuid
+    from ..sources.versions import delete_from_table
+    root = f"{ensure_checkpoint_dir(spark)}/quarry-stored-{uuid.uuid4().hex}"
+    write_version(_seg(spark, sf), root)
+    delete_from_table(spark, root, pred="file_id IN ('src0', 'src1')")
+    return read_current(spark, root).select(*ROW_COLS)
+
+
+QUERIES["stored_delete"] = _stored_delete
