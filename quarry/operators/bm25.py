@@ -56,6 +56,31 @@ class Bm25Index:
                               "n_docs long, avgdl double, k1 double, b double, analyzer string") \
             .coalesce(1).write.mode("error").json(f"{root}/stats")
 
+    def save_table(self, name: str, n_buckets: int, path: str | None = None) -> None:
+        """Persist as catalog tables: postings bucketed by document key and
+        sorted by term inside each bucket.  A search over the saved index
+        keeps the in-session plan: the bucketed scan reports its document
+        partitioning, so the per-(query, doc) sums run without an exchange,
+        and the pushed term list skips row groups inside each bucket."""
+        spark = self.postings.sparkSession
+        def write(df, table, bucketed=False):
+            w = df.write.mode("error")
+            if bucketed:
+                w = w.bucketBy(n_buckets, "partition_name", "id").sortBy("term")
+            if path:
+                w = w.option("path", f"{path}/{table}")
+            w.saveAsTable(f"{name}_{table}")
+        write(self.postings, "postings", bucketed=True)
+        write(self.terms, "terms")
+        write(spark.createDataFrame([(self.n_docs, self.avgdl, self.k1, self.b, self.analyzer)],
+                                    "n_docs long, avgdl double, k1 double, b double, analyzer string"), "stats")
+
+    @staticmethod
+    def from_table(spark: SparkSession, name: str) -> "Bm25Index":
+        st = spark.table(f"{name}_stats").first()
+        return Bm25Index(spark.table(f"{name}_postings"), spark.table(f"{name}_terms"), int(st["n_docs"]),
+                         float(st["avgdl"]), float(st["k1"]), float(st["b"]), st["analyzer"])
+
     @staticmethod
     def read(spark: SparkSession, root: str) -> "Bm25Index":
         st = spark.read.json(f"{root}/stats").first()

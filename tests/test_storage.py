@@ -95,3 +95,19 @@ def test_partial_versions_rewrite_only_touched_partitions(spark):
     # compaction folds everything into one full version with the same rows
     compact_table(spark, root, rows_per_file=100)
     assert rows(read_current(spark, root), cols) == rows(expect, cols)
+
+
+def test_bm25_saved_table_searches_without_shuffle(spark):
+    seg = _seg(spark, SF_SMALL)
+    index = build_bm25_index(seg)
+    name = f"bm25_{uuid.uuid4().hex[:8]}"
+    index.save_table(name, 8, path=scratch(spark, "bm25tbl"))
+    back = Bm25Index.from_table(spark, name)
+    q = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").select(F.col("item_id").alias("query_id"), "text")
+    cols = ["query_id", "rank", "id", "score"]
+    got = bm25_search(back, q, 5, columns=[])
+    assert rows(got, cols) == rows(bm25_search(index, q, 5, columns=[]), cols)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    # no exchange between the per-(query, doc) sum and the join with the bucketed postings
+    between = plan.split("HashAggregate(keys=[query_id", 1)[1].split("BroadcastHashJoin", 1)[0]
+    assert "Exchange" not in between
