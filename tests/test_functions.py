@@ -120,3 +120,30 @@ def test_validate_batch(spark):
     assert ("a", ("embedding: dimension is not 2", "id: duplicate key")) in v
     assert ("b", ("embedding: NaN element", "file_id: longer than 64 bytes", "metadata: not JSON")) in v
     assert (None, ("embedding: null element", "id: null")) in v
+
+
+def test_custom_analyzer_and_request_defaults(spark):
+    df = spark.createDataFrame([("Hello-World foo_bar",)], "t string")
+    assert df.select(analyze("t", r"([a-z]+)")).first()[0] == ["hello", "world", "foo", "bar"]
+    req = SearchRequest()
+    assert (req.top_k, req.offset, req.similarity_threshold, req.metric) == (10, 0, 0.0, "cosine")
+    assert SearchRequest.hybrid().is_hybrid_search and SearchRequest.bm25().is_bm25_search
+    assert SearchRequest.of(partitions=("p",)).has_partitions
+    from quarry.plans.search import QueryRequest
+    assert QueryRequest().limit == 100
+
+
+def test_include_vectors_and_empty_inputs(spark):
+    from quarry.operators import tables as tb
+    corpus = vec_docs(spark, [("a", "p", [1.0, 0.0]), ("b", "p", [0.0, 1.0])])
+    q = spark.createDataFrame([(1, [1.0, 0.0])], "query_id long, vector array<float>")
+    out = vector_search(corpus, q, 1, include_vectors=True).first()
+    assert out["id"] == "a" and list(out["embedding"]) == [1.0, 0.0]
+    got = tb.get_by_ids(corpus, spark.createDataFrame([("b",)], "id string"), include_vectors=True).first()
+    assert list(got["embedding"]) == [0.0, 1.0]
+    assert tb.filter_in(corpus, "id", []).count() == 0  # D11: empty list matches nothing
+    assert tb.filter_in(corpus, "id", ["a"]).count() == 1
+    assert tb.add(corpus, corpus.limit(0)).count() == 2  # empty add changes nothing
+    assert tb.upsert(corpus, corpus.limit(0)).count() == 2
+    none = spark.createDataFrame([], "query_id long, vector array<float>")
+    assert vector_search(corpus, none, 5).count() == 0
