@@ -6,8 +6,9 @@ Build
       centroid by the fitted model (JVM side).  The index is the corpus plus
       a ``cell`` column; written clustered by cell, so a search that names
       its probed cells skips the row groups of every other cell.
-    * SQ8: per-dimension min/max (``posexplode`` + ``groupBy``, dim-sized
-      result), codes ``round((x-min)/(max-min)*255)`` computed natively.
+    * SQ8: per-dimension min/max (MLlib ``Summarizer``, an element-wise tree
+      aggregate; dim-sized result), codes ``round((x-min)/(max-min)*255)``
+      computed natively.
     * PQ: ``m`` sub-spaces, one KMeans codebook of ``2**nbits`` centroids
       each (trained on the sample), codes assigned in ``mapInArrow`` with
       the codebooks broadcast (``m * 2**nbits * d/m`` floats).
@@ -28,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -95,9 +97,12 @@ def _kmeans(train: DataFrame, k: int, seed: int, max_iter: int):
 
 
 def _sq8_stats(scope: DataFrame, vector_col: str) -> tuple[np.ndarray, np.ndarray]:
-    rows = (scope.select(F.posexplode(vector_col).alias("i", "x"))
-            .groupBy("i").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).orderBy("i").collect())
-    return (np.array([float(r["lo"]) for r in rows]), np.array([float(r["hi"]) for r in rows]))
+    """Per-dimension min and max: MLlib's ``Summarizer`` aggregates the
+    vectors element-wise in the JVM (a tree aggregate, no explode of
+    ``rows x dims``); the result is two dim-sized arrays."""
+    summary = scope.select(Summarizer.metrics("min", "max").summary(array_to_vector(vector_col)).alias("s"))
+    row = summary.select("s.min", "s.max").first()
+    return np.asarray(row["min"].toArray(), dtype=np.float64), np.asarray(row["max"].toArray(), dtype=np.float64)
 
 
 def sq8_encode(vector_col: str, mins: np.ndarray, maxs: np.ndarray):
