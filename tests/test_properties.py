@@ -130,3 +130,36 @@ def test_bm25_filter_never_changes_statistics(spark):
     a = {(r["query_id"], r["id"]): r["score"] for r in whole.where("partition_name = 'partition_en'").collect()}
     b = {(r["query_id"], r["id"]): r["score"] for r in part.collect()}
     assert b and all(a[key] == s for key, s in b.items())
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c", "d"]), st.sampled_from(["p1", "p2"]),
+                          st.integers(0, 50)), min_size=0, max_size=12))
+def test_upsert_matches_dict_model(spark, changes):
+    """upsert == a dict keyed by (partition, id) where the highest seq wins
+    (change sets with a tie at the top are rejected, as D7 requires)."""
+    base_rows = [("a", "p1", "base-a"), ("b", "p2", "base-b"), ("x", "p1", "base-x")]
+    base = spark.createDataFrame(base_rows, "id string, partition_name string, content string")
+    rows_in = [(i, p, f"v{s}", s) for i, p, s in changes]
+    ch = spark.createDataFrame(rows_in, "id string, partition_name string, content string, seq int")
+    top: dict = {}
+    tie = False
+    for i, p, c, s in rows_in:
+        k = (p, i)
+        if k not in top or s > top[k][1]:
+            top[k] = (c, s)
+    for k, (c, s) in top.items():
+        if sum(1 for i, p, _, s2 in rows_in if (p, i) == k and s2 == s) > 1:
+            tie = True
+    if tie:
+        with pytest.raises(Exception, match="duplicate key"):
+            tb.upsert(base, ch).collect()
+        return
+    model = {(p, i): c for i, p, c in base_rows}
+    model.update({k: c for k, (c, _) in top.items()})
+    got = {(r["partition_name"], r["id"]): r["content"] for r in tb.upsert(base, ch).collect()}
+    assert got == model
