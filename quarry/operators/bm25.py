@@ -42,6 +42,7 @@ class Bm25Index:
     k1: float = BM25_K1
     b: float = BM25_B
     analyzer: str | None = None
+    drop_ratio_search: float = 0.0  # index-level default of SRCH-8
 
     def write(self, root: str, n_files: int | None = None) -> None:
         """Persist the index; postings are clustered by term so a search
@@ -151,10 +152,12 @@ def query_terms(index: Bm25Index, queries: DataFrame, text_col: str = "text", dr
 
 
 def bm25_candidates(index: Bm25Index, queries: DataFrame, *, text_col: str = "text", pred=None,
-                    partitions=None, corpus: DataFrame | None = None, drop_ratio: float = 0.0) -> DataFrame:
+                    partitions=None, corpus: DataFrame | None = None, drop_ratio: float | None = None) -> DataFrame:
     """Every (query, doc) sharing at least one term, with its BM25 score
-    (the lexical join JOI-4: query terms join postings on ``term``)."""
-    qt = query_terms(index, queries, text_col, drop_ratio)
+    (the lexical join JOI-4: query terms join postings on ``term``).
+    ``drop_ratio=None`` uses the index's ``drop_ratio_search``."""
+    ratio = index.drop_ratio_search if drop_ratio is None else drop_ratio
+    qt = query_terms(index, queries, text_col, ratio)
     post = index.postings
     if partitions:
         names = [partitions] if isinstance(partitions, str) else list(partitions)
@@ -184,7 +187,7 @@ def bm25_candidates(index: Bm25Index, queries: DataFrame, *, text_col: str = "te
 
 def bm25_search(index: Bm25Index, queries: DataFrame, k: int = 10, offset: int = 0, *, text_col: str = "text",
                 pred=None, partitions=None, corpus: DataFrame | None = None, threshold: float | None = 0.0,
-                drop_ratio: float = 0.0, columns=None) -> DataFrame:
+                drop_ratio: float | None = None, columns=None) -> DataFrame:
     """SRCH-7: top-k documents per query by BM25.
 
     Result: ``query_id, rank, partition_name, id, score, distance`` plus

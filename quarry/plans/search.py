@@ -59,7 +59,7 @@ class SearchRequest:
     output_fields: tuple = ()  # empty -> default columns
     metric: str = "cosine"
     nprobe: int = 8
-    drop_ratio: float = 0.0
+    drop_ratio: float | None = None  # None: the index's drop_ratio_search
     vector_weight: float = 0.5
     text_weight: float = 0.5
     norm: str = "arctan"

@@ -111,3 +111,22 @@ def test_bm25_saved_table_searches_without_shuffle(spark):
     # no exchange between the per-(query, doc) sum and the join with the bucketed postings
     between = plan.split("HashAggregate(keys=[query_id", 1)[1].split("BroadcastHashJoin", 1)[0]
     assert "Exchange" not in between
+
+
+def test_index_specs_by_name(spark):
+    from quarry.operators.knn import vector_search
+    from quarry.plans.indexes import IndexSpec, build_index
+    seg, q = _seg(spark, SF_SMALL), _vector_queries(spark, SF_SMALL)
+    assert build_index(seg, IndexSpec.flat()) is None
+    cols = ["query_id", "rank", "id", "score"]
+    exact = rows(vector_search(seg, q, 5, columns=[]), cols)
+    for spec in (IndexSpec.auto(), IndexSpec.hnsw(), IndexSpec.ivf_flat(4)):
+        index = build_index(seg, spec)
+        assert index.kind == "flat" and index.nlist >= 1
+        assert rows(ivf_search(index, q, 5, nprobe=index.nlist, columns=[]), cols) == exact
+    assert build_index(seg, IndexSpec.ivf_sq8(4)).kind == "sq8"
+    assert build_index(seg, IndexSpec.ivf_pq(2, m=8, nbits=4)).kind == "pq"
+    bm = build_index(seg, IndexSpec.sparse_wand(drop_ratio_search=0.3))
+    text = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").select(F.col("item_id").alias("query_id"), "text")
+    assert rows(bm25_search(bm, text, 5, columns=[]), cols) == rows(
+        bm25_search(build_bm25_index(seg), text, 5, drop_ratio=0.3, columns=[]), cols)
