@@ -308,3 +308,5 @@ ORACLE_SQL["json_source"] = f"""WITH {SEGMENTS} SELECT id, file_id, partition_na
     CAST(len(embedding) AS BIGINT) AS n_dims FROM segments"""
 
 ORACLE_SQL["stored_delete"] = ORACLE_SQL["delete_by_filter"]
+
+ORACLE_SQL["auto_index_full_probe"] = ORACLE_SQL["vector_exact_cosine"]

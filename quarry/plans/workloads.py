@@ -419,3 +419,14 @@ def _stored_delete(spark, sf):
 
 
 QUERIES["stored_delete"] = _stored_delete
+
+
+def _auto_index(spark, sf):
+    """AUTOINDEX by name (served by IVF, nlist from the data size), probed in
+    full: equals exact cosine search."""
+    from .indexes import IndexSpec, build_index
+    index = build_index(_seg(spark, sf), IndexSpec.auto())
+    return ivf_search(index, _vector_queries(spark, sf), 10, nprobe=index.nlist, columns=[])
+
+
+QUERIES["auto_index_full_probe"] = _auto_index
