@@ -2,8 +2,9 @@
 
 Build
     * cells: ``pyspark.ml`` KMeans trained on a bounded sample of the
-      corpus (cosine: on unit vectors), every row assigned to its nearest
-      centroid by the fitted model (JVM side).  The index is the corpus plus
+      corpus (cosine: on unit vectors); every row is assigned to its nearest
+      centroid with one BLAS product per Arrow batch (centroids broadcast,
+      size-checked), or by the fitted model's JVM predict beyond the budget.  The index is the corpus plus
       a ``cell`` column; written clustered by cell, so a search that names
       its probed cells skips the row groups of every other cell.
     * SQ8: per-dimension min/max (MLlib ``Summarizer``, an element-wise tree
@@ -35,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.vectors import check_metric, cosine, dot, l2_distance, normalize, score_matrix
+from ..session import broadcast_budget
 from .knn import _arrow_matrix, finish_search, knn_candidates, scope_corpus
 from .topk import rank_topk
 
@@ -154,6 +156,28 @@ def _pq_train(scope: DataFrame, vector_col: str, metric: str, m: int, nbits: int
     return np.stack(books)
 
 
+def _assign_cells(scope: DataFrame, vector_col: str, metric: str, centroids: np.ndarray) -> DataFrame:
+    """Nearest centroid per row, one BLAS product per Arrow batch: argmin of
+    ``|c|^2 - 2 x.c`` (cosine: on the unit vector), the rule probes use."""
+    bc = scope.sparkSession.sparkContext.broadcast(centroids)
+    out_schema = T.StructType(list(scope.schema.fields) + [T.StructField("cell", T.IntegerType())])
+
+    def assign(batches):
+        c = bc.value
+        cc = (c * c).sum(1)
+        for batch in batches:
+            x = _arrow_matrix(batch.column(vector_col))
+            if len(x) and metric == "cosine":
+                n = np.linalg.norm(x, axis=1, keepdims=True)
+                x = np.divide(x, n, out=np.zeros_like(x), where=n > 0)
+            cells = np.argmin(cc[None, :] - 2.0 * (x @ c.T), axis=1).astype(np.int32) if len(x) else \
+                np.zeros(0, dtype=np.int32)
+            yield pa.RecordBatch.from_arrays(list(batch.columns) + [pa.array(cells, type=pa.int32())],
+                                             schema=batch.schema.append(pa.field("cell", pa.int32())))
+
+    return scope.mapInArrow(assign, out_schema)
+
+
 def _pq_assign(table: DataFrame, vector_col: str, metric: str, books: np.ndarray) -> DataFrame:
     spark = table.sparkSession
     bc = spark.sparkContext.broadcast(books)
@@ -226,9 +250,12 @@ def build_ivf(corpus: DataFrame, nlist: int = 16, metric: str = "cosine", *, kin
     else:
         model = _kmeans(_train_frame(scope, vector_col, metric, sample_rows, seed, n_rows), nlist, seed, max_iter)
         centroids = np.array(model.clusterCenters(), dtype=np.float64)
-        vec = normalize(vector_col) if metric == "cosine" else F.col(vector_col)
-        table = (model.transform(scope.withColumn("features", array_to_vector(vec)))
-                 .drop("features").withColumn("cell", F.col("cell").cast("int")))
+        if centroids.nbytes <= broadcast_budget(corpus.sparkSession):
+            table = _assign_cells(scope, vector_col, metric, centroids)
+        else:  # centroids beyond the broadcast budget: MLlib's per-row predict
+            vec = normalize(vector_col) if metric == "cosine" else F.col(vector_col)
+            table = (model.transform(scope.withColumn("features", array_to_vector(vec)))
+                     .drop("features").withColumn("cell", F.col("cell").cast("int")))
     index = IvfIndex(table, centroids, metric, kind, vector_col,
                      params={"nlist": len(centroids), "m": m, "nbits": nbits})
     if kind == "sq8":
