@@ -168,11 +168,16 @@ def bm25_candidates(index: Bm25Index, queries: DataFrame, *, text_col: str = "te
     # by term), keeping their clustering by document.  A short list of
     # distinct terms is also pushed into the postings scan, so a stored
     # index (sorted by term) skips the row groups of every other term.
-    n_qt = qt.count()
+    # One job gives both: per-term row counts for at most MAX_PUSHED_TERMS + 1
+    # distinct terms (a bounded collect); only beyond that is qt counted.
+    per_term = qt.groupBy("term").agg(F.count(F.lit(1)).alias("n")).limit(MAX_PUSHED_TERMS + 1).collect()
+    if len(per_term) <= MAX_PUSHED_TERMS:
+        n_qt, terms = sum(int(r["n"]) for r in per_term), [r["term"] for r in per_term]
+    else:
+        n_qt, terms = qt.count(), None
     if n_qt * 96 <= broadcast_budget(qt.sparkSession):
         qt = F.broadcast(qt)
-        if n_qt <= MAX_PUSHED_TERMS:
-            terms = [r["term"] for r in qt.select("term").distinct().collect()]
+        if terms is not None:
             post = post.where(F.col("term").isin(terms))
     scored = (qt.join(post, "term")
               .groupBy("query_id", "partition_name", "id")
