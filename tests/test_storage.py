@@ -1,5 +1,7 @@
 """Versioned writes, index persistence and the streaming upsert sink."""
 
+import contextlib
+import io
 import uuid
 
 from pyspark.sql import functions as F
@@ -107,7 +109,10 @@ def test_bm25_saved_table_searches_without_shuffle(spark):
     cols = ["query_id", "rank", "id", "score"]
     got = bm25_search(back, q, 5, columns=[])
     assert rows(got, cols) == rows(bm25_search(index, q, 5, columns=[]), cols)
-    plan = got._jdf.queryExecution().executedPlan().toString()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        got.explain()
+    plan = buf.getvalue()
     # no exchange between the per-(query, doc) sum and the join with the bucketed postings
     between = plan.split("HashAggregate(keys=[query_id", 1)[1].split("BroadcastHashJoin", 1)[0]
     assert "Exchange" not in between
