@@ -13,8 +13,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.embed import HashEmbedder, embed_documents, embed_queries
+from ..functions.metadata import set_metadata
+from ..functions.partitions import knowledge_id, partition_collisions, partition_name
+from ..operators import tables as tb
+from ..operators.bm25 import bm25_search, build_bm25_index
+from ..operators.hybrid import compare_methods, hybrid_search
+from ..operators.ivf import build_ivf, ivf_search
 from ..operators.knn import vector_search
+from ..session import ensure_checkpoint_dir
+from ..sources.rows import from_json_rows, promote_metadata_field, to_json_rows
+from ..sources.schema import (CollectionSpec, FieldSpec, default_schema, pack_dynamic_fields, segment_schema,
+                              typed_view, validate_batch, with_auto_id)
 from ..sources.segments import read_table, testdata_segments
+from ..sources.versions import compact_table, read_current, write_version
+from ..streaming.upsert_sink import upsert_stream
+from .search import QueryRequest, SearchRequest, SearchType, run_query, search
 
 
 def _vector_queries(spark: SparkSession, sf: str) -> DataFrame:
@@ -48,10 +62,6 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ------------------------------------------------------------ reads, filters
-from ..functions.partitions import knowledge_id, partition_collisions, partition_name  # noqa: E402
-from ..operators import tables as tb  # noqa: E402
-from ..session import ensure_checkpoint_dir  # noqa: E402
-from ..sources.versions import compact_table, read_current, write_version  # noqa: E402
 
 PAGE_COLS = ["id", "file_id", "partition_name", "content"]
 ROW_COLS = ["id", "file_id", "partition_name"]
@@ -131,7 +141,6 @@ QUERIES.update({
 
 
 # ------------------------------------------------------------------- BM25
-from ..operators.bm25 import build_bm25_index, bm25_search  # noqa: E402
 
 
 def _bench_queries(spark, sf):
@@ -162,8 +171,6 @@ QUERIES.update({
 
 
 # ------------------------------------------------- embeddings and hybrid
-from ..functions.embed import HashEmbedder, embed_documents, embed_queries  # noqa: E402
-from ..operators.hybrid import compare_methods, hybrid_search  # noqa: E402
 
 MODEL = HashEmbedder()
 
@@ -215,7 +222,6 @@ QUERIES.update({
 
 
 # --------------------------------------------------------- approximate
-from ..operators.ivf import build_ivf, ivf_search  # noqa: E402
 
 
 def ivf(nlist: int, nprobe: int, kind: str = "flat", **kw):
@@ -237,9 +243,6 @@ QUERIES.update({
 
 
 # ------------------------------------------------- JSON rows and schemas
-from ..functions.metadata import set_metadata  # noqa: E402
-from ..sources.rows import from_json_rows, promote_metadata_field, to_json_rows  # noqa: E402
-from ..sources.schema import default_schema, pack_dynamic_fields, segment_schema, validate_batch  # noqa: E402
 
 
 def _json_rows(spark, sf):
@@ -309,7 +312,6 @@ QUERIES.update({
 
 
 # ------------------------------------------------------------- dispatch
-from .search import QueryRequest, SearchRequest, SearchType, run_query, search  # noqa: E402
 
 
 def _dispatch(kind: str):
@@ -330,7 +332,6 @@ QUERIES.update({
 })
 
 
-from ..sources.schema import CollectionSpec, FieldSpec, typed_view, with_auto_id  # noqa: E402
 
 
 def _typed_view(spark, sf):
@@ -353,7 +354,6 @@ QUERIES.update({
 
 
 # ------------------------------------------------------------- streaming
-from ..streaming.upsert_sink import upsert_stream  # noqa: E402
 
 
 def _stream_upsert(spark, sf):
