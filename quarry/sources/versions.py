@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from ..operators.tables import compact, delete_by_filter, delete_by_ids, upsert
+from ..operators.tables import add, compact, delete_by_filter, delete_by_ids, upsert
 
 # Largest list of partitions one partial version may name.
 MAX_PARTIAL_PARTITIONS = 1000
@@ -162,6 +162,27 @@ def delete_from_table(spark: SparkSession, root: str, *, ids: DataFrame | None =
     return write_partial_version(keep.where(F.col("partition_name").isin(touched)), root, touched)
 
 
+def add_to_table(spark: SparkSession, root: str, docs: DataFrame, batch_id: int | None = None) -> int | None:
+    """SNK-1 on a stored table: the touched partitions are rewritten with
+    their current rows plus the new ones (no key check, as ``add``)."""
+    current = read_current(spark, root)
+    docs = docs.select(*[c for c in docs.columns if c in current.columns])
+    touched = _touched(docs)
+    if touched == []:
+        return None
+    if touched is None:
+        return write_version(add(current, docs), root, batch_id=batch_id)
+    scoped = current.where(F.col("partition_name").isin(touched))
+    return write_partial_version(add(scoped, docs), root, touched, batch_id)
+
+
+def drop_partition_table(spark: SparkSession, root: str, name: str) -> int:
+    """SNK-5 on a stored table: a partial version that lists the partition
+    and holds no rows for it; nothing else is rewritten."""
+    empty = read_current(spark, root).limit(0)
+    return write_partial_version(empty, root, [name])
+
+
 def compact_table(spark: SparkSession, root: str, rows_per_file: int = 1_000_000) -> int:
     """Rewrite the current table as one full version in fewer, larger files
     (SNK-6).  The file count comes from the row count, the layout from a

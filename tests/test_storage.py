@@ -135,3 +135,19 @@ def test_index_specs_by_name(spark):
     text = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").select(F.col("item_id").alias("query_id"), "text")
     assert rows(bm25_search(bm, text, 5, columns=[]), cols) == rows(
         bm25_search(build_bm25_index(seg), text, 5, drop_ratio=0.3, columns=[]), cols)
+
+
+def test_stored_add_and_drop_partition(spark):
+    from quarry.operators import tables as tb
+    from quarry.sources.versions import add_to_table, drop_partition_table
+    root = scratch(spark, "adddrop")
+    seg = _seg(spark, SF_SMALL)
+    write_version(seg, root)
+    conv = _conversation_docs(spark, SF_SMALL)
+    add_to_table(spark, root, conv)
+    cols = ["id", "file_id", "partition_name", "content"]
+    assert rows(read_current(spark, root), cols) == rows(tb.add(seg, conv), cols)
+    v = drop_partition_table(spark, root, "partition_en")
+    import glob
+    assert glob.glob(f"{root}/v={v}/partition_name=*") == []  # nothing else rewritten
+    assert rows(read_current(spark, root), cols) == rows(tb.drop_partition(tb.add(seg, conv), "partition_en"), cols)
