@@ -183,10 +183,37 @@ def drop_partition_table(spark: SparkSession, root: str, name: str) -> int:
     return write_partial_version(empty, root, [name])
 
 
-def compact_table(spark: SparkSession, root: str, rows_per_file: int = 1_000_000) -> int:
+def current_bytes(spark: SparkSession, root: str) -> int:
+    """Bytes of the parquet files the current table reads from (the last full
+    version and every later partial version), listed with the ``binaryFile``
+    source without reading the files."""
+    m = _markers(spark, root)
+    if m is None:
+        return 0
+    full = m.where(F.col("kind") == "full").agg(F.max("v").alias("v")).first()["v"]
+    versions = [int(r["v"]) for r in m.where(F.col("v") >= F.lit(int(full))).select("v").collect()]
+    total = 0
+    for v in versions:
+        try:
+            files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+                     .option("recursiveFileLookup", "true").load(f"{root}/v={v}"))
+        except AnalysisException:  # a version with no data files
+            continue
+        total += int(files.agg(F.sum("length")).first()[0] or 0)
+    return total
+
+
+def compact_table(spark: SparkSession, root: str, target_file_mb: float | None = 128.0,
+                  rows_per_file: int | None = None) -> int:
     """Rewrite the current table as one full version in fewer, larger files
-    (SNK-6).  The file count comes from the row count, the layout from a
-    range partitioning on (partition, id); rows are unchanged."""
+    (SNK-6).  The file count comes from the bytes of the files read
+    (``target_file_mb`` per output file), or from the row count when
+    ``rows_per_file`` is given; the layout is a range partitioning on
+    (partition, id), which spreads a hot partition over many files.  Rows
+    are unchanged."""
     df = read_current(spark, root)
-    n = df.count()
-    return write_version(compact(df, math.ceil(max(n, 1) / rows_per_file)), root)
+    if rows_per_file:
+        n_files = math.ceil(max(df.count(), 1) / rows_per_file)
+    else:
+        n_files = math.ceil(max(current_bytes(spark, root), 1) / (float(target_file_mb) * 1024 * 1024))
+    return write_version(compact(df, n_files), root)

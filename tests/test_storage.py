@@ -151,3 +151,18 @@ def test_stored_add_and_drop_partition(spark):
     import glob
     assert glob.glob(f"{root}/v={v}/partition_name=*") == []  # nothing else rewritten
     assert rows(read_current(spark, root), cols) == rows(tb.drop_partition(tb.add(seg, conv), "partition_en"), cols)
+
+
+def test_compaction_sized_from_bytes(spark):
+    from quarry.sources.versions import current_bytes
+    root = scratch(spark, "bytes")
+    seg = _seg(spark, SF_SMALL)
+    write_version(seg.repartition(12), root)
+    size = current_bytes(spark, root)
+    assert size > 0
+    v = compact_table(spark, root, target_file_mb=size / (4 * 1024 * 1024))  # about 4 output files
+    n_files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option(
+        "recursiveFileLookup", "true").load(f"{root}/v={v}").count()
+    assert 4 <= n_files <= 4 * 4  # range partitions split further by partition directory
+    cols = ["id", "file_id", "partition_name"]
+    assert rows(read_current(spark, root), cols) == rows(seg, cols)
