@@ -310,3 +310,6 @@ ORACLE_SQL["json_source"] = f"""WITH {SEGMENTS} SELECT id, file_id, partition_na
 ORACLE_SQL["stored_delete"] = ORACLE_SQL["delete_by_filter"]
 
 ORACLE_SQL["auto_index_full_probe"] = ORACLE_SQL["vector_exact_cosine"]
+
+ORACLE_SQL["query_errors"] = """SELECT conv_id * 1000 + turn AS query_id, 'text is empty' AS error
+    FROM conversations WHERE text IS NULL OR trim(text) = ''"""

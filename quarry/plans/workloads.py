@@ -430,3 +430,15 @@ def _auto_index(spark, sf):
 
 
 QUERIES["auto_index_full_probe"] = _auto_index
+
+
+def _query_errors(spark, sf):
+    """Every conversation turn as a BM25 query; turns that cannot run
+    (empty text) are reported with the reason, the rest would run."""
+    from .search import query_errors
+    conv = read_table(spark, sf, "conversations").select(
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("query_id"), "text")
+    return query_errors(conv, SearchRequest.bm25())
+
+
+QUERIES["query_errors"] = _query_errors
