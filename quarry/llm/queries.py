@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read_table
+from .language_id import held_out, identify_language, train_on_documents
 from .oracle import ORACLE_SQL  # noqa: F401  (read by __spark_entry__)
+from .prefix_tokens import token_digest
 from .quality import RULES, quality_rules
 
 
@@ -21,6 +23,28 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                      "lost_words", *(f"n_{r}" for r in RULES))])
 
 
+def tokenizer_file(name: str) -> str:
+    """Where the installed package of public tokenizer files has ``name``."""
+    import public_tokenizers
+    return str(public_tokenizers.path(name))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The predicted language of every document; trained on rows not held out."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = train_on_documents(docs)
+    return identify_language(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
+def op8_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document from its prefix counts."""
+    docs = read_table(spark, sf_dir, "documents")
+    return token_digest(docs, tokenizer_file("byte_bpe_50k.json"), limit=1024)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op6_language_id": op6_language_id,
+    "op8_prefix_token_counts": op8_prefix_token_counts,
 }
