@@ -8,6 +8,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Words are runs of anything but ASCII white space (space and \t..\r).
 WORD_RE = r"[^\x20\x09-\x0D]+"
@@ -66,6 +67,14 @@ def drop_stored(df: DataFrame) -> None:
         jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
+def schema_with(df: DataFrame, **added: str) -> StructType:
+    """The schema of ``df`` and some further columns, for ``mapInArrow``."""
+    schema = StructType(list(df.schema.fields))
+    for name, kind in added.items():
+        schema.add(name, kind)
+    return schema
+
+
 def worker_cache(name: str, make):
     """A value kept for the life of a Python worker, made at first use.  Task
     code is unpickled anew for every task, so its own globals do not last."""

@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import worker_cache
+from .common import schema_with, worker_cache
 
 UNDETERMINED = "und"
 BLANK = 0
@@ -208,7 +208,7 @@ def identify_language(df: DataFrame, model: KernelModel | None, text: str = "tex
     if model is None:
         return base.withColumn("lang_pred", F.lit(UNDETERMINED)).withColumn("score", F.lit(0.0))
     shared = df.sparkSession.sparkContext.broadcast(model)  # bounded by the sample's parameters
-    schema = base.schema.add("lang_pred", "string", False).add("score", "double", False)
+    schema = schema_with(base, lang_pred="string", score="double")
 
     def run(batches):
         for b in batches:

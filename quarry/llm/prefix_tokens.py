@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import worker_cache
+from .common import schema_with, worker_cache
 
 NEVER = 1 << 60
 LONG_CONTRACTIONS = ("'re", "'ve", "'ll")
@@ -228,9 +228,7 @@ def prefix_token_counts(df: DataFrame, tokenizer_path: str, text: str = "text",
 
     own = ["n_bytes", "n_tokens", "fits_chars", "prefix_counts"]
     base = df.select(*[c for c in df.columns if c not in own])
-    schema = base.schema
-    for c in own:
-        schema = schema.add(c, "binary" if c == "prefix_counts" else "long", False)
+    schema = schema_with(base, n_bytes="long", n_tokens="long", fits_chars="long", prefix_counts="binary")
 
     def run(batches):
         counter = worker_cache(f"prefix:{tokenizer_path}", lambda: PrefixCounter(tokenizer_path))
