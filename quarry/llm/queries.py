@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .common import read_table
 from .language_id import held_out, identify_language, train_on_documents
+from .minmax_hash import near_duplicate_classes
 from .oracle import ORACLE_SQL  # noqa: F401  (read by __spark_entry__)
 from .prefix_tokens import token_digest
 from .quality import RULES, quality_rules
@@ -23,6 +24,12 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                      "lost_words", *(f"n_{r}" for r in RULES))])
 
 
+def op5_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all documents: 3-word shingles, similarity 0.85."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_duplicate_classes(docs, shingle=3, percent=85)
+
+
 def tokenizer_file(name: str) -> str:
     """Where the installed package of public tokenizer files has ``name``."""
     import public_tokenizers
@@ -45,6 +52,7 @@ def op8_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op5_minmax_near_dedup": op5_minmax_near_dedup,
     "op6_language_id": op6_language_id,
     "op8_prefix_token_counts": op8_prefix_token_counts,
 }
