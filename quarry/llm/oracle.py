@@ -39,6 +39,19 @@ c AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words,
 SELECT *, NOT base_failed AND lost_words <= n_words * 0.5 AS kept FROM c"""
 
 
+LINE_DEDUP = r"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls
+  FROM documents),
+u AS (SELECT rid, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM d),
+k AS (SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM u),
+f AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 20
+      GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+j AS (SELECT k.*, f.key IS NOT NULL AND k.doc_id <> f.keeper AS gone FROM k LEFT JOIN f ON k.key = f.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM j GROUP BY rid, doc_id"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": _quality(),
+    "op10_line_dedup": LINE_DEDUP,
 }

@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from .common import read_table
 from .language_id import held_out, identify_language, train_on_documents
+from .line_dedup import dedup_lines
 from .minmax_hash import near_duplicate_classes
+from .mixing import mix_digest
 from .oracle import ORACLE_SQL  # noqa: F401  (read by __spark_entry__)
 from .prefix_tokens import token_digest
 from .quality import RULES, quality_rules
+from .subword_sampling import sample_segmentations
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +27,14 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                      "lost_words", *(f"n_{r}" for r in RULES))])
 
 
+def op3_subword_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sampled segmentations of every document, with their ids and scores."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sample_segmentations(docs, tokenizer_file("piece_bpe_32k.model"), k=2).select(
+        "doc_id", "sample", F.size("ids").cast("long").alias("n_pieces"), "log_prob", "perturbed", "inclusion",
+        "decodes", "ids")
+
+
 def op5_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents: 3-word shingles, similarity 0.85."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -50,9 +61,24 @@ def op8_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digest(docs, tokenizer_file("byte_bpe_50k.json"), limit=1024)
 
 
+def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document the mix takes."""
+    return mix_digest(read_table(spark, sf_dir, "documents"))
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines before, lines dropped and the digest of what stays, of every document."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_lines(docs).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op3_subword_sampling": op3_subword_sampling,
     "op5_minmax_near_dedup": op5_minmax_near_dedup,
     "op6_language_id": op6_language_id,
     "op8_prefix_token_counts": op8_prefix_token_counts,
+    "op9_mix_sources": op9_mix_sources,
+    "op10_line_dedup": op10_line_dedup,
 }
