@@ -69,10 +69,8 @@ def drop_stored(df: DataFrame) -> None:
 
 def schema_with(df: DataFrame, **added: str) -> StructType:
     """The schema of ``df`` and some further columns, for ``mapInArrow``."""
-    schema = StructType(list(df.schema.fields))
-    for name, kind in added.items():
-        schema.add(name, kind)
-    return schema
+    new = StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in added.items()))
+    return StructType([*df.schema.fields, *new.fields])
 
 
 def worker_cache(name: str, make):
