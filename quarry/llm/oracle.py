@@ -39,6 +39,13 @@ c AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words,
 SELECT *, NOT base_failed AND lost_words <= n_words * 0.5 AS kept FROM c"""
 
 
+WARC = """WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+k AS (SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest FROM p),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS keeper FROM k),
+r AS (SELECT *, payload_bytes >= 1000 AND page_id <> keeper AS again FROM m)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN keeper END AS refers_to FROM r"""
+
 LINE_DEDUP = r"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls
   FROM documents),
 u AS (SELECT rid, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM d),
@@ -53,5 +60,6 @@ FROM j GROUP BY rid, doc_id"""
 
 ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": _quality(),
+    "op4_warc": WARC,
     "op10_line_dedup": LINE_DEDUP,
 }

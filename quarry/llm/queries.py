@@ -16,6 +16,7 @@ from .oracle import ORACLE_SQL  # noqa: F401  (read by __spark_entry__)
 from .prefix_tokens import token_digest
 from .quality import RULES, quality_rules
 from .subword_sampling import sample_segmentations
+from .warc import archive_round_trip
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +36,11 @@ def op3_subword_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
         "decodes", "ids")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back from them."""
+    return archive_round_trip(read_table(spark, sf_dir, "pages"))
+
+
 def op5_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents: 3-word shingles, similarity 0.85."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -76,6 +82,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op3_subword_sampling": op3_subword_sampling,
+    "op4_warc": op4_warc,
     "op5_minmax_near_dedup": op5_minmax_near_dedup,
     "op6_language_id": op6_language_id,
     "op8_prefix_token_counts": op8_prefix_token_counts,
