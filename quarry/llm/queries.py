@@ -12,10 +12,12 @@ from .language_id import held_out, identify_language, train_on_documents
 from .line_dedup import dedup_lines
 from .minmax_hash import near_duplicate_classes
 from .mixing import mix_digest
+from .multi_index_hash import nearest
 from .oracle import ORACLE_SQL  # noqa: F401  (read by __spark_entry__)
 from .prefix_tokens import token_digest
 from .quality import RULES, quality_rules
 from .subword_sampling import sample_segmentations
+from .url_filter import judge_urls
 from .warc import archive_round_trip
 
 
@@ -28,6 +30,12 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                      "lost_words", *(f"n_{r}" for r in RULES))])
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's url."""
+    return judge_urls(read_table(spark, sf_dir, "pages")).select(
+        "page_id", "host", "path", "rule", "verdict", "block_score", "host_words")
+
+
 def op3_subword_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two sampled segmentations of every document, with their ids and scores."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -47,6 +55,11 @@ def op5_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_classes(docs, shingle=3, percent=85)
 
 
+def op7_multi_index_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every twentieth vector, by inner product."""
+    return nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def tokenizer_file(name: str) -> str:
     """Where the installed package of public tokenizer files has ``name``."""
     import public_tokenizers
@@ -81,10 +94,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_url_filter": op2_url_filter,
     "op3_subword_sampling": op3_subword_sampling,
     "op4_warc": op4_warc,
     "op5_minmax_near_dedup": op5_minmax_near_dedup,
     "op6_language_id": op6_language_id,
+    "op7_multi_index_hash": op7_multi_index_hash,
     "op8_prefix_token_counts": op8_prefix_token_counts,
     "op9_mix_sources": op9_mix_sources,
     "op10_line_dedup": op10_line_dedup,
