@@ -68,7 +68,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def subword_samples(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Two segmentations of every row, with ids, scores and whether they decode to the text."""
     return sample_segmentations(docs.select("doc_id", "text"), tokenizer_file("piece_bpe_32k.model"), k=2).select(
-        "doc_id", "sample", F.size("ids").cast("long").alias("n_pieces"), "log_prob", "perturbed", "inclusion",
+        "doc_id", "sample", F.size("ids").cast("long").alias("n_pieces"), "log_prob", "perturbed", "log_inclusion",
         "decodes", "ids")
 
 

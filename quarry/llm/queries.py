@@ -40,7 +40,7 @@ def op3_subword_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two sampled segmentations of every document, with their ids and scores."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return sample_segmentations(docs, tokenizer_file("piece_bpe_32k.model"), k=2).select(
-        "doc_id", "sample", F.size("ids").cast("long").alias("n_pieces"), "log_prob", "perturbed", "inclusion",
+        "doc_id", "sample", F.size("ids").cast("long").alias("n_pieces"), "log_prob", "perturbed", "log_inclusion",
         "decodes", "ids")
 
 

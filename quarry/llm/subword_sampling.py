@@ -286,9 +286,14 @@ class Path:
         return (int(self.edge[i]), *(self.gone if i == self.branch else ()))
 
 
+def log_inclusion(x: float) -> float:
+    """``log(1 - exp(-exp(x)))``, also where the score itself is too small for a float."""
+    return x if x < -30 else math.log(-math.expm1(-math.exp(min(x, 50.0))))
+
+
 def sample_texts(vocab: Vocabulary, texts: list[str], keys: np.ndarray, k: int, seed: int) -> list[list[tuple]]:
     """For each text up to ``k`` distinct segmentations, best first, each
-    ``(piece codes, log_prob, perturbed, inclusion)``."""
+    ``(piece codes, log_prob, perturbed, log_inclusion)``."""
     n = len(texts)
     walks = Walks(vocab, texts, mix(keys.astype(np.int64).view(U64) ^ U64(seed)).view(np.int64))
     found: list[list[tuple]] = [[] for _ in range(n)]
@@ -346,9 +351,8 @@ def sample_texts(vocab: Vocabulary, texts: list[str], keys: np.ndarray, k: int,
         pos = np.concatenate([x for h, i, j in zip(heads, a, b) for x in (h[0], tp[i:j])])
         edge = np.concatenate([x for h, i, j in zip(heads, a, b) for x in (h[1], te[i:j])])
         doc = np.repeat(live, [len(h[0]) + j - i for h, i, j in zip(heads, a, b)])
-    return [[(walks.piece[path], logp, g,
-              1.0 if bound[d] == -np.inf else float(-np.expm1(-np.exp(min(logp - bound[d], 50.0)))))
-             for path, logp, g in found[d]] for d in range(n)]
+    return [[(walks.piece[path], logp, g, log_inclusion(logp - bound[d])) for path, logp, g in found[d]]
+            for d in range(n)]
 
 
 def piece_ids(vocab: Vocabulary, codes: np.ndarray) -> np.ndarray:
@@ -365,7 +369,8 @@ def sample_segmentations(df: DataFrame, model_path: str, key: str = "doc_id", te
                          seed: int = 7) -> DataFrame:
     """One row for each sampled segmentation of each row of ``df``: its
     columns, then ``sample`` (int, from 1, largest perturbed value first),
-    ``ids`` (array<int>), ``log_prob``, ``perturbed``, ``inclusion`` (double)
+    ``ids`` (array<int>), ``log_prob``, ``perturbed``, ``log_inclusion``,
+    ``inclusion`` (double; 0 where the score of a long text is below all floats)
     and ``decodes``: whether decoding the ids gives the text back.
 
     A text with fewer than ``k`` segmentations gives all it has, each with
@@ -375,13 +380,13 @@ def sample_segmentations(df: DataFrame, model_path: str, key: str = "doc_id", te
     """
     import pyarrow as pa
 
-    own = ["sample", "ids", "log_prob", "perturbed", "inclusion", "decodes"]
+    own = ["sample", "ids", "log_prob", "perturbed", "log_inclusion", "inclusion", "decodes"]
     base = df.select(*[c for c in df.columns if c not in own]).withColumn(
         "__key", F.coalesce(F.col(key).cast("long") if dict(df.dtypes)[key] in ("bigint", "int", "smallint", "tinyint")
                             else F.xxhash64(key), F.lit(0)))
     text_at = base.columns.index(text)
     schema = schema_with(base.drop("__key"), sample="int", ids="array<int>", log_prob="double", perturbed="double",
-                         inclusion="double", decodes="boolean")
+                         log_inclusion="double", inclusion="double", decodes="boolean")
 
     def run(batches):
         vocab = worker_cache(f"pieces:{model_path}", lambda: Vocabulary(model_path))
@@ -404,7 +409,8 @@ def sample_segmentations(df: DataFrame, model_path: str, key: str = "doc_id", te
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:-1], pa.array([r[1] + 1 for r in rows], pa.int32()),
                      pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
-                     *[pa.array([r[c] for r in rows], pa.float64()) for c in (3, 4, 5)], pa.array(back, pa.bool_())],
+                     *[pa.array([r[c] for r in rows], pa.float64()) for c in (3, 4, 5)],
+                     pa.array([math.exp(r[5]) for r in rows], pa.float64()), pa.array(back, pa.bool_())],
                     names=[*part.schema.names[:-1], *own])
                 at = end
 
