@@ -190,6 +190,10 @@ class Lattices:
         total = self.backward(src, score, n_nodes)
         self.prob = np.exp(score + total[src + self.step] - total[src])
         self.prob[self.step == 0] = 1.0
+        # Share of the other edges of an edge's node, summed apart from a share near 1.
+        light = np.where(self.prob > 0.5, 0.0, self.prob)
+        self.others = np.where(self.prob > 0.5, np.add.reduceat(light, self.first[:-1])[src], 1.0 - self.prob) if (
+            n_nodes) else np.zeros(0)
         run = np.cumsum(self.prob)
         before = np.concatenate(([0.0], run))[self.first[:-1]]
         self.cum = src + np.minimum(run - before[src], 1.0)
@@ -303,24 +307,23 @@ def sample_texts(vocab: Vocabulary, texts: list[str], keys: np.ndarray, k: int,
     doc_of_word = walks.doc
     word, pos, edge = walks.walk(np.arange(len(walks.head)), walks.head, 0)
     doc = doc_of_word[word]
-    branch_of: dict[int, tuple] = {}  # document -> step of the branch, edges gone there
+    branch_of: dict[int, tuple] = {}  # document -> step of the branch, edges gone there, share left beside the new one
     for sample in range(k):
         start, end = np.searchsorted(doc, live), np.searchsorted(doc, live, side="right")
         logq = np.log(walks.prob[edge])
         through = by_doc(doc, logq, n)
-        taken = walks.prob[edge].copy()
+        left = walks.others[edge]
         for d, a in zip(live.tolist(), start.tolist()):
             if d in branch_of:
-                i, gone = branch_of[d]
-                taken[a + i] += sum(walks.prob[e] for e in gone)
-        left = 1.0 - taken
-        siblings = np.full(len(taken), -np.inf)
-        np.log(left, out=siblings, where=left > 1e-12)
+                i, _, share = branch_of[d]
+                left[a + i] = share
+        siblings = np.full(len(left), -np.inf)
+        np.log(left, out=siblings, where=left > 0)
         u = uniform(walks.keys[doc], np.full(len(doc), (1 << 41) + sample), pos - walks.doc_at[doc])
         below = truncated(through - logq + siblings, bound[doc], u)
         starts = []
         for d, a, b in zip(live.tolist(), start.tolist(), end.tolist()):
-            i, gone = branch_of.get(d, (0, ()))
+            i, gone, _ = branch_of.get(d, (0, (), 0.0))
             below[a:a + i] = -np.inf  # these siblings have their bounds in the path it came from
             paths[d].append(Path(pos[a:b], edge[a:b], below[a:b], i if gone else -1, gone))
             found[d].append((edge[a:b], float(through[b - 1]) if b > a else 0.0, float(bound[d])))
@@ -340,7 +343,7 @@ def sample_texts(vocab: Vocabulary, texts: list[str], keys: np.ndarray, k: int,
             free = [e for e in range(int(walks.first[node]), int(walks.first[node + 1])) if e not in gone]
             share = np.cumsum(walks.prob[free])
             pick = free[min(int(np.searchsorted(share, u1 * share[-1])), len(free) - 1)]
-            branch_of[d] = (i, gone)
+            branch_of[d] = (i, gone, float(walks.prob[[e for e in free if e != pick]].sum()))
             heads.append((path.pos[:i + 1], np.append(path.edge[:i], pick)))
             words.append(w)
             nodes.append(node + int(walks.step[pick]))
