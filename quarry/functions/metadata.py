@@ -36,4 +36,5 @@ def set_metadata(metadata, key: str, value) -> Column:
 def get_metadata(metadata, key: str, dtype: str = "string") -> Column:
     """One key of the metadata JSON as a typed column; a present-but-null
     value stays NULL (D12), never the text ``"null"``."""
-    return F.get_json_object(metadata_or_empty(metadata), f"$.{key}").cast(dtype)
+    path = "$['" + key.replace("'", "\\'") + "']"  # quoted: a dot is part of the key
+    return F.get_json_object(metadata_or_empty(metadata), path).cast(dtype)

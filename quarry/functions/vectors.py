@@ -57,18 +57,10 @@ def l2_distance(a, b) -> Column:
 
 def normalize(a) -> Column:
     """L2-normalise a vector column (FN-4); a zero vector stays as it is."""
-    n = norm(a)
-    return F.when(n > 0, F.transform(_c(a), lambda x: (x / n).cast("float"))).otherwise(_c(a))
-
-
-def score_column(metric: str, a, b) -> tuple[Column, Column]:
-    """(score, distance) columns for one pair of vectors under ``metric``."""
-    metric = check_metric(metric)
-    if metric == "l2":
-        d = l2_distance(a, b)
-        return 1.0 / (1.0 + d), d
-    s = cosine(a, b) if metric == "cosine" else dot(a, b)
-    return s, s
+    # The norm is bound once; inside the lambda it would be summed anew for every component.
+    scaled = F.get(F.transform(F.array(norm(a)), lambda n: F.when(
+        n > 0, F.transform(_c(a), lambda x: (x / n).cast("float"))).otherwise(_c(a))), F.lit(0))
+    return scaled
 
 
 # ---------------------------------------------------------------- numpy side

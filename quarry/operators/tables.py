@@ -15,8 +15,6 @@ from ..sources.segments import default_columns
 from .knn import scope_corpus
 
 KEY = ["partition_name", "id"]
-# Largest list of touched partitions an upsert names explicitly.
-MAX_TOUCHED_PARTITIONS = 1000
 
 
 def _with_partition(docs: DataFrame, partition: str | None) -> DataFrame:
@@ -42,45 +40,38 @@ def dedupe_changes(changes: DataFrame, seq_col: str | None = "seq") -> DataFrame
     share of the batch never gathers in one task.
     """
     def fail_on(cond, message: str) -> Column:
-        return F.when(cond, F.raise_error(F.concat(F.lit(message), F.col("id")))).otherwise(F.lit(True))
+        return F.when(cond, F.raise_error(F.concat(F.lit(message), F.coalesce("id", F.lit("NULL"))))).otherwise(
+            F.lit(True))
 
+    def per_key(df: DataFrame, *aggs: Column) -> DataFrame:
+        return df.groupBy(F.col("partition_name").alias("_p"), F.col("id").alias("_i")).agg(*aggs)
+
+    same_key = F.col("partition_name").eqNullSafe(F.col("_p")) & F.col("id").eqNullSafe(F.col("_i"))
+    what = "duplicate key in one upsert batch: "
     if seq_col and seq_col in changes.columns:
-        top = changes.groupBy(*KEY).agg(F.max(seq_col).alias("_top"))
-        best = changes.join(top, KEY).where(F.col(seq_col) == F.col("_top")).drop("_top")
-        ties = best.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
-        return (best.join(ties, KEY, "left")
-                .withColumn("_ok", fail_on(F.col("_n").isNotNull(), "duplicate key with equal seq in one batch: "))
-                .where(F.col("_ok").isNotNull()).drop("_n", "_ok"))
-    dups = changes.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
-    return (changes.join(dups, KEY, "left")
-            .withColumn("_ok", fail_on(F.col("_n").isNotNull(), "duplicate key in one upsert batch: "))
-            .where(F.col("_ok").isNotNull()).drop("_n", "_ok"))
+        # A NULL seq is lower than any number.
+        order = F.struct(F.col(seq_col).isNotNull().alias("given"), F.col(seq_col).alias("seq"))
+        top = per_key(changes, F.max(order).alias("_top"))
+        changes = changes.join(top, same_key).where(order.eqNullSafe(F.col("_top"))).drop("_top", "_p", "_i")
+        what = "duplicate key with equal seq in one batch: "
+    dups = per_key(changes, F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+    return (changes.join(dups, same_key, "left").withColumn("_ok", fail_on(F.col("_n").isNotNull(), what))
+            .where(F.col("_ok").isNotNull()).drop("_n", "_ok", "_p", "_i"))
 
 
 def upsert(base: DataFrame, docs: DataFrame, partition: str | None = None, seq_col: str | None = "seq") -> DataFrame:
     """SNK-2: insert or replace by key; empty input changes nothing.
 
-    ``base`` minus the changed keys (anti join), plus the changes.  Spark
-    broadcasts the key side when AQE measures it small, else both sides
-    shuffle on the key.
+    ``base`` minus the changed keys (one null-safe anti join; a NULL or empty
+    partition is the default one), plus the changes.  Spark broadcasts the
+    key side when AQE measures it small, else both sides shuffle on the key.
     """
     changes = dedupe_changes(_with_partition(docs, partition), seq_col)
     if seq_col and seq_col in changes.columns and seq_col not in base.columns:
         changes = changes.drop(seq_col)
-    if partition is not None and partition.strip():
-        touched = [partition]
-    else:
-        # Partitions the batch touches: a bounded list when few, so rows of
-        # every other partition skip the key join (and a partitioned table's
-        # scan prunes them out of it).
-        names = changes.select("partition_name").distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()
-        touched = [r[0] for r in names] if len(names) <= MAX_TOUCHED_PARTITIONS else None
-    if touched is None:
-        kept = base.join(changes.select(*KEY), KEY, "left_anti")
-    else:
-        in_touched = F.col("partition_name").isin(touched)
-        kept = base.where(~in_touched).unionByName(
-            base.where(in_touched).join(changes.select(*KEY), KEY, "left_anti"))
+    keys = changes.select(F.col("partition_name").alias("_p"), F.col("id").alias("_i"))
+    kept = base.join(keys, partition_or_default("partition_name").eqNullSafe(F.col("_p"))
+                     & F.col("id").eqNullSafe(F.col("_i")), "left_anti")
     return kept.unionByName(changes, allowMissingColumns=True)
 
 

@@ -313,3 +313,16 @@ ORACLE_SQL["auto_index_full_probe"] = ORACLE_SQL["vector_exact_cosine"]
 
 ORACLE_SQL["query_errors"] = """SELECT conv_id * 1000 + turn AS query_id, 'text is empty' AS error
     FROM conversations WHERE text IS NULL OR trim(text) = ''"""
+
+ORACLE_SQL["upsert_seq"] = ORACLE_SQL["stored_upsert"] = f"""WITH {SEGMENTS},
+ch AS (SELECT 'c' || conv_id AS id, role AS file_id, text AS content,
+         CASE conv_id % 4 WHEN 2 THEN '001' WHEN 3 THEN 'partition_conv' ELSE '_default' END AS partition_name,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS newest FROM conversations)
+SELECT id, file_id, partition_name, content FROM segments
+UNION ALL SELECT id, file_id, partition_name, content FROM ch WHERE newest = 1"""
+
+ORACLE_SQL["normalize_vectors"] = """WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+n AS (SELECT vec_id, x, sqrt(list_inner_product(x, x)) AS l FROM v)
+SELECT vec_id, round(CASE WHEN l > 0 THEN 1.0 ELSE 0.0 END, 4) AS length,
+       round(CAST(CAST(CASE WHEN l > 0 THEN x[1] / l ELSE x[1] END AS FLOAT) AS DOUBLE), 5) AS "first",
+       CAST(len(x) AS BIGINT) AS n_dims FROM n"""

@@ -408,8 +408,7 @@ QUERIES["json_source"] = _json_source
 
 
 def _stored_delete(spark, sf):
-    """Delete by filter on a stored table: a partial version rewrites only the
-    partitions holding matches, and the current table is read back."""
+    """Delete by filter on a stored table; the current table is read back."""
     import uuid
     from ..sources.versions import delete_from_table
     root = f"{ensure_checkpoint_dir(spark)}/quarry-stored-{uuid.uuid4().hex}"
@@ -421,6 +420,45 @@ def _stored_delete(spark, sf):
 QUERIES["stored_delete"] = _stored_delete
 
 
+def _seq_changes(spark, sf):
+    """Every conversation turn as a change of its conversation's one row: the
+    turn is the ``seq`` (NULL for turn 0), the partition is NULL, empty, 001
+    or named, by conversation."""
+    conv = read_table(spark, sf, "conversations")
+    name = (F.when(F.col("conv_id") % 4 == 0, F.lit(None).cast("string")).when(F.col("conv_id") % 4 == 1, F.lit(""))
+            .when(F.col("conv_id") % 4 == 2, F.lit("001")).otherwise(F.lit("partition_conv")))
+    return conv.select(F.concat(F.lit("c"), F.col("conv_id").cast("string")).alias("id"),
+                       F.col("role").alias("file_id"), F.col("text").alias("content"),
+                       F.lit(None).cast("array<float>").alias("embedding"), F.lit("{}").alias("metadata"),
+                       name.alias("partition_name"), F.when(F.col("turn") > 0, F.col("turn")).alias("seq"))
+
+
+def _upsert_seq(spark, sf):
+    return tb.upsert(_seg(spark, sf), _seq_changes(spark, sf)).select(*PAGE_COLS)
+
+
+def _stored_upsert(spark, sf):
+    """The same changes applied to a stored copy of the segments."""
+    import uuid
+    from ..sources.versions import upsert_table
+    root = f"{ensure_checkpoint_dir(spark)}/quarry-upsert-{uuid.uuid4().hex}"
+    write_version(_seg(spark, sf), root)
+    upsert_table(spark, root, _seq_changes(spark, sf))
+    return read_current(spark, root).select(*PAGE_COLS)
+
+
+def _normalize_vectors(spark, sf):
+    """FN-4 over every vector: its components summed and its length, rounded."""
+    from ..functions.vectors import norm, normalize
+    v = read_table(spark, sf, "embeddings").select("vec_id", normalize("embedding").alias("unit"))
+    return v.select("vec_id", F.round(norm("unit"), 4).alias("length"),
+                    F.round(F.element_at("unit", 1).cast("double"), 5).alias("first"),
+                    F.size("unit").cast("long").alias("n_dims"))
+
+
+QUERIES.update({"upsert_seq": _upsert_seq, "stored_upsert": _stored_upsert, "normalize_vectors": _normalize_vectors})
+
+
 def _auto_index(spark, sf):
     """AUTOINDEX by name (served by IVF, nlist from the data size), probed in
     full: equals exact cosine search."""

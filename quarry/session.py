@@ -4,7 +4,6 @@ settings every operator reads from the session instead of hard-coding."""
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -35,27 +34,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by the cluster.
-
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when it is unset (local tests) is a scratch folder made.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="quarry-ckpt-")
-        try:  # a core setting; some deployments refuse runtime changes to it
-            spark.conf.set("spark.checkpoint.dir", current)
-        except Exception:  # noqa: BLE001
-            pass
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(current)
-    return sc.getCheckpointDir() or current
+    """The folder that driver and executors share, as ``spark.checkpoint.dir``
+    (or ``SparkContext.setCheckpointDir``) names it.  Raises when none is
+    named: a folder of one machine would lose rows on a cluster."""
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not path:
+        raise ValueError("set spark.checkpoint.dir to a folder shared by the driver and all executors")
+    return path.rstrip("/")
 
 
 def broadcast_budget(spark: SparkSession) -> int:

@@ -212,7 +212,9 @@ def validate_batch(df: DataFrame, spec: CollectionSpec, *, allow_missing_vectors
         key = [c for c in key_cols if c in df.columns] + [pk.name]
         dups = (df.where(F.col(pk.name).isNotNull()).groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
                 .where(F.col("_n") > 1).select(*key, F.lit(True).alias("_dup")))
-        flagged = df.join(dups, key, "left")
+        same = [F.col(f"_key_{c}").eqNullSafe(df[c]) for c in key]
+        flagged = df.join(dups.withColumnsRenamed({c: f"_key_{c}" for c in key}), same, "left").drop(
+            *[f"_key_{c}" for c in key])
         checks.append(F.when(F.col("_dup"), F.lit(f"{pk.name}: duplicate key")))
     arr = F.filter(F.array(*checks), lambda x: x.isNotNull()) if checks else F.array().cast("array<string>")
     out = flagged.withColumn("violations", arr)

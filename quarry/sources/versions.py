@@ -1,21 +1,11 @@
-"""Versioned table writes, partition-level copy-on-write, and
-compaction (SNK-6).
-
-Plain parquet cannot be overwritten in place by a plan that reads it, and
-dynamic partition overwrite does not remove a partition that became empty.
-So every change is written as a new version directory ``root/v=<n>/``
-(partitioned by ``partition_name``) and only then recorded by an
-append-only marker ``root/_versions/v=<n>/``.  Readers resolve the markers
-first; a crashed writer leaves an unreferenced directory, never a
-half-visible table.
-
-A *full* version holds the whole table.  A *partial* version holds only
-the partitions a change touched (its marker lists them; a listed partition
-without rows became empty).  The current table is the last full version
-minus every partition a later partial version overrides, plus each
-overridden partition read from its newest version.  An upsert into a
-100 TB table therefore rewrites only the partitions it touches;
-:func:`compact_table` folds everything back into one full version.
+"""Versioned table writes and compaction (SNK-6).
+
+Plain parquet cannot be overwritten in place by a plan that reads it, so
+every change writes the whole new table into a new folder ``root/v=<n>/``
+(partitioned by ``partition_name``) and then names it current with a marker
+``root/_versions/v=<n>/``.  A crashed writer leaves an unnamed folder, never
+a half-visible table.  The marker keeps the schema, so partition names come
+back as they were written (``001`` stays text).
 """
 
 from __future__ import annotations
@@ -24,193 +14,131 @@ import math
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
-from ..operators.tables import add, compact, delete_by_filter, delete_by_ids, upsert
+from ..functions.partitions import partition_or_default
+from ..operators.tables import add, compact, delete_by_filter, delete_by_ids, drop_partition, upsert
 
-# Largest list of partitions one partial version may name.
-MAX_PARTIAL_PARTITIONS = 1000
+MARKER = "version long, batch_id long, schema string"
 
 
 def _markers(spark: SparkSession, root: str) -> DataFrame | None:
     try:
-        m = spark.read.json(f"{root}/_versions")
+        return spark.read.schema(MARKER).json(f"{root}/_versions")
     except AnalysisException:
         return None
-    if "kind" not in m.columns:
-        m = m.withColumn("kind", F.lit("full"))
-    if "partitions" not in m.columns:
-        m = m.withColumn("partitions", F.lit(None).cast("array<string>"))
-    return m
 
 
-def current_version(spark: SparkSession, root: str) -> int | None:
+def _current(spark: SparkSession, root: str):
+    """The newest marker (version, schema), or None."""
     m = _markers(spark, root)
-    if m is None:
-        return None
-    row = m.agg(F.max("v").alias("v")).first()
-    return None if row is None or row["v"] is None else int(row["v"])
+    return None if m is None else m.orderBy(F.desc("version")).select("version", "schema").head()
+
+
+def current_version(spark: SparkSession, root: str) -> int | None:
+    row = _current(spark, root)
+    return None if row is None else int(row["version"])
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame:
-    """The current table: last full version, overridden partitions replaced
-    by their newest partial versions (partition pruning reads only those)."""
-    m = _markers(spark, root)
-    if m is None:
+    """The current table."""
+    row = _current(spark, root)
+    if row is None:
         raise FileNotFoundError(f"no committed version under {root}")
-    full = m.where(F.coalesce(F.col("kind"), F.lit("full")) == "full").agg(F.max("v").alias("v")).first()["v"]
-    if full is None:
-        raise FileNotFoundError(f"no full version under {root}")
-    base = spark.read.parquet(f"{root}/v={int(full)}")
-    # Partial versions since the last full one: bounded by the compaction
-    # interval times MAX_PARTIAL_PARTITIONS names each.
-    partial = (m.where((F.col("kind") == "partial") & (F.col("v") > F.lit(int(full))))
-               .select("v", "partitions").orderBy("v").collect())
-    if not partial:
-        return base
-    newest: dict[str, int] = {}
-    for row in partial:
-        for p in row["partitions"] or []:
-            newest[p] = int(row["v"])
-    out = base.where(~F.col("partition_name").isin(list(newest)))
-    by_version: dict[int, list[str]] = {}
-    for p, v in newest.items():
-        by_version.setdefault(v, []).append(p)
-    for v, names in sorted(by_version.items()):
-        part = spark.read.schema(base.schema).parquet(f"{root}/v={v}").where(F.col("partition_name").isin(names))
-        out = out.unionByName(part)
-    return out
-
-
-def _commit(spark: SparkSession, root: str, v: int, kind: str, partitions=None, batch_id=None) -> None:
-    marker = spark.range(1).select(
-        F.lit(v).alias("version"), F.lit(kind).alias("kind"),
-        F.array(*[F.lit(p) for p in (partitions or [])]).cast("array<string>").alias("partitions"),
-        F.lit(batch_id).cast("long").alias("batch_id"))
-    marker.coalesce(1).write.mode("error").json(f"{root}/_versions/v={v}")
+    import json
+    schema = StructType.fromJson(json.loads(row["schema"]))
+    return spark.read.schema(schema).parquet(f"{root}/v={row['version']}").select(*schema.names)
 
 
 def write_version(df: DataFrame, root: str, partition_by: str | None = "partition_name",
                   batch_id: int | None = None) -> int:
-    """Write ``df`` as the next *full* version and commit it; returns the version."""
+    """Write ``df`` as the next version and name it current; returns the
+    version.  A NULL or empty partition is the default partition."""
     spark = df.sparkSession
+    if partition_by:
+        df = df.withColumn(partition_by, partition_or_default(F.col(partition_by).cast("string")))
     v = (current_version(spark, root) or 0) + 1
     writer = df.write.mode("error")
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(f"{root}/v={v}")
-    _commit(spark, root, v, "full", batch_id=batch_id)
+    marker = spark.range(1).select(F.lit(v).cast("long").alias("version"), F.lit(batch_id).cast("long").alias("batch_id"),
+                                   F.lit(df.schema.json()).alias("schema"))
+    marker.coalesce(1).write.mode("error").json(f"{root}/_versions/v={v}")
     return v
 
 
-def write_partial_version(df: DataFrame, root: str, partitions, batch_id: int | None = None) -> int:
-    """Write the new content of ``partitions`` (rows of other partitions are
-    ignored) as the next *partial* version; a listed partition with no rows
-    becomes empty."""
-    names = sorted(set(partitions))
-    if len(names) > MAX_PARTIAL_PARTITIONS:
-        raise ValueError("too many partitions for one partial version; write a full version")
-    spark = df.sparkSession
-    v = (current_version(spark, root) or 0) + 1
-    (df.where(F.col("partition_name").isin(names)).write.mode("error")
-     .partitionBy("partition_name").parquet(f"{root}/v={v}"))
-    _commit(spark, root, v, "partial", names, batch_id)
-    return v
+def _some(df: DataFrame) -> bool:
+    return df.limit(1).count() > 0
 
 
-def _touched(df: DataFrame) -> list[str] | None:
-    """Distinct partition names of a change set, or None when too many."""
-    rows = df.select("partition_name").distinct().limit(MAX_PARTIAL_PARTITIONS + 1).collect()
-    return None if len(rows) > MAX_PARTIAL_PARTITIONS else [r[0] for r in rows]
+def _fitting(df: DataFrame, current: DataFrame, *more: str) -> DataFrame:
+    return df.select(*[c for c in df.columns if c in current.columns or c in more])
 
 
 def upsert_table(spark: SparkSession, root: str, changes: DataFrame, seq_col: str | None = "seq",
                  batch_id: int | None = None) -> int | None:
-    """SNK-2 on a stored table: only the touched partitions are rewritten.
-    Returns the new version, or None for an empty change set."""
+    """SNK-2 on a stored table.  Returns the new version, or None for an
+    empty change set."""
     current = read_current(spark, root)
-    changes = changes.select(*[c for c in changes.columns if c in current.columns or c == seq_col])
-    touched = _touched(changes)
-    if touched == []:
+    changes = _fitting(changes, current, seq_col)
+    if not _some(changes):
         return None
-    if touched is None:
-        return write_version(upsert(current, changes, seq_col=seq_col), root, batch_id=batch_id)
-    scoped = current.where(F.col("partition_name").isin(touched))
-    return write_partial_version(upsert(scoped, changes, seq_col=seq_col), root, touched, batch_id)
+    return write_version(upsert(current, changes, seq_col=seq_col), root, batch_id=batch_id)
 
 
 def delete_from_table(spark: SparkSession, root: str, *, ids: DataFrame | None = None, pred=None,
                       partition: str | None = None) -> int | None:
-    """SNK-3 / SNK-4 on a stored table: only partitions holding a deleted row
-    are rewritten.  Returns the new version, or None when nothing matched."""
+    """SNK-3 / SNK-4 on a stored table.  Returns the new version, or None
+    when nothing matched."""
     current = read_current(spark, root)
     if ids is not None:
         keep = delete_by_ids(current, ids, partition)
         hit = current.join(ids.select(F.col(ids.columns[0]).cast("string").alias("id")), "id", "left_semi")
     else:
-        keep = delete_by_filter(current, pred, partition)
         if pred is None or (isinstance(pred, str) and not pred.strip()):
             return None
-        hit = current.where(F.coalesce(F.expr(pred) if isinstance(pred, str) else pred, F.lit(False)))
+        keep = delete_by_filter(current, pred, partition)
+        hit = current.where(F.expr(pred) if isinstance(pred, str) else pred)
     if partition:
         hit = hit.where(F.col("partition_name") == F.lit(partition))
-    touched = _touched(hit)
-    if touched == []:
-        return None
-    if touched is None:
-        return write_version(keep, root)
-    return write_partial_version(keep.where(F.col("partition_name").isin(touched)), root, touched)
+    return write_version(keep, root) if _some(hit) else None
 
 
 def add_to_table(spark: SparkSession, root: str, docs: DataFrame, batch_id: int | None = None) -> int | None:
-    """SNK-1 on a stored table: the touched partitions are rewritten with
-    their current rows plus the new ones (no key check, as ``add``)."""
+    """SNK-1 on a stored table (no key check, as ``add``); None for no rows."""
     current = read_current(spark, root)
-    docs = docs.select(*[c for c in docs.columns if c in current.columns])
-    touched = _touched(docs)
-    if touched == []:
-        return None
-    if touched is None:
-        return write_version(add(current, docs), root, batch_id=batch_id)
-    scoped = current.where(F.col("partition_name").isin(touched))
-    return write_partial_version(add(scoped, docs), root, touched, batch_id)
+    docs = _fitting(docs, current)
+    return write_version(add(current, docs), root, batch_id=batch_id) if _some(docs) else None
 
 
 def drop_partition_table(spark: SparkSession, root: str, name: str) -> int:
-    """SNK-5 on a stored table: a partial version that lists the partition
-    and holds no rows for it; nothing else is rewritten."""
-    empty = read_current(spark, root).limit(0)
-    return write_partial_version(empty, root, [name])
+    """SNK-5 on a stored table."""
+    return write_version(drop_partition(read_current(spark, root), name), root)
 
 
 def current_bytes(spark: SparkSession, root: str) -> int:
-    """Bytes of the parquet files the current table reads from (the last full
-    version and every later partial version), listed with the ``binaryFile``
-    source without reading the files."""
-    m = _markers(spark, root)
-    if m is None:
+    """Bytes of the current table's parquet files, listed with the
+    ``binaryFile`` source without reading the files."""
+    v = current_version(spark, root)
+    if v is None:
+        return 0
+    try:
+        files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+                 .option("recursiveFileLookup", "true").load(f"{root}/v={v}"))
+        return int(files.agg(F.sum("length")).first()[0] or 0)
+    except AnalysisException:  # a version with no data files
         return 0
-    full = m.where(F.col("kind") == "full").agg(F.max("v").alias("v")).first()["v"]
-    versions = [int(r["v"]) for r in m.where(F.col("v") >= F.lit(int(full))).select("v").collect()]
-    total = 0
-    for v in versions:
-        try:
-            files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-                     .option("recursiveFileLookup", "true").load(f"{root}/v={v}"))
-        except AnalysisException:  # a version with no data files
-            continue
-        total += int(files.agg(F.sum("length")).first()[0] or 0)
-    return total
 
 
 def compact_table(spark: SparkSession, root: str, target_file_mb: float | None = 128.0,
                   rows_per_file: int | None = None) -> int:
-    """Rewrite the current table as one full version in fewer, larger files
-    (SNK-6).  The file count comes from the bytes of the files read
-    (``target_file_mb`` per output file), or from the row count when
-    ``rows_per_file`` is given; the layout is a range partitioning on
-    (partition, id), which spreads a hot partition over many files.  Rows
-    are unchanged."""
+    """Rewrite the current table in fewer, larger files (SNK-6).  The file
+    count comes from the bytes of the files read (``target_file_mb`` per
+    output file), or from the row count when ``rows_per_file`` is given; the
+    layout is a range partitioning on (partition, id), which spreads a hot
+    partition over many files.  Rows are unchanged."""
     df = read_current(spark, root)
     if rows_per_file:
         n_files = math.ceil(max(df.count(), 1) / rows_per_file)

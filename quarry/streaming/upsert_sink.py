@@ -2,8 +2,7 @@
 
 Each micro-batch is deduplicated by key (highest ``seq`` wins, D7), applied
 to the current version with :func:`quarry.sources.versions.upsert_table`,
-and written as the next version, which rewrites only the partitions the
-batch touches.  The version marker records the micro-batch
+and written as the next version.  The version marker records the micro-batch
 id, so a batch replayed after a failure (Structured Streaming re-runs the
 last uncommitted batch) is recognised and skipped: the sink is idempotent
 and the table never shows half a batch.
@@ -32,8 +31,7 @@ def _already_applied(spark: SparkSession, root: str, batch_id: int) -> bool:
 
 def apply_batch(batch: DataFrame, batch_id: int, root: str, seq_col: str | None = "seq") -> int | None:
     """Upsert one micro-batch into the table at ``root``; returns the new
-    version, or None when the batch was already applied or is empty.  Only
-    the partitions the batch touches are rewritten (a partial version)."""
+    version, or None when the batch was already applied or is empty."""
     spark = batch.sparkSession
     if _already_applied(spark, root, batch_id):
         return None

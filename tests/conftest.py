@@ -5,6 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from local_folder import set_if_local  # noqa: E402
 from quarry.session import local_session  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
@@ -14,5 +15,6 @@ SF_ORACLE = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     s = local_session("*", shuffle_partitions=8, app="quarry-tests")
+    set_if_local(s)
     yield s
     s.stop()
