@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from local_folder import set_if_local  # noqa: E402
 from quarry.llm.common import read_table, scratch_path  # noqa: E402
 from quarry.llm.language_id import UNDETERMINED, identify_language, train_on_documents  # noqa: E402
 from quarry.llm.line_dedup import dedup_lines  # noqa: E402
@@ -87,6 +88,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; returns the last one's rows."""
+    set_if_local(spark)
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = scratch_path(spark, f"stage-{name}")
