@@ -29,11 +29,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import schema_with, worker_cache
+from .head_table import U64, HeadTable, mix
 
 NEVER = 1 << 60
 LONG_CONTRACTIONS = ("'re", "'ve", "'ll")
 # Words remembered by a worker; beyond, the memory starts afresh (no result depends on it).
 CACHE_WORDS = 200_000
+# Pretokens of more bytes are counted one by one.
+LONG_BYTES = 256
+GROUP_CHARS = 1 << 20
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -44,6 +48,26 @@ def byte_alphabet() -> dict[str, int]:
     return {**{chr(b): b for b in plain}, **{chr(256 + i): b for i, b in enumerate(rest)}}
 
 
+class PairTable:
+    """Whether pairs of tokens may follow each other, as far as known."""
+
+    def __init__(self, bits: int = 22):
+        self.bits = bits
+        self.keys, self.values = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int8)
+
+    def slots(self, keys: np.ndarray) -> np.ndarray:
+        return (mix(keys.view(U64)) >> U64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """1 yes, 0 no, -1 unknown.  A slot holds one pair; a newer one replaces an older one."""
+        slot = self.slots(keys)
+        return np.where(self.keys[slot] == keys, self.values[slot], -1)
+
+    def add(self, keys: np.ndarray, values: np.ndarray) -> None:
+        slot = self.slots(keys)
+        self.keys[slot], self.values[slot] = keys, values
+
+
 class PrefixCounter:
     """Prefix token counts for one byte-level BPE tokenizer file."""
 
@@ -70,6 +94,8 @@ class PrefixCounter:
             if whole not in self.made:
                 self.made[whole] = (r, left, right)
         self.tails = {t[k:] for t in self.tokens for k in range(len(t))}
+        self.table = HeadTable(self.tokens.items())
+        self.pairs = PairTable()
         self.sides: tuple[dict, dict] = ({}, {})
         self.seams: dict[tuple[int, int], bool] = {}
         self.words: dict[str, tuple[bytes, bool]] = {}
@@ -114,6 +140,18 @@ class PrefixCounter:
             self.seams[a, b] = seam
         return seam
 
+    def all_follow(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """:meth:`follows` for whole arrays; pairs met before come from a table."""
+        keys = (a.astype(np.int64) << 32) | b
+        known = self.pairs.find(keys)
+        unknown = np.flatnonzero(known < 0)
+        if len(unknown):
+            new = np.unique(keys[unknown])
+            told = np.array([self.follows(int(k >> 32), int(k & 0xFFFFFFFF)) for k in new], np.int8)
+            self.pairs.add(new, told)
+            known[unknown] = told[np.searchsorted(new, keys[unknown])]
+        return known == 1
+
     def byte_counts(self, word: bytes) -> list[int]:
         """Token counts of all byte prefixes of one pretoken, from 0."""
         tokens, tails, follows = self.tokens, self.tails, self.follows
@@ -136,25 +174,82 @@ class PrefixCounter:
                 raise ValueError("the vocabulary lacks a byte")
         return count
 
+    def many(self, words: list[str]) -> None:
+        """Remember :meth:`word` for many pretokens: the program advances all
+        of them by a byte at a time.  Long ones are left to :meth:`word`."""
+        raws = [w.encode("utf-8", "replace") for w in words]
+        short = [i for i, r in enumerate(raws) if 0 < len(r) <= LONG_BYTES]
+        words, raws = [words[i] for i in short], [raws[i] for i in short]
+        if not words:
+            return
+        size = np.fromiter(map(len, raws), np.int64, len(raws))
+        data = np.frombuffer(b"".join(raws), np.uint8)
+        stop = np.cumsum(size)
+        start, length, token = self.table.matches(data.astype(U64), np.repeat(stop, size))
+        word_of = np.repeat(np.arange(len(raws)), size)
+        begin = stop - size
+        # Node 0 of a word comes before its first byte; node x + 1 after byte x.
+        node = start + word_of[start]
+        source, target = node, node + length
+        depth = start - begin[word_of[start]] + length
+        order = np.argsort(depth, kind="stable")
+        source, target, token, depth = source[order], target[order], token[order], depth[order]
+        last, count = np.full(len(data) + len(raws), -1), np.zeros(len(data) + len(raws), np.int32)
+        cut = np.searchsorted(depth, np.arange(1, int(size.max()) + 2))
+        for x, y in zip(cut[:-1], cut[1:]):
+            src, tok = source[x:y], token[x:y]
+            before = last[src]
+            ok = before < 0
+            rest = np.flatnonzero(~ok)
+            ok[rest] = self.all_follow(before[rest], tok[rest])
+            last[target[x:y][ok]] = tok[ok]
+            count[target[x:y][ok]] = count[src[ok]] + 1
+        # A node that no token ended at stays at 0 beyond its word's start.
+        heads = begin + np.arange(len(raws))
+        inner = np.ones(len(count), bool)
+        inner[heads] = False
+        counts = count[inner]
+        if not counts.all():
+            raise ValueError("the vocabulary lacks a byte")
+        for w, r, a, b in zip(words, raws, begin.tolist(), stop.tolist()):
+            self.keep(w, r, counts[a:b])
+
+    def keep(self, p: str, raw: bytes, counts: np.ndarray) -> tuple[bytes, bool]:
+        if len(raw) != len(p):  # keep the last byte of every character
+            counts = counts[np.append((np.frombuffer(raw, np.uint8)[1:] & 0xC0) != 0x80, True)]
+        if p in LONG_CONTRACTIONS:
+            counts = counts.copy()
+            counts[1] = 2
+        found = (counts.tobytes(), self.space.fullmatch(p) is not None)
+        self.words[p] = found
+        return found
+
     def word(self, p: str) -> tuple[bytes, bool]:
         """Counts after each character of a pretoken (int32), and whether it is white space."""
         found = self.words.get(p)
         if found is None:
             raw = p.encode("utf-8", "replace")
-            counts = np.array(self.byte_counts(raw), dtype=np.int32)[1:]
-            if len(raw) != len(p):  # keep the last byte of every character
-                counts = counts[np.append((np.frombuffer(raw, np.uint8)[1:] & 0xC0) != 0x80, True)]
-            if p in LONG_CONTRACTIONS:
-                counts[1] = 2
-            found = (counts.tobytes(), self.space.fullmatch(p) is not None)
-            if len(self.words) >= CACHE_WORDS:
-                self.words.clear()
-            self.words[p] = found
+            found = self.keep(p, raw, np.array(self.byte_counts(raw), dtype=np.int32)[1:])
         return found
 
-    def plain(self, text: str) -> tuple[np.ndarray, int]:
+    def prepare(self, texts: list) -> list:
+        """Remember the pretokens of a group of texts; returns each text's
+        pretokens (None for a text with special strings)."""
+        new, parts = set(), []
+        for t in texts:
+            found = None if self.split_special.search(t or "") else self.pattern.findall(t or "")
+            parts.append(found)
+            new.update(found or ())
+        unknown = new.difference(self.words)
+        if len(self.words) + len(unknown) > CACHE_WORDS:
+            self.words.clear()
+            unknown = new
+        self.many(sorted(unknown))
+        return parts
+
+    def plain(self, text: str, parts: list[str] | None = None) -> tuple[np.ndarray, int]:
         """Counts after each character of a text without special strings, and of all of it."""
-        parts = self.pattern.findall(text)
+        parts = self.pattern.findall(text) if parts is None else parts
         if not parts:
             return np.zeros(0, np.int32), 0
         found = [self.words.get(p) or self.word(p) for p in parts]
@@ -169,8 +264,11 @@ class PrefixCounter:
                 out[end[k]] = before[k] + run[-1]
         return out, int(out[-1])
 
-    def counts(self, text: str | None) -> np.ndarray:
-        """Token counts of ``text[:0]``, ``text[:1]`` ... ``text``."""
+    def counts(self, text: str | None, pretokens: list[str] | None = None) -> np.ndarray:
+        """Token counts of ``text[:0]``, ``text[:1]`` ... ``text``; ``pretokens``
+        are those of :meth:`prepare`, if at hand."""
+        if pretokens is not None:
+            return np.concatenate((np.zeros(1, np.int32), self.plain(text or "", pretokens)[0]))
         parts, total = [np.zeros(1, np.int32)], 0
         pieces, marks = [], []
         start = 0
@@ -233,11 +331,17 @@ def prefix_token_counts(df: DataFrame, tokenizer_path: str, text: str = "text",
     def run(batches):
         counter = worker_cache(f"prefix:{tokenizer_path}", lambda: PrefixCounter(tokenizer_path))
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                part = b.slice(at, 256)
+            texts, at = b.column(text).to_pylist(), 0
+            while at < len(texts):
+                end, chars = at, 0
+                while end < len(texts) and (end == at or chars + len(texts[end] or "") <= GROUP_CHARS):
+                    chars += len(texts[end] or "")
+                    end += 1
+                part, own_texts = b.slice(at, end - at), texts[at:end]
+                pretokens = counter.prepare(own_texts)
                 n_bytes, n_tokens, fits, packed = [], [], [], []
-                for t in part.column(text).to_pylist():
-                    counts = counter.counts(t)
+                for t, parts in zip(own_texts, pretokens):
+                    counts = counter.counts(t, parts)
                     n_bytes.append(len((t or "").encode("utf-8", "replace")))
                     n_tokens.append(int(counts[-1]))
                     fits.append(int(np.flatnonzero(counts <= budget)[-1]))
@@ -245,6 +349,7 @@ def prefix_token_counts(df: DataFrame, tokenizer_path: str, text: str = "text",
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64()),
                      pa.array(fits, pa.int64()), pa.array(packed, pa.binary())], names=[*part.schema.names, *own])
+                at = end
 
     return base.mapInArrow(run, schema)
 

@@ -36,18 +36,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import schema_with, worker_cache
+from .head_table import U64, HeadTable, mix
 
 BLANK = "▁"
 # Texts are taken in groups of about so many characters (no result depends on it).
 BATCH_CHARS = 1 << 20
-U64 = np.uint64
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        x = (x ^ (x >> U64(30))) * U64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> U64(27))) * U64(0x94D049BB133111EB)
-    return x ^ (x >> U64(31))
 
 
 def uniform(*parts) -> np.ndarray:
@@ -60,8 +53,7 @@ def uniform(*parts) -> np.ndarray:
 
 
 class Vocabulary:
-    """The pieces of a model, and a hash table of their beginnings that whole
-    arrays of positions are looked up in at once."""
+    """The pieces of a model and their scores."""
 
     def __init__(self, model_path: str):
         import sentencepiece
@@ -74,50 +66,10 @@ class Vocabulary:
         self.ids = {self.pieces[i]: (i, -math.log1p(max(0.0, -sp.get_score(i)))) for i in plain}
         self.byte_score = -math.log1p(n)
         self.split = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
-        heads = sorted({p[:k] for p in self.ids for k in range(1, len(p) + 1)})
-        self.longest = max(map(len, heads))
-        keys = np.array([self.key_of(h) for h in heads], U64)
-        self.bits = max(8, int(len(heads) * 4).bit_length())
-        self.table = np.zeros(1 << self.bits, U64)  # key, 0 for an empty slot
-        self.piece = np.full(1 << self.bits, -1, np.int64)  # -1: a beginning, but no piece
-        self.score = np.zeros(1 << self.bits)
-        for h, key in zip(heads, keys):
-            at = int(key >> U64(64 - self.bits))
-            while self.table[at]:
-                at = (at + 1) & (len(self.table) - 1)
-            self.table[at] = key
-            if h in self.ids:
-                self.piece[at], self.score[at] = self.ids[h]
-
-    @staticmethod
-    def key_of(piece: str) -> int:
-        h = np.zeros(1, U64)
-        for c in piece:
-            h = Vocabulary.extend(h, np.array([ord(c)], U64))
-        return int(Vocabulary.key(h)[0])
-
-    @staticmethod
-    def extend(h, code_points):
-        with np.errstate(over="ignore"):
-            return h * U64(0x9E3779B97F4A7C15) + code_points + U64(1)
-
-    @staticmethod
-    def key(h):
-        return np.maximum(mix(h), U64(1))
-
-    def find(self, h):
-        """Table slots of some hashes, -1 where the string begins no piece."""
-        keys = self.key(h)
-        slot = (keys >> U64(64 - self.bits)).astype(np.int64)
-        out = np.full(len(keys), -1, np.int64)
-        todo = np.arange(len(keys))
-        while len(todo):
-            held = self.table[slot[todo]]
-            hit = held == keys[todo]
-            out[todo[hit]] = slot[todo[hit]]
-            todo = todo[~hit & (held != 0)]
-            slot[todo] = (slot[todo] + 1) & (len(self.table) - 1)
-        return out
+        self.table = HeadTable(([ord(c) for c in p], i) for p, (i, _) in self.ids.items())
+        self.score = np.zeros(n)
+        for i, score in self.ids.values():
+            self.score[i] = score
 
     def decode(self, ids) -> str:
         """The text of a piece sequence: blanks restored, bytes joined, the
@@ -157,27 +109,15 @@ class Lattices:
         self.head = self.tail - size
         end = np.repeat(np.cumsum(size), size)  # where the word of a character ends
         node = np.arange(len(cps)) + np.repeat(np.arange(len(words)), size)
-        at, h, parts, bare = np.arange(len(cps)), np.zeros(len(cps), U64), [], None
-        for length in range(1, vocab.longest + 1):
-            go = at + length <= end[at]
-            at, h = at[go], vocab.extend(h[go], cps[at[go] + length - 1])
-            slot = vocab.find(h)
-            known = slot >= 0
-            is_piece = known.copy()
-            is_piece[known] = vocab.piece[slot[known]] >= 0
-            parts.append((at[is_piece], np.full(is_piece.sum(), length), vocab.piece[slot[is_piece]],
-                          vocab.score[slot[is_piece]]))
-            if length == 1:
-                bare = at[~is_piece]
-            at, h = at[known], h[known]
-            if not len(at):
-                break
-        if bare is not None and len(bare):
-            c = cps[bare].astype(np.int64)
-            n_bytes = 1 + (c >= 0x80) + (c >= 0x800) + (c >= 0x10000)
-            parts.append((bare, np.ones(len(bare), np.int64), -1 - c, n_bytes * vocab.byte_score))
-        src, step, piece, score = (np.concatenate([p[i] for p in parts]) for i in range(4)) if parts else (
-            np.zeros(0, np.int64),) * 4
+        src, step, piece = vocab.table.matches(cps, end)
+        bare = np.ones(len(cps), bool)  # characters without a piece of their own
+        bare[src[step == 1]] = False
+        bare = np.flatnonzero(bare)
+        c = cps[bare].astype(np.int64)
+        n_bytes = 1 + (c >= 0x80) + (c >= 0x800) + (c >= 0x10000)
+        score = np.concatenate((vocab.score[piece], n_bytes * vocab.byte_score))
+        src, step = np.concatenate((src, bare)), np.concatenate((step, np.ones(len(bare), np.int64)))
+        piece = np.concatenate((piece, -1 - c))
         src = np.concatenate((node[src], self.tail))
         order = np.argsort(src, kind="stable")
         src = src[order]
