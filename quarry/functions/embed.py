@@ -22,7 +22,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import spread
 from .text import analyze
 
 # Fixed values: the hash embedder's rule.
@@ -112,14 +111,20 @@ def _has_text(text: Column) -> Column:
     return text.isNotNull() & (F.trim(text) != "")
 
 
-def embed_documents(df: DataFrame, model, text_col: str = "content", vector_col: str = "embedding") -> DataFrame:
+def embed_documents(df: DataFrame, model, text_col: str = "content", vector_col: str = "embedding",
+                    tasks: int | None = None) -> DataFrame:
     """UDF-1: fill a vector only where it is missing and the text is not
-    empty; other rows are untouched.  Without a model nothing changes."""
+    empty; other rows are untouched.  Without a model nothing changes.
+
+    The model runs where the rows are read; ``tasks`` deals them out anew
+    first, for an input of fewer splits than the model needs tasks."""
     if model is None:
         return df
+    if tasks:
+        df = df.repartition(tasks)
     vec, text = F.col(vector_col), F.col(text_col)
     need = _missing(vec) & _has_text(text)
-    return spread(df).withColumn(vector_col, F.coalesce(
+    return df.withColumn(vector_col, F.coalesce(
         F.when(~need, vec), embed_column(model, text, need)))
 
 
@@ -128,9 +133,11 @@ def embed_queries(queries: DataFrame, model, text_col: str = "text", vector_col:
     Needing an embedding without a model is an error (D18)."""
     if vector_col not in queries.columns:
         queries = queries.withColumn(vector_col, F.lit(None).cast("array<float>"))
+    vec, text = F.col(vector_col), F.col(text_col) if text_col in queries.columns else F.lit(None).cast("string")
+    need = _missing(vec) & _has_text(text)
     if model is None:
+        if queries.select(need.alias("need")).where("need").limit(1).count():
+            raise ValueError("a text query needs an embedding model")
         return queries
-    vec, text = F.col(vector_col), F.col(text_col)
-    need = _missing(vec) & _has_text(text)
     return queries.withColumn(vector_col, F.coalesce(
         F.when(~need, vec), embed_column(model, text, need)))

@@ -114,7 +114,7 @@ def topk_per_column(scores: np.ndarray, kk: int) -> tuple[np.ndarray, np.ndarray
     n, m = scores.shape
     if n == 0 or m == 0 or kk <= 0:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    r = np.round(scores, 6)
+    r = np.sign(scores) * np.floor(np.abs(scores) * 1e6 + 0.5) / 1e6  # half away from zero, as Spark rounds
     r = np.where(np.isnan(r), -np.inf, r)
     if n > kk:
         cut = np.partition(r, n - kk, axis=0)[n - kk]  # kk-th largest per column

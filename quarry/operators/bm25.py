@@ -1,36 +1,32 @@
 """BM25 full-text index and top-k (SRCH-6, SRCH-7, SRCH-8; SURVEY D5).
 
-Index build (one pass over the text, one shuffle):
-    tokens = analyze(content) -> explode -> group by (term, doc) for tf
-    (partial aggregation collapses a document's repeats before the shuffle),
-    document frequency per term, and the two collection statistics N and
-    avgdl (one row, read back as literals).
-
-Search:
-    query terms (with repeats counted) join the term table for idf, then the
-    postings on ``term``; per (query, doc) sum of
-    ``idf * qtf * tf*(k1+1) / (tf + k1*(1-b+b*dl/avgdl))``; per-query top-k.
-    The query-term side is tiny and AQE broadcasts it from its measured
-    size; when it is not, the join shuffles on term and AQE splits the
-    partitions of common terms (skew join).
+Index build: every document is tokenised once and its terms are counted
+within the row; the compact rows (key, length, counted terms) are written to
+the shared folder, and postings, term table and collection statistics (N and
+avgdl, one row) are read from there.  Texts are never shuffled.
+
+Search: query terms (with repeats counted) join the term table for idf, then
+the postings on ``term``; per (query, doc) sum of
+``idf * qtf * tf*(k1+1) / (tf + k1*(1-b+b*dl/avgdl))``; per-query top-k.
+Filters cut the documents before anything is scored.  The query terms are
+broadcast when their measured bytes fit the budget, so postings stay where
+their documents are; beyond it the join shuffles on the term and AQE splits
+common ones.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import BM25_B, BM25_K1, analyze, bm25_doc_weight, idf
-from ..session import broadcast_budget
+from ..session import broadcast_budget, materialize
 from .knn import attach_columns, scope_corpus
 from .topk import apply_threshold, rank_topk
 
-
-# Largest distinct query-term list pushed into the postings scan as a literal IN.
-MAX_PUSHED_TERMS = 10_000
+STATS = "n_docs long, avgdl double, k1 double, b double, analyzer string, drop_ratio_search double"
 
 
 @dataclass
@@ -48,14 +44,20 @@ class Bm25Index:
         """Persist the index; postings are clustered by term so a search
         that names its terms reads few row groups."""
         spark = self.postings.sparkSession
-        post = self.postings
-        if n_files:
-            post = post.repartitionByRange(n_files, "term")
-        post.sortWithinPartitions("term").write.mode("error").parquet(f"{root}/postings")
+        by = ("term", "partition_name", "id")  # not the term alone: a common one is many files
+        post = self.postings.repartitionByRange(n_files, *by) if n_files else self.postings
+        post.sortWithinPartitions(*by).write.mode("error").parquet(f"{root}/postings")
         self.terms.write.mode("error").parquet(f"{root}/terms")
-        spark.createDataFrame([(self.n_docs, self.avgdl, self.k1, self.b, self.analyzer)],
-                              "n_docs long, avgdl double, k1 double, b double, analyzer string") \
-            .coalesce(1).write.mode("error").json(f"{root}/stats")
+        self._stats(spark).coalesce(1).write.mode("error").json(f"{root}/stats")
+
+    def _stats(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame(
+            [(self.n_docs, self.avgdl, self.k1, self.b, self.analyzer, self.drop_ratio_search)], STATS)
+
+    @staticmethod
+    def _from(postings: DataFrame, terms: DataFrame, st) -> "Bm25Index":
+        return Bm25Index(postings, terms, int(st["n_docs"]), float(st["avgdl"]), float(st["k1"]), float(st["b"]),
+                         st["analyzer"], float(st["drop_ratio_search"] or 0.0))
 
     def save_table(self, name: str, n_buckets: int, path: str | None = None) -> None:
         """Persist as catalog tables: postings bucketed by document key and
@@ -73,58 +75,55 @@ class Bm25Index:
             w.saveAsTable(f"{name}_{table}")
         write(self.postings, "postings", bucketed=True)
         write(self.terms, "terms")
-        write(spark.createDataFrame([(self.n_docs, self.avgdl, self.k1, self.b, self.analyzer)],
-                                    "n_docs long, avgdl double, k1 double, b double, analyzer string"), "stats")
+        write(self._stats(spark), "stats")
 
     @staticmethod
     def from_table(spark: SparkSession, name: str) -> "Bm25Index":
-        st = spark.table(f"{name}_stats").first()
-        return Bm25Index(spark.table(f"{name}_postings"), spark.table(f"{name}_terms"), int(st["n_docs"]),
-                         float(st["avgdl"]), float(st["k1"]), float(st["b"]), st["analyzer"])
+        return Bm25Index._from(spark.table(f"{name}_postings"), spark.table(f"{name}_terms"),
+                               spark.table(f"{name}_stats").first())
 
     @staticmethod
     def read(spark: SparkSession, root: str) -> "Bm25Index":
-        st = spark.read.json(f"{root}/stats").first()
-        return Bm25Index(spark.read.parquet(f"{root}/postings"), spark.read.parquet(f"{root}/terms"),
-                         int(st["n_docs"]), float(st["avgdl"]), float(st["k1"]), float(st["b"]),
-                         st["analyzer"] if "analyzer" in st else None)
+        return Bm25Index._from(spark.read.parquet(f"{root}/postings"), spark.read.parquet(f"{root}/terms"),
+                               spark.read.schema(STATS).json(f"{root}/stats").first())
+
+
+def term_counts(tokens) -> Column:
+    """``array<struct<term, tf>>`` of a token array: sorted, then cut where
+    one token differs from the one before."""
+    def runs(s):
+        starts = F.filter(F.sequence(F.lit(0), F.size(s) - 1),
+                          lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+        return F.transform(F.array(starts), lambda st: F.transform(st, lambda p, k: F.struct(
+            F.get(s, p).alias("term"), (F.coalesce(F.get(st, k + 1), F.size(s)) - p).cast("long").alias("tf"))))
+
+    counted = F.flatten(F.flatten(F.transform(F.array(F.array_sort(tokens)), runs)))
+    return F.when(F.size(tokens) > 0, counted)
 
 
 def build_bm25_index(corpus: DataFrame, text_col: str = "content", *, k1: float = BM25_K1, b: float = BM25_B,
-                     analyzer: str | None = None, n_partitions: int | None = None,
-                     cache: bool = True) -> Bm25Index:
+                     analyzer: str | None = None) -> Bm25Index:
     """SRCH-6: postings, term table and collection statistics.
 
-    Documents are hash-partitioned by key before tokenising, so the tf
-    aggregation needs no further shuffle and the postings stay clustered by
-    document: at search time the per-(query, doc) sums and the partial
-    top-k run inside the postings' tasks, and only ``k`` rows per query per
-    task are shuffled.  ``avgdl`` is ``sum(tf) / N``; N counts every row of
-    ``corpus`` (a row without text has length 0) whatever filter a later
-    search applies (D5).  With ``cache`` the postings are persisted
-    (memory and disk, recomputable from lineage) for repeated searches;
-    :meth:`Bm25Index.write` stores them for good.
+    ``avgdl`` is ``sum(tf) / N``; N counts every row of ``corpus`` (a row
+    without text has length 0) whatever filter a later search applies (D5).
+    The counted rows go to the folder in ``spark.checkpoint.dir``;
+    :meth:`Bm25Index.write` and :meth:`Bm25Index.save_table` keep an index
+    for good.
     """
-    spark = corpus.sparkSession
-    n = n_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    docs = (corpus.select("partition_name", "id", F.col(text_col).alias("_text"))
-            .repartition(n, "partition_name", "id")
-            .select("partition_name", "id", analyze("_text", analyzer).alias("toks")))
-    postings = (docs.select("partition_name", "id", F.size("toks").cast("long").alias("dl"),
-                            F.explode("toks").alias("term"))
-                .groupBy("partition_name", "id", "dl", "term")
-                .agg(F.count(F.lit(1)).cast("long").alias("tf"))
-                .select("term", "partition_name", "id", "tf", "dl"))
-    if cache:
-        postings = postings.persist(StorageLevel.MEMORY_AND_DISK)
-    total = postings.agg(F.sum("tf").alias("t")).first()["t"] or 0
-    n_docs = corpus.count()
-    avgdl = float(total) / n_docs if n_docs else 0.0
-    terms = postings.groupBy("term").agg(F.count(F.lit(1)).cast("long").alias("df"),
-                                         F.sum("tf").cast("long").alias("cf"))
-    if cache:
-        terms = terms.persist(StorageLevel.MEMORY_AND_DISK)
-    return Bm25Index(postings, terms, n_docs, avgdl, k1, b, analyzer)
+    tokens = corpus.select("partition_name", "id", analyze(text_col, analyzer).alias("toks"))
+    docs = materialize(tokens.select("partition_name", "id", F.size("toks").cast("long").alias("dl"),
+                                     term_counts(F.col("toks")).alias("counts")), "bm25")
+    st = docs.agg(F.count("*").alias("n"), F.coalesce(F.sum("dl"), F.lit(0)).alias("t")).first()
+    # Clustered by document, so a search's sums need no exchange.  explode_outer:
+    # the plain one makes Catalyst add a filter that evaluates the array twice.
+    postings = (docs.repartition("partition_name", "id")
+                .select("partition_name", "id", "dl", F.explode_outer("counts").alias("c"))
+                .where(F.col("c.term").isNotNull()).select("c.term", "partition_name", "id", "c.tf", "dl"))
+    terms = (docs.select(F.explode_outer("counts").alias("c")).where(F.col("c.term").isNotNull())
+             .groupBy(F.col("c.term").alias("term"))
+             .agg(F.count(F.lit(1)).cast("long").alias("df"), F.sum("c.tf").cast("long").alias("cf")))
+    return Bm25Index(postings, terms, int(st["n"]), float(st["t"]) / st["n"] if st["n"] else 0.0, k1, b, analyzer)
 
 
 def query_terms(index: Bm25Index, queries: DataFrame, text_col: str = "text", drop_ratio: float = 0.0) -> DataFrame:
@@ -163,30 +162,17 @@ def bm25_candidates(index: Bm25Index, queries: DataFrame, *, text_col: str = "te
         names = [partitions] if isinstance(partitions, str) else list(partitions)
         post = post.where(F.col("partition_name").isin(names))
     contrib = F.col("weight") * bm25_doc_weight("tf", "dl", F.lit(float(index.avgdl) or 1.0), index.k1, index.b)
-    # The query-term side is counted, and broadcast only when that count
-    # fits the budget: the postings are then streamed in place (no shuffle
-    # by term), keeping their clustering by document.  A short list of
-    # distinct terms is also pushed into the postings scan, so a stored
-    # index (sorted by term) skips the row groups of every other term.
-    # One job gives both: per-term row counts for at most MAX_PUSHED_TERMS + 1
-    # distinct terms (a bounded collect); only beyond that is qt counted.
-    per_term = qt.groupBy("term").agg(F.count(F.lit(1)).alias("n")).limit(MAX_PUSHED_TERMS + 1).collect()
-    if len(per_term) <= MAX_PUSHED_TERMS:
-        n_qt, terms = sum(int(r["n"]) for r in per_term), [r["term"] for r in per_term]
-    else:
-        n_qt, terms = qt.count(), None
-    if n_qt * 96 <= broadcast_budget(qt.sparkSession):
-        qt = F.broadcast(qt)
-        if terms is not None:
-            post = post.where(F.col("term").isin(terms))
-    scored = (qt.join(post, "term")
-              .groupBy("query_id", "partition_name", "id")
-              .agg(F.sum(contrib).alias("score")))
     if pred is not None and not (isinstance(pred, str) and not pred.strip()):
         if corpus is None:
             raise ValueError("a predicate on document columns needs the corpus")
         allowed = scope_corpus(corpus, pred, partitions).select("partition_name", "id")
-        scored = scored.join(allowed, ["partition_name", "id"], "left_semi")
+        post = post.join(allowed, ["partition_name", "id"], "left_semi")
+    size = qt.agg(F.coalesce(F.sum(F.octet_length("term") + 64), F.lit(0))).first()[0]
+    if size <= broadcast_budget(qt.sparkSession):
+        qt = F.broadcast(qt)
+    scored = (qt.join(post, "term")
+              .groupBy("query_id", "partition_name", "id")
+              .agg(F.sum(contrib).alias("score")))
     return scored.withColumn("distance", F.col("score"))
 
 

@@ -64,7 +64,7 @@ def hybrid_search(corpus: DataFrame, index: Bm25Index, queries: DataFrame, k: in
                   weights=(0.5, 0.5), norm: str = "arctan", metric: str = "cosine", pred=None, partitions=None,
                   threshold: float | None = 0.0, columns=None, text_col: str = "text",
                   query_vector_col: str = "vector", vector_col: str = "embedding",
-                  ivf_index=None, nprobe: int = 8) -> DataFrame:
+                  ivf_index=None, nprobe: int = 8, drop_ratio: float | None = None) -> DataFrame:
     """SRCH-9: ``offset+k`` dense hits and ``offset+k`` BM25 hits per query,
     fused and ranked.  Queries need text (empty text is skipped, see
     :func:`quarry.plans.search.query_errors`) and a vector (embed first with
@@ -83,7 +83,7 @@ def hybrid_search(corpus: DataFrame, index: Bm25Index, queries: DataFrame, k: in
         dense = vector_search(corpus, good, kk, 0, metric=metric, pred=pred, partitions=partitions,
                               threshold=None, columns=[], vector_col=vector_col, query_vector_col=query_vector_col)
     sparse = bm25_search(index, good, kk, 0, text_col=text_col, pred=pred, partitions=partitions,
-                         corpus=corpus, threshold=None, columns=[])
+                         corpus=corpus, threshold=None, columns=[], drop_ratio=drop_ratio)
     ranked = rank_topk(fuse(dense, sparse, weights, norm, metric), k, offset).withColumn(
         "distance", F.col("score"))
     ranked = apply_threshold(ranked, threshold).select("query_id", "rank", "partition_name", "id", "score",

@@ -1,25 +1,22 @@
 """Approximate vector indexes: IVF_FLAT, IVF_SQ8, IVF_PQ (SRCH-2, -3, -4).
 
 Build
-    * cells: ``pyspark.ml`` KMeans trained on a bounded sample of the
-      corpus (cosine: on unit vectors); every row is assigned to its nearest
-      centroid with one BLAS product per Arrow batch (centroids broadcast,
-      size-checked), or by the fitted model's JVM predict beyond the budget.  The index is the corpus plus
-      a ``cell`` column; written clustered by cell, so a search that names
-      its probed cells skips the row groups of every other cell.
+    * cells: ``pyspark.ml`` KMeans trained on all rows (cosine: on unit
+      vectors); every row is assigned to its nearest centroid with one BLAS
+      product per Arrow batch (centroids broadcast: ``nlist x d`` numbers).
+      The index is the corpus plus a ``cell`` column; written, it is
+      range-clustered by (cell, id), so a hot cell is many files.
     * SQ8: per-dimension min/max (MLlib ``Summarizer``, an element-wise tree
       aggregate; dim-sized result), codes ``round((x-min)/(max-min)*255)``
       computed natively.
     * PQ: ``m`` sub-spaces, one KMeans codebook of ``2**nbits`` centroids
-      each (trained on the sample), codes assigned in ``mapInArrow`` with
-      the codebooks broadcast (``m * 2**nbits * d/m`` floats).
-
-Search uses the shared blocked kernel of :mod:`quarry.operators.knn`: the
-query block is broadcast with each query's ``nprobe`` nearest cells, the
-scan is restricted to the union of probed cells, and inside a batch each
-cell's rows are scored only against the queries that probe it.  A hot cell
-is just more rows for the scan tasks: nothing is grouped by cell, so cell
-skew never concentrates on one task.
+      each, codes assigned in ``mapInArrow`` with the codebooks broadcast
+      (``m * 2**nbits * d/m`` floats).
+
+Search uses the block join of :mod:`quarry.operators.knn`: a query becomes
+one row for each of its ``nprobe`` nearest cells and meets that cell's rows
+by an equi join on the cell, both dealt into blocks, so a hot cell is many
+tasks and a cell that nothing probes is dropped before it is shuffled.
 """
 
 from __future__ import annotations
@@ -28,6 +25,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
@@ -35,12 +33,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.vectors import check_metric, cosine, dot, l2_distance, normalize, score_matrix
-from ..session import broadcast_budget
+from ..functions.vectors import check_metric, cosine, dot, l2_distance, normalize, prepare_queries, score_matrix
+from ..sources.segments import default_columns
 from .knn import _arrow_matrix, finish_search, knn_candidates, scope_corpus
 from .topk import rank_topk
 
 KINDS = ("flat", "sq8", "pq")
+INDEX_COLUMNS = ("cell", "sq8_codes", "pq_codes")
 
 
 @dataclass
@@ -62,12 +61,11 @@ class IvfIndex:
     def write(self, root: str) -> None:
         """Persist the index table clustered by cell (range-partitioned and
         sorted), plus the small arrays it needs."""
-        n = max(1, self.table.rdd.getNumPartitions())
-        (self.table.repartitionByRange(n, "cell").sortWithinPartitions("cell")
+        (self.table.repartitionByRange("cell", "id").sortWithinPartitions("cell", "id")
          .write.mode("error").parquet(f"{root}/table"))
         spark = self.table.sparkSession
         meta = {"centroids": self.centroids.tolist(), "metric": self.metric, "kind": self.kind,
-                "vector_col": self.vector_col,
+                "vector_col": self.vector_col, "params": self.params,
                 "sq8_min": None if self.sq8_min is None else self.sq8_min.tolist(),
                 "sq8_max": None if self.sq8_max is None else self.sq8_max.tolist(),
                 "pq_codebooks": None if self.pq_codebooks is None else self.pq_codebooks.tolist()}
@@ -82,16 +80,12 @@ class IvfIndex:
         arr = (lambda x: None if x is None else np.asarray(x, dtype=np.float64))
         return IvfIndex(spark.read.parquet(f"{root}/table"), arr(meta["centroids"]), meta["metric"],
                         meta["kind"], meta["vector_col"], arr(meta["sq8_min"]), arr(meta["sq8_max"]),
-                        arr(meta["pq_codebooks"]))
+                        arr(meta["pq_codebooks"]), meta.get("params", {}))
 
 
-def _train_frame(scope: DataFrame, vector_col: str, metric: str, sample_rows: int | None, seed: int,
-                 n_rows: int) -> DataFrame:
+def _train_frame(scope: DataFrame, vector_col: str, metric: str) -> DataFrame:
     vec = normalize(vector_col) if metric == "cosine" else F.col(vector_col)
-    train = scope.select(array_to_vector(vec).alias("features"))
-    if sample_rows and n_rows > sample_rows:
-        train = train.sample(fraction=min(1.0, 1.2 * sample_rows / n_rows), seed=seed)
-    return train
+    return scope.select(array_to_vector(vec).alias("features"))
 
 
 def _kmeans(train: DataFrame, k: int, seed: int, max_iter: int):
@@ -134,16 +128,13 @@ def sq8_scorer(mins: np.ndarray, maxs: np.ndarray):
     return factory
 
 
-def _pq_train(scope: DataFrame, vector_col: str, metric: str, m: int, nbits: int, sample_rows: int | None,
-              seed: int, max_iter: int, n_rows: int, dim: int) -> np.ndarray:
+def _pq_train(scope: DataFrame, vector_col: str, metric: str, m: int, nbits: int, seed: int, max_iter: int,
+              dim: int) -> np.ndarray:
     if dim % m:
         raise ValueError(f"dimension {dim} is not divisible by m={m}")
     ds = dim // m
     vec = normalize(vector_col) if metric == "cosine" else F.col(vector_col)
     base = scope.select(vec.alias("_v"))
-    if sample_rows and n_rows > sample_rows:
-        base = base.sample(fraction=min(1.0, 1.2 * sample_rows / n_rows), seed=seed)
-    base = base.cache()
     books = []
     for j in range(m):
         sub = base.select(array_to_vector(F.slice("_v", j * ds + 1, ds)).alias("features"))
@@ -152,7 +143,6 @@ def _pq_train(scope: DataFrame, vector_col: str, metric: str, m: int, nbits: int
         if len(centers) < 2 ** nbits:  # fewer distinct points than codes: pad with copies
             centers = np.vstack([centers, np.repeat(centers[:1], 2 ** nbits - len(centers), axis=0)])
         books.append(centers)
-    base.unpersist()
     return np.stack(books)
 
 
@@ -229,13 +219,12 @@ def pq_scorer(books: np.ndarray):
     return factory
 
 
-def build_ivf(corpus: DataFrame, nlist: int = 16, metric: str = "cosine", *, kind: str = "flat",
-              m: int = 8, nbits: int = 8, sample_rows: int | None = 262_144, seed: int = 42, max_iter: int = 20,
+def build_ivf(corpus: DataFrame, nlist: int, metric: str = "cosine", *, kind: str = "flat",
+              m: int = 8, nbits: int = 8, seed: int = 42, max_iter: int = 20,
               vector_col: str = "embedding") -> IvfIndex:
     """Build an IVF index over the rows of ``corpus`` that have a vector.
 
-    ``nlist=1`` skips clustering (a flat SQ8 or PQ index).  Training uses
-    at most about ``sample_rows`` rows.
+    ``nlist=1`` is a flat SQ8 or PQ index.  Training (MLlib KMeans) uses all rows.
     """
     metric = check_metric(metric)
     if kind not in KINDS:
@@ -248,14 +237,9 @@ def build_ivf(corpus: DataFrame, nlist: int = 16, metric: str = "cosine", *, kin
         centroids = np.zeros((1, dim))
         table = scope.withColumn("cell", F.lit(0))
     else:
-        model = _kmeans(_train_frame(scope, vector_col, metric, sample_rows, seed, n_rows), nlist, seed, max_iter)
+        model = _kmeans(_train_frame(scope, vector_col, metric), nlist, seed, max_iter)
         centroids = np.array(model.clusterCenters(), dtype=np.float64)
-        if centroids.nbytes <= broadcast_budget(corpus.sparkSession):
-            table = _assign_cells(scope, vector_col, metric, centroids)
-        else:  # centroids beyond the broadcast budget: MLlib's per-row predict
-            vec = normalize(vector_col) if metric == "cosine" else F.col(vector_col)
-            table = (model.transform(scope.withColumn("features", array_to_vector(vec)))
-                     .drop("features").withColumn("cell", F.col("cell").cast("int")))
+        table = _assign_cells(scope, vector_col, metric, centroids)
     index = IvfIndex(table, centroids, metric, kind, vector_col,
                      params={"nlist": len(centroids), "m": m, "nbits": nbits})
     if kind == "sq8":
@@ -263,20 +247,40 @@ def build_ivf(corpus: DataFrame, nlist: int = 16, metric: str = "cosine", *, kin
         index.sq8_min, index.sq8_max = lo, hi
         index.table = table.withColumn("sq8_codes", sq8_encode(vector_col, lo, hi))
     elif kind == "pq":
-        books = _pq_train(scope, vector_col, metric, m, nbits, sample_rows, seed, max_iter, n_rows, dim)
+        books = _pq_train(scope, vector_col, metric, m, nbits, seed, max_iter, dim)
         index.pq_codebooks = books
         index.table = _pq_assign(table, vector_col, metric, books)
     return index
 
 
-def probe_cells(centroids: np.ndarray, metric: str, nprobe: int):
-    """For prepared query rows, the ``nprobe`` nearest centroids (the same
-    L2 rule rows were assigned by; cosine queries are already unit)."""
-    def probes(q: np.ndarray):
-        if len(centroids) <= nprobe:
-            return [np.arange(len(centroids))] * len(q)
-        d2 = (q * q).sum(1)[:, None] + (centroids * centroids).sum(1)[None, :] - 2 * q @ centroids.T
-        return list(np.argpartition(d2, nprobe - 1, axis=1)[:, :nprobe])
+def probe_cells(index: IvfIndex, nprobe: int):
+    """The queries once for each of their ``nprobe`` nearest cells (the same
+    L2 rule rows were assigned by; cosine queries as unit vectors)."""
+    def probes(asked: DataFrame) -> DataFrame:
+        bc = asked.sparkSession.sparkContext.broadcast(index.centroids)  # nlist x d numbers
+        metric = index.metric
+
+        def run(batches):
+            c = bc.value
+            cc = (c * c).sum(1)
+            near = min(nprobe, len(c))
+            for batch in batches:
+                length = pc.fill_null(pc.list_value_length(batch.column("_qv")), 0).to_numpy(zero_copy_only=False)
+                # The one cell of a flat index takes queries of every length.
+                good = np.flatnonzero(length > 0 if len(c) == 1 else length == c.shape[1])
+                part = batch.take(pa.array(good))
+                if len(c) == 1:
+                    cells = np.zeros((len(good), 1), np.int32)
+                else:
+                    q, _ = prepare_queries(_arrow_matrix(part.column("_qv")), metric)
+                    d2 = cc[None, :] - 2 * (q @ c.T) if len(good) else np.zeros((0, len(c)))
+                    cells = np.argsort(d2, axis=1, kind="stable")[:, :near].astype(np.int32)
+                out = part.take(pa.array(np.repeat(np.arange(len(good)), cells.shape[1])))
+                yield pa.RecordBatch.from_arrays([*out.columns, pa.array(cells.ravel(), pa.int32())],
+                                                 names=[*out.schema.names, "_cell"])
+
+        schema = T.StructType([*asked.schema.fields, T.StructField("_cell", T.IntegerType())])
+        return asked.mapInArrow(run, schema)
     return probes
 
 
@@ -303,10 +307,12 @@ def ivf_search(index: IvfIndex, queries: DataFrame, k: int = 10, offset: int = 0
     cands = knn_candidates(scope.select("partition_name", "id", "cell", *cols), queries, kk, metric=metric,
                            vector_col=index.vector_col, query_vector_col=query_vector_col,
                            scorer_factory=factory, cell_col="cell",
-                           probe_fn=probe_cells(index.centroids, metric, nprobe),
+                           probe_fn=probe_cells(index, nprobe),
                            valid_col=cols[0], check_dim=check_dim)
     if rerank and index.kind != "flat":
         cands = _rerank(rank_topk(cands, kk), scope, queries, metric, index.vector_col, query_vector_col)
+    if columns is None:  # the corpus's own columns, not the index's
+        columns = [c for c in default_columns(scope) if c not in INDEX_COLUMNS and c != index.vector_col]
     return finish_search(cands, scope, queries, k, offset, threshold, columns, False, index.vector_col)
 
 

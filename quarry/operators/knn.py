@@ -1,42 +1,43 @@
-"""Dense-vector top-k (SRCH-1, plus the shared kernel used by SRCH-2/3/4).
+"""Dense-vector top-k (SRCH-1, plus the block join used by SRCH-2/3/4).
 
 Plan, for a table of queries against a corpus of N rows:
 
 1. Scope the corpus first (partition list, predicate): plain filters that
-   reach the scan.  Rows without a vector of the query dimension are
-   skipped inside the kernel, so no filter is ever placed on a computed
-   (e.g. embedded) vector column.
-2. Split the queries into blocks whose float64 matrix fits the broadcast
-   budget (one block in practice), broadcast each block once.
-3. ``mapInArrow`` over the corpus: each Arrow batch becomes one (n, d)
-   matrix, is multiplied by the query block, and is cut to its best
-   ``offset+k`` rows per query; the survivors of all batches of a task are
-   cut again, so each task emits at most ``offset+k`` rows per query.  No
-   row pair is ever materialised and the corpus is never shuffled.
+   reach the scan.
+2. Deal the corpus into blocks of about ``CORPUS_ROWS`` rows by a hash of the
+   id, and the queries into blocks of about ``QUERY_ROWS``.  An IVF search
+   does so within each cell: a query goes to the cells it probes, and a hot
+   cell is many blocks.  The numbers of blocks are aggregates inside the plan;
+   nothing passes through the driver.
+3. Each pair of blocks meets in one task (a cogroup on the block numbers): one
+   (n, d) x (d, m) matrix product, cut to the best ``offset+k`` rows for each
+   query.  A task's memory depends on the block sizes only.
 4. A per-query ``row_number`` top-k over those candidates (a partial
    ``WindowGroupLimit`` runs before the shuffle on ``query_id``).
 5. Wide output columns are joined back for the k winners only.
+
+Vectors of another length than the query's never rank, and a query without a
+vector ranks nothing; neither fails the job.
 """
 
 from __future__ import annotations
 
-import math
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.vectors import check_metric, prepare_queries, score_matrix, topk_per_column
-from ..session import broadcast_budget, spread
 from ..sources.segments import default_columns
 from .topk import apply_threshold, rank_topk
 
 # Largest score matrix (n rows x m queries) computed at once inside a task.
 _MAX_CELLS = 4_000_000
+# Rows of a corpus block and of a query block.
+CORPUS_ROWS = 16_384
+QUERY_ROWS = 2_048
 
 
 def scope_corpus(corpus: DataFrame, pred=None, partitions=None) -> DataFrame:
@@ -48,7 +49,7 @@ def scope_corpus(corpus: DataFrame, pred=None, partitions=None) -> DataFrame:
     if pred is not None:
         cond = F.expr(pred) if isinstance(pred, str) else pred
         if not (isinstance(pred, str) and not pred.strip()):
-            out = out.where(F.coalesce(cond, F.lit(False)))
+            out = out.where(cond)  # as it is, so that it reaches the scan
     return out
 
 
@@ -73,139 +74,99 @@ def dense_scorer(vector_col: str, metric: str):
     return score
 
 
-def _valid_rows(batch: pa.RecordBatch, col: str, dim: int | None) -> np.ndarray:
+def _valid_rows(batch: pa.Table, col: str, dim: int | None) -> np.ndarray:
     """Row indices with a non-null vector (of length ``dim`` when given)."""
     arr = batch.column(col)
     ok = arr.is_valid()
     if dim is not None:
         ok = pc.and_(ok, pc.equal(pc.list_value_length(arr), dim))
-    return np.nonzero(ok.to_numpy(zero_copy_only=False))[0]
-
-
-def _kernel(batches, bc, scorer, kk: int, cell_col: str | None, qid_type: pa.DataType,
-            valid_col: str | None = None, valid_dim: int | None = None):
-    """Best ``kk`` rows per query over all Arrow batches of one task.
-
-    Each batch is scored (per probed cell when ``cell_col`` is set) and cut
-    to its ``kk`` best rows per query; the survivors of all batches are cut
-    again at the end, so a task emits at most ``kk`` rows per query.
-    """
-    payload = bc.value
-    qids, qmat = payload["qids"], payload["q"]
-    cell_queries = payload.get("cell_queries")  # cell -> query indices, or None
-    out_schema = pa.schema([("query_id", qid_type), ("partition_name", pa.string()), ("id", pa.string()),
-                            ("score", pa.float64()), ("distance", pa.float64())])
-    keep_q, keep_id, keep_part, keep_s, keep_d = [], [], [], [], []
-    for batch in batches:
-        n = batch.num_rows
-        if n == 0:
+    return np.nonzero(pc.fill_null(ok, False).to_numpy(zero_copy_only=False))[0]
+
+
+def _score_block(rows: pa.Table, asked: pa.Table, scorer, kk: int, metric: str, valid_col: str,
+                 check_dim: bool) -> pa.Table:
+    """The best ``kk`` rows of a corpus block for each query of a query block."""
+    empty = {"query_id": asked.column("query_id").slice(0, 0), "partition_name": pa.array([], pa.string()),
+             "id": pa.array([], pa.string()), "score": pa.array([], pa.float64()),
+             "distance": pa.array([], pa.float64())}
+    if not rows.num_rows or not asked.num_rows:
+        return pa.table(empty)
+    ids = rows.column("id").to_numpy()
+    parts = rows.column("partition_name").to_numpy()
+    # In (id, partition) order, so that row index order is the tie order.
+    order = np.lexsort((parts.astype(str), ids.astype(str)))
+    vectors = asked.column("_qv")
+    length = pc.fill_null(pc.list_value_length(vectors), 0).to_numpy()
+    found = []
+    for dim in np.unique(length[length > 0]):
+        valid = _valid_rows(rows, valid_col, int(dim) if check_dim else None)
+        valid = order[np.isin(order, valid, assume_unique=True)]
+        qidx = np.flatnonzero(length == dim)
+        qmat, ok = prepare_queries(_arrow_matrix(vectors.take(pa.array(qidx))), metric)
+        qidx, qmat = qidx[ok], qmat[ok]
+        if not len(valid) or not len(qidx):
             continue
-        ids = batch.column("id").to_numpy(zero_copy_only=False)
-        parts = batch.column("partition_name").to_numpy(zero_copy_only=False)
-        # Rows with a usable vector, in (id, partition) order so row index
-        # order is the tie order.  Missing or wrong-sized vectors never rank.
-        valid = _valid_rows(batch, valid_col, valid_dim) if valid_col else np.arange(n)
-        if len(valid) == 0:
-            continue
-        order = valid[np.lexsort((parts[valid].astype(str), ids[valid].astype(str)))]
-        if cell_col is None:
-            groups = [(order, np.arange(len(qids)))]
-        else:
-            cells = batch.column(cell_col).to_numpy(zero_copy_only=False)[order].astype(np.int64)
-            groups = []
-            for c in np.unique(cells):
-                qidx = cell_queries.get(int(c))
-                if qidx is not None and len(qidx):
-                    groups.append((order[cells == c], qidx))
-        for rows, qidx in groups:
-            step = max(1, _MAX_CELLS // max(1, len(rows)))
-            for c0 in range(0, len(qidx), step):
-                qsub = qidx[c0:c0 + step]
-                s, d = scorer(batch, rows, qmat[qsub])
-                r, c = topk_per_column(s, kk)
-                if len(r):
-                    keep_q.append(qsub[c])
-                    keep_id.append(ids[rows[r]])
-                    keep_part.append(parts[rows[r]])
-                    keep_s.append(s[r, c])
-                    keep_d.append(d[r, c])
-    if not keep_q:
-        return
-    qi, idv, pv = np.concatenate(keep_q), np.concatenate(keep_id), np.concatenate(keep_part)
-    sv, dv = np.concatenate(keep_s), np.concatenate(keep_d)
-    # Final cut across batches: order by query, rounded score desc, id, partition.
-    order = np.lexsort((pv.astype(str), idv.astype(str), -np.round(sv, 6), qi))
-    qi, idv, pv, sv, dv = qi[order], idv[order], pv[order], sv[order], dv[order]
-    starts = np.r_[0, np.nonzero(np.diff(qi))[0] + 1]
-    pos = np.arange(len(qi)) - np.repeat(starts, np.diff(np.r_[starts, len(qi)]))
-    sel = pos < kk
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(qids[qi[sel]], type=qid_type), pa.array(pv[sel], type=pa.string()),
-         pa.array(idv[sel], type=pa.string()), pa.array(sv[sel]), pa.array(dv[sel])],
-        schema=out_schema,
-    )
-
-
-def _query_blocks(queries: DataFrame, query_vector_col: str, budget: int):
-    """Yield pandas blocks of (query_id, vector) whose matrix fits ``budget``."""
-    q = queries.select("query_id", F.col(query_vector_col).alias("_qv")).where(
-        F.col("_qv").isNotNull() & (F.size("_qv") > 0))
-    stats = q.agg(F.count("*").alias("n"), F.max(F.size("_qv")).alias("d")).first()
-    n, d = int(stats["n"] or 0), int(stats["d"] or 0)
-    if n == 0:
-        return
-    n_blocks = max(1, math.ceil(n * d * 8 / budget))
-    for b in range(n_blocks):
-        block = q if n_blocks == 1 else q.where(F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == b)
-        pdf = block.toPandas()
-        if len(pdf):
-            yield pdf
+        step = max(1, _MAX_CELLS // len(valid))
+        for at in range(0, len(qidx), step):
+            s, d = scorer(rows, valid, qmat[at:at + step])
+            r, c = topk_per_column(s, kk)
+            found.append((qidx[at:at + step][c], valid[r], s[r, c], d[r, c]))
+    if not found:
+        return pa.table(empty)
+    q, r, s, d = (np.concatenate([f[i] for f in found]) for i in range(4))
+    return pa.table({"query_id": asked.column("query_id").take(pa.array(q)),
+                     "partition_name": pa.array(parts[r], pa.string()), "id": pa.array(ids[r], pa.string()),
+                     "score": s, "distance": d})
+
+
+def query_vectors(queries: DataFrame, query_vector_col: str) -> DataFrame:
+    """``query_id`` (long for whole numbers, else string) and ``_qv``.  No
+    filter stands on the vector: it may be a model's output, and Catalyst
+    would copy the model call into the filter."""
+    whole = isinstance(queries.schema["query_id"].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+    return queries.select(F.col("query_id").cast("long" if whole else "string").alias("query_id"),
+                          F.col(query_vector_col).cast("array<double>").alias("_qv"))
 
 
 def knn_candidates(scope: DataFrame, queries: DataFrame, kk: int, *, metric: str = "cosine",
                    vector_col: str = "embedding", query_vector_col: str = "vector",
                    scorer_factory=None, cell_col: str | None = None, probe_fn=None,
                    valid_col: str | None = None, check_dim: bool = True) -> DataFrame:
-    """Up to ``kk`` best rows per query per task (not yet globally ranked).
+    """Up to ``kk`` best rows per query and block (not yet globally ranked).
 
     ``scorer_factory(metric)`` builds the batch scorer (raw vectors by
-    default; SQ8/PQ pass their decoders).  With ``cell_col`` and
-    ``probe_fn(query_matrix) -> list of cell arrays`` only probed cells are
-    read (the cell list reaches the scan) and scored.
+    default; SQ8/PQ pass their decoders).  With ``cell_col``,
+    ``probe_fn(queries)`` gives the queries once for each cell they probe
+    (column ``_cell``), and rows and queries meet by an equi join on the cell.
     """
     metric = check_metric(metric)
-    spark = scope.sparkSession
-    qid_field = queries.schema["query_id"]
-    qid_type = pa.int64() if isinstance(qid_field.dataType, (T.LongType, T.IntegerType)) else pa.string()
-    qid_spark = "long" if qid_type == pa.int64() else "string"
-    out_ddl = f"query_id {qid_spark}, partition_name string, id string, score double, distance double"
+    asked = query_vectors(queries, query_vector_col)
+    qid = asked.schema["query_id"].dataType.simpleString()
+    if cell_col is None:
+        rows, asked = scope.withColumn("_cell", F.lit(0)), asked.withColumn("_cell", F.lit(0))
+    else:
+        rows, asked = scope.withColumn("_cell", F.col(cell_col)), probe_fn(asked)
+    n_rows = rows.groupBy("_cell").agg(F.ceil(F.count("*") / CORPUS_ROWS).cast("int").alias("_nb"))
+    n_asked = asked.select("query_id", "_cell").groupBy("_cell").agg(
+        F.ceil(F.count("*") / QUERY_ROWS).cast("int").alias("_nq"))
+    blocks = n_rows.join(n_asked, "_cell")  # one row for each probed cell
+
+    def dealt(df: DataFrame, key: str, own: str, n_own: str, other: str, n_other: str) -> DataFrame:
+        part = F.pmod(F.xxhash64(key), F.col(n_own)).cast("int").alias(own)
+        every = F.explode(F.sequence(F.lit(0), F.col(n_other) - 1)).alias(other)
+        return df.join(blocks, "_cell").select(*[c for c in df.columns if c != "_cell"], "_cell", part, every)
+
+    left = dealt(rows, "id", "_b", "_nb", "_q", "_nq")
+    right = dealt(asked, "query_id", "_q", "_nq", "_b", "_nb")
     scorer = (scorer_factory or (lambda m: dense_scorer(vector_col, m)))(metric)
-    parts = []
-    for pdf in _query_blocks(queries, query_vector_col, broadcast_budget(spark)):
-        qids = pdf["query_id"].to_numpy()
-        if qid_type == pa.int64():
-            qids = qids.astype(np.int64)
-        qraw = np.vstack([np.asarray(v, dtype=np.float64) for v in pdf["_qv"]])
-        qmat, ok = prepare_queries(qraw, metric)
-        qids, qmat = qids[ok], qmat[ok]
-        payload = {"qids": qids, "q": qmat}
-        source = scope
-        if cell_col is not None:
-            probes = probe_fn(qmat)
-            inverted: dict[int, list[int]] = {}
-            for qi, cells in enumerate(probes):
-                for c in cells:
-                    inverted.setdefault(int(c), []).append(qi)
-            payload["cell_queries"] = {c: np.asarray(v, dtype=np.int64) for c, v in inverted.items()}
-            source = source.where(F.col(cell_col).isin(sorted(inverted)))
-        bc = spark.sparkContext.broadcast(payload)
-        vcol = valid_col or vector_col
-        vdim = qmat.shape[1] if check_dim else None
-        fn = (lambda it, bc=bc, vdim=vdim: _kernel(it, bc, scorer, kk, cell_col, qid_type, vcol, vdim))
-        parts.append(spread(source).mapInArrow(fn, out_ddl))
-    if not parts:
-        return spark.createDataFrame([], out_ddl)
-    return reduce(DataFrame.unionByName, parts)
+    vcol = valid_col or vector_col
+
+    def run(block: pa.Table, asked_block: pa.Table) -> pa.Table:
+        return _score_block(block, asked_block, scorer, kk, metric, vcol, check_dim)
+
+    keys = ["_cell", "_b", "_q"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
+        run, f"query_id {qid}, partition_name string, id string, score double, distance double")
 
 
 def attach_columns(ranked: DataFrame, scope: DataFrame, columns) -> DataFrame:
@@ -227,7 +188,7 @@ def vector_search(corpus: DataFrame, queries: DataFrame, k: int = 10, offset: in
                   columns=None, vector_col: str = "embedding", query_vector_col: str = "vector",
                   include_vectors: bool = False) -> DataFrame:
     """Exact top-k by ``metric`` for every query row (SRCH-1; the theta /
-    top-k join JOI-2, planned as broadcast query blocks, not a cross join).
+    top-k join JOI-2, planned as pairs of blocks, not a cross join).
 
     ``queries`` needs ``query_id`` and ``query_vector_col``.  Result:
     ``query_id, rank, partition_name, id, score, distance`` + ``columns``
@@ -249,8 +210,3 @@ def finish_search(cands: DataFrame, scope: DataFrame, queries: DataFrame, k: int
         cols.append(vector_col)
     ranked = ranked.select("query_id", "rank", "partition_name", "id", "score", "distance")
     return attach_columns(ranked, scope, cols)
-
-
-def vector_to_column(values) -> Column:
-    """A Python list as an ``array<float>`` literal (for single-query use)."""
-    return F.array(*[F.lit(float(v)) for v in values]).cast("array<float>")

@@ -7,18 +7,16 @@ An :class:`IndexSpec` names an index type the way the reference's users do;
 * ``IVF_FLAT`` / ``IVF_SQ8`` / ``IVF_PQ`` -> :func:`quarry.operators.ivf.build_ivf`.
 * ``HNSW``, ``AUTOINDEX``, ``DISKANN``, ``GPU_IVF_FLAT``, ``GPU_IVF_PQ`` promise the
   same contract (approximate top-k) and are served by IVF_FLAT (``GPU_IVF_PQ``
-  by IVF_PQ) with ``nlist`` from the data size unless given.
+  by IVF_PQ) with the ``nlist`` given.
 * ``SPARSE_INVERTED_INDEX`` / ``SPARSE_WAND`` -> the BM25 index (SRCH-6); their
   ``drop_ratio_search`` is kept for searches (SRCH-8).
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..operators.bm25 import build_bm25_index
 from ..operators.ivf import build_ivf
@@ -26,9 +24,7 @@ from ..operators.ivf import build_ivf
 # Index type names and the defaults of the reference's helpers.
 DENSE_TYPES = ("FLAT", "IVF_FLAT", "IVF_SQ8", "IVF_PQ", "HNSW", "AUTOINDEX", "DISKANN", "GPU_IVF_FLAT", "GPU_IVF_PQ")
 SPARSE_TYPES = ("SPARSE_INVERTED_INDEX", "SPARSE_WAND")
-HNSW_M = 16
-HNSW_EF_CONSTRUCTION = 200
-MIN_ROWS_PER_CELL = 39
+NLIST = 1024
 
 
 @dataclass(frozen=True)
@@ -43,24 +39,24 @@ class IndexSpec:
         return cls("FLAT", metric)
 
     @classmethod
-    def ivf_flat(cls, nlist=1024, metric="cosine"):
+    def ivf_flat(cls, nlist=NLIST, metric="cosine"):
         return cls("IVF_FLAT", metric, params={"nlist": nlist})
 
     @classmethod
-    def ivf_sq8(cls, nlist=1024, metric="cosine"):
+    def ivf_sq8(cls, nlist=NLIST, metric="cosine"):
         return cls("IVF_SQ8", metric, params={"nlist": nlist})
 
     @classmethod
-    def ivf_pq(cls, nlist=1024, m=8, nbits=8, metric="cosine"):
+    def ivf_pq(cls, nlist=NLIST, m=8, nbits=8, metric="cosine"):
         return cls("IVF_PQ", metric, params={"nlist": nlist, "m": m, "nbits": nbits})
 
     @classmethod
-    def hnsw(cls, m=HNSW_M, ef_construction=HNSW_EF_CONSTRUCTION, metric="cosine"):
-        return cls("HNSW", metric, params={"M": m, "efConstruction": ef_construction})
+    def hnsw(cls, nlist=NLIST, metric="cosine"):
+        return cls("HNSW", metric, params={"nlist": nlist})
 
     @classmethod
-    def auto(cls, metric="cosine"):
-        return cls("AUTOINDEX", metric)
+    def auto(cls, nlist=NLIST, metric="cosine"):
+        return cls("AUTOINDEX", metric, params={"nlist": nlist})
 
     @classmethod
     def sparse_inverted(cls, field_name="sparse", drop_ratio_search=0.0):
@@ -78,11 +74,6 @@ class IndexSpec:
         return t
 
 
-def _auto_nlist(corpus: DataFrame, vector_col: str) -> int:
-    n = corpus.where(F.col(vector_col).isNotNull()).count()
-    return max(1, min(int(4 * math.sqrt(max(n, 1))), n // MIN_ROWS_PER_CELL or 1))
-
-
 def build_index(corpus: DataFrame, spec: IndexSpec, text_col: str = "content"):
     """The structure serving ``spec``: ``None`` (exact), an ``IvfIndex`` or a
     ``Bm25Index`` (with ``drop_ratio_search`` set on it)."""
@@ -94,7 +85,7 @@ def build_index(corpus: DataFrame, spec: IndexSpec, text_col: str = "content"):
         index.drop_ratio_search = float(spec.params.get("drop_ratio_search", 0.0))
         return index
     vec = spec.field_name
-    nlist = int(spec.params.get("nlist") or _auto_nlist(corpus, vec))
+    nlist = int(spec.params.get("nlist", NLIST))
     kind = {"IVF_SQ8": "sq8", "IVF_PQ": "pq", "GPU_IVF_PQ": "pq"}.get(t, "flat")
     return build_ivf(corpus, nlist=nlist, metric=spec.metric, kind=kind, m=int(spec.params.get("m", 8)),
                      nbits=int(spec.params.get("nbits", 8)), vector_col=vec)

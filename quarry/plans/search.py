@@ -8,7 +8,7 @@ plan answers all of them.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from enum import Enum
 
 from pyspark.sql import DataFrame
@@ -65,8 +65,19 @@ class SearchRequest:
     norm: str = "arctan"
     text_col: str = "text"
     vector_col: str = "vector"
+    corpus_vector_col: str = "embedding"
     params: dict = field(default_factory=dict)
 
+    def with_params(self) -> "SearchRequest":
+        """``params`` by their index names (``nprobe``, ``drop_ratio_search``)
+        count over the fields of the same meaning."""
+        names = {"nprobe": "nprobe", "drop_ratio_search": "drop_ratio", "drop_ratio": "drop_ratio",
+                 "metric": "metric", "metric_type": "metric"}
+        unknown = set(self.params) - set(names)
+        if unknown:
+            raise ValueError(f"unknown search parameters: {sorted(unknown)}")
+        return replace(self, params={}, **{names[k]: v for k, v in self.params.items()})
+
     @classmethod
     def of(cls, top_k: int = 10, **kw) -> "SearchRequest":
         return cls(SearchType.VECTOR, top_k, **kw)
@@ -135,6 +146,7 @@ def search(corpus: DataFrame, queries: DataFrame, request: SearchRequest = Searc
     given (SRCH-5).  BM25 and HYBRID use ``bm25_index`` or build one from
     ``corpus``.
     """
+    request = request.with_params()
     t = SearchType.parse(request.search_type, SearchType.VECTOR)
     common = dict(pred=request.filter, partitions=list(request.partitions) or None)
     if t is not SearchType.BM25:
@@ -145,6 +157,7 @@ def search(corpus: DataFrame, queries: DataFrame, request: SearchRequest = Searc
                               threshold=request.similarity_threshold, columns=request.columns(),
                               query_vector_col=request.vector_col, **common)
         return vector_search(corpus, queries, request.top_k, request.offset, metric=request.metric,
+                             vector_col=request.corpus_vector_col,
                              threshold=request.similarity_threshold, columns=request.columns(),
                              query_vector_col=request.vector_col, **common)
     index = bm25_index or build_bm25_index(corpus, corpus_text_col)
@@ -157,6 +170,7 @@ def search(corpus: DataFrame, queries: DataFrame, request: SearchRequest = Searc
                          metric=request.metric, threshold=request.similarity_threshold,
                          columns=request.columns(), text_col=request.text_col,
                          query_vector_col=request.vector_col, ivf_index=ivf_index, nprobe=request.nprobe,
+                         vector_col=request.corpus_vector_col, drop_ratio=request.drop_ratio,
                          **common)
 
 

@@ -176,7 +176,7 @@ MODEL = HashEmbedder()
 
 
 def _embedded_corpus(spark, sf):
-    return embed_documents(_seg(spark, sf), MODEL)
+    return embed_documents(_seg(spark, sf), MODEL, tasks=spark.sparkContext.defaultParallelism)
 
 
 def _embedded_queries(spark, sf):
@@ -195,7 +195,7 @@ def _embed_documents_long(spark, sf):
 def hybrid(**kw):
     def run(spark, sf):
         corpus = _embedded_corpus(spark, sf)
-        index = build_bm25_index(corpus)
+        index = build_bm25_index(_seg(spark, sf))  # needs no vectors
         return hybrid_search(corpus, index, _embedded_queries(spark, sf), k=kw.get("k", 10),
                              offset=kw.get("offset", 0), weights=kw.get("weights", (0.5, 0.5)),
                              norm=kw.get("norm", "arctan"), pred=kw.get("pred"),
@@ -205,7 +205,7 @@ def hybrid(**kw):
 
 def _compare(spark, sf):
     corpus = _embedded_corpus(spark, sf)
-    return compare_methods(corpus, build_bm25_index(corpus), _embedded_queries(spark, sf), 10)
+    return compare_methods(corpus, build_bm25_index(_seg(spark, sf)), _embedded_queries(spark, sf), 10)
 
 
 QUERIES.update({
@@ -460,10 +460,10 @@ QUERIES.update({"upsert_seq": _upsert_seq, "stored_upsert": _stored_upsert, "nor
 
 
 def _auto_index(spark, sf):
-    """AUTOINDEX by name (served by IVF, nlist from the data size), probed in
+    """AUTOINDEX by name (served by IVF), probed in
     full: equals exact cosine search."""
     from .indexes import IndexSpec, build_index
-    index = build_index(_seg(spark, sf), IndexSpec.auto())
+    index = build_index(_seg(spark, sf), IndexSpec.auto(nlist=16))
     return ivf_search(index, _vector_queries(spark, sf), 10, nprobe=index.nlist, columns=[])
 
 

@@ -52,20 +52,6 @@ def broadcast_budget(spark: SparkSession) -> int:
     return int(value) if value else DEFAULT_BROADCAST_BUDGET
 
 
-def spread(df):
-    """Give CPU-heavy per-row work at least one task per core.
-
-    Large inputs already have far more splits than cores and are returned
-    unchanged (no shuffle); a small input read as one split is spread
-    round-robin so the work does not run in a single task.
-    """
-    sc = df.sparkSession.sparkContext
-    target = sc.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
-
-
 def materialize(df, name: str):
     """Write ``df`` once as a parquet table under the session's checkpoint
     folder (shared on a cluster) and return it read back: lineage is cut

@@ -121,7 +121,7 @@ def test_index_specs_by_name(spark):
     assert build_index(seg, IndexSpec.flat()) is None
     cols = ["query_id", "rank", "id", "score"]
     exact = rows(vector_search(seg, q, 5, columns=[]), cols)
-    for spec in (IndexSpec.auto(), IndexSpec.hnsw(), IndexSpec.ivf_flat(4)):
+    for spec in (IndexSpec.auto(4), IndexSpec.hnsw(4), IndexSpec.ivf_flat(4)):
         index = build_index(seg, spec)
         assert index.kind == "flat" and index.nlist >= 1
         assert rows(ivf_search(index, q, 5, nprobe=index.nlist, columns=[]), cols) == exact
