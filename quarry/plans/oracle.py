@@ -12,13 +12,19 @@ SEGMENTS = """segments AS (
          'partition_' || regexp_replace(d.lang, '[^a-zA-Z0-9]', '_', 'g') AS partition_name
   FROM documents d LEFT JOIN embeddings e ON d.doc_id = e.vec_id)"""
 
+# Every embedding, with its document's columns where it has one.
+VSEGMENTS = """segments AS (
+  SELECT CAST(e.vec_id AS VARCHAR) AS id, d.source AS file_id, e.embedding AS embedding,
+         coalesce('partition_' || regexp_replace(d.lang, '[^a-zA-Z0-9]', '_', 'g'), '_default') AS partition_name
+  FROM embeddings e LEFT JOIN documents d ON d.doc_id = e.vec_id)"""
+
 VQ = "vq AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"
 
 
 def _vector(score_expr: str, dist_expr: str, where: str = "TRUE", k: int = 10, offset: int = 0,
             threshold: float = 0.0, extra: str = "") -> str:
     extra_sel = f", {extra}" if extra else ""
-    return f"""WITH {SEGMENTS}, {VQ},
+    return f"""WITH {VSEGMENTS}, {VQ},
 c AS (SELECT partition_name, id, CAST(embedding AS DOUBLE[]) AS v{extra_sel} FROM segments
       WHERE embedding IS NOT NULL AND ({where})),
 s AS (SELECT vq.query_id, c.partition_name, c.id, round({score_expr}, 6) AS score,
@@ -246,7 +252,7 @@ c AS (SELECT partition_name, id, list(lo + code / 255.0 * (hi - lo) ORDER BY i)
 
 
 def _sq8() -> str:
-    return f"""WITH {SEGMENTS}, {VQ}, {SQ8},
+    return f"""WITH {VSEGMENTS}, {VQ}, {SQ8},
 s AS (SELECT vq.query_id, c.partition_name, c.id, round({COS}, 6) AS score FROM vq, c),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id, partition_name) AS rank
       FROM s WHERE score IS NOT NULL)
@@ -312,7 +318,7 @@ ORACLE_SQL["stored_delete"] = ORACLE_SQL["delete_by_filter"]
 ORACLE_SQL["auto_index_full_probe"] = ORACLE_SQL["vector_exact_cosine"]
 
 ORACLE_SQL["query_errors"] = """SELECT conv_id * 1000 + turn AS query_id, 'text is empty' AS error
-    FROM conversations WHERE text IS NULL OR trim(text) = ''"""
+    FROM conversations WHERE text IS NULL OR trim(text) = '' OR turn = 0"""
 
 ORACLE_SQL["upsert_seq"] = ORACLE_SQL["stored_upsert"] = f"""WITH {SEGMENTS},
 ch AS (SELECT 'c' || conv_id AS id, role AS file_id, text AS content,
@@ -326,3 +332,14 @@ n AS (SELECT vec_id, x, sqrt(list_inner_product(x, x)) AS l FROM v)
 SELECT vec_id, round(CASE WHEN l > 0 THEN 1.0 ELSE 0.0 END, 4) AS length,
        round(CAST(CAST(CASE WHEN l > 0 THEN x[1] / l ELSE x[1] END AS FLOAT) AS DOUBLE), 5) AS "first",
        CAST(len(x) AS BIGINT) AS n_dims FROM n"""
+
+RECALL = """SELECT vec_id AS query_id, CAST(10 AS BIGINT) AS n_hits, TRUE AS scores_ok, TRUE AS recall_ok
+FROM embeddings WHERE list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])) > 0"""
+ORACLE_SQL["ivf_recall"] = ORACLE_SQL["pq_recall"] = ORACLE_SQL["ivf_pq_rerank"] = RECALL
+ORACLE_SQL["saved_ivf"] = _vector(COS, COS, extra="file_id")
+ORACLE_SQL["method_overlap"] = f"""WITH cmp AS ({ORACLE_SQL["compare_methods"]}),
+h AS (SELECT query_id, partition_name, id FROM cmp WHERE method = 'hybrid'),
+v AS (SELECT query_id, partition_name, id FROM cmp WHERE method = 'vector')
+SELECT v.query_id, round(count(h.id) / count(*), 6) AS overlap
+FROM v LEFT JOIN h ON v.query_id = h.query_id AND v.partition_name = h.partition_name AND v.id = h.id
+GROUP BY v.query_id"""

@@ -18,14 +18,15 @@ from ..functions.metadata import set_metadata
 from ..functions.partitions import knowledge_id, partition_collisions, partition_name
 from ..operators import tables as tb
 from ..operators.bm25 import bm25_search, build_bm25_index
-from ..operators.hybrid import compare_methods, hybrid_search
-from ..operators.ivf import build_ivf, ivf_search
+from ..functions.vectors import cosine
+from ..operators.hybrid import compare_methods, hybrid_search, overlap_at_k
+from ..operators.ivf import IvfIndex, build_ivf, ivf_search, recall_at_k
 from ..operators.knn import vector_search
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 from ..sources.rows import from_json_rows, promote_metadata_field, to_json_rows
 from ..sources.schema import (CollectionSpec, FieldSpec, default_schema, pack_dynamic_fields, segment_schema,
                               typed_view, validate_batch, with_auto_id)
-from ..sources.segments import read_table, testdata_segments
+from ..sources.segments import read_table, testdata_segments, testdata_vector_segments
 from ..sources.versions import compact_table, read_current, write_version
 from ..streaming.upsert_sink import upsert_stream
 from .search import QueryRequest, SearchRequest, SearchType, run_query, search
@@ -38,7 +39,7 @@ def _vector_queries(spark: SparkSession, sf: str) -> DataFrame:
 
 def vector_exact(metric: str, **kw) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        return vector_search(testdata_segments(spark, sf), _vector_queries(spark, sf), k=kw.get("k", 10),
+        return vector_search(testdata_vector_segments(spark, sf), _vector_queries(spark, sf), k=kw.get("k", 10),
                              offset=kw.get("offset", 0), metric=metric,
                              pred=kw.get("pred"), partitions=kw.get("partitions"),
                              threshold=kw.get("threshold", 0.0), columns=kw.get("columns", []))
@@ -226,19 +227,53 @@ QUERIES.update({
 
 def ivf(nlist: int, nprobe: int, kind: str = "flat", **kw):
     def run(spark, sf):
-        index = build_ivf(_seg(spark, sf), nlist=nlist, kind=kind, m=kw.get("m", 8), nbits=kw.get("nbits", 8))
+        index = build_ivf(testdata_vector_segments(spark, sf), nlist=nlist, kind=kind, m=kw.get("m", 8),
+                          nbits=kw.get("nbits", 8))
         return ivf_search(index, _vector_queries(spark, sf), 10, nprobe=nprobe, rerank=kw.get("rerank", 0),
-                          columns=[])
+                          columns=[], threshold=kw.get("threshold", 0.0))
     return run
 
 
+def recall(floor: float, exact_scores: bool, *args, **kw):
+    """An approximate search judged against the exact one: per query the hits
+    it returned and whether their scores are the exact ones, and whether the
+    mean recall of all queries reaches ``floor``."""
+    def run(spark, sf):
+        corpus, queries = testdata_vector_segments(spark, sf), _vector_queries(spark, sf)
+        found = materialize(ivf(*args, threshold=None, **kw)(spark, sf), "approximate")
+        exact = vector_search(corpus, queries, 10, columns=[], threshold=None)
+        mean = recall_at_k(found, exact).agg(F.avg("recall")).first()[0] or 0.0
+        true = (found.join(corpus.select("partition_name", "id", "embedding"), ["partition_name", "id"])
+                .join(queries, "query_id").withColumn("true", cosine("embedding", "vector")))
+        same = F.abs(F.col("true") - F.col("score")) < 2e-6 if exact_scores else F.lit(True)
+        return true.groupBy("query_id").agg(F.count("*").alias("n_hits"), F.every(same).alias("scores_ok")).select(
+            "query_id", "n_hits", "scores_ok", F.lit(mean >= floor).alias("recall_ok"))
+    return run
+
+
+def _saved_ivf(spark, sf):
+    """An IVF index written, read back and searched in full, with the default
+    columns of the corpus."""
+    import uuid
+    root = f"{ensure_checkpoint_dir(spark)}/quarry-ivf-{uuid.uuid4().hex}"
+    build_ivf(testdata_vector_segments(spark, sf), nlist=8).write(root)
+    hits = ivf_search(IvfIndex.read(spark, root), _vector_queries(spark, sf), 10, nprobe=8)
+    return hits.select("query_id", "rank", "partition_name", "id", "score", "distance", "file_id")
+
+
+def _overlap(spark, sf):
+    return overlap_at_k(_compare(spark, sf), "hybrid", "vector").withColumn("overlap", F.round("overlap", 6))
+
+
 QUERIES.update({
     "ivf_full_probe": ivf(8, 8),
-    "ivf_recall": ivf(16, 4),
+    "ivf_recall": recall(0.5, True, 16, 6),
     "sq8_search": ivf(1, 1, "sq8"),
     "ivf_sq8_full_probe": ivf(8, 8, "sq8"),
-    "pq_recall": ivf(1, 1, "pq", m=8, nbits=4),
-    "ivf_pq_rerank": ivf(8, 3, "pq", m=8, nbits=4, rerank=4),
+    "pq_recall": recall(0.1, False, 1, 1, "pq", m=8, nbits=4),
+    "ivf_pq_rerank": recall(0.3, True, 8, 4, "pq", m=8, nbits=4, rerank=8),
+    "saved_ivf": _saved_ivf,
+    "method_overlap": _overlap,
 })
 
 
@@ -382,7 +417,6 @@ def _hybrid_ivf(spark, sf):
     """Hybrid with the dense branch on an IVF index probed in full (equals
     exact hybrid by construction).  The embedded corpus feeds the index
     build, the IVF training and both branches, so it is written once."""
-    from ..session import materialize
     corpus = materialize(_embedded_corpus(spark, sf), "embedded-corpus")
     return hybrid_search(corpus, build_bm25_index(corpus), _embedded_queries(spark, sf), 10, columns=[],
                          ivf_index=build_ivf(corpus, nlist=8), nprobe=8)
@@ -463,7 +497,7 @@ def _auto_index(spark, sf):
     """AUTOINDEX by name (served by IVF), probed in
     full: equals exact cosine search."""
     from .indexes import IndexSpec, build_index
-    index = build_index(_seg(spark, sf), IndexSpec.auto(nlist=16))
+    index = build_index(testdata_vector_segments(spark, sf), IndexSpec.auto(nlist=16))
     return ivf_search(index, _vector_queries(spark, sf), 10, nprobe=index.nlist, columns=[])
 
 
@@ -471,11 +505,12 @@ QUERIES["auto_index_full_probe"] = _auto_index
 
 
 def _query_errors(spark, sf):
-    """Every conversation turn as a BM25 query; turns that cannot run
-    (empty text) are reported with the reason, the rest would run."""
+    """Every conversation turn as a BM25 query, the first turn blanked;
+    turns that cannot run are reported with the reason, the rest would run."""
     from .search import query_errors
     conv = read_table(spark, sf, "conversations").select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("query_id"), "text")
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("query_id"),
+        F.when(F.col("turn") > 0, F.col("text")).otherwise(F.lit("  ")).alias("text"))
     return query_errors(conv, SearchRequest.bm25())
 
 

@@ -71,6 +71,16 @@ def testdata_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def testdata_vector_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding of the driver tables as a corpus row, with its
+    document's columns where it has one (default partition otherwise)."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang", "n_chars")
+    emb = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    joined = emb.join(docs, docs.doc_id == emb.vec_id, "left")
+    return load_segments(joined, id="vec_id", file_id="source", content="text", embedding="embedding",
+                         metadata=F.to_json(F.struct("lang", "n_chars")), partition=partition_name("lang"))
+
+
 def default_columns(df: DataFrame) -> list[str]:
     """PRJ-1: every column except those marked excluded (vectors)."""
     return [c for c in df.columns if c not in EXCLUDED_COLUMNS]
