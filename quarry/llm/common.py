@@ -82,6 +82,28 @@ def worker_cache(name: str, make):
     return getattr(store, name)
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """``df``, its session set to hand Python at most ``rows`` rows at a time:
+    rows that hold whole texts are large, and a batch lies in memory on both
+    sides.  A lower setting is left as it is."""
+    conf = df.sparkSession.conf
+    now = int(conf.get(ARROW_ROWS, "10000"))
+    if now <= 0 or now > rows:
+        conf.set(ARROW_ROWS, str(rows))
+    return df
+
+
+def slices(batches, rows: int = 256):
+    """Arrow batches in pieces of a few rows, so that a task never holds all
+    texts of a batch as Python objects."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def text_bytes(column) -> list:
     """An Arrow string column as a list of UTF-8 ``bytes`` (None for null)."""
     import pyarrow as pa

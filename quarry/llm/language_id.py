@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import schema_with, worker_cache
+from .common import schema_with, slices, small_batches, worker_cache
 
 UNDETERMINED = "und"
 BLANK = 0
@@ -211,12 +211,12 @@ def identify_language(df: DataFrame, model: KernelModel | None, text: str = "tex
     schema = schema_with(base, lang_pred="string", score="double")
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             langs, scores = predict_batch(shared.value, b.column(text).to_pylist())
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                                              names=[*b.schema.names, "lang_pred", "score"])
 
-    return base.mapInArrow(run, schema)
+    return small_batches(base).mapInArrow(run, schema)
 
 
 def held_out(doc_id) -> Column:

@@ -34,7 +34,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch_path, schema_with, text_bytes
+from .common import schema_with, scratch_path, slices, small_batches, text_bytes
 
 BLANKS = b" \t\n\r\x0b\x0c"
 SLOTS = 4
@@ -144,19 +144,17 @@ def line_keys(df: DataFrame, min_chars: int) -> DataFrame:
     import pyarrow as pa
 
     def run(batches):
-        for b in batches:
-            for at in range(0, b.num_rows, 512):
-                part = b.slice(at, 512)
-                keys, ids = [], []
-                for d, t in zip(part.column(0).to_pylist(), text_bytes(part.column(1))):
-                    if t:
-                        own = {line_key(x, min_chars) for x in t.split(b"\n")} - {None}
-                        keys += own
-                        ids += [d] * len(own)
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(ids, pa.int64())],
-                                                 names=["key", "doc_id"])
+        for part in slices(batches):
+            keys, ids = [], []
+            for d, t in zip(part.column(0).to_pylist(), text_bytes(part.column(1))):
+                if t:
+                    own = {line_key(x, min_chars) for x in t.split(b"\n")} - {None}
+                    keys += own
+                    ids += [d] * len(own)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(ids, pa.int64())],
+                                             names=["key", "doc_id"])
 
-    return df.mapInArrow(run, "key long, doc_id long")
+    return small_batches(df).mapInArrow(run, "key long, doc_id long")
 
 
 class LineIndex:
@@ -295,7 +293,7 @@ class LineIndex:
         schema = schema_with(base.drop("__drops"), kept_text="string", n_lines="long", n_dropped="long")
 
         def run(batches):
-            for b in batches:
+            for b in slices(batches):
                 out, n_lines, n_dropped = [], [], []
                 for t, drops in zip(text_bytes(b.column(text_at)), b.column(b.num_columns - 1).to_pylist()):
                     lines = (t or b"").split(b"\n")

@@ -36,10 +36,10 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_bytes, worker_cache
+from .common import slices, small_batches, stored, text_bytes, worker_cache
 from .components import connected_components
 
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 
 
 def shingle_set(words: list[bytes], size: int, memory: dict) -> np.ndarray:
@@ -106,7 +106,7 @@ def sketch(df: DataFrame, shingle: int, permutations: int, rows: int) -> DataFra
     def run(batches):
         import xxhash
         memory = worker_cache("shingle_words", dict)
-        for b in batches:
+        for b in slices(batches):
             n, d1, d2, bands = [], [], [], []
             for t in text_bytes(b.column(1)):
                 s = shingle_set(t.lower().split() if t else [], shingle, memory)
@@ -119,7 +119,7 @@ def sketch(df: DataFrame, shingle: int, permutations: int, rows: int) -> DataFra
                 [b.column(0), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()),
                  pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "d1", "d2", "bands"])
 
-    return df.mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>")
+    return small_batches(df).mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>")
 
 
 def texts_of(base: DataFrame, ids: DataFrame, shingle: int, permutations: int, rows: int) -> DataFrame:
@@ -128,7 +128,7 @@ def texts_of(base: DataFrame, ids: DataFrame, shingle: int, permutations: int, r
 
     def run(batches):
         memory = worker_cache("shingle_words", dict)
-        for b in batches:
+        for b in slices(batches):
             bands = [band_values(minmax_signature(shingle_set(t.lower().split(), shingle, memory), permutations), rows)
                      for t in text_bytes(b.column(1))]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(bands, pa.list_(pa.int64()))],
@@ -163,7 +163,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
                 found = known[text] = shingle_set(text.lower().split(), shingle, memory)
             return found
 
-        for b in batches:
+        for b in slices(batches):
             keep = []
             for x, y in zip(text_bytes(b.column(2)), text_bytes(b.column(3))):
                 keep.append(meets(set_of(x), set_of(y), percent))

@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import schema_with, worker_cache
+from .common import schema_with, slices, small_batches, worker_cache
 from .head_table import U64, HeadTable, mix
 
 NEVER = 1 << 60
@@ -330,7 +330,7 @@ def prefix_token_counts(df: DataFrame, tokenizer_path: str, text: str = "text",
 
     def run(batches):
         counter = worker_cache(f"prefix:{tokenizer_path}", lambda: PrefixCounter(tokenizer_path))
-        for b in batches:
+        for b in slices(batches, 1024):
             texts, at = b.column(text).to_pylist(), 0
             while at < len(texts):
                 end, chars = at, 0
@@ -351,7 +351,7 @@ def prefix_token_counts(df: DataFrame, tokenizer_path: str, text: str = "text",
                      pa.array(fits, pa.int64()), pa.array(packed, pa.binary())], names=[*part.schema.names, *own])
                 at = end
 
-    return base.mapInArrow(run, schema)
+    return small_batches(base).mapInArrow(run, schema)
 
 
 def token_digest(df: DataFrame, tokenizer_path: str, limit: int = 1024) -> DataFrame:

@@ -35,7 +35,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import schema_with, worker_cache
+from .common import schema_with, slices, small_batches, worker_cache
 from .head_table import U64, HeadTable, mix
 
 BLANK = "▁"
@@ -333,7 +333,7 @@ def sample_segmentations(df: DataFrame, model_path: str, key: str = "doc_id", te
 
     def run(batches):
         vocab = worker_cache(f"pieces:{model_path}", lambda: Vocabulary(model_path))
-        for b in batches:
+        for b in slices(batches, 1024):
             texts = [t or "" for t in b.column(text_at).to_pylist()]
             keys = b.column(b.num_columns - 1).to_numpy(zero_copy_only=False)
             at = 0
@@ -357,7 +357,7 @@ def sample_segmentations(df: DataFrame, model_path: str, key: str = "doc_id", te
                     names=[*part.schema.names[:-1], *own])
                 at = end
 
-    return base.mapInArrow(run, schema)
+    return small_batches(base).mapInArrow(run, schema)
 
 
 def decode_pieces(df: DataFrame, model_path: str, ids: str = "ids", to: str = "decoded") -> DataFrame:
@@ -373,4 +373,4 @@ def decode_pieces(df: DataFrame, model_path: str, ids: str = "ids", to: str = "d
             out = [None if x is None else vocab.decode(x) for x in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.string())], names=[*b.schema.names, to])
 
-    return base.mapInArrow(run, schema)
+    return small_batches(base).mapInArrow(run, schema)

@@ -29,7 +29,7 @@ from urllib.parse import quote
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import scratch_path
+from .common import scratch_path, small_batches
 
 LINE = b"\r\n"
 IDENTICAL = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -261,7 +261,7 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 1000, archive
         if done:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*done)], names=["path", "records", "bytes"])
 
-    manifest = with_response(pages, min_bytes).mapInArrow(run, "path string, records long, bytes long")
+    manifest = small_batches(with_response(pages, min_bytes)).mapInArrow(run, "path string, records long, bytes long")
     manifest.write.parquet(f"{folder}/manifest")
     return manifest.sparkSession.read.schema("path string, records long, bytes long").parquet(f"{folder}/manifest")
 
