@@ -97,7 +97,9 @@ def test_query_errors_and_dispatch_names(spark):
     vec = {r["query_id"] for r in query_errors(q, SearchRequest.of()).collect()}
     assert vec == {1, 2}
     assert {r["query_id"] for r in query_errors(q, SearchRequest.of(), has_model=True).collect()} == {2}
-    assert embed_queries(q, None).where("vector IS NULL").count() == 2
+    with pytest.raises(ValueError, match="embedding model"):  # D18: query 1 has a text and no vector
+        embed_queries(q, None)
+    assert embed_queries(q.where("query_id <> 1"), None).where("vector IS NULL").count() == 1
     assert SearchType.parse(" hybrid ") is SearchType.HYBRID
     assert SearchType.parse("", SearchType.VECTOR) is SearchType.VECTOR
     with pytest.raises(ValueError):
@@ -147,3 +149,42 @@ def test_include_vectors_and_empty_inputs(spark):
     assert tb.upsert(corpus, corpus.limit(0)).count() == 2
     none = spark.createDataFrame([], "query_id long, vector array<float>")
     assert vector_search(corpus, none, 5).count() == 0
+
+
+def test_request_params_and_dotted_metadata(spark):
+    from quarry.functions.metadata import get_metadata, set_metadata
+    r = SearchRequest.of(nprobe=8, params={"nprobe": 1, "drop_ratio_search": 0.2}).with_params()
+    assert (r.nprobe, r.drop_ratio) == (1, 0.2)
+    with pytest.raises(ValueError):
+        SearchRequest.of(params={"ef": 3}).with_params()
+    df = spark.createDataFrame([("{}",)], "metadata string")
+    out = df.select(set_metadata("metadata", "a.b", "x").alias("m")).select(get_metadata("m", "a.b").alias("v"))
+    assert out.first()["v"] == "x"
+
+
+def test_null_partition_duplicates_are_reported(spark):
+    df = spark.createDataFrame([("a", "f", "x", None, "{}", None), ("a", "f", "x", None, "{}", None)],
+                               "id string, file_id string, content string, embedding array<float>, "
+                               "metadata string, partition_name string")
+    _, bad = validate_batch(df, segment_schema(2))
+    assert [r["violations"] for r in bad.collect()] == [["id: duplicate key"]] * 2
+
+
+def test_wrong_length_queries_rank_nothing(spark):
+    corpus = vec_docs(spark, [("a", "p", [1.0, 0.0]), ("b", "p", [0.0, 1.0]), ("c", "p", [1.0, 0.0, 0.0])])
+    q = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.0, 0.0, 0.0]), (3, None), (4, [0.0, 0.0])],
+                              "query_id short, vector array<float>")
+    out = vector_search(corpus, q, 1, columns=[]).collect()
+    assert [(r["query_id"], r["id"]) for r in out] == [(1, "a")]
+
+
+def test_saved_bm25_keeps_its_drop_ratio(spark):
+    import uuid
+    from quarry.operators.bm25 import Bm25Index, build_bm25_index
+    index = build_bm25_index(docs(spark, [("1", "f", "b a b", "p"), ("2", "f", None, "p")]))
+    assert sorted((r["term"], r["tf"], r["dl"]) for r in index.postings.collect()) == [("a", 1, 3), ("b", 2, 3)]
+    assert (index.n_docs, index.avgdl) == (2, 1.5)
+    index.drop_ratio_search = 0.4
+    root = f"{spark.sparkContext.getCheckpointDir()}/bm25-{uuid.uuid4().hex}"
+    index.write(root)
+    assert Bm25Index.read(spark, root).drop_ratio_search == 0.4
