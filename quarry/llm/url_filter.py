@@ -155,12 +155,12 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, url:
     title = F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)
     counts = word_counts(title, pages)
     hosts = segment_hosts(base.select("host").distinct(), counts)
-    tokens = base.join(hosts, "host", "left").withColumn("slots", token_slots(F.col("host_words"), F.col("path"), bits))
-    odds, prior = train_bayes(tokens.filter("verdict IS NOT NULL").select(F.col("verdict").alias("label"), "slots"),
-                              bits)
+    tokens = base.join(hosts, "host", "left").withColumn("__slots", token_slots(F.col("host_words"), F.col("path"), bits))
+    odds, prior = train_bayes(tokens.filter("verdict IS NOT NULL").select(
+        F.col("verdict").alias("label"), F.col("__slots").alias("slots")), bits)
     shared = pages.sparkSession.sparkContext.broadcast(odds)  # 2 ** bits numbers
-    at = tokens.columns.index("slots")
-    schema = schema_with(tokens, odds="double")
+    at = tokens.columns.index("__slots")
+    schema = schema_with(tokens, __odds="double")
 
     def score(batches):
         for b in batches:
@@ -169,11 +169,11 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, url:
             ends = np.cumsum(slots.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
             sums = flat[ends] - flat[np.concatenate(([0], ends[:-1]))] if len(ends) else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(sums + prior, pa.float64())],
-                                             names=[*b.schema.names, "odds"])
+                                             names=[*b.schema.names, "__odds"])
 
     scored = tokens.mapInArrow(score, schema)
     rest = [c for c in base.columns if c not in own]
     return scored.select(
         *rest, "host", "path", "rule",
-        F.coalesce("verdict", F.when(F.col("odds") > 0, "block").otherwise("allow")).alias("verdict"),
-        (1 / (1 + F.exp(-F.col("odds")))).alias("block_score"), F.array_join("host_words", " ").alias("host_words"))
+        F.coalesce("verdict", F.when(F.col("__odds") > 0, "block").otherwise("allow")).alias("verdict"),
+        (1 / (1 + F.exp(-F.col("__odds")))).alias("block_score"), F.array_join("host_words", " ").alias("host_words"))

@@ -285,9 +285,10 @@ def brute_rule(url):
 
 
 def test_url_rules(spark):
-    rows = [(i, u, "<title>some blog words</title>", "c") for i, u in enumerate(URLS)]
-    df = spark.createDataFrame(rows, "page_id long, url string, html string, verdict string")
+    rows = [(i, u, "<title>some blog words</title>", "c", "own") for i, u in enumerate(URLS)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, verdict string, slots string")
     for r in uf.judge_urls(df).collect():
+        assert r.slots == "own"
         assert (r.host, r.path, r.rule) == brute_rule(URLS[r.page_id])
         assert r.verdict == dict(uf.RULES)[r.rule] if r.rule else r.verdict in ("allow", "block")
     assert uf.judge_urls(df.limit(0)).count() == 0
