@@ -9,7 +9,6 @@ and the bigram branch only runs on rows that contain an ideograph.
 
 from __future__ import annotations
 
-import math
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -64,11 +63,3 @@ def bm25_doc_weight(tf, dl, avgdl, k1: float = BM25_K1, b: float = BM25_B) -> Co
     tf, dl = _col(tf), _col(dl)
     avg = avgdl if isinstance(avgdl, Column) else F.lit(float(avgdl))
     return tf * (k1 + 1.0) / (tf + k1 * (1.0 - b + b * dl / avg))
-
-
-def bm25_term_score(tf, dl, avgdl, n_docs, doc_freq, k1: float = BM25_K1, b: float = BM25_B) -> Column:
-    return idf(n_docs, doc_freq) * bm25_doc_weight(tf, dl, avgdl, k1, b)
-
-
-def py_idf(n_docs: float, doc_freq: float) -> float:
-    return math.log(1.0 + (n_docs - doc_freq + 0.5) / (doc_freq + 0.5))

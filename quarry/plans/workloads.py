@@ -2,8 +2,7 @@
 
 Every query reads whole tables (no id subsets, no row caps); a limit
 appears only where it is the feature (top-k, page size).  Each has a
-DuckDB counterpart of the same name in :mod:`quarry.plans.oracle` unless
-SQL cannot express it (approximate search recall).
+DuckDB counterpart of the same name in :mod:`quarry.plans.oracle`.
 """
 
 from __future__ import annotations
@@ -16,9 +15,9 @@ from pyspark.sql import functions as F
 from ..functions.embed import HashEmbedder, embed_documents, embed_queries
 from ..functions.metadata import set_metadata
 from ..functions.partitions import knowledge_id, partition_collisions, partition_name
+from ..functions.vectors import cosine
 from ..operators import tables as tb
 from ..operators.bm25 import bm25_search, build_bm25_index
-from ..functions.vectors import cosine
 from ..operators.hybrid import compare_methods, hybrid_search, overlap_at_k
 from ..operators.ivf import IvfIndex, build_ivf, ivf_search, recall_at_k
 from ..operators.knn import vector_search
