@@ -58,8 +58,25 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM j GROUP BY rid, doc_id"""
 
+NEAR_DEDUP = r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+i AS (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 2, least(len(ws), 1)) + 1)) AS i FROM w),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 2], ' ') AS g FROM i),
+c AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+b AS (SELECT x.doc_id AS u, y.doc_id AS v, count(*) AS both_ FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id
+      GROUP BY ALL),
+l AS (SELECT u, v FROM b JOIN c cu ON cu.doc_id = u JOIN c cv ON cv.doc_id = v
+      WHERE 100 * both_ >= 85 * (cu.n + cv.n - both_)),
+e AS (SELECT u, v FROM l UNION ALL SELECT v, u FROM l),
+r AS (SELECT u AS d, v AS x FROM e UNION SELECT r.d, e.v FROM r JOIN e ON r.x = e.u),
+m AS (SELECT d, min(x) AS x FROM r GROUP BY d),
+f AS (SELECT w.doc_id, coalesce(c.n, 0) AS n_shingles, least(w.doc_id, coalesce(m.x, w.doc_id)) AS component_id
+      FROM w LEFT JOIN c ON c.doc_id = w.doc_id LEFT JOIN m ON m.d = w.doc_id)
+SELECT *, doc_id = component_id AS kept FROM f"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": _quality(),
     "op4_warc": WARC,
+    "op5_minmax_near_dedup": NEAR_DEDUP,
     "op10_line_dedup": LINE_DEDUP,
 }
