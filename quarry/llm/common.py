@@ -96,12 +96,25 @@ def small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
     return df
 
 
+def release_memory() -> None:
+    """Hand freed memory back to the machine: a Python worker outlives its
+    task, and its allocators would keep what the task needed most."""
+    import ctypes
+
+    import pyarrow as pa
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def slices(batches, rows: int = 256):
     """Arrow batches in pieces of a few rows, so that a task never holds all
-    texts of a batch as Python objects."""
+    texts of a batch as Python objects.  At the end, memory is released."""
     for b in batches:
         for at in range(0, b.num_rows, rows):
             yield b.slice(at, rows)
+    release_memory()
 
 
 def text_bytes(column) -> list:

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from .common import slices, small_batches, stored, text_bytes, worker_cache
 from .components import connected_components
 
-CACHE_WORDS = 200_000
+CACHE_WORDS = 50_000
 
 
 def shingle_set(words: list[bytes], size: int, memory: dict) -> np.ndarray:
