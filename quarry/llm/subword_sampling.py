@@ -63,6 +63,9 @@ class Vocabulary:
         plain = [i for i in range(n) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
         self.bytes = {int(self.pieces[i][1:-1], 16): i for i in range(n) if sp.is_byte(i)}
         self.byte_of = {i: b for b, i in self.bytes.items()}
+        self.is_byte = np.zeros(n, bool)
+        self.is_byte[list(self.byte_of)] = True
+        self.piece_array = np.array(self.pieces, dtype=object)
         self.ids = {self.pieces[i]: (i, -math.log1p(max(0.0, -sp.get_score(i)))) for i in plain}
         self.byte_score = -math.log1p(n)
         self.split = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
@@ -74,10 +77,11 @@ class Vocabulary:
     def decode(self, ids) -> str:
         """The text of a piece sequence: blanks restored, bytes joined, the
         blank that encoding put in front taken off."""
+        ids = np.asarray(ids, np.int64)
         out, pending = [], bytearray()
-        if self.byte_of.keys().isdisjoint(ids):
-            out, ids = [self.pieces[i] for i in ids], ()
-        for i in ids:
+        if not self.is_byte[ids].any():
+            out, ids = self.piece_array[ids].tolist(), ids[:0]
+        for i in ids.tolist():
             b = self.byte_of.get(i)
             if b is not None:
                 pending.append(b)
@@ -346,7 +350,7 @@ def sample_segmentations(df: DataFrame, model_path: str, key: str = "doc_id", te
                 rows = [(i, j, *r) for i, rs in enumerate(found) for j, r in enumerate(rs)]
                 ids = [piece_ids(vocab, r[2]) for r in rows]
                 offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
-                back = [vocab.decode(x.tolist()) == texts[at + r[0]].replace(BLANK, " ") for x, r in zip(ids, rows)]
+                back = [vocab.decode(x) == texts[at + r[0]].replace(BLANK, " ") for x, r in zip(ids, rows)]
                 flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
                 part = b.slice(at, end - at).take(pa.array([r[0] for r in rows], pa.int64()))
                 yield pa.RecordBatch.from_arrays(
