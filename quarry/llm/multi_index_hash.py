@@ -14,7 +14,9 @@ Those within ``r`` are ranked by their exact inner products.
 
 The radius is the one that holds ``aim`` of the true neighbours within the
 sample.  The sample's neighbours are farther than those among all rows, so
-the recall over all rows is higher.
+the recall over all rows is higher.  Queries that find fewer than ``k`` rows
+within it, all blocks together, are asked again with twice the radius, up to
+all bits, where every row is found: each gets ``k`` rows, or all there are.
 
 All rows are indexed.  Rows are dealt into blocks by a hash of the id (no
 block is ever hot), queries into blocks as well, and each pair of blocks is
@@ -31,6 +33,8 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import stored
+
 
 @dataclass
 class BinaryCodes:
@@ -103,6 +107,8 @@ class SubstringIndexes:
         query's substring decides, which is cheaper than to list all values
         around it once there are more of those than the block has."""
         m = queries.shape[1]
+        if radius >= 16 * m:
+            return np.ones((len(queries), len(self.codes)), bool)
         small, more = divmod(radius, m)
         hit = np.zeros((len(queries), len(self.codes)), bool)
         for s, (values, rows) in enumerate(self.parts):
@@ -117,14 +123,14 @@ class SubstringIndexes:
         return hit
 
 
-def search_block(codes: BinaryCodes, ids, x, query_ids, y, k: int, step: int = 128):
+def search_block(codes: BinaryCodes, ids, x, query_ids, y, k: int, radius: int, step: int = 128):
     """The best ``k`` of a block for each query: query, id and score arrays.
     Scores are sums in a fixed order, so equal vectors tie exactly."""
     index = SubstringIndexes(codes.encode(x))
     out = []
     for at in range(0, len(y), step):
         q, qid = y[at:at + step], query_ids[at:at + step]
-        hit = index.within(codes.encode(q, query=True), codes.radius)
+        hit = index.within(codes.encode(q, query=True), radius)
         hit &= qid[:, None] != ids[None, :]
         rough = np.where(hit, q @ x.T, -np.inf)
         for i in range(len(q)):
@@ -154,7 +160,7 @@ def nearest(df: DataFrame, queries, vec_id: str = "vec_id", vector: str = "embed
             query_block: int = 4096) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` rows of largest inner
     product found for each row that the condition ``queries`` selects, its own
-    id aside, ties to the smaller id.
+    id aside, ties to the smaller id; all other rows if they are fewer.
 
     Rows whose id or vector is null, zero, empty or holds a null or
     non-finite component take no part, nor do rows of another length than
@@ -183,26 +189,43 @@ def nearest(df: DataFrame, queries, vec_id: str = "vec_id", vector: str = "embed
 
     blocks = max(1, -(-n * dim * 8 // block_bytes))
     asked = valid.filter(queries)
-    n_asked = asked.count()
-    query_blocks = max(1, -(-n_asked // query_block))
     part = lambda seed, count: F.pmod(F.xxhash64(F.lit(seed), "vec_id"), F.lit(count)).cast("int")
     every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-    left = valid.withColumn("block", part(11, blocks)).withColumn("query_block", every(query_blocks))
-    right = asked.withColumn("query_block", part(13, query_blocks)).withColumn("block", every(blocks))
 
     def matrix(table):
         ids = table.column("vec_id").to_numpy()
         x = table.column("v").combine_chunks().flatten().to_numpy().reshape(-1, dim)
         return ids, x
 
-    def run(rows_of_block, asked_of_block):
-        if not rows_of_block.num_rows or not asked_of_block.num_rows:
-            found = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
-        else:
-            found = search_block(shared.value, *matrix(rows_of_block), *matrix(asked_of_block), k)
-        return pa.table({"query_id": found[0], "vec_id": found[1], "score": found[2]})
-
-    keys = ["block", "query_block"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, schema)
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", place).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    def search(asked: DataFrame, n_asked: int, radius: int) -> DataFrame:
+        """The ranked ``k`` best within ``radius`` of each row of ``asked``."""
+        def run(rows_of_block, asked_of_block):
+            if not rows_of_block.num_rows or not asked_of_block.num_rows:
+                found = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+            else:
+                found = search_block(shared.value, *matrix(rows_of_block), *matrix(asked_of_block), k, radius)
+            return pa.table({"query_id": found[0], "vec_id": found[1], "score": found[2]})
+
+        query_blocks = max(1, -(-n_asked // query_block))
+        left = valid.withColumn("block", part(11, blocks)).withColumn("query_block", every(query_blocks))
+        right = asked.withColumn("query_block", part(13, query_blocks)).withColumn("block", every(blocks))
+        keys = ["block", "query_block"]
+        found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, schema)
+        place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+        return found.withColumn("rank", place).filter(F.col("rank") <= k).select(
+            "query_id", "rank", "vec_id", "score")
+
+    radius, n_asked, done = (bits if n <= k + 1 else model.radius), asked.count(), None
+    while True:  # the radius doubles: a few rounds at most, and only while queries are short of rows
+        found = search(asked, n_asked, radius)
+        if radius < bits:
+            found = stored(found, "nearest")
+            full = found.filter(F.col("rank") == k).select("query_id")
+            asked = stored(asked.join(full.withColumnRenamed("query_id", "vec_id"), "vec_id", "left_anti"), "asked")
+            n_asked = asked.count()
+            if n_asked:
+                found = found.join(full, "query_id", "left_semi").select(*found.columns)
+        done = found if done is None else done.unionByName(found)
+        if radius >= bits or not n_asked:
+            return done
+        radius = min(bits, max(2 * radius, 16))

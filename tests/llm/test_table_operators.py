@@ -345,6 +345,32 @@ def test_nearest_recall_and_ties(spark):
     assert hits / total >= 0.9
 
 
+def test_nearest_fills_every_query(spark):
+    """k rows for each query, or all others: tight groups, outliers, one with negative products, small tables."""
+    rng = np.random.default_rng(4)
+    heart = rng.normal(size=(10, 16))
+    x = np.concatenate([np.repeat(heart, 200, axis=0) + rng.normal(size=(2000, 16)) * 1e-4, rng.normal(size=(8, 16)),
+                        -heart.sum(axis=0)[None] * 3])
+    ids = rng.permutation(len(x)) * 20
+    asked = [int(i) for i in (*ids[:2000:100], *ids[2000:])]
+
+    def count(ids, x, asked, **kw):
+        df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x)], "vec_id long, embedding array<double>")
+        by = collections.defaultdict(list)
+        for r in mi.nearest(df, F.col("vec_id").isin(asked), **kw).collect():
+            by[r.query_id].append(r)
+        for q, rs in by.items():
+            rs.sort(key=lambda r: r.rank)
+            assert [r.rank for r in rs] == list(range(1, len(rs) + 1)) and len({r.vec_id for r in rs} - {q}) == len(rs)
+            assert [r.score for r in rs] == sorted((r.score for r in rs), reverse=True)
+        return {q: len(by[q]) for q in asked}
+
+    assert count(ids, x, asked, block_bytes=64 << 10) == dict.fromkeys(asked, 20)
+    for n in (2, 21, 40):
+        few = [int(i) for i in ids[-n:]]
+        assert count(ids[-n:], x[-n:], few) == dict.fromkeys(few, min(20, n - 1))
+
+
 def test_nearest_odd_rows(spark):
     v = [1.0, 2.0, 0.0, 1.0]
     rows = [(0, v), (20, [float("nan"), 1.0, 1.0, 1.0]), (40, None), (60, [0.0] * 4), (80, [1.0, None, 1.0, 1.0]), (100, [1.0] * 3), (120, []),
