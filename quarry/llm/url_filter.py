@@ -2,7 +2,7 @@
 
 Host names run words together.  A unigram Viterbi splits every distinct
 letter run of the hosts into the words of highest total probability; the
-word counts come from the titles of all pages.  A multinomial naive Bayes,
+word counts come from the whole texts of all pages.  A multinomial naive Bayes,
 trained on all pages that a rule decides, then scores the words of host and
 path.  Tokens are hashed to ``2 ** bits`` counters, so the model's size is
 fixed whatever the vocabulary.
@@ -20,12 +20,14 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, schema_with
+from .common import ascii_lower, schema_with, stored
 
 # (host and path prefix, verdict): the rules of the registered query.
 RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"),
          ("net/es/", "block"), ("net/fr/", "block")]
 MAX_WORD = 24  # characters of the longest word a host is split into
+MARKUP = (r"(?is)<!--.*?(?:-->|\z)|<(script|style)(?=[\s/>]).*?(?:</\1(?=[\s/>])[^>]*(?:>|\z)|\z)"
+          r"|<[a-z/!?][^>]*(?:>|\z)|&#?[a-z0-9]{1,32};")
 
 
 def url_part(url: Column, group: int) -> Column:
@@ -47,6 +49,12 @@ def letter_runs(c: Column) -> Column:
     return F.regexp_extract_all(F.lower(c), F.lit(r"(\p{L}+)"), F.lit(1))
 
 
+def page_text(html: Column) -> Column:
+    """What a page says: tags, comments, character references and all of script
+    and style become blanks; what is left open reaches to the end."""
+    return F.regexp_replace(html, MARKUP, " ")
+
+
 def best_split(run: str, logp: dict[str, float], log_total: float) -> list[str]:
     """The words of highest total log-probability; an unknown word of ``n``
     letters has that of ten words over ``10 ** n``."""
@@ -152,8 +160,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, url:
                         ascii_lower(url_part(F.col(url), 1)).alias("host"), url_part(F.col(url), 2).alias("path"))
     base = base.withColumn("rule", matching_rule(F.col("host"), F.col("path"), rules, 0)).withColumn(
         "verdict", matching_rule(F.col("host"), F.col("path"), rules, 1))
-    title = F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)
-    counts = word_counts(title, pages)
+    counts = stored(word_counts(page_text(F.col(html)), pages), "words")
     hosts = segment_hosts(base.select("host").distinct(), counts)
     tokens = base.join(hosts, "host", "left").withColumn("__slots", token_slots(F.col("host_words"), F.col("path"), bits))
     odds, prior = train_bayes(tokens.filter("verdict IS NOT NULL").select(

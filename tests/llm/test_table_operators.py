@@ -295,6 +295,21 @@ def test_url_rules(spark):
     assert {r.verdict for r in uf.judge_urls(df, rules=[]).collect()} == {"allow"}
 
 
+def test_url_words_come_from_whole_pages(spark):
+    body = ("<html><head><title>none</title><STYLE>red{}</STYLE><script type='x'>if (a < b) hush('</p>')</script ></head>"
+            "<!-- hush > hush --><p class='hush'>Green&amp;<b>House</b> 5 < 6</p><p>tea&#32;pot</p>")
+    rows = [(1, "http://greenhouse.com/a", body), (2, "http://teapot.com/b", "<p>tea pot</p><script>hush hush"),
+            (3, "http://hushhush.org/c", None), (4, "http://redred.org", "pot <!-- red red")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.word: r.n for r in uf.word_counts(uf.page_text(F.col("html")), df).collect()}
+    assert got == {"none": 1, "green": 1, "house": 1, "tea": 2, "pot": 3}
+    words = {r.page_id: r.host_words for r in uf.judge_urls(df).collect()}
+    assert words[1].startswith("green house ") and words[2].startswith("tea pot ")
+    open_ends = [(i, x * 200_000) for i, x in enumerate(("<a", "<!--", "<script>", "<", "a ", "&a"))]
+    big = spark.createDataFrame(open_ends, "page_id long, html string")
+    assert {r.word: r.n for r in uf.word_counts(uf.page_text(F.col("html")), big).collect()} == {"a": 400_000}
+
+
 def test_segmentation_is_the_best_split():
     import itertools
     import math
