@@ -250,6 +250,19 @@ def recall(floor: float, exact_scores: bool, *args, **kw):
     return run
 
 
+def recall_by_query(*args, **kw):
+    """Each query's hits and its recall against the exact search; a query
+    without any hit has a row as well."""
+    def run(spark, sf):
+        found = materialize(ivf(*args, threshold=None, **kw)(spark, sf), "approximate")
+        exact = vector_search(testdata_vector_segments(spark, sf), _vector_queries(spark, sf), 10, columns=[],
+                              threshold=None)
+        hits = found.groupBy("query_id").agg(F.count("*").alias("n_hits"))
+        return recall_at_k(found, exact).join(hits, "query_id", "left").select(
+            "query_id", F.coalesce("n_hits", F.lit(0)).alias("n_hits"), "recall")
+    return run
+
+
 def _saved_ivf(spark, sf):
     """An IVF index written, read back and searched in full, with the default
     columns of the corpus."""
@@ -271,6 +284,9 @@ QUERIES.update({
     "ivf_sq8_full_probe": ivf(8, 8, "sq8"),
     "pq_recall": recall(0.1, False, 1, 1, "pq", m=8, nbits=4),
     "ivf_pq_rerank": recall(0.3, True, 8, 4, "pq", m=8, nbits=4, rerank=8),
+    "ivf_recall_by_query": recall_by_query(16, 10),
+    "pq_recall_by_query": recall_by_query(1, 1, "pq", m=8, nbits=8),
+    "ivf_pq_rerank_by_query": recall_by_query(8, 7, "pq", m=8, nbits=8, rerank=8),
     "saved_ivf": _saved_ivf,
     "method_overlap": _overlap,
 })

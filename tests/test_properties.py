@@ -104,6 +104,15 @@ def test_recall_floors(spark):
     assert plain >= 0.25 and reranked >= max(plain, 0.5)
 
 
+@pytest.mark.parametrize("name, mean, least", [("ivf_recall_by_query", 0.9, 0.5), ("ivf_pq_rerank_by_query", 0.9, 0.5),
+                                               ("pq_recall_by_query", 0.6, 0.1)])
+def test_recall_of_every_query(spark, name, mean, least):
+    got = entry.queries()[name](spark, SF_SMALL).collect()
+    assert len(got) == len({r.query_id for r in got}) == _vector_queries(spark, SF_SMALL).count()
+    assert {r.n_hits for r in got} == {10}
+    assert sum(r.recall for r in got) / len(got) >= mean and min(r.recall for r in got) >= least
+
+
 def test_hybrid_vector_only_weights_rank_like_vector(spark):
     corpus, q = _embedded_corpus(spark, SF_SMALL), _embedded_queries(spark, SF_SMALL)
     index = build_bm25_index(corpus)
