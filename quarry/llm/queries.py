@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read_table
+from .conversation_repair import repair_digest
 from .language_id import held_out, identify_language, train_on_documents
 from .line_dedup import dedup_lines
 from .minmax_hash import near_duplicate_classes
@@ -92,6 +93,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired digest of every conversation, after damage."""
+    return repair_digest(read_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_url_filter": op2_url_filter,
@@ -103,4 +109,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_prefix_token_counts": op8_prefix_token_counts,
     "op9_mix_sources": op9_mix_sources,
     "op10_line_dedup": op10_line_dedup,
+    "op11_conversation_repair": op11_conversation_repair,
 }
