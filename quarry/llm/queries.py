@@ -18,6 +18,7 @@ from .oracle import ORACLE_SQL  # noqa: F401  (read by __spark_entry__)
 from .prefix_tokens import token_digest
 from .quality import RULES, quality_rules
 from .subword_sampling import sample_segmentations
+from .token_alignment import alignment_digest
 from .url_filter import judge_urls
 from .warc import archive_round_trip
 
@@ -98,6 +99,12 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_digest(read_table(spark, sf_dir, "conversations"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts, groups and links of two tokenizers over every document."""
+    return alignment_digest(read_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"),
+                            tokenizer_file("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_url_filter": op2_url_filter,
@@ -110,4 +117,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mix_sources": op9_mix_sources,
     "op10_line_dedup": op10_line_dedup,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_token_alignment": op12_token_alignment,
 }
