@@ -17,6 +17,7 @@ from .multi_index_hash import nearest
 from .oracle import ORACLE_SQL  # noqa: F401  (read by __spark_entry__)
 from .prefix_tokens import token_digest
 from .quality import RULES, quality_rules
+from .substring_dedup import drop_repeats
 from .subword_sampling import sample_segmentations
 from .token_alignment import alignment_digest
 from .url_filter import judge_urls
@@ -105,6 +106,13 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
                             tokenizer_file("piece_bpe_32k.model"))
 
 
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words before, words removed and the digest of what stays, of every document."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return drop_repeats(docs, min_words=20).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_url_filter": op2_url_filter,
@@ -118,4 +126,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_line_dedup": op10_line_dedup,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_token_alignment": op12_token_alignment,
+    "op13_substring_dedup": op13_substring_dedup,
 }
