@@ -77,9 +77,9 @@ SELECT *, doc_id = component_id AS kept FROM f"""
 SUBSTRING_DEDUP = r"""WITH w AS (SELECT row_number() OVER () AS rid, doc_id,
     regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
 s AS (SELECT rid, doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM w WHERE len(ws) >= 20),
-k AS (SELECT rid, i, array_to_string(ws[i:i + 19], ' ') AS key, doc_id::HUGEINT * 4294967296 + i AS at FROM s),
-f AS (SELECT key, min(at) AS first FROM k GROUP BY key),
-d AS (SELECT DISTINCT rid, unnest(range(i, i + 20)) AS pos FROM k JOIN f ON k.key = f.key WHERE at > first),
+k AS (SELECT rid, i, array_to_string(ws[i:i + 19], ' ') AS key, doc_id::HUGEINT * 4294967296 + i AS place FROM s),
+f AS (SELECT key, min(place) AS first FROM k GROUP BY key),
+d AS (SELECT DISTINCT rid, unnest(range(i, i + 20)) AS pos FROM k JOIN f ON k.key = f.key WHERE place > first),
 u AS (SELECT rid, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM w),
 r AS (SELECT u.rid, count(*) FILTER (d.pos IS NOT NULL) AS n_removed,
              string_agg(word, ' ' ORDER BY u.pos) FILTER (d.pos IS NULL) AS kept
