@@ -201,7 +201,8 @@ def repeats(base: DataFrame, window: int, run_words: int, shard_words: int, hot:
     """``doc_id, row, gone``: for each document with repeated windows a list of
     ``(start, bits)``, bit i standing for the window at ``start + i``."""
     found = stored(segments(base, window, run_words), "segments")
-    anchors = found.groupBy("anchor").agg(F.count("*").alias("k")).filter("k > 1").select("anchor")
+    # Written first: a join of two plain shuffles is split where an anchor is hot.
+    anchors = stored(found.groupBy("anchor").agg(F.count("*").alias("k")).filter("k > 1").select("anchor"), "anchors")
     hits = stored(found.join(anchors, "anchor", "left_semi"), "repeated-segments")
     bodies = stored(hits.groupBy("anchor", "body").agg(
         F.min(F.struct("doc_id", "start", "row")).alias("first"), F.max("n").alias("n")), "bodies")
