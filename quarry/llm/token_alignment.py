@@ -34,6 +34,7 @@ A task holds one block; no step gathers a pair's documents.
 from __future__ import annotations
 
 import re
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -43,8 +44,10 @@ from .common import release_memory, schema_with, slices, small_batches, stored,
 from .prefix_tokens import byte_alphabet
 
 BLANK = "▁"  # U+2581, a space in pieces
-# Units a worker remembers; beyond, its memory starts afresh (no result depends on it).
-CACHE_UNITS = 400_000
+# Units a worker remembers; beyond, it keeps those that its last block repeats (no result depends on it).
+CACHE_UNITS = 300_000
+# Units tokenized and aligned at once.
+STEP_UNITS = 1 << 14
 # Elements of a product computed at once.
 STEP = 1 << 22
 # Blanks, then a word.  White space that is not one of the three blanks counts
@@ -125,7 +128,8 @@ def links(a_len: np.ndarray, b_len: np.ndarray) -> tuple[Csr, Csr, np.ndarray, n
     a = Csr.from_ranges(a_end - a_len, a_end, width)
     b = Csr.from_ranges(b_end - b_len, b_end, width)
     overlap = a.times(b.transposed())
-    cuts = np.intersect1d(a_end, b_end)
+    near = np.searchsorted(b_end, a_end)
+    cuts = a_end[b_end[near] == a_end] if width else a_end  # both end at the last byte
     a_group, b_group = np.searchsorted(cuts, a_end), np.searchsorted(cuts, b_end)
     ga = Csr.from_ranges(a_group, a_group + 1, len(cuts))
     gb = Csr.from_ranges(b_group, b_group + 1, len(cuts))
@@ -145,11 +149,12 @@ class Tokenizers:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         raw = byte_alphabet()
-        self.a_bytes = {i: bytes(raw[c] for c in t) if all(c in raw for c in t) else t.encode()
-                        for t, i in self.a.get_vocab(with_added_tokens=True).items()}
+        names = sorted(self.a.get_vocab(with_added_tokens=True).items(), key=lambda x: x[1])
+        self.a_bytes = [bytes(raw[c] for c in t) if all(c in raw for c in t) else t.encode() for t, _ in names]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[1:-1], 16)]) if self.b.is_byte(i) else p.replace(BLANK, " ").encode()
                         for i, p in enumerate(pieces)]
+        self.a_size, self.b_size = (np.array(list(map(len, t)), np.int64) for t in (self.a_bytes, self.b_bytes))
         # Units may be cut where no piece could span the cut.
         self.cuts = not any("\n" in p or "\t" in p or BLANK in p.lstrip(BLANK) for p in pieces)
         self.blank = self.b.piece_to_id(BLANK)
@@ -162,7 +167,7 @@ class Tokenizers:
         """Ids of both tokenizers for each unit.  B puts a blank in front by
         itself: one is taken off a unit that starts with one, and B's is taken
         off again where the unit starts with another character."""
-        a = [e.ids for e in self.a.encode_batch(units, add_special_tokens=False)]
+        a = [e.ids for e in self.a.encode_batch_fast(units, add_special_tokens=False)]
         b = self.b.encode([u[1:] if u[:1] == " " else u for u in units], num_threads=1)
         for i, u in enumerate(units):
             if u == " ":  # B has nothing to put its blank in front of
@@ -180,64 +185,89 @@ class Units:
 
     def __init__(self, both: Tokenizers):
         self.both = both
+        ids = range(max(len(both.a_bytes), len(both.b_bytes)))
+        self.texts = np.array([f"{mark}{i}" for mark in ";,|" for i in ids], dtype=object)
         self.clear()
 
     def clear(self) -> None:
         self.index: dict[str, int] = {}
+        self.groups: list[str] = []  # of each unit, a semicolon in front of every group
         self.good = np.zeros(0, bool)
         self.sizes = np.zeros((0, 4), np.int64)  # tokens of A, of B, groups, links
-        self.groups: list[str] = []
         self.pair_ptr = np.zeros(1, np.int64)
         self.pairs, self.times = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def add(self, units: list[str]) -> None:
-        """Tokenize and align new units."""
-        if not units:
+        """Tokenize and align new units, some at a time."""
+        made = [self.aligned(units[at:at + STEP_UNITS]) for at in range(0, len(units), STEP_UNITS)]
+        if not made:
             return
-        a_ids, b_ids = self.both.encode(units)
-        a_bytes, b_bytes = self.both.a_bytes, self.both.b_bytes
-        good = np.zeros(len(units), bool)
-        for i, u in enumerate(units):
-            raw = u.encode("utf-8", "replace")
-            good[i] = (b"".join([a_bytes[t] for t in a_ids[i]]) == raw
-                       and b"".join([b_bytes[t] for t in b_ids[i]]) == raw)
-            if not good[i]:
-                a_ids[i], b_ids[i] = [], []
-        n_a, n_b = (np.array(list(map(len, ids)), np.int64) for ids in (a_ids, b_ids))
-        a, b = (np.array([t for ids in x for t in ids], np.int64) for x in (a_ids, b_ids))
-        a_len = np.array([len(a_bytes[t]) for t in a.tolist()], np.int64)
-        b_len = np.array([len(b_bytes[t]) for t in b.tolist()], np.int64)
-        _, shared, a_group, b_group = links(a_len, b_len)
-        a_unit = np.repeat(np.arange(len(units)), n_a)
+        at = len(self.groups)
+        self.index.update(zip(units, range(at, at + len(units))))
+        for m in made:
+            self.groups += m[0]
+        good, sizes, width, pairs, times = (np.concatenate([m[i] for m in made]) for i in range(1, 6))
+        self.good, self.sizes = np.concatenate((self.good, good)), np.concatenate((self.sizes, sizes))
+        self.pair_ptr = np.concatenate((self.pair_ptr, self.pair_ptr[-1] + np.cumsum(width)))
+        self.pairs, self.times = np.concatenate((self.pairs, pairs)), np.concatenate((self.times, times))
+
+    def keep(self, which: np.ndarray) -> None:
+        """Forget all units but some."""
+        names, width = list(self.index), np.diff(self.pair_ptr)[which]
+        self.index = {names[u]: i for i, u in enumerate(which.tolist())}
+        self.groups = [self.groups[u] for u in which.tolist()]
+        self.good, self.sizes = self.good[which], self.sizes[which]
+        ptr = np.concatenate(([0], np.cumsum(width)))
+        take = np.arange(ptr[-1]) + np.repeat(self.pair_ptr[which] - ptr[:-1], width)
+        self.pair_ptr, self.pairs, self.times = ptr, self.pairs[take], self.times[take]
+
+    def aligned(self, units: list[str]):
+        """Of each unit its groups as text, whether its tokens' bytes are its
+        own, its sizes and the number of its id pairs; then the pairs and their links."""
+        both, n = self.both, len(units)
+        a_ids, b_ids = both.encode(units)
+        raw = [u.encode("utf-8", "replace") for u in units]
+        good = same_bytes(both.a_bytes, a_ids, raw) & same_bytes(both.b_bytes, b_ids, raw)
+        for i in np.flatnonzero(~good).tolist():
+            a_ids[i], b_ids[i] = [], []
+        n_a, n_b = (np.fromiter(map(len, ids), np.int64, n) for ids in (a_ids, b_ids))
+        a, b = (np.fromiter(chain.from_iterable(ids), np.int64) for ids in (a_ids, b_ids))
+        _, shared, a_group, b_group = links(both.a_size[a], both.b_size[b])
+        a_unit = np.repeat(np.arange(n), n_a)
         entry = shared.rows()
-        by_unit = Csr.from_entries(*self.pair_entries(a_unit[entry], a[entry] << 32 | b[shared.cols], len(units)))
+        known, col = unique(a[entry] << 32 | b[shared.cols])
+        by_unit = Csr.from_entries(a_unit[entry], col, np.ones(len(col), np.int64), n, len(known))
         group_unit = np.zeros(int(a_group[-1]) + 1 if len(a_group) else 0, np.int64)
         group_unit[a_group] = a_unit
-        sizes = np.stack((n_a, n_b, np.bincount(group_unit, minlength=len(units)),
-                          np.bincount(a_unit[entry], minlength=len(units))), axis=1)
-        at = len(self.groups)
-        self.index.update((u, at + i) for i, u in enumerate(units))
-        self.groups += group_strings(len(units), group_unit, a, a_group, b, b_group)
-        self.good, self.sizes = np.concatenate((self.good, good)), np.concatenate((self.sizes, sizes))
-        self.pair_ptr = np.concatenate((self.pair_ptr, self.pair_ptr[-1] + by_unit.ptr[1:]))
-        self.pairs = np.concatenate((self.pairs, self.known[by_unit.cols]))
-        self.times = np.concatenate((self.times, by_unit.data))
+        sizes = np.stack((n_a, n_b, np.bincount(group_unit, minlength=n), np.bincount(a_unit[entry], minlength=n)),
+                         axis=1)
+        return (self.group_texts(n_a + n_b, a, a_group, b, b_group), good, sizes, np.diff(by_unit.ptr),
+                known[by_unit.cols], by_unit.data)
+
+    def group_texts(self, size, a, a_group, b, b_group) -> list[str]:
+        """``;a1,a2|b1;a3|b2,b3`` of each unit of ``size`` tokens, A's and B's."""
+        step = len(self.texts) // 3
+        a_text = a + step * (np.diff(a_group, prepend=-1) == 0)
+        b_text = b + step * (1 + (np.diff(b_group, prepend=-1) != 0))
+        order = np.argsort(np.concatenate((2 * a_group, 2 * b_group + 1)), kind="stable")
+        parts = self.texts[np.concatenate((a_text, b_text))[order]].tolist()
+        stop = np.cumsum(size).tolist()
+        return ["".join(parts[x:y]) for x, y in zip([0, *stop], stop)]
 
-    def pair_entries(self, unit: np.ndarray, pair: np.ndarray, n: int):
-        self.known, col = np.unique(pair, return_inverse=True)
-        return unit, col, np.ones(len(pair), np.int64), n, len(self.known)
 
+def same_bytes(table: list[bytes], ids: list[list[int]], raw: list[bytes]) -> np.ndarray:
+    """For each unit, whether its tokens' bytes in a row are its own."""
+    made = [b"".join([table[t] for t in x]) for x in ids]
+    return np.fromiter(map(bytes.__eq__, made, raw), bool, len(raw))
 
-def group_strings(n: int, group_unit, a, a_group, b, b_group) -> list[str]:
-    """``a1,a2|b1;a3|b2,b3`` of each of ``n`` units."""
-    def joined(ids, group):
-        names = list(map(str, ids.tolist()))
-        cut = np.searchsorted(group, np.arange(len(group_unit) + 1)).tolist()
-        return [",".join(names[x:y]) for x, y in zip(cut, cut[1:])]
 
-    both = [f"{x}|{y}" for x, y in zip(joined(a, a_group), joined(b, b_group))]
-    cut = np.searchsorted(group_unit, np.arange(n + 1)).tolist()
-    return [";".join(both[x:y]) for x, y in zip(cut, cut[1:])]
+def unique(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values, sorted, and where each value stands among them."""
+    order = np.argsort(values, kind="stable")
+    new = np.diff(values[order], prepend=values[order[:1]] - 1) != 0
+    at = np.empty(len(values), np.int64)
+    at[order] = np.cumsum(new) - 1
+    return values[order][new], at
 
 
 class Block:
@@ -255,31 +285,35 @@ class Block:
     def row(self, number: int) -> dict:
         """The block as a row of the blocks table."""
         import hashlib
-        memory = self.units
-        index = memory.index
-        memory.add(list(dict.fromkeys(u for p in self.parts for u in p if u not in index)))
-        index = memory.index
-        seq = [list(map(index.__getitem__, p)) for p in self.parts]
-        seq = [s if s and memory.good[s].all() else [] for s in seq]
-        sha = [hashlib.sha256(";".join([memory.groups[u] for u in s]).encode()).hexdigest() if s else "" for s in seq]
-        ptr = np.concatenate(([0], np.cumsum([len(s) for s in seq])))
-        flat = np.array([u for s in seq for u in s], np.int64)
-        used, col = np.unique(flat, return_inverse=True)
-        total = np.concatenate((np.zeros((1, 4), np.int64), np.cumsum(memory.sizes[flat], axis=0)))
-        sizes = total[ptr[1:]] - total[ptr[:-1]]
-        doc = np.repeat(np.arange(len(seq)), np.diff(ptr))
-        d = Csr.from_entries(doc, col, np.ones(len(col), np.int64), len(seq), len(used))
-        n = np.diff(memory.pair_ptr)[used]
-        u_ptr = np.concatenate(([0], np.cumsum(n)))
-        take = np.arange(u_ptr[-1]) + np.repeat(memory.pair_ptr[used] - u_ptr[:-1], n)
-        pairs, u_col = np.unique(memory.pairs[take], return_inverse=True)
+        memory, n = self.units, len(self.parts)
+        memory.add(list(set(chain.from_iterable(self.parts)).difference(memory.index)))
+        size = np.fromiter(map(len, self.parts), np.int64, n)
+        flat = np.fromiter(map(memory.index.__getitem__, chain.from_iterable(self.parts)), np.int64, size.sum())
+        doc = np.repeat(np.arange(n), size)
+        bad = np.zeros(n, bool)
+        bad[doc[~memory.good[flat]]] = True
+        if bad.any():
+            flat, doc, size = flat[~bad[doc]], doc[~bad[doc]], np.where(bad, 0, size)
+        cut = np.concatenate(([0], np.cumsum(size)))
+        texts, groups = flat.tolist(), memory.groups
+        sha = ["" if x == y else hashlib.sha256("".join([groups[u] for u in texts[x:y]])[1:].encode()).hexdigest()
+               for x, y in zip(cut.tolist(), cut[1:].tolist())]
+        seen = np.zeros(len(groups), bool)
+        seen[flat] = True
+        used = np.flatnonzero(seen)
+        d = Csr.from_entries(doc, (np.cumsum(seen) - 1)[flat], np.ones(len(flat), np.int64), n, len(used))
+        total = [d.times_vector(v) for v in memory.sizes[used].T]
+        width = np.diff(memory.pair_ptr)[used]
+        u_ptr = np.concatenate(([0], np.cumsum(width)))
+        take = np.arange(u_ptr[-1]) + np.repeat(memory.pair_ptr[used] - u_ptr[:-1], width)
+        pairs, u_col = unique(memory.pairs[take])
         u = Csr(u_ptr, u_col, memory.times[take], len(pairs))
         frequency = np.bincount(d.times(u).cols, minlength=len(pairs))
-        if len(index) > CACHE_UNITS:
-            memory.clear()
-        return {"block": number, "ids": self.ids, "n_a": sizes[:, 0], "n_b": sizes[:, 1], "n_groups": sizes[:, 2],
-                "n_links": sizes[:, 3], "sha": sha, "d_size": np.diff(d.ptr), "d_cols": d.cols, "d_data": d.data,
-                "u_size": np.diff(u.ptr), "u_cols": u.cols, "u_data": u.data, "pairs": pairs, "docs": frequency}
+        if len(groups) > CACHE_UNITS:
+            memory.keep(np.flatnonzero(np.bincount(flat, minlength=len(groups)) > 1))
+        return {"block": number, "ids": self.ids, "n_a": total[0], "n_b": total[1], "n_groups": total[2],
+                "n_links": total[3], "sha": sha, "d_size": np.diff(d.ptr), "d_cols": d.cols, "d_data": d.data,
+                "u_size": width, "u_cols": u.cols, "u_data": u.data, "pairs": pairs, "docs": frequency}
 
 
 def blocks(df: DataFrame, a_path: str, b_path: str, block_chars: int) -> DataFrame:
@@ -329,7 +363,7 @@ def pair_counts(table: DataFrame) -> DataFrame:
 
 
 def alignment_digest(df: DataFrame, a_path: str, b_path: str, doc_id: str = "doc_id", text: str = "text",
-                     block_chars: int = 8 << 20) -> DataFrame:
+                     block_chars: int = 4 << 20) -> DataFrame:
     """One row for each row of ``df``: ``doc_id, n_a, n_b, n_groups, n_links,
     n_best, count_sum`` (long) and ``groups_sha256``.
 
