@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import sys
 import types
 import uuid
@@ -108,6 +109,20 @@ def release_memory() -> None:
         trim(0)
 
 
+@contextlib.contextmanager
+def no_cycle_search():
+    """Keep Python from looking for reference cycles again and again while
+    many small objects are made that have none."""
+    import gc
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 def slices(batches, rows: int = 256):
     """Arrow batches in pieces of a few rows, so that a task never holds all
     texts of a batch as Python objects.  At the end, memory is released."""

@@ -40,14 +40,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import release_memory, schema_with, slices, small_batches, stored, worker_cache
+from .common import no_cycle_search, release_memory, schema_with, slices, small_batches, stored, worker_cache
 from .prefix_tokens import byte_alphabet
 
 BLANK = "▁"  # U+2581, a space in pieces
 # Units a worker remembers; beyond, it keeps those that its last block repeats (no result depends on it).
-CACHE_UNITS = 300_000
+CACHE_UNITS = 220_000
 # Units tokenized and aligned at once.
-STEP_UNITS = 1 << 14
+STEP_UNITS = 1 << 13
 # Elements of a product computed at once.
 STEP = 1 << 22
 # Blanks, then a word.  White space that is not one of the three blanks counts
@@ -332,7 +332,9 @@ def blocks(df: DataFrame, a_path: str, b_path: str, block_chars: int) -> DataFra
         memory = worker_cache(f"align:{a_path}:{b_path}", lambda: Units(Tokenizers(a_path, b_path)))
         first, made, block, kind = TaskContext.get().partitionId() << 32, 0, Block(memory), None
 
-        def batch_of(row):
+        def batch_of(block, number):
+            with no_cycle_search():
+                row = block.row(number)
             cols = [pa.array([row["block"]], pa.int64()), pa.array([row["ids"]], pa.list_(kind))]
             cols += [pa.array([row[k]], pa.list_(arrow[v])) for k, v in lists.items()]
             return pa.RecordBatch.from_arrays(cols, names=["block", "ids", *lists])
@@ -342,11 +344,11 @@ def blocks(df: DataFrame, a_path: str, b_path: str, block_chars: int) -> DataFra
             for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 block.add(d, t)
                 if block.chars >= block_chars or len(block.ids) >= block_chars >> 6:
-                    yield batch_of(block.row(first + made))
+                    yield batch_of(block, first + made)
                     block, made = Block(memory), made + 1
+                    release_memory()
         if block.ids:
-            yield batch_of(block.row(first + made))
-        release_memory()
+            yield batch_of(block, first + made)
 
     return small_batches(df).mapInArrow(run, schema)
 
@@ -363,7 +365,7 @@ def pair_counts(table: DataFrame) -> DataFrame:
 
 
 def alignment_digest(df: DataFrame, a_path: str, b_path: str, doc_id: str = "doc_id", text: str = "text",
-                     block_chars: int = 4 << 20) -> DataFrame:
+                     block_chars: int = 2 << 20) -> DataFrame:
     """One row for each row of ``df``: ``doc_id, n_a, n_b, n_groups, n_links,
     n_best, count_sum`` (long) and ``groups_sha256``.
 
