@@ -44,8 +44,8 @@ from .common import no_cycle_search, release_memory, schema_with, slices, small_
 from .prefix_tokens import byte_alphabet
 
 BLANK = "▁"  # U+2581, a space in pieces
-# Units a worker remembers; beyond, it keeps those that its last block repeats (no result depends on it).
-CACHE_UNITS = 220_000
+# Units a worker remembers; beyond, it keeps the half that it met most often (no result depends on it).
+CACHE_UNITS = 250_000
 # Units tokenized and aligned at once.
 STEP_UNITS = 1 << 13
 # Elements of a product computed at once.
@@ -192,7 +192,7 @@ class Units:
     def clear(self) -> None:
         self.index: dict[str, int] = {}
         self.groups: list[str] = []  # of each unit, a semicolon in front of every group
-        self.good = np.zeros(0, bool)
+        self.good, self.used = np.zeros(0, bool), np.zeros(0, np.int64)
         self.sizes = np.zeros((0, 4), np.int64)  # tokens of A, of B, groups, links
         self.pair_ptr = np.zeros(1, np.int64)
         self.pairs, self.times = np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -206,6 +206,7 @@ class Units:
         self.index.update(zip(units, range(at, at + len(units))))
         for m in made:
             self.groups += m[0]
+        self.used = np.concatenate((self.used, np.zeros(len(units), np.int64)))
         good, sizes, width, pairs, times = (np.concatenate([m[i] for m in made]) for i in range(1, 6))
         self.good, self.sizes = np.concatenate((self.good, good)), np.concatenate((self.sizes, sizes))
         self.pair_ptr = np.concatenate((self.pair_ptr, self.pair_ptr[-1] + np.cumsum(width)))
@@ -216,7 +217,7 @@ class Units:
         names, width = list(self.index), np.diff(self.pair_ptr)[which]
         self.index = {names[u]: i for i, u in enumerate(which.tolist())}
         self.groups = [self.groups[u] for u in which.tolist()]
-        self.good, self.sizes = self.good[which], self.sizes[which]
+        self.good, self.sizes, self.used = self.good[which], self.sizes[which], self.used[which]
         ptr = np.concatenate(([0], np.cumsum(width)))
         take = np.arange(ptr[-1]) + np.repeat(self.pair_ptr[which] - ptr[:-1], width)
         self.pair_ptr, self.pairs, self.times = ptr, self.pairs[take], self.times[take]
@@ -309,8 +310,9 @@ class Block:
         pairs, u_col = unique(memory.pairs[take])
         u = Csr(u_ptr, u_col, memory.times[take], len(pairs))
         frequency = np.bincount(d.times(u).cols, minlength=len(pairs))
+        memory.used += np.bincount(flat, minlength=len(groups))
         if len(groups) > CACHE_UNITS:
-            memory.keep(np.flatnonzero(np.bincount(flat, minlength=len(groups)) > 1))
+            memory.keep(np.sort(np.argsort(memory.used)[-CACHE_UNITS // 2:]))
         return {"block": number, "ids": self.ids, "n_a": total[0], "n_b": total[1], "n_groups": total[2],
                 "n_links": total[3], "sha": sha, "d_size": np.diff(d.ptr), "d_cols": d.cols, "d_data": d.data,
                 "u_size": width, "u_cols": u.cols, "u_data": u.data, "pairs": pairs, "docs": frequency}
@@ -365,7 +367,7 @@ def pair_counts(table: DataFrame) -> DataFrame:
 
 
 def alignment_digest(df: DataFrame, a_path: str, b_path: str, doc_id: str = "doc_id", text: str = "text",
-                     block_chars: int = 2 << 20) -> DataFrame:
+                     block_chars: int = 1 << 19) -> DataFrame:
     """One row for each row of ``df``: ``doc_id, n_a, n_b, n_groups, n_links,
     n_best, count_sum`` (long) and ``groups_sha256``.
 
