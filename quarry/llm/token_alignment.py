@@ -115,6 +115,24 @@ class Csr:
         ptr = np.concatenate([[0], *[p.ptr[1:] + s for p, s in zip(parts, shift)]])
         return Csr(ptr, np.concatenate([p.cols for p in parts]), np.concatenate([p.data for p in parts]), right.width)
 
+    def dump(self) -> bytes:
+        """The matrix in as few bytes as its numbers need; entries are not negative."""
+        out = [np.array([self.height, len(self.cols), self.width], np.int64).tobytes()]
+        for part in (np.diff(self.ptr), self.cols, self.data):
+            kind = np.min_scalar_type(int(part.max(initial=0)))
+            out += [kind.char.encode(), part.astype(kind).tobytes()]
+        return b"".join(out)
+
+    @classmethod
+    def load(cls, raw: bytes) -> Csr:
+        height, n, width = np.frombuffer(raw, np.int64, 3).tolist()
+        parts, at = [], 24
+        for size in (height, n, n):
+            kind = np.dtype(chr(raw[at]))
+            parts.append(np.frombuffer(raw, kind, size, at + 1).astype(np.int64))
+            at += 1 + size * kind.itemsize
+        return cls(np.concatenate(([0], np.cumsum(parts[0]))), parts[1], parts[2], width)
+
     def times_vector(self, v: np.ndarray) -> np.ndarray:
         total = np.concatenate(([0], np.cumsum(self.data * v[self.cols])))
         return total[self.ptr[1:]] - total[self.ptr[:-1]]
@@ -314,8 +332,7 @@ class Block:
         if len(groups) > CACHE_UNITS:
             memory.keep(np.sort(np.argsort(memory.used)[-CACHE_UNITS // 2:]))
         return {"block": number, "ids": self.ids, "n_a": total[0], "n_b": total[1], "n_groups": total[2],
-                "n_links": total[3], "sha": sha, "d_size": np.diff(d.ptr), "d_cols": d.cols, "d_data": d.data,
-                "u_size": width, "u_cols": u.cols, "u_data": u.data, "pairs": pairs, "docs": frequency}
+                "n_links": total[3], "sha": sha, "d": d.dump(), "u": u.dump(), "pairs": pairs, "docs": frequency}
 
 
 def blocks(df: DataFrame, a_path: str, b_path: str, block_chars: int) -> DataFrame:
@@ -323,10 +340,11 @@ def blocks(df: DataFrame, a_path: str, b_path: str, block_chars: int) -> DataFra
     import pyarrow as pa
 
     id_type = df.schema["doc_id"].dataType.simpleString()
-    lists = {"n_a": "int", "n_b": "int", "n_groups": "int", "n_links": "bigint", "sha": "string", "d_size": "int",
-             "d_cols": "int", "d_data": "int", "u_size": "int", "u_cols": "int", "u_data": "int", "pairs": "bigint",
+    lists = {"n_a": "int", "n_b": "int", "n_groups": "int", "n_links": "bigint", "sha": "string", "pairs": "bigint",
              "docs": "int"}
-    schema = f"block long, ids array<{id_type}>, " + ", ".join(f"{k} array<{v}>" for k, v in lists.items())
+    # The matrices are plain bytes: Spark reads arrays of numbers at several times their size.
+    schema = f"block long, ids array<{id_type}>, d binary, u binary, " + ", ".join(
+        f"{k} array<{v}>" for k, v in lists.items())
     arrow = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string()}
 
     def run(batches):
@@ -335,22 +353,23 @@ def blocks(df: DataFrame, a_path: str, b_path: str, block_chars: int) -> DataFra
         first, made, block, kind = TaskContext.get().partitionId() << 32, 0, Block(memory), None
 
         def batch_of(block, number):
-            with no_cycle_search():
-                row = block.row(number)
-            cols = [pa.array([row["block"]], pa.int64()), pa.array([row["ids"]], pa.list_(kind))]
+            row = block.row(number)
+            cols = [pa.array([row["block"]], pa.int64()), pa.array([row["ids"]], pa.list_(kind)),
+                    pa.array([row["d"]], pa.binary()), pa.array([row["u"]], pa.binary())]
             cols += [pa.array([row[k]], pa.list_(arrow[v])) for k, v in lists.items()]
-            return pa.RecordBatch.from_arrays(cols, names=["block", "ids", *lists])
-
-        for b in slices(batches, 64):
-            kind = b.column(0).type
-            for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                block.add(d, t)
-                if block.chars >= block_chars or len(block.ids) >= block_chars >> 6:
-                    yield batch_of(block, first + made)
-                    block, made = Block(memory), made + 1
-                    release_memory()
-        if block.ids:
-            yield batch_of(block, first + made)
+            return pa.RecordBatch.from_arrays(cols, names=["block", "ids", "d", "u", *lists])
+
+        with no_cycle_search():
+            for b in slices(batches, 64):
+                kind = b.column(0).type
+                for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                    block.add(d, t)
+                    if block.chars >= block_chars or len(block.ids) >= block_chars >> 6:
+                        yield batch_of(block, first + made)
+                        block, made = Block(memory), made + 1
+                        release_memory()
+            if block.ids:
+                yield batch_of(block, first + made)
 
     return small_batches(df).mapInArrow(run, schema)
 
@@ -393,18 +412,12 @@ def alignment_digest(df: DataFrame, a_path: str, b_path: str, doc_id: str = "doc
         def values(name):
             return rows.column(name).combine_chunks().flatten()
 
-        def matrix(name, width):
-            size = values(f"{name}_size").to_numpy().astype(np.int64)
-            return Csr(np.concatenate(([0], np.cumsum(size))), values(f"{name}_cols").to_numpy().astype(np.int64),
-                       values(f"{name}_data").to_numpy().astype(np.int64), width)
-
         n_pairs = len(values("pairs"))
         n, best = np.zeros(n_pairs, np.int64), np.zeros(n_pairs, np.int64)
         at = counts.column("at").to_numpy()
         n[at] = counts.column("n").to_numpy()
         best[at] = counts.column("best").combine_chunks().to_numpy(zero_copy_only=False)
-        u = matrix("u", n_pairs)
-        d = matrix("d", u.height)
+        d, u = (Csr.load(rows.column(c)[0].as_py()) for c in ("d", "u"))
         sums = [d.times_vector(u.times_vector(v)) for v in (best, n)]
         cols = [values("ids"), *[values(c).cast(pa.int64()) for c in numbers[:4]],
                 *[pa.array(s, pa.int64()) for s in sums], values("sha")]
