@@ -6,17 +6,27 @@ Build
       product per Arrow batch (centroids broadcast: ``nlist x d`` numbers).
       The index is the corpus plus a ``cell`` column; written, it is
       range-clustered by (cell, id), so a hot cell is many files.
+    * ``two_level=True``: KMeans makes about ``sqrt(nlist)`` branches, each is
+      split into its share of the cells (KMeans in a task, on a bounded sample
+      of the branch), and cells of over ``FULL`` times the mean are split
+      again.  Rows and queries choose a branch first, then among its cells,
+      so nothing is compared with all ``nlist`` centroids.
     * SQ8: per-dimension min/max (MLlib ``Summarizer``, an element-wise tree
       aggregate; dim-sized result), codes ``round((x-min)/(max-min)*255)``
       computed natively.
-    * PQ: ``m`` sub-spaces, one KMeans codebook of ``2**nbits`` centroids
-      each, codes assigned in ``mapInArrow`` with the codebooks broadcast
-      (``m * 2**nbits * d/m`` floats).
+    * PQ: codes of the residual ``vector - centroid`` after a learned rotation
+      (:mod:`quarry.operators.product_codes`), rotation and codebooks learned
+      on a bounded sample (``train_rows`` rows), every row coded in
+      ``mapInArrow`` (``d * d + 2**nbits * d`` numbers travel with the task).
 
 Search uses the block join of :mod:`quarry.operators.knn`: a query becomes
 one row for each of its ``nprobe`` nearest cells and meets that cell's rows
 by an equi join on the cell, both dealt into blocks, so a hot cell is many
 tasks and a cell that nothing probes is dropped before it is shuffled.
+
+:func:`exact_ivf_search` is exact without scanning all cells: the nearest
+cells give every query a score to beat, and then only cells whose centroid
+and radius allow a better one are scanned.
 """
 
 from __future__ import annotations
@@ -35,11 +45,17 @@ from pyspark.sql import types as T
 
 from ..functions.vectors import check_metric, cosine, dot, l2_distance, normalize, prepare_queries, score_matrix
 from ..sources.segments import default_columns
+from ..session import materialize
 from .knn import _arrow_matrix, finish_search, knn_candidates, scope_corpus
+from .product_codes import ProductCodes, learn, nearest, update
 from .topk import rank_topk
 
 KINDS = ("flat", "sq8", "pq")
 INDEX_COLUMNS = ("cell", "sq8_codes", "pq_codes")
+# A two-level cell of more than so many times the mean number of rows is split again.
+FULL = 4
+# Rows for each cell to be made that a branch is split by.
+SPLIT_ROWS = 64
 
 
 @dataclass
@@ -51,7 +67,9 @@ class IvfIndex:
     vector_col: str = "embedding"
     sq8_min: np.ndarray | None = None
     sq8_max: np.ndarray | None = None
-    pq_codebooks: np.ndarray | None = None  # (m, K, d/m)
+    pq: ProductCodes | None = None
+    branches: np.ndarray | None = None  # two-level: (n, d) centroids of the branches
+    branch_of: np.ndarray | None = None  # and the branch of each cell
     params: dict = field(default_factory=dict)
 
     @property
@@ -64,11 +82,11 @@ class IvfIndex:
         (self.table.repartitionByRange("cell", "id").sortWithinPartitions("cell", "id")
          .write.mode("error").parquet(f"{root}/table"))
         spark = self.table.sparkSession
-        meta = {"centroids": self.centroids.tolist(), "metric": self.metric, "kind": self.kind,
-                "vector_col": self.vector_col, "params": self.params,
-                "sq8_min": None if self.sq8_min is None else self.sq8_min.tolist(),
-                "sq8_max": None if self.sq8_max is None else self.sq8_max.tolist(),
-                "pq_codebooks": None if self.pq_codebooks is None else self.pq_codebooks.tolist()}
+        arrays = {"centroids": self.centroids, "sq8_min": self.sq8_min, "sq8_max": self.sq8_max,
+                  "branches": self.branches, "branch_of": self.branch_of,
+                  "rotation": self.pq and self.pq.rotation, "books": self.pq and self.pq.books}
+        meta = {"metric": self.metric, "kind": self.kind, "vector_col": self.vector_col, "params": self.params,
+                "arrays": {name: a.tolist() for name, a in arrays.items() if a is not None}}
         import json
         spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("error").text(
             f"{root}/meta")
@@ -77,10 +95,12 @@ class IvfIndex:
     def read(spark: SparkSession, root: str) -> "IvfIndex":
         import json
         meta = json.loads(spark.read.text(f"{root}/meta").first()[0])
-        arr = (lambda x: None if x is None else np.asarray(x, dtype=np.float64))
-        return IvfIndex(spark.read.parquet(f"{root}/table"), arr(meta["centroids"]), meta["metric"],
-                        meta["kind"], meta["vector_col"], arr(meta["sq8_min"]), arr(meta["sq8_max"]),
-                        arr(meta["pq_codebooks"]), meta.get("params", {}))
+        arrays = {name: np.asarray(a, dtype=np.float64) for name, a in meta["arrays"].items()}
+        pq = ProductCodes(arrays["rotation"], arrays["books"]) if "books" in arrays else None
+        branch_of = arrays["branch_of"].astype(np.int64) if "branch_of" in arrays else None
+        return IvfIndex(spark.read.parquet(f"{root}/table"), arrays["centroids"], meta["metric"], meta["kind"],
+                        meta["vector_col"], arrays.get("sq8_min"), arrays.get("sq8_max"), pq,
+                        arrays.get("branches"), branch_of, meta.get("params", {}))
 
 
 def _train_frame(scope: DataFrame, vector_col: str, metric: str) -> DataFrame:
@@ -128,65 +148,122 @@ def sq8_scorer(mins: np.ndarray, maxs: np.ndarray):
     return factory
 
 
-def _pq_train(scope: DataFrame, vector_col: str, metric: str, m: int, nbits: int, seed: int, max_iter: int,
-              dim: int) -> np.ndarray:
-    if dim % m:
-        raise ValueError(f"dimension {dim} is not divisible by m={m}")
-    ds = dim // m
-    vec = normalize(vector_col) if metric == "cosine" else F.col(vector_col)
-    base = scope.select(vec.alias("_v"))
-    books = []
-    for j in range(m):
-        sub = base.select(array_to_vector(F.slice("_v", j * ds + 1, ds)).alias("features"))
-        model = _kmeans(sub, 2 ** nbits, seed + j, max_iter)
-        centers = np.array(model.clusterCenters(), dtype=np.float64)
-        if len(centers) < 2 ** nbits:  # fewer distinct points than codes: pad with copies
-            centers = np.vstack([centers, np.repeat(centers[:1], 2 ** nbits - len(centers), axis=0)])
-        books.append(centers)
-    return np.stack(books)
-
-
-def _assign_cells(scope: DataFrame, vector_col: str, metric: str, centroids: np.ndarray) -> DataFrame:
-    """Nearest centroid per row, one BLAS product per Arrow batch: argmin of
-    ``|c|^2 - 2 x.c`` (cosine: on the unit vector), the rule probes use."""
-    bc = scope.sparkSession.sparkContext.broadcast(centroids)
+def _in_space(batch, vector_col: str, metric: str) -> np.ndarray:
+    """The vectors of a batch in the space of the centroids: cosine has unit vectors."""
+    x = _arrow_matrix(batch.column(vector_col))
+    if len(x) and metric == "cosine":
+        n = np.linalg.norm(x, axis=1, keepdims=True)
+        x = np.divide(x, n, out=np.zeros_like(x), where=n > 0)
+    return x
+
+
+def nearest_cells(x: np.ndarray, centroids: np.ndarray, branches, branch_of) -> np.ndarray:
+    """The cell of every row: its nearest centroid, with two levels the
+    nearest one of the nearest branch."""
+    if not len(x):
+        return np.zeros(0, np.int32)
+    if branches is None:
+        return nearest(x, centroids).astype(np.int32)
+    out = np.zeros(len(x), np.int32)
+    branch = nearest(x, branches)
+    for one in np.unique(branch):
+        rows, cells = np.flatnonzero(branch == one), np.flatnonzero(branch_of == one)
+        out[rows] = cells[nearest(x[rows], centroids[cells])]
+    return out
+
+
+def _assign_cells(scope: DataFrame, vector_col: str, metric: str, centroids: np.ndarray, branches=None,
+                  branch_of=None) -> DataFrame:
+    """``scope`` with each row's ``cell``, by the rule that probes use."""
+    bc = scope.sparkSession.sparkContext.broadcast((centroids, branches, branch_of))
     out_schema = T.StructType(list(scope.schema.fields) + [T.StructField("cell", T.IntegerType())])
 
     def assign(batches):
-        c = bc.value
-        cc = (c * c).sum(1)
         for batch in batches:
-            x = _arrow_matrix(batch.column(vector_col))
-            if len(x) and metric == "cosine":
-                n = np.linalg.norm(x, axis=1, keepdims=True)
-                x = np.divide(x, n, out=np.zeros_like(x), where=n > 0)
-            cells = np.argmin(cc[None, :] - 2.0 * (x @ c.T), axis=1).astype(np.int32) if len(x) else \
-                np.zeros(0, dtype=np.int32)
+            cells = nearest_cells(_in_space(batch, vector_col, metric), *bc.value)
             yield pa.RecordBatch.from_arrays(list(batch.columns) + [pa.array(cells, type=pa.int32())],
                                              schema=batch.schema.append(pa.field("cell", pa.int32())))
 
     return scope.mapInArrow(assign, out_schema)
 
 
-def _pq_assign(table: DataFrame, vector_col: str, metric: str, books: np.ndarray) -> DataFrame:
-    spark = table.sparkSession
-    bc = spark.sparkContext.broadcast(books)
-    m, _, ds = books.shape
+def _split(assigned: DataFrame, vector_col: str, metric: str, parts: dict[int, int], counts: dict[int, int],
+           seed: int, max_iter: int) -> dict[int, np.ndarray]:
+    """New centroids for some cells: each is split into so many parts by
+    KMeans in a task, on about ``SPLIT_ROWS`` of its rows for each part."""
+    share = {c: min(1.0, SPLIT_ROWS * n / max(counts[c], 1)) for c, n in parts.items()}
+    wanted = assigned.sparkSession.createDataFrame(
+        [(int(c), int(n), float(share[c])) for c, n in parts.items()], "cell int, parts int, share double")
+    drawn = (F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1 << 30)) / float(1 << 30)) < F.col("share")
+    rows = assigned.join(wanted, "cell").where(drawn).select("cell", "parts", vector_col)
+
+    def centers(table: pa.Table) -> pa.Table:
+        x, k = _in_space(table, vector_col, metric), table.column("parts")[0].as_py()
+        x = np.unique(x, axis=0)
+        rng = np.random.default_rng(seed)
+        c = x[rng.permutation(len(x))[:k]].copy()
+        for _ in range(max_iter):
+            c = update(x, c, nearest(x, c), rng)
+        return pa.table({"cell": pa.array([table.column("cell")[0].as_py()] * len(c), pa.int32()),
+                         "center": pa.array(c.tolist(), pa.list_(pa.float64()))})
+
+    found: dict[int, list] = {}
+    for r in rows.groupBy("cell").applyInArrow(centers, "cell int, center array<double>").toLocalIterator():
+        found.setdefault(r["cell"], []).append(r["center"])  # nlist centroids in all
+    return {c: np.array(v) for c, v in found.items()}
+
+
+def _cell_counts(assigned: DataFrame) -> dict[int, int]:
+    return {r["cell"]: r["n"] for r in assigned.groupBy("cell").agg(F.count("*").alias("n")).collect()}  # <= nlist
+
+
+def _two_levels(scope: DataFrame, vector_col: str, metric: str, nlist: int, n_rows: int, seed: int, max_iter: int):
+    """Centroids, branches and the branch of each centroid."""
+    model = _kmeans(_train_frame(scope, vector_col, metric), max(2, int(np.ceil(np.sqrt(nlist)))), seed, max_iter)
+    branches = np.array(model.clusterCenters(), dtype=np.float64)
+    by_branch = _assign_cells(scope, vector_col, metric, branches)
+    counts = _cell_counts(by_branch)
+    parts = {c: max(1, round(nlist * n / n_rows)) for c, n in counts.items()}
+    split = _split(by_branch, vector_col, metric, parts, counts, seed, max_iter)
+    cells = [split.get(b, branches[b:b + 1]) for b in range(len(branches))]
+    centroids, branch_of = np.concatenate(cells), np.repeat(np.arange(len(branches)), list(map(len, cells)))
+    assigned = _assign_cells(scope, vector_col, metric, centroids, branches, branch_of)
+    counts = _cell_counts(assigned)
+    mean = n_rows / len(centroids)
+    full = {c: int(np.ceil(n / mean)) for c, n in counts.items() if n > FULL * mean}
+    if full:
+        split = _split(assigned, vector_col, metric, full, counts, seed + 1, max_iter)
+        keep = np.setdiff1d(np.arange(len(centroids)), list(split))
+        branch_of = np.concatenate((branch_of[keep], *[np.repeat(branch_of[c], len(v)) for c, v in split.items()]))
+        centroids = np.concatenate((centroids[keep], *split.values()))
+    return centroids, branches, branch_of
+
+
+def _pq_train(assigned: DataFrame, n_rows: int, vector_col: str, metric: str, centroids: np.ndarray, m: int,
+              nbits: int, seed: int, train_rows: int) -> ProductCodes:
+    """Rotation and codebooks from about ``train_rows`` rows, drawn by a hash
+    of the id: that sample, and no more, comes to the driver."""
+    cut = int(min(1.0, train_rows / max(n_rows, 1)) * (1 << 30))
+    drawn = assigned.where(F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1 << 30)) < cut)
+    sample = drawn.select("cell", vector_col).limit(2 * train_rows).toArrow()
+    x = _in_space(sample, vector_col, metric)
+    dim = centroids.shape[1]
+    cells = sample.column("cell").to_numpy()
+    return learn((x - centroids[cells]) if len(x) else np.zeros((0, dim)), m, nbits, seed=seed)
+
+
+def _pq_assign(table: DataFrame, vector_col: str, metric: str, centroids: np.ndarray, pq: ProductCodes) -> DataFrame:
+    bc = table.sparkSession.sparkContext.broadcast((centroids, pq.rotation, pq.books))
     out_schema = T.StructType(list(table.schema.fields) + [T.StructField("pq_codes", T.ArrayType(T.IntegerType()))])
 
     def assign(batches):
-        cb = bc.value
+        c, rotation, books = bc.value
+        own = ProductCodes(rotation, books)
+        m = len(books)
         for batch in batches:
-            x = _arrow_matrix(batch.column(vector_col))
-            if len(x) and metric == "cosine":
-                n = np.linalg.norm(x, axis=1, keepdims=True)
-                x = np.divide(x, n, out=np.zeros_like(x), where=n > 0)
-            codes = np.zeros((batch.num_rows, m), dtype=np.int32)
-            for j in range(m):
-                sub = x[:, j * ds:(j + 1) * ds]
-                c = cb[j]
-                d2 = (sub * sub).sum(1)[:, None] + (c * c).sum(1)[None, :] - 2 * sub @ c.T
-                codes[:, j] = np.argmin(d2, axis=1)
+            x = _in_space(batch, vector_col, metric)
+            codes = own.encode(x - c[batch.column("cell").to_numpy(zero_copy_only=False)]) if len(x) else \
+                np.zeros((0, m), np.int32)
             arr = pa.ListArray.from_arrays(pa.array(np.arange(0, (batch.num_rows + 1) * m, m, dtype=np.int32)),
                                            pa.array(codes.ravel()))
             yield pa.RecordBatch.from_arrays(list(batch.columns) + [arr],
@@ -195,75 +272,101 @@ def _pq_assign(table: DataFrame, vector_col: str, metric: str, books: np.ndarray
     return table.mapInArrow(assign, out_schema)
 
 
-def pq_scorer(books: np.ndarray):
-    m, _, ds = books.shape
-
+def pq_scorer(centroids: np.ndarray, rotation: np.ndarray, books: np.ndarray):
+    """Scores of the vectors that the codes stand for: centroid plus decoded residual."""
     def factory(metric: str):
         def score(batch: pa.RecordBatch, rows: np.ndarray, q: np.ndarray):
-            codes = _arrow_matrix(batch.column("pq_codes").take(pa.array(rows))).astype(np.int64)
-            n = len(rows)
-            s = np.zeros((n, len(q)))
-            for j in range(m):
-                qj = q[:, j * ds:(j + 1) * ds]
-                cj = books[j]
-                if metric == "l2":
-                    lut = (qj * qj).sum(1)[:, None] + (cj * cj).sum(1)[None, :] - 2 * qj @ cj.T
-                else:
-                    lut = qj @ cj.T  # (nq, K)
-                s += lut[:, codes[:, j]].T
-            if metric == "l2":
-                d = np.sqrt(np.maximum(s, 0.0))
-                return 1.0 / (1.0 + d), d
-            return s, s
+            part = batch.select(["_cell", "pq_codes"]).take(pa.array(rows))
+            codes = _arrow_matrix(part.column("pq_codes")).astype(np.int64)
+            cells = part.column("_cell").to_numpy()
+            return score_matrix(centroids[cells] + ProductCodes(rotation, books).decode(codes), q, metric)
         return score
     return factory
 
 
+def one_dimension(scope: DataFrame, vector_col: str) -> tuple[int, int]:
+    """Number of rows and the length of their vectors; vectors of several
+    lengths, or with null or non-finite components, are an error that names them."""
+    size = F.size(vector_col)
+    odd = F.exists(F.col(vector_col), lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    st = scope.agg(F.count(F.lit(1)).alias("n"), F.min(size).alias("lo"), F.max(size).alias("hi"),
+                   F.count_if(size != F.lit(0)).alias("some"), F.min_by("id", size).alias("lo_id"),
+                   F.max_by("id", size).alias("hi_id"), F.count_if(odd).alias("odd")).first()
+    if st["n"] and st["lo"] != st["hi"]:
+        raise ValueError(f"{vector_col} has vectors of several lengths: {st['lo']} (id {st['lo_id']}) to {st['hi']} "
+                         f"(id {st['hi_id']}); filter the table to one length first")
+    if st["odd"]:
+        raise ValueError(f"{vector_col} has {st['odd']} vectors with null or non-finite components")
+    return int(st["n"]), int(st["hi"] or 0)
+
+
 def build_ivf(corpus: DataFrame, nlist: int, metric: str = "cosine", *, kind: str = "flat",
               m: int = 8, nbits: int = 8, seed: int = 42, max_iter: int = 20,
-              vector_col: str = "embedding") -> IvfIndex:
+              vector_col: str = "embedding", two_level: bool = False, train_rows: int = 1 << 16) -> IvfIndex:
     """Build an IVF index over the rows of ``corpus`` that have a vector.
 
-    ``nlist=1`` is a flat SQ8 or PQ index.  Training (MLlib KMeans) uses all rows.
+    Vectors of several lengths are an error.  ``nlist=1`` is a flat SQ8 or PQ
+    index.  Cells (MLlib KMeans) are trained on all rows; ``two_level`` makes
+    about ``nlist`` cells in two steps.  PQ learns on ``train_rows`` rows.
     """
     metric = check_metric(metric)
     if kind not in KINDS:
         raise ValueError(f"unknown index kind {kind!r}; expected one of {KINDS}")
     scope = corpus.where(F.col(vector_col).isNotNull() & (F.size(vector_col) > 0))
-    st = scope.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(vector_col)).alias("d")).first()
-    n_rows, dim = int(st["n"] or 0), int(st["d"] or 0)
-    scope = scope.where(F.size(vector_col) == dim)
+    n_rows, dim = one_dimension(scope, vector_col)
+    if kind == "pq" and dim % m:
+        raise ValueError(f"dimension {dim} is not divisible by m={m}")
+    branches = branch_of = None
     if nlist <= 1 or n_rows == 0:
         centroids = np.zeros((1, dim))
         table = scope.withColumn("cell", F.lit(0))
     else:
-        model = _kmeans(_train_frame(scope, vector_col, metric), nlist, seed, max_iter)
-        centroids = np.array(model.clusterCenters(), dtype=np.float64)
-        table = _assign_cells(scope, vector_col, metric, centroids)
-    index = IvfIndex(table, centroids, metric, kind, vector_col,
+        if two_level:
+            centroids, branches, branch_of = _two_levels(scope, vector_col, metric, nlist, n_rows, seed, max_iter)
+        else:
+            model = _kmeans(_train_frame(scope, vector_col, metric), nlist, seed, max_iter)
+            centroids = np.array(model.clusterCenters(), dtype=np.float64)
+        table = _assign_cells(scope, vector_col, metric, centroids, branches, branch_of)
+    index = IvfIndex(table, centroids, metric, kind, vector_col, branches=branches, branch_of=branch_of,
                      params={"nlist": len(centroids), "m": m, "nbits": nbits})
     if kind == "sq8":
         lo, hi = _sq8_stats(scope, vector_col)
         index.sq8_min, index.sq8_max = lo, hi
         index.table = table.withColumn("sq8_codes", sq8_encode(vector_col, lo, hi))
     elif kind == "pq":
-        books = _pq_train(scope, vector_col, metric, m, nbits, seed, max_iter, dim)
-        index.pq_codebooks = books
-        index.table = _pq_assign(table, vector_col, metric, books)
+        index.pq = _pq_train(table, n_rows, vector_col, metric, centroids, m, nbits, seed, train_rows)
+        index.table = _pq_assign(table, vector_col, metric, centroids, index.pq)
     return index
 
 
+def nearest_first(q: np.ndarray, near: int, centroids: np.ndarray, branches, branch_of) -> np.ndarray:
+    """The ``near`` nearest cells of every query, nearest first.  With two
+    levels they come from its ``near`` nearest branches, which hold as many cells at least."""
+    near = min(near, len(centroids))
+    if not len(q):
+        return np.zeros((0, near), np.int32)
+    cc = (centroids * centroids).sum(1)
+    if branches is None or near >= len(branches):
+        return np.argsort(cc[None, :] - 2 * (q @ centroids.T), axis=1, kind="stable")[:, :near].astype(np.int32)
+    close = np.argsort((branches * branches).sum(1)[None, :] - 2 * (q @ branches.T), axis=1, kind="stable")[:, :near]
+    out = np.zeros((len(q), near), np.int32)
+    for i, mine in enumerate(close):
+        cells = np.flatnonzero(np.isin(branch_of, mine))
+        d2 = cc[cells] - 2 * (centroids[cells] @ q[i])
+        out[i] = cells[np.argsort(d2, kind="stable")[:near]]
+    return out
+
+
 def probe_cells(index: IvfIndex, nprobe: int):
     """The queries once for each of their ``nprobe`` nearest cells (the same
     L2 rule rows were assigned by; cosine queries as unit vectors)."""
     def probes(asked: DataFrame) -> DataFrame:
-        bc = asked.sparkSession.sparkContext.broadcast(index.centroids)  # nlist x d numbers
+        bc = asked.sparkSession.sparkContext.broadcast(
+            (index.centroids, index.branches, index.branch_of))  # nlist x d numbers
         metric = index.metric
 
         def run(batches):
-            c = bc.value
-            cc = (c * c).sum(1)
-            near = min(nprobe, len(c))
+            c = bc.value[0]
             for batch in batches:
                 length = pc.fill_null(pc.list_value_length(batch.column("_qv")), 0).to_numpy(zero_copy_only=False)
                 # The one cell of a flat index takes queries of every length.
@@ -273,8 +376,7 @@ def probe_cells(index: IvfIndex, nprobe: int):
                     cells = np.zeros((len(good), 1), np.int32)
                 else:
                     q, _ = prepare_queries(_arrow_matrix(part.column("_qv")), metric)
-                    d2 = cc[None, :] - 2 * (q @ c.T) if len(good) else np.zeros((0, len(c)))
-                    cells = np.argsort(d2, axis=1, kind="stable")[:, :near].astype(np.int32)
+                    cells = nearest_first(q, nprobe, *bc.value)
                 out = part.take(pa.array(np.repeat(np.arange(len(good)), cells.shape[1])))
                 yield pa.RecordBatch.from_arrays([*out.columns, pa.array(cells.ravel(), pa.int32())],
                                                  names=[*out.schema.names, "_cell"])
@@ -299,7 +401,7 @@ def ivf_search(index: IvfIndex, queries: DataFrame, k: int = 10, offset: int = 0
     if index.kind == "sq8":
         factory, cols = sq8_scorer(index.sq8_min, index.sq8_max), ["sq8_codes"]
     elif index.kind == "pq":
-        factory, cols = pq_scorer(index.pq_codebooks), ["pq_codes"]
+        factory, cols = pq_scorer(index.centroids, index.pq.rotation, index.pq.books), ["pq_codes"]
     else:
         factory, cols = None, [index.vector_col]
     check_dim = index.kind != "pq"  # PQ codes have m entries, not d
@@ -316,6 +418,95 @@ def ivf_search(index: IvfIndex, queries: DataFrame, k: int = 10, offset: int = 0
     return finish_search(cands, scope, queries, k, offset, threshold, columns, False, index.vector_col)
 
 
+def cell_radii(index: IvfIndex) -> np.ndarray:
+    """The largest distance of a row of each cell from its centroid: largest
+    of each batch first, then of each cell; ``nlist`` numbers come back."""
+    bc = index.table.sparkSession.sparkContext.broadcast(index.centroids)
+    vector_col, metric = index.vector_col, index.metric
+
+    def farthest(batches):
+        for batch in batches:
+            x, cells = _in_space(batch, vector_col, metric), batch.column("cell").to_numpy(zero_copy_only=False)
+            far = np.zeros(len(bc.value))
+            if len(x):
+                np.maximum.at(far, cells, np.linalg.norm(x - bc.value[cells], axis=1))
+            own = np.unique(cells).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), pa.array(far[own])], names=["cell", "far"])
+
+    out = np.zeros(index.nlist)
+    rows = index.table.select("cell", vector_col).mapInArrow(farthest, "cell int, far double")
+    for r in rows.groupBy("cell").agg(F.max("far").alias("far")).collect():
+        out[r["cell"]] = r["far"]
+    return out
+
+
+def best_possible(q: np.ndarray, centroids: np.ndarray, radii: np.ndarray, metric: str) -> np.ndarray:
+    """An upper bound of the score of any row of each cell, for prepared queries."""
+    if metric == "ip":
+        return q @ centroids.T + np.linalg.norm(q, axis=1)[:, None] * radii[None, :]
+    cc, qq = (centroids * centroids).sum(1), (q * q).sum(1)
+    d = np.sqrt(np.maximum(qq[:, None] + cc[None, :] - 2.0 * (q @ centroids.T), 0.0))
+    least = np.maximum(d - radii[None, :], 0.0)
+    return 1.0 - least * least / 2.0 if metric == "cosine" else 1.0 / (1.0 + least)
+
+
+# Scores are ranked after rounding to 6 places: a bound has to be below by more than that.
+SLACK = 2e-6
+
+
+def promising_cells(index: IvfIndex, to_beat: DataFrame, radii: np.ndarray, seen: int):
+    """The queries once for each cell that may hold a better row than
+    ``to_beat(query_id, least)`` says, without their ``seen`` nearest cells."""
+    def probes(asked: DataFrame) -> DataFrame:
+        bc = asked.sparkSession.sparkContext.broadcast((index.centroids, index.branches, index.branch_of, radii))
+        metric = index.metric
+
+        def run(batches):
+            c, branches, branch_of, far = bc.value
+            for batch in batches:
+                length = pc.fill_null(pc.list_value_length(batch.column("_qv")), 0).to_numpy(zero_copy_only=False)
+                part = batch.take(pa.array(np.flatnonzero(length == c.shape[1])))
+                if not part.num_rows:
+                    continue
+                q, _ = prepare_queries(_arrow_matrix(part.column("_qv")), metric)
+                least = part.column("least").to_numpy(zero_copy_only=False)
+                may = best_possible(q, c, far, metric) >= np.where(np.isnan(least), -np.inf, least)[:, None] - SLACK
+                np.put_along_axis(may, nearest_first(q, seen, c, branches, branch_of).astype(np.int64), False, axis=1)
+                rows, cells = np.nonzero(may)
+                out = part.take(pa.array(rows))
+                yield pa.RecordBatch.from_arrays([out.column("query_id"), out.column("_qv"),
+                                                  pa.array(cells, pa.int32())], names=["query_id", "_qv", "_cell"])
+
+        schema = T.StructType([*asked.schema.fields, T.StructField("_cell", T.IntegerType())])
+        return asked.join(to_beat, "query_id", "left").select("query_id", "_qv", "least").mapInArrow(run, schema)
+    return probes
+
+
+def exact_ivf_search(index: IvfIndex, queries: DataFrame, k: int = 10, offset: int = 0, *, first: int = 1, pred=None,
+                     partitions=None, threshold: float | None = 0.0, columns=None,
+                     query_vector_col: str = "vector") -> DataFrame:
+    """Exact top-k from a flat index: the result of ``vector_search``, without
+    scoring every row.  The ``first`` nearest cells are scanned, and their
+    ``offset + k``-th score is what other cells have to beat; by the triangle
+    inequality a cell whose centroid is too far for its radius cannot, and is
+    not scanned.  A query that finds too few rows there scans all cells."""
+    if index.kind != "flat":
+        raise ValueError("exact search needs a flat index")
+    scope, kk = scope_corpus(index.table, pred, partitions), k + offset
+    rows = scope.select("partition_name", "id", "cell", index.vector_col)
+    common = dict(metric=index.metric, vector_col=index.vector_col, query_vector_col=query_vector_col,
+                  cell_col="cell")
+    near = materialize(rank_topk(knn_candidates(rows, queries, kk, probe_fn=probe_cells(index, first), **common), kk)
+                       .drop("rank"), "nearest-cells")
+    to_beat = near.groupBy("query_id").agg(F.when(F.count("*") >= kk, F.min("score")).alias("least"))
+    if threshold is not None:
+        to_beat = to_beat.withColumn("least", F.greatest("least", F.lit(float(threshold))))
+    far = knn_candidates(rows, queries, kk, probe_fn=promising_cells(index, to_beat, cell_radii(index), first), **common)
+    if columns is None:
+        columns = [c for c in default_columns(scope) if c not in INDEX_COLUMNS and c != index.vector_col]
+    return finish_search(near.unionByName(far), scope, queries, k, offset, threshold, columns, False, index.vector_col)
+
+
 def _rerank(short: DataFrame, scope: DataFrame, queries: DataFrame, metric: str, vector_col: str,
             query_vector_col: str) -> DataFrame:
     """Exact scores for a bounded candidate list (``queries * r * k`` rows)."""

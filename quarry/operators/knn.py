@@ -35,9 +35,10 @@ from .topk import apply_threshold, rank_topk
 
 # Largest score matrix (n rows x m queries) computed at once inside a task.
 _MAX_CELLS = 4_000_000
-# Rows of a corpus block and of a query block.
+# Rows of a corpus block and of a query block (100 MB of 1,536 dimensions).
+# The corpus is shuffled once for each query block.
 CORPUS_ROWS = 16_384
-QUERY_ROWS = 2_048
+QUERY_ROWS = 8_192
 
 
 def scope_corpus(corpus: DataFrame, pred=None, partitions=None) -> DataFrame:
@@ -128,6 +129,10 @@ def query_vectors(queries: DataFrame, query_vector_col: str) -> DataFrame:
                           F.col(query_vector_col).cast("array<double>").alias("_qv"))
 
 
+def _blocks(size, each: int):
+    return F.greatest(F.ceil(size / each), F.lit(1)).cast("int")
+
+
 def knn_candidates(scope: DataFrame, queries: DataFrame, kk: int, *, metric: str = "cosine",
                    vector_col: str = "embedding", query_vector_col: str = "vector",
                    scorer_factory=None, cell_col: str | None = None, probe_fn=None,
@@ -143,18 +148,22 @@ def knn_candidates(scope: DataFrame, queries: DataFrame, kk: int, *, metric: str
     asked = query_vectors(queries, query_vector_col)
     qid = asked.schema["query_id"].dataType.simpleString()
     if cell_col is None:
-        rows, asked = scope.withColumn("_cell", F.lit(0)), asked.withColumn("_cell", F.lit(0))
+        # One-row aggregates as scalar subqueries: no join, and no job while the plan is made.
+        n_blocks = scope.agg(_blocks(F.count("*"), CORPUS_ROWS)).scalar()
+        n_lots = queries.agg(_blocks(F.count("*"), QUERY_ROWS)).scalar()
+        rows = scope.withColumn("_cell", F.lit(0)).withColumn("_nb", n_blocks).withColumn("_nq", n_lots)
+        asked = asked.withColumn("_cell", F.lit(0)).withColumn("_nb", n_blocks).withColumn("_nq", n_lots)
     else:
         rows, asked = scope.withColumn("_cell", F.col(cell_col)), probe_fn(asked)
-    n_rows = rows.groupBy("_cell").agg(F.ceil(F.count("*") / CORPUS_ROWS).cast("int").alias("_nb"))
-    n_asked = asked.select("query_id", "_cell").groupBy("_cell").agg(
-        F.ceil(F.count("*") / QUERY_ROWS).cast("int").alias("_nq"))
-    blocks = n_rows.join(n_asked, "_cell")  # one row for each probed cell
+        n_rows = rows.groupBy("_cell").agg(_blocks(F.count("*"), CORPUS_ROWS).alias("_nb"))
+        n_asked = asked.select("query_id", "_cell").groupBy("_cell").agg(_blocks(F.count("*"), QUERY_ROWS).alias("_nq"))
+        blocks = n_rows.join(n_asked, "_cell")  # one row for each probed cell
+        rows, asked = rows.join(blocks, "_cell"), asked.join(blocks, "_cell")
 
     def dealt(df: DataFrame, key: str, own: str, n_own: str, other: str, n_other: str) -> DataFrame:
         part = F.pmod(F.xxhash64(key), F.col(n_own)).cast("int").alias(own)
         every = F.explode(F.sequence(F.lit(0), F.col(n_other) - 1)).alias(other)
-        return df.join(blocks, "_cell").select(*[c for c in df.columns if c != "_cell"], "_cell", part, every)
+        return df.select(*[c for c in df.columns if c not in ("_nb", "_nq")], part, every)
 
     left = dealt(rows, "id", "_b", "_nb", "_q", "_nq")
     right = dealt(asked, "query_id", "_q", "_nq", "_b", "_nb")

@@ -333,6 +333,10 @@ SELECT vec_id, round(CASE WHEN l > 0 THEN 1.0 ELSE 0.0 END, 4) AS length,
        round(CAST(CAST(CASE WHEN l > 0 THEN x[1] / l ELSE x[1] END AS FLOAT) AS DOUBLE), 5) AS "first",
        CAST(len(x) AS BIGINT) AS n_dims FROM n"""
 
+ORACLE_SQL["vector_pruned_cosine"] = ORACLE_SQL["ivf_two_level_full_probe"] = ORACLE_SQL["vector_exact_cosine"]
+ORACLE_SQL["vector_pruned_l2"], ORACLE_SQL["vector_pruned_ip"] = (ORACLE_SQL["vector_exact_l2"],
+                                                                  ORACLE_SQL["vector_exact_ip"])
+
 RECALL = """SELECT vec_id AS query_id, CAST(10 AS BIGINT) AS n_hits, TRUE AS scores_ok, TRUE AS recall_ok
 FROM embeddings WHERE list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])) > 0"""
 ORACLE_SQL["ivf_recall"] = ORACLE_SQL["pq_recall"] = ORACLE_SQL["ivf_pq_rerank"] = RECALL

@@ -19,7 +19,7 @@ from ..functions.vectors import cosine
 from ..operators import tables as tb
 from ..operators.bm25 import bm25_search, build_bm25_index
 from ..operators.hybrid import compare_methods, hybrid_search, overlap_at_k
-from ..operators.ivf import IvfIndex, build_ivf, ivf_search, recall_at_k
+from ..operators.ivf import IvfIndex, build_ivf, exact_ivf_search, ivf_search, recall_at_k
 from ..operators.knn import vector_search
 from ..session import ensure_checkpoint_dir, materialize
 from ..sources.rows import from_json_rows, promote_metadata_field, to_json_rows
@@ -233,6 +233,20 @@ def ivf(nlist: int, nprobe: int, kind: str = "flat", **kw):
     return run
 
 
+def pruned(nlist: int, metric: str):
+    """Exact search that scans only the cells that may hold a winner."""
+    def run(spark, sf):
+        index = build_ivf(testdata_vector_segments(spark, sf), nlist=nlist, metric=metric)
+        return exact_ivf_search(index, _vector_queries(spark, sf), 10, columns=[])
+    return run
+
+
+def _two_level_full_probe(spark, sf):
+    """A two-level index, every cell probed, is the exact search."""
+    index = build_ivf(testdata_vector_segments(spark, sf), nlist=256, two_level=True)
+    return ivf_search(index, _vector_queries(spark, sf), 10, nprobe=index.nlist, columns=[])
+
+
 def recall(floor: float, exact_scores: bool, *args, **kw):
     """An approximate search judged against the exact one: per query the hits
     it returned and whether their scores are the exact ones, and whether the
@@ -279,14 +293,18 @@ def _overlap(spark, sf):
 
 QUERIES.update({
     "ivf_full_probe": ivf(8, 8),
-    "ivf_recall": recall(0.5, True, 16, 6),
+    "vector_pruned_cosine": pruned(32, "cosine"),
+    "vector_pruned_l2": pruned(32, "l2"),
+    "vector_pruned_ip": pruned(32, "ip"),
+    "ivf_two_level_full_probe": _two_level_full_probe,
+    "ivf_recall": recall(0.9, True, 16, 10),
     "sq8_search": ivf(1, 1, "sq8"),
     "ivf_sq8_full_probe": ivf(8, 8, "sq8"),
-    "pq_recall": recall(0.1, False, 1, 1, "pq", m=8, nbits=4),
-    "ivf_pq_rerank": recall(0.3, True, 8, 4, "pq", m=8, nbits=4, rerank=8),
+    "pq_recall": recall(0.5, False, 16, 16, "pq", m=8, nbits=8),
+    "ivf_pq_rerank": recall(0.9, True, 16, 14, "pq", m=8, nbits=8, rerank=16),
     "ivf_recall_by_query": recall_by_query(16, 10),
-    "pq_recall_by_query": recall_by_query(1, 1, "pq", m=8, nbits=8),
-    "ivf_pq_rerank_by_query": recall_by_query(8, 7, "pq", m=8, nbits=8, rerank=8),
+    "pq_recall_by_query": recall_by_query(16, 16, "pq", m=8, nbits=8),
+    "ivf_pq_rerank_by_query": recall_by_query(16, 14, "pq", m=8, nbits=8, rerank=16),
     "saved_ivf": _saved_ivf,
     "method_overlap": _overlap,
 })

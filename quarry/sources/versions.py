@@ -74,7 +74,12 @@ def _some(df: DataFrame) -> bool:
 
 
 def _fitting(df: DataFrame, current: DataFrame, *more: str) -> DataFrame:
-    return df.select(*[c for c in df.columns if c in current.columns or c in more])
+    """``df``, if the stored table has all its columns: what it lacks would be
+    lost, so it is refused (``pack_dynamic_fields`` puts undeclared fields in one column)."""
+    unknown = [c for c in df.columns if c not in current.columns and c not in more]
+    if unknown:
+        raise ValueError(f"the stored table has no column {', '.join(unknown)}; pack or drop it first")
+    return df
 
 
 def upsert_table(spark: SparkSession, root: str, changes: DataFrame, seq_col: str | None = "seq",
