@@ -35,7 +35,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import schema_with, slices, small_batches, worker_cache
+from .common import no_cycle_search, schema_with, slices, small_batches, worker_cache
 from .head_table import U64, HeadTable, mix
 
 BLANK = "▁"
@@ -62,10 +62,9 @@ class Vocabulary:
         self.pieces = [sp.id_to_piece(i) for i in range(n)]
         plain = [i for i in range(n) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
         self.bytes = {int(self.pieces[i][1:-1], 16): i for i in range(n) if sp.is_byte(i)}
-        self.byte_of = {i: b for b, i in self.bytes.items()}
-        self.is_byte = np.zeros(n, bool)
-        self.is_byte[list(self.byte_of)] = True
-        self.piece_array = np.array(self.pieces, dtype=object)
+        self.raw = np.array([p.encode() for p in self.pieces], dtype=object)
+        for b, i in self.bytes.items():
+            self.raw[i] = bytes([b])
         self.ids = {self.pieces[i]: (i, -math.log1p(max(0.0, -sp.get_score(i)))) for i in plain}
         self.byte_score = -math.log1p(n)
         self.split = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
@@ -77,22 +76,8 @@ class Vocabulary:
     def decode(self, ids) -> str:
         """The text of a piece sequence: blanks restored, bytes joined, the
         blank that encoding put in front taken off."""
-        ids = np.asarray(ids, np.int64)
-        out, pending = [], bytearray()
-        if not self.is_byte[ids].any():
-            out, ids = self.piece_array[ids].tolist(), ids[:0]
-        for i in ids.tolist():
-            b = self.byte_of.get(i)
-            if b is not None:
-                pending.append(b)
-                continue
-            if pending:
-                out.append(pending.decode("utf-8", "replace"))
-                pending = bytearray()
-            out.append(self.pieces[i])
-        if pending:
-            out.append(pending.decode("utf-8", "replace"))
-        text = "".join(out).replace(BLANK, " ")
+        raw = b"".join(self.raw[np.asarray(ids, np.int64)].tolist())
+        text = raw.decode("utf-8", "replace").replace(BLANK, " ")
         return text[1:] if text[:1] == " " else text
 
 
@@ -304,12 +289,22 @@ def sample_texts(vocab: Vocabulary, texts: list[str], keys: np.ndarray, k: int,
 
 def piece_ids(vocab: Vocabulary, codes: np.ndarray) -> np.ndarray:
     """Vocabulary ids of a path; a character without a piece becomes its bytes."""
-    if not (codes < 0).any():
+    bare = codes < 0
+    if not bare.any():
         return codes.astype(np.int32)
-    out: list[int] = []
-    for c in codes.tolist():
-        out += [c] if c >= 0 else [vocab.bytes[b] for b in chr(-1 - c).encode("utf-8", "replace")]
-    return np.array(out, np.int32)
+    chars, which = np.unique(-1 - codes[bare], return_inverse=True)
+    spelt = [[vocab.bytes[b] for b in chr(c).encode("utf-8", "replace")] for c in chars.tolist()]
+    width = np.array(list(map(len, spelt)))[which]
+    table = np.array([x + [0] * (4 - len(x)) for x in spelt], np.int32)
+    size = np.ones(len(codes), np.int64)
+    size[bare] = width
+    at = np.cumsum(size) - size
+    out = np.empty(int(size.sum()), np.int32)
+    out[at[~bare]] = codes[~bare]
+    for j in range(4):
+        has = width > j
+        out[at[bare][has] + j] = table[which[has], j]
+    return out
 
 
 def sample_segmentations(df: DataFrame, model_path: str, key: str = "doc_id", text: str = "text", k: int = 2,
@@ -337,29 +332,30 @@ def sample_segmentations(df: DataFrame, model_path: str, key: str = "doc_id", te
 
     def run(batches):
         vocab = worker_cache(f"pieces:{model_path}", lambda: Vocabulary(model_path))
-        for b in slices(batches, 1024):
-            texts = [t or "" for t in b.column(text_at).to_pylist()]
-            keys = b.column(b.num_columns - 1).to_numpy(zero_copy_only=False)
-            at = 0
-            while at < len(texts):
-                end, chars = at, 0
-                while end < len(texts) and (end == at or chars + len(texts[end]) <= BATCH_CHARS):
-                    chars += len(texts[end])
-                    end += 1
-                found = sample_texts(vocab, texts[at:end], keys[at:end], k, seed)
-                rows = [(i, j, *r) for i, rs in enumerate(found) for j, r in enumerate(rs)]
-                ids = [piece_ids(vocab, r[2]) for r in rows]
-                offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
-                back = [vocab.decode(x) == texts[at + r[0]].replace(BLANK, " ") for x, r in zip(ids, rows)]
-                flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-                part = b.slice(at, end - at).take(pa.array([r[0] for r in rows], pa.int64()))
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], pa.array([r[1] + 1 for r in rows], pa.int32()),
-                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
-                     *[pa.array([r[c] for r in rows], pa.float64()) for c in (3, 4, 5)],
-                     pa.array([math.exp(r[5]) for r in rows], pa.float64()), pa.array(back, pa.bool_())],
-                    names=[*part.schema.names[:-1], *own])
-                at = end
+        with no_cycle_search():
+            for b in slices(batches, 1024):
+                texts = [t or "" for t in b.column(text_at).to_pylist()]
+                keys = b.column(b.num_columns - 1).to_numpy(zero_copy_only=False)
+                at = 0
+                while at < len(texts):
+                    end, chars = at, 0
+                    while end < len(texts) and (end == at or chars + len(texts[end]) <= BATCH_CHARS):
+                        chars += len(texts[end])
+                        end += 1
+                    found = sample_texts(vocab, texts[at:end], keys[at:end], k, seed)
+                    rows = [(i, j, *r) for i, rs in enumerate(found) for j, r in enumerate(rs)]
+                    ids = [piece_ids(vocab, r[2]) for r in rows]
+                    offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
+                    back = [vocab.decode(x) == texts[at + r[0]].replace(BLANK, " ") for x, r in zip(ids, rows)]
+                    flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
+                    part = b.slice(at, end - at).take(pa.array([r[0] for r in rows], pa.int64()))
+                    yield pa.RecordBatch.from_arrays(
+                        [*part.columns[:-1], pa.array([r[1] + 1 for r in rows], pa.int32()),
+                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
+                         *[pa.array([r[c] for r in rows], pa.float64()) for c in (3, 4, 5)],
+                         pa.array([math.exp(r[5]) for r in rows], pa.float64()), pa.array(back, pa.bool_())],
+                        names=[*part.schema.names[:-1], *own])
+                    at = end
 
     return small_batches(base).mapInArrow(run, schema)
 

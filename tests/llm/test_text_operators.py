@@ -15,6 +15,7 @@ from quarry.llm import language_id as li
 from quarry.llm import prefix_tokens as pt
 from quarry.llm import subword_sampling as sw
 from quarry.llm.quality import quality_rules
+from quarry.llm.queries import tokenizer_file
 
 P = pytest.importorskip("public_tokenizers")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -198,3 +199,16 @@ def test_samples_do_not_depend_on_the_batch(vocab):
     for i, t in enumerate(texts):
         alone = sw.sample_texts(vocab, [t], np.array([i]), 2, 7)[0]
         assert [x[0].tolist() for x in alone] == [x[0].tolist() for x in whole[i]]
+
+
+def test_samples_decode_like_the_library(spark):
+    import sentencepiece
+    path = tokenizer_file("piece_bpe_32k.model")
+    sp = sentencepiece.SentencePieceProcessor(model_file=path)
+    texts = ["plain words", "line\nbreak\ttab", "naïve 😀 中文 ▁", " lead and trail ", "\x00\x01", "a  b", "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in sw.sample_segmentations(df, path, k=3).collect():
+        text = (texts[r.doc_id] or "").replace("▁", " ")
+        assert r.decodes and sp.decode(list(r.ids)) == text
+    back = sw.decode_pieces(spark.createDataFrame([([sp.piece_to_id("<0xE4>")],), (None,)], "ids array<int>"), path)
+    assert [r.decoded for r in back.collect()] == ["�", None]
