@@ -88,16 +88,17 @@ def symbols_of(low: np.ndarray, alphabet: np.ndarray) -> np.ndarray:
 
 
 def fit_kernel_model(texts: list[str], labels: list[str], landmarks: int = 64, order: int = 3,
-                     ridge: float = 1e-3, max_alphabet: int = 200) -> KernelModel:
-    """Fit on a bounded sample held in memory."""
+                     ridge: float = 1e-3) -> KernelModel:
+    """Fit on a bounded sample held in memory; its letters are the alphabet."""
     table = worker_cache("letters", letter_table)
     lows = [letters(t, table) for t in texts]
-    cps, counts = np.unique(np.concatenate(lows), return_counts=True)
-    cps, counts = cps[cps != 0], counts[cps != 0]
-    alphabet = np.sort(cps[np.argsort(-counts, kind="stable")][:max_alphabet])
+    alphabet = np.unique(np.concatenate(lows))
+    alphabet = alphabet[alphabet != 0]
     if not len(alphabet):
         alphabet = np.array([ord("a")], dtype=np.uint32)
     base = len(alphabet) + 2
+    if base ** order * 2 >= 2 ** 64:
+        raise ValueError(f"n-grams of {order} letters out of {len(alphabet)} do not fit 64 bits")
     sets = [ngrams(symbols_of(x, alphabet), base, order) for x in lows]
     languages = sorted(set(labels))
     marks = [i for lang in languages for i in [i for i, x in enumerate(labels) if x == lang][:landmarks]]
@@ -163,7 +164,7 @@ def predict_batch(model: KernelModel, texts: list, block: int = 256) -> tuple[li
 def training_sample(df: DataFrame, text: str, label: str, per_class: int, max_chars: int) -> tuple[list, list]:
     """About ``per_class`` labelled texts of each language, the same ones each
     time: a row is taken when the hash of its text falls below that
-    language's share.  Two scans, no shuffle of texts."""
+    language's share, repeated texts once.  Only drawn texts are shuffled."""
     eligible = df.filter(F.col(label).isNotNull() & F.col(text).rlike(r"\p{L}")
                          & (F.char_length(text) <= max_chars))
     counts = eligible.groupBy(label).agg(F.count("*").alias("n")).collect()  # one row per language
@@ -173,7 +174,7 @@ def training_sample(df: DataFrame, text: str, label: str, per_class: int, max_ch
     for r in counts:
         share = F.when(F.col(label) == r[label], min(1.0, per_class / r["n"])).otherwise(share)
     draw = (F.xxhash64(F.lit(17), text) % 2 ** 30 + 2 ** 30) / 2.0 ** 31
-    rows = eligible.filter(draw < share).select(label, text).collect()
+    rows = eligible.filter(draw < share).select(label, text).distinct().collect()  # a text once, however many hold it
     by: dict[str, list] = {}
     for r in sorted(rows, key=lambda r: (r[0], r[1])):
         by.setdefault(r[0], []).append(r[1])
@@ -207,12 +208,14 @@ def identify_language(df: DataFrame, model: KernelModel | None, text: str = "tex
     base = df.select(*keep)
     if model is None:
         return base.withColumn("lang_pred", F.lit(UNDETERMINED)).withColumn("score", F.lit(0.0))
-    shared = df.sparkSession.sparkContext.broadcast(model)  # bounded by the sample's parameters
+    # Bounded by the sample's parameters.  Plain values travel: a task may run where this package is not installed.
+    shared = df.sparkSession.sparkContext.broadcast(vars(model))
     schema = schema_with(base, lang_pred="string", score="double")
 
     def run(batches):
+        own = KernelModel(**shared.value)
         for b in slices(batches):
-            langs, scores = predict_batch(shared.value, b.column(text).to_pylist())
+            langs, scores = predict_batch(own, b.column(text).to_pylist())
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                                              names=[*b.schema.names, "lang_pred", "score"])
 

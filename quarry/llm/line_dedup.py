@@ -8,27 +8,33 @@ stays in the largest doc_id that holds it and is dropped from all others.
 
 State is a folder of plain tables, one set for each version:
 
-``holders``  (key, doc_id): which document holds which key, one row each;
-``counts``   (key, n_docs, keeper): exact reference counts;
-``filters``  (shard, filter): one cuckoo filter for each shard of the keys,
-             holding the keys of at least ``min_docs`` documents.
-
-Inserting documents adds holders, deleting documents takes theirs away; in
-both cases only the counts of the keys they hold are computed again, and
-keys that cross ``min_docs`` are inserted into or deleted from their shard's
-cuckoo filter (a cuckoo filter stores fingerprints, so it can delete).
-Deleting what was inserted gives back the earlier state.
-
-Dropping lines asks the filters first, where the documents are read: they
-are small (two bytes a key), so they are broadcast while together they are
-below ``broadcast_bytes``; only lines that pass (all true ones, and about
-one other in ten thousand) go on to the exact counts.  Beyond that size
-every line goes on to the counts, with the same result.
+``changes``  (key, doc_id, n): by how many rows of a document the version
+             added to (or took from) the references of a key;
+``counts``   (key, n_docs, keeper, refs): exact reference counts of the keys
+             that the version touched;
+``filters``  (shard, n_keys, filter): one cuckoo filter for each shard of the
+             keys of at least ``min_docs`` documents.
+
+A document's references are counted, not only noted: rows that repeat a
+doc_id, inserted one after the other, can be deleted one after the other.
+A change writes its own rows and the counts of the keys it touches, nothing
+else; the newest count of a key holds.  Keys that cross ``min_docs`` are
+inserted into or deleted from their shard's cuckoo filter (it stores
+fingerprints, so it can delete).  Deleting what was inserted gives back the
+earlier state; taking out what is not there changes nothing.
+
+Dropping lines asks the filters first.  While together they are below
+``broadcast_bytes`` every task has them and asks where documents are read;
+beyond, the distinct keys meet their shard's filter in one task for each
+shard.  Only keys that pass (all true ones, and about one other in ten
+thousand) go on to the exact counts.  The number of shards follows the
+number of keys, so a shard's filter stays small.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -165,72 +171,90 @@ class LineIndex:
     """
 
     def __init__(self, spark: SparkSession, path: str | None = None, min_chars: int = 20, min_docs: int = 3,
-                 shards: int = 64, broadcast_bytes: int = 32 << 20):
+                 shard_keys: int = 1 << 16, broadcast_bytes: int = 32 << 20):
         self.spark, self.path = spark, path or scratch_path(spark, "lines")
-        self.min_chars, self.min_docs, self.shards = min_chars, min_docs, shards
+        self.min_chars, self.min_docs, self.shard_keys = min_chars, min_docs, shard_keys
         self.broadcast_bytes = broadcast_bytes
-        self.version = 0
+        self.version, self.shards = 0, 0
 
-    def table(self, name: str, version: int | None = None) -> DataFrame | None:
-        v = self.version if version is None else version
-        schema = {"holders": "key long, doc_id long", "counts": "key long, n_docs long, keeper long",
+    def _read(self, name: str, version: int) -> DataFrame:
+        schema = {"changes": "key long, doc_id long, n long", "counts": "key long, n_docs long, keeper long, refs long",
                   "filters": "shard long, n_keys long, filter binary"}[name]
-        return self.spark.read.schema(schema).parquet(f"{self.path}/v{v}/{name}") if v else None
+        return self.spark.read.schema(schema).parquet(f"{self.path}/v{version}/{name}")
+
+    def counts(self) -> DataFrame | None:
+        """``key, n_docs, keeper, refs``: the newest count of every key."""
+        if self.version < 2:
+            return self._read("counts", 1) if self.version else None
+        each = [self._read("counts", v).withColumn("v", F.lit(v)) for v in range(1, self.version + 1)]
+        newest = F.max_by(F.struct("n_docs", "keeper", "refs"), "v").alias("c")
+        return reduce(DataFrame.unionByName, each).groupBy("key").agg(newest).select("key", "c.*").filter("refs > 0")
+
+    def holders(self) -> DataFrame | None:
+        """``key, doc_id, n``: how many rows of which document hold which key."""
+        if not self.version:
+            return None
+        each = [self._read("changes", v) for v in range(1, self.version + 1)]
+        return reduce(DataFrame.unionByName, each).groupBy("key", "doc_id").agg(F.sum("n").alias("n")).filter("n > 0")
+
+    def filters(self) -> DataFrame:
+        return self._read("filters", self.version)
 
     def _keys(self, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
         return line_keys(base, self.min_chars)
 
-    def _count(self, holders: DataFrame) -> DataFrame:
-        """Exact counts; partial sums per task come first, so a very common line is no burden."""
-        once = holders.distinct()
-        return once.groupBy("key").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keeper"))
+    def _held_by(self, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+        return self._keys(docs, doc_id, text).groupBy("key", "doc_id").agg(F.count("*").alias("n"))
 
     def insert(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> LineIndex:
         """Add documents."""
-        new = self._keys(docs, doc_id, text)
-        old = self.table("holders")
-        return self._next(new.distinct() if old is None else new.unionByName(old).distinct(),
-                          None if old is None else new.select("key").distinct())
+        return self._change(self._held_by(docs, doc_id, text))
 
     def delete(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> LineIndex:
         """Take documents out again (as they were inserted, by doc_id and text)."""
-        gone = self._keys(docs, doc_id, text).distinct()
-        old = self.table("holders")
-        if old is None:
+        if not self.version:
             return self
-        kept = old.alias("h").join(gone.alias("g"), F.expr("h.key = g.key AND h.doc_id <=> g.doc_id"), "left_anti")
-        return self._next(kept, gone.select("key").distinct())
-
-    def _next(self, holders: DataFrame, touched: DataFrame | None) -> LineIndex:
-        """Write the next version; ``touched`` keys are counted anew, all without it."""
-        to = f"{self.path}/v{self.version + 1}"
-        holders.write.parquet(f"{to}/holders")
-        holders = self.table("holders", self.version + 1)
-        if touched is None:
-            counts = self._count(holders)
-        else:
-            again = self._count(holders.join(touched, "key", "left_semi"))
-            counts = self.table("counts").join(touched, "key", "left_anti").unionByName(again)
-        counts.write.parquet(f"{to}/counts")
-        now = self.table("counts", self.version + 1).filter(F.col("n_docs") >= self.min_docs).select("key")
-        before = None if touched is None else self.table("counts").filter(F.col("n_docs") >= self.min_docs).select(
-            "key")
-        self._filters(now, before).write.parquet(f"{to}/filters")
+        gone = self._held_by(docs, doc_id, text).alias("g")
+        return self._change(gone.join(self.holders().alias("h"), F.expr("g.key = h.key AND g.doc_id <=> h.doc_id"))
+                            .select("g.key", "g.doc_id", (-F.least("g.n", "h.n")).alias("n")))
+
+    def _change(self, changes: DataFrame) -> LineIndex:
+        """Write the next version: the changes, the counts of their keys, the filters."""
+        before, to = self.counts(), f"{self.path}/v{self.version + 1}"
+        changes.write.parquet(f"{to}/changes")
         self.version += 1
+        keys = self._read("changes", self.version).select("key").distinct()
+        held = self.holders()
+        if before is not None:
+            held = held.join(keys, "key", "left_semi")
+        count = held.groupBy("key").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keeper"),
+                                        F.sum("n").alias("refs"))
+        if before is not None:  # a key without holders is noted as such
+            count = keys.join(count, "key", "left").fillna(0, ["n_docs", "refs"])
+        count.write.parquet(f"{to}/counts")
+        self._filters(before).write.parquet(f"{to}/filters")
         return self
 
-    def _filters(self, now: DataFrame, before: DataFrame | None) -> DataFrame:
-        shards = self.shards
+    def _frequent_keys(self, counts: DataFrame) -> DataFrame:
+        return counts.filter(F.col("n_docs") >= self.min_docs).select("key")
+
+    def _filters(self, before: DataFrame | None) -> DataFrame:
+        """The filters after the newest change: the last ones with the keys
+        that crossed ``min_docs``, or new ones when shards are too full."""
         schema = "shard long, n_keys long, filter binary"
-        if before is None:
+        all_now = self.counts()
+        n = all_now.count()
+        if before is None or n > 4 * self.shards * self.shard_keys:
+            self.shards = shards = 1 + n // self.shard_keys
+
             def build(group):
                 import pandas as pd
                 keys = np.sort(group["key"].to_numpy(np.int64))
                 return pd.DataFrame({"shard": [int(group["shard"].iloc[0])], "n_keys": [len(keys)],
                                      "filter": [build_filter(keys).dump()]})
-            return now.withColumn("shard", shard_of(F.col("key"), shards)).groupBy("shard").applyInPandas(
-                build, schema)
+            return self._frequent_keys(all_now).withColumn("shard", shard_of(F.col("key"), shards)).groupBy(
+                "shard").applyInPandas(build, schema)
 
         def change(old, keys):
             import pandas as pd
@@ -243,30 +267,40 @@ class LineIndex:
                 f = build_filter(final)  # too full: twice the size, from the exact keys
             return pd.DataFrame({"shard": [shard], "n_keys": [len(final)], "filter": [f.dump()]})
 
-        both = (now.withColumn("after", F.lit(True)).join(before.withColumn("was", F.lit(True)), "key", "full")
-                .fillna(False, ["after", "was"]).withColumn("shard", shard_of(F.col("key"), shards)))
-        return self.table("filters").groupBy("shard").cogroup(both.groupBy("shard")).applyInPandas(change, schema)
+        now = self._frequent_keys(all_now).withColumn("after", F.lit(True))
+        both = (now.join(self._frequent_keys(before).withColumn("was", F.lit(True)), "key", "full")
+                .fillna(False, ["after", "was"]).withColumn("shard", shard_of(F.col("key"), self.shards)))
+        return self._read("filters", self.version - 1).groupBy("shard").cogroup(both.groupBy("shard")).applyInPandas(
+            change, schema)
 
     def _frequent(self, lines: DataFrame) -> DataFrame:
         """The ``(key, doc_id)`` rows that may be frequent, by the filters."""
         import pyarrow as pa
-        filters = self.table("filters")
+        filters, shards = self.filters(), self.shards
         size = filters.agg(F.coalesce(F.sum(F.length("filter")), F.lit(0))).first()[0]
         if size > self.broadcast_bytes:
-            return lines
-        held = {r["shard"]: CuckooFilter.load(bytes(r["filter"])) for r in filters.collect()}
-        shared = self.spark.sparkContext.broadcast(held)  # below broadcast_bytes
-        shards = self.shards
+            def ask(held: pa.Table, keys: pa.Table) -> pa.Table:
+                if not held.num_rows:
+                    return keys.select(["key"]).slice(0, 0)
+                own = CuckooFilter.load(held.column("filter")[0].as_py())
+                return keys.select(["key"]).filter(pa.array(own.contains(keys.column("key").to_numpy()), pa.bool_()))
+
+            keys = lines.select("key").distinct().withColumn("shard", shard_of(F.col("key"), shards))
+            maybe = filters.groupBy("shard").cogroup(keys.groupBy("shard")).applyInArrow(ask, "key long")
+            return lines.join(maybe, "key", "left_semi")
+        # Plain bytes travel: a task may run where this package is not installed.
+        shared = self.spark.sparkContext.broadcast({r["shard"]: bytes(r["filter"]) for r in filters.collect()})
 
         def run(batches):
+            held = {s: CuckooFilter.load(raw) for s, raw in shared.value.items()}
             for b in batches:
                 keys = b.column(0).to_numpy(zero_copy_only=False)
                 shard = (keys >> 40) % shards
                 maybe = np.zeros(len(keys), bool)
                 for s in np.unique(shard):
-                    if s in shared.value:
+                    if s in held:
                         own = shard == s
-                        maybe[own] = shared.value[s].contains(keys[own])
+                        maybe[own] = held[s].contains(keys[own])
                 yield b.filter(pa.array(maybe, pa.bool_()))
 
         return lines.mapInArrow(run, "key long, doc_id long")
@@ -276,7 +310,7 @@ class LineIndex:
         (long) after all its columns.  Null text counts as one empty line and
         gives the empty text.  Columns with those names are replaced."""
         import pyarrow as pa
-        counts = self.table("counts")
+        counts = self.counts()
         own = ["kept_text", "n_lines", "n_dropped"]
         base = docs.select(*[c for c in docs.columns if c not in own])
         min_chars, text_at = self.min_chars, base.columns.index(text)

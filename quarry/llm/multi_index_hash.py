@@ -132,12 +132,12 @@ def search_block(codes: BinaryCodes, ids, x, query_ids, y, k: int, radius: int,
         q, qid = y[at:at + step], query_ids[at:at + step]
         hit = index.within(codes.encode(q, query=True), radius)
         hit &= qid[:, None] != ids[None, :]
-        rough = np.where(hit, q @ x.T, -np.inf)
         for i in range(len(q)):
             found = np.flatnonzero(hit[i])
-            if len(found) > k:
-                cut = np.partition(rough[i, found], len(found) - k)[len(found) - k]
-                found = found[rough[i, found] >= cut - 1e-9 * (1 + abs(cut))]
+            if len(found) > k:  # floats are read for codes within the radius only
+                rough = x[found] @ q[i]
+                cut = np.partition(rough, len(found) - k)[len(found) - k]
+                found = found[rough >= cut - 1e-9 * (1 + abs(cut))]
             score = (x[found] * q[i]).sum(axis=1)
             best = np.lexsort((ids[found], -score))[:k]
             out.append((np.full(len(best), qid[i]), ids[found][best], score[best]))
@@ -185,7 +185,8 @@ def nearest(df: DataFrame, queries, vec_id: str = "vec_id", vector: str = "embed
     rows = rows.sort_values("vec_id")
     sample = np.array(rows["v"].tolist(), np.float64).reshape(-1, dim)[:2 * sample_rows]
     model = learn_codes(sample, most, bits, k, aim)
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    # Plain values travel: a task may run where this package is not installed.
+    shared = df.sparkSession.sparkContext.broadcast(vars(model))
 
     blocks = max(1, -(-n * dim * 8 // block_bytes))
     asked = valid.filter(queries)
@@ -203,7 +204,7 @@ def nearest(df: DataFrame, queries, vec_id: str = "vec_id", vector: str = "embed
             if not rows_of_block.num_rows or not asked_of_block.num_rows:
                 found = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
             else:
-                found = search_block(shared.value, *matrix(rows_of_block), *matrix(asked_of_block), k, radius)
+                found = search_block(BinaryCodes(**shared.value), *matrix(rows_of_block), *matrix(asked_of_block), k, radius)
             return pa.table({"query_id": found[0], "vec_id": found[1], "score": found[2]})
 
         query_blocks = max(1, -(-n_asked // query_block))

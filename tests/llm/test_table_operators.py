@@ -130,24 +130,38 @@ def test_line_dedup(spark, broadcast_bytes):
     assert ld.dedup_lines(df.limit(0)).count() == 0
 
 
+def test_line_references_are_counted(spark):
+    line = "a line that several documents share"
+    docs = lambda *ids: spark.createDataFrame([(i, line) for i in ids], "doc_id long, text string")
+    index = ld.LineIndex(spark).insert(docs(1, 2, 3)).insert(docs(1)).delete(docs(1))
+    dropped = lambda: {r.doc_id for r in index.drop_lines(docs(1, 2, 3)).collect() if r.n_dropped}
+    assert dropped() == {1, 2}
+    index.delete(docs(1, 9, 9))
+    assert dropped() == set() and index.counts().first()["n_docs"] == 2
+    index.insert(docs(1)).insert(docs(1)).insert(docs(4)).delete(docs(1))
+    assert dropped() == {1, 2, 3}
+    index.delete(docs(1, 2, 3, 4))
+    assert index.counts().count() == 0 and index.holders().count() == 0 and dropped() == set()
+
+
 def test_line_dedup_is_reversible(spark):
     rows = line_rows()
     first = spark.createDataFrame(rows[:40], "doc_id long, text string")
     second = spark.createDataFrame(rows[40:], "doc_id long, text string")
     both = first.unionByName(second)
-    index = ld.LineIndex(spark, shards=4).insert(first)
-    state = lambda i: (set(map(tuple, i.table("counts").collect())), set(map(tuple, i.table("holders").collect())))
+    index = ld.LineIndex(spark, shard_keys=8).insert(first)
+    state = lambda i: (set(map(tuple, i.counts().collect())), set(map(tuple, i.holders().collect())))
     before = state(index)
     index.insert(second)
-    whole = ld.LineIndex(spark, shards=4).insert(both)
+    whole = ld.LineIndex(spark, shard_keys=8).insert(both)
     assert state(index) == state(whole)
     got = index.drop_lines(both).collect()
     assert collections.Counter((r.doc_id, r.kept_text, r.n_lines, r.n_dropped) for r in got) == brute_lines(rows)
     index.delete(second)
     assert state(index) == before
-    keys = {r["key"] for r in index.table("counts").filter("n_docs >= 3").collect()}
-    held = {r["shard"]: ld.CuckooFilter.load(bytes(r["filter"])) for r in index.table("filters").collect()}
-    assert all(held[(k >> 40) % 4].contains(np.array([k]))[0] for k in keys)
+    keys = {r["key"] for r in index.counts().filter("n_docs >= 3").collect()}
+    held = {r["shard"]: ld.CuckooFilter.load(bytes(r["filter"])) for r in index.filters().collect()}
+    assert all(held[(k >> 40) % index.shards].contains(np.array([k]))[0] for k in keys)
 
 
 def test_cuckoo_filter():

@@ -212,3 +212,17 @@ def test_samples_decode_like_the_library(spark):
         assert r.decodes and sp.decode(list(r.ids)) == text
     back = sw.decode_pieces(spark.createDataFrame([([sp.piece_to_id("<0xE4>")],), (None,)], "ids array<int>"), path)
     assert [r.decoded for r in back.collect()] == ["�", None]
+
+
+def test_large_alphabets_keep_their_letters(spark):
+    rng = random.Random(6)
+    scripts = {"a": [chr(0x4E00 + i) for i in range(1500)], "b": [chr(0xAC00 + i) for i in range(1500)]}
+    rows = [(i, "".join(rng.choice(scripts[lang]) for _ in range(60)), lang) for i in range(160) for lang in scripts]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    df = df.unionByName(df.filter("doc_id = 0")).unionByName(df.filter("doc_id = 0"))  # repeated rows
+    model = li.train_on_documents(df)
+    assert len(model.alphabet) > 2500
+    got = li.identify_language(df, model).collect()
+    assert sum(r.lang_pred == r.lang for r in got) >= 0.98 * len(got)
+    assert li.identify_language(df.limit(0), model).count() == 0
+    assert li.identify_language(df, li.train_on_documents(df.limit(0))).filter("lang_pred != 'und'").count() == 0
