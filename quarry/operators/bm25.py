@@ -1,9 +1,10 @@
 """BM25 full-text index and top-k (SRCH-6, SRCH-7, SRCH-8; SURVEY D5).
 
-Index build: every document is tokenised once and its terms are counted
-within the row; the compact rows (key, length, counted terms) are written to
-the shared folder, and postings, term table and collection statistics (N and
-avgdl, one row) are read from there.  Texts are never shuffled.
+Index build: every document is tokenised once, its tokens become rows and are
+counted by row and term, partly before the shuffle; these postings are
+written to the shared folder, and the term table and the collection
+statistics (N and avgdl, one row) are read from there.  Texts are shuffled
+only when the corpus lies in fewer files than there are cores.
 
 Search: query terms (with repeats counted) join the term table for idf, then
 the postings on ``term``; per (query, doc) sum of
@@ -18,7 +19,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import BM25_B, BM25_K1, analyze, bm25_doc_weight, idf
@@ -88,17 +89,11 @@ class Bm25Index:
                                spark.read.schema(STATS).json(f"{root}/stats").first())
 
 
-def term_counts(tokens) -> Column:
-    """``array<struct<term, tf>>`` of a token array: sorted, then cut where
-    one token differs from the one before."""
-    def runs(s):
-        starts = F.filter(F.sequence(F.lit(0), F.size(s) - 1),
-                          lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
-        return F.transform(F.array(starts), lambda st: F.transform(st, lambda p, k: F.struct(
-            F.get(s, p).alias("term"), (F.coalesce(F.get(st, k + 1), F.size(s)) - p).cast("long").alias("tf"))))
-
-    counted = F.flatten(F.flatten(F.transform(F.array(F.array_sort(tokens)), runs)))
-    return F.when(F.size(tokens) > 0, counted)
+def dealt_out(corpus: DataFrame) -> DataFrame:
+    """``corpus``, its rows dealt over all cores when it lies in fewer files
+    than there are cores: a file of one row group is one task."""
+    cores, files = corpus.sparkSession.sparkContext.defaultParallelism, corpus.inputFiles()
+    return corpus.repartition(cores) if 0 < len(files) < cores else corpus
 
 
 def build_bm25_index(corpus: DataFrame, text_col: str = "content", *, k1: float = BM25_K1, b: float = BM25_B,
@@ -107,22 +102,23 @@ def build_bm25_index(corpus: DataFrame, text_col: str = "content", *, k1: float
 
     ``avgdl`` is ``sum(tf) / N``; N counts every row of ``corpus`` (a row
     without text has length 0) whatever filter a later search applies (D5).
-    The counted rows go to the folder in ``spark.checkpoint.dir``;
+    The postings go to the folder in ``spark.checkpoint.dir``;
     :meth:`Bm25Index.write` and :meth:`Bm25Index.save_table` keep an index
     for good.
     """
-    tokens = corpus.select("partition_name", "id", analyze(text_col, analyzer).alias("toks"))
-    docs = materialize(tokens.select("partition_name", "id", F.size("toks").cast("long").alias("dl"),
-                                     term_counts(F.col("toks")).alias("counts")), "bm25")
-    st = docs.agg(F.count("*").alias("n"), F.coalesce(F.sum("dl"), F.lit(0)).alias("t")).first()
-    # Clustered by document, so a search's sums need no exchange.  explode_outer:
-    # the plain one makes Catalyst add a filter that evaluates the array twice.
-    postings = (docs.repartition("partition_name", "id")
-                .select("partition_name", "id", "dl", F.explode_outer("counts").alias("c"))
-                .where(F.col("c.term").isNotNull()).select("c.term", "partition_name", "id", "c.tf", "dl"))
-    terms = (docs.select(F.explode_outer("counts").alias("c")).where(F.col("c.term").isNotNull())
-             .groupBy(F.col("c.term").alias("term"))
-             .agg(F.count(F.lit(1)).cast("long").alias("df"), F.sum("c.tf").cast("long").alias("cf")))
+    # ``row`` keeps rows apart that repeat a key; ``first`` marks one entry of each row.
+    tokens = dealt_out(corpus.select("partition_name", "id", text_col)).select(
+        F.monotonically_increasing_id().alias("row"), "partition_name", "id", analyze(text_col, analyzer).alias("toks"))
+    entries = tokens.select("row", "partition_name", "id", F.size("toks").cast("long").alias("dl"),
+                            F.posexplode_outer("toks").alias("pos", "term"))
+    counted = materialize(entries.groupBy("row", "partition_name", "id", "dl", "term").agg(
+        F.count("*").alias("tf"), F.coalesce(F.min("pos") == 0, F.lit(True)).alias("first")), "bm25")
+    st = counted.filter("first").agg(F.count("*").alias("n"), F.coalesce(F.sum("dl"), F.lit(0)).alias("t")).first()
+    # Clustered by document, so a search's sums need no exchange.
+    postings = (counted.filter("term IS NOT NULL").select("term", "partition_name", "id", "tf", "dl")
+                .repartition("partition_name", "id"))
+    terms = (counted.filter("term IS NOT NULL").groupBy("term")
+             .agg(F.count(F.lit(1)).cast("long").alias("df"), F.sum("tf").cast("long").alias("cf")))
     return Bm25Index(postings, terms, int(st["n"]), float(st["t"]) / st["n"] if st["n"] else 0.0, k1, b, analyzer)
 
 
