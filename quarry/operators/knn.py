@@ -214,7 +214,7 @@ def finish_search(cands: DataFrame, scope: DataFrame, queries: DataFrame, k: int
                   threshold, columns, include_vectors: bool, vector_col: str = "embedding") -> DataFrame:
     ranked = rank_topk(cands, k, offset).withColumn("distance", F.round("distance", 6))
     ranked = apply_threshold(ranked, threshold)
-    cols = default_columns(scope) if columns is None else list(columns)
+    cols = [c for c in default_columns(scope) if c != vector_col] if columns is None else list(columns)
     if include_vectors and vector_col not in cols:
         cols.append(vector_col)
     ranked = ranked.select("query_id", "rank", "partition_name", "id", "score", "distance")

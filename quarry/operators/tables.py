@@ -7,10 +7,15 @@ separate, versioned write (:mod:`quarry.sources.versions`).  The row key is
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.partitions import partition_or_default
+from ..session import ensure_checkpoint_dir
 from ..sources.segments import default_columns
 from .knn import scope_corpus
 
@@ -116,6 +121,46 @@ def _columns(base: DataFrame, columns, include_vectors: bool) -> list[str]:
     return cols
 
 
+@dataclass(frozen=True)
+class PageIndex:
+    """The keys of a table in (id, partition) order, for pages however deep.
+
+    ``keys`` has a row for each document: its place ``pos`` within the range
+    ``part`` that holds it; ``before`` has the number of rows before each
+    range.  A page reads the ranges that hold it and no other rows."""
+
+    base: DataFrame
+    keys: DataFrame  # part, pos (from 0), id, partition_name
+    before: tuple[tuple[int, int, int], ...]  # part, rows before it, rows in it
+
+    @staticmethod
+    def build(base: DataFrame, pred=None, partition: str | None = None) -> "PageIndex":
+        scoped = scope_corpus(base, pred, [partition] if partition else None).select("id", "partition_name")
+        dealt = scoped.repartitionByRange("id", "partition_name").withColumn("part", F.spark_partition_id())
+        order = Window.partitionBy("part").orderBy("id", "partition_name")
+        path = f"{ensure_checkpoint_dir(base.sparkSession)}/quarry-page-keys-{uuid.uuid4().hex}"
+        dealt.withColumn("pos", F.row_number().over(order).cast("long") - 1).write.partitionBy("part").parquet(path)
+        keys = base.sparkSession.read.schema("id string, partition_name string, pos long, part int").parquet(path)
+        sizes = sorted((r["part"], r["n"]) for r in keys.groupBy("part").agg(F.count("*").alias("n")).collect())
+        total, before = 0, []
+        for part, n in sizes:  # one row for each range
+            before.append((part, total, n))
+            total += n
+        return PageIndex(base, keys, tuple(before))
+
+    def page(self, offset: int = 0, limit: int = 100, columns=None, include_vectors: bool = False) -> DataFrame:
+        """Rows ``offset`` to ``offset + limit - 1`` of the order of :func:`query`.
+        Rows that repeat a key are one place each, but come back as often as the key occurs."""
+        wanted = [F.lit(False)]
+        for part, start, n in self.before:
+            lo, hi = max(offset - start, 0), min(offset + limit - start, n)
+            if lo < hi:
+                wanted.append((F.col("part") == part) & F.col("pos").between(lo, hi - 1))
+        keys = self.keys.where(reduce(Column.__or__, wanted)).select("id", "partition_name").distinct()
+        return self.base.join(keys, ["id", "partition_name"], "left_semi").select(
+            *_columns(self.base, columns, include_vectors))
+
+
 def query(base: DataFrame, pred=None, partition: str | None = None, offset: int = 0, limit: int = 100,
           columns=None, include_vectors: bool = False) -> DataFrame:
     """LIM-1: a filtered page, ordered by id (D8) so pages are stable.

@@ -74,14 +74,15 @@ class IndexSpec:
         return t
 
 
-def build_index(corpus: DataFrame, spec: IndexSpec, text_col: str = "content"):
+def build_index(corpus: DataFrame, spec: IndexSpec, text_col: str = "content", schema=None):
     """The structure serving ``spec``: ``None`` (exact), an ``IvfIndex`` or a
-    ``Bm25Index`` (with ``drop_ratio_search`` set on it)."""
+    ``Bm25Index`` (with ``drop_ratio_search`` set on it).  ``schema`` (a
+    ``CollectionSpec``) brings the analyzer of ``text_col``."""
     t = spec.kind
     if t == "FLAT":
         return None
     if t in SPARSE_TYPES:
-        index = build_bm25_index(corpus, text_col)
+        index = build_bm25_index(corpus, text_col, analyzer=schema.analyzer_of(text_col) if schema is not None else None)
         index.drop_ratio_search = float(spec.params.get("drop_ratio_search", 0.0))
         return index
     vec = spec.field_name

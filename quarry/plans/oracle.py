@@ -337,6 +337,10 @@ ORACLE_SQL["vector_pruned_cosine"] = ORACLE_SQL["ivf_two_level_full_probe"] = OR
 ORACLE_SQL["vector_pruned_l2"], ORACLE_SQL["vector_pruned_ip"] = (ORACLE_SQL["vector_exact_l2"],
                                                                   ORACLE_SQL["vector_exact_ip"])
 
+ORACLE_SQL["query_page_deep"] = f"""WITH {SEGMENTS}, n AS (SELECT id, file_id, partition_name,
+    row_number() OVER (ORDER BY id, partition_name) AS place, count(*) OVER () AS total FROM segments)
+SELECT id, file_id, partition_name FROM n WHERE place > total // 2 AND place <= total // 2 + 50"""
+
 RECALL = """SELECT vec_id AS query_id, CAST(10 AS BIGINT) AS n_hits, TRUE AS scores_ok, TRUE AS recall_ok
 FROM embeddings WHERE list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])) > 0"""
 ORACLE_SQL["ivf_recall"] = ORACLE_SQL["pq_recall"] = ORACLE_SQL["ivf_pq_rerank"] = RECALL

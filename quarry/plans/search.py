@@ -20,6 +20,8 @@ from ..operators.bm25 import Bm25Index, bm25_search, build_bm25_index
 from ..operators.hybrid import hybrid_search
 from ..operators.ivf import IvfIndex, ivf_search
 from ..operators.knn import vector_search
+from ..sources.schema import CollectionSpec
+from ..sources.segments import default_columns
 
 
 class SearchType(Enum):
@@ -57,7 +59,7 @@ class SearchRequest:
     partitions: tuple = ()
     similarity_threshold: float = 0.0
     output_fields: tuple = ()  # empty -> default columns
-    metric: str = "cosine"
+    metric: str | None = None  # None: the index's metric, cosine without an index
     nprobe: int = 8
     drop_ratio: float | None = None  # None: the index's drop_ratio_search
     vector_weight: float = 0.5
@@ -119,9 +121,11 @@ class QueryRequest:
     output_fields: tuple = ()
 
 
-def query_errors(queries: DataFrame, request: SearchRequest, has_model: bool = False) -> DataFrame:
+def query_errors(queries: DataFrame, request: SearchRequest, has_model: bool = False,
+                 corpus: DataFrame | None = None) -> DataFrame:
     """Queries that cannot run, with the reason: ``query_id, error``.
-    The search itself skips them; good queries are unaffected."""
+    The search itself skips them; good queries are unaffected.  With
+    ``corpus``, vectors of a length that none of its vectors has are named too."""
     text = F.col(request.text_col) if request.text_col in queries.columns else F.lit(None).cast("string")
     vec = F.col(request.vector_col) if request.vector_col in queries.columns else F.lit(None).cast("array<float>")
     no_text = text.isNull() | (F.trim(text) == "")
@@ -133,20 +137,35 @@ def query_errors(queries: DataFrame, request: SearchRequest, has_model: bool = F
         err = F.when(no_text, F.lit("text is empty")).when(
             F.lit(request.search_type is SearchType.HYBRID) & no_vec & F.lit(not has_model),
             F.lit("text query needs an embedding model"))
+    if corpus is not None and request.search_type is not SearchType.BM25:
+        held = corpus.agg(F.collect_set(F.size(request.corpus_vector_col))).scalar()  # lengths, not vectors
+        queries = queries.withColumn("__held", held)
+        wrong = ~no_vec & ~F.array_contains("__held", F.size(vec))
+        err = F.when(err.isNotNull(), err).when(wrong, F.concat(
+            F.lit("vector has "), F.size(vec), F.lit(" dimensions, the corpus has "),
+            F.array_join(F.array_sort(F.filter("__held", lambda n: n > 0)), ", ")))
     return queries.select("query_id", err.alias("error")).where(F.col("error").isNotNull())
 
 
 def search(corpus: DataFrame, queries: DataFrame, request: SearchRequest = SearchRequest(), *,
            bm25_index: Bm25Index | None = None, ivf_index: IvfIndex | None = None, model=None,
-           corpus_text_col: str = "content") -> DataFrame:
+           corpus_text_col: str = "content", spec: CollectionSpec | None = None) -> DataFrame:
     """SRCH-0: run ``request`` for every row of ``queries``.
 
     VECTOR (and HYBRID's dense branch) uses the IVF index when one is given
     (approximate, ``nprobe``), else exact search; a text query is embedded first when a model is
     given (SRCH-5).  BM25 and HYBRID use ``bm25_index`` or build one from
-    ``corpus``.
+    ``corpus``.  ``spec`` names the columns returned by default (fields not
+    marked excluded) and the analyzer of a BM25 index built here.  A metric
+    other than the given index's is an error.
     """
     request = request.with_params()
+    if ivf_index is not None and request.metric not in (None, ivf_index.metric):
+        raise ValueError(f"the request's metric {request.metric!r} is not the index's {ivf_index.metric!r}")
+    metric = request.metric or (ivf_index.metric if ivf_index is not None else "cosine")
+    columns = request.columns()
+    if columns is None and spec is not None:
+        columns = default_columns(corpus, spec)
     t = SearchType.parse(request.search_type, SearchType.VECTOR)
     common = dict(pred=request.filter, partitions=list(request.partitions) or None)
     if t is not SearchType.BM25:
@@ -154,26 +173,43 @@ def search(corpus: DataFrame, queries: DataFrame, request: SearchRequest = Searc
     if t is SearchType.VECTOR:
         if ivf_index is not None:
             return ivf_search(ivf_index, queries, request.top_k, request.offset, nprobe=request.nprobe,
-                              threshold=request.similarity_threshold, columns=request.columns(),
+                              threshold=request.similarity_threshold, columns=columns,
                               query_vector_col=request.vector_col, **common)
-        return vector_search(corpus, queries, request.top_k, request.offset, metric=request.metric,
+        return vector_search(corpus, queries, request.top_k, request.offset, metric=metric,
                              vector_col=request.corpus_vector_col,
-                             threshold=request.similarity_threshold, columns=request.columns(),
+                             threshold=request.similarity_threshold, columns=columns,
                              query_vector_col=request.vector_col, **common)
-    index = bm25_index or build_bm25_index(corpus, corpus_text_col)
+    index = bm25_index or build_bm25_index(corpus, corpus_text_col,
+                                           analyzer=spec.analyzer_of(corpus_text_col) if spec is not None else None)
     if t is SearchType.BM25:
         return bm25_search(index, queries, request.top_k, request.offset, text_col=request.text_col,
                            corpus=corpus, threshold=request.similarity_threshold, drop_ratio=request.drop_ratio,
-                           columns=request.columns(), **common)
+                           columns=columns, **common)
     return hybrid_search(corpus, index, queries, request.top_k, request.offset,
                          weights=(request.vector_weight, request.text_weight), norm=request.norm,
-                         metric=request.metric, threshold=request.similarity_threshold,
-                         columns=request.columns(), text_col=request.text_col,
+                         metric=metric, threshold=request.similarity_threshold,
+                         columns=columns, text_col=request.text_col,
                          query_vector_col=request.vector_col, ivf_index=ivf_index, nprobe=request.nprobe,
                          vector_col=request.corpus_vector_col, drop_ratio=request.drop_ratio,
                          **common)
 
 
+@dataclass(frozen=True)
+class SearchOutcome:
+    """What a search gives back: the hits, and the queries that could not run."""
+
+    hits: DataFrame
+    errors: DataFrame  # query_id, error
+
+
+def search_with_errors(corpus: DataFrame, queries: DataFrame, request: SearchRequest = SearchRequest(), *,
+                       model=None, **kw) -> SearchOutcome:
+    """:func:`search`, and the bad queries with their reasons beside it."""
+    checked = replace(request, search_type=SearchType.parse(request.search_type, SearchType.VECTOR))
+    return SearchOutcome(search(corpus, queries, request, model=model, **kw),
+                         query_errors(queries, checked, has_model=model is not None, corpus=corpus))
+
+
 def run_query(base: DataFrame, request: QueryRequest = QueryRequest()) -> DataFrame:
     """LIM-1 through a request object."""
     return tables.query(base, request.filter, request.partition, request.offset, request.limit,

@@ -241,6 +241,13 @@ def pruned(nlist: int, metric: str):
     return run
 
 
+def _deep_page(spark, sf):
+    """The 50 rows behind half of the table, from an index of its keys."""
+    pages = tb.PageIndex.build(_seg(spark, sf))
+    half = sum(n for _, _, n in pages.before) // 2
+    return pages.page(half, 50, columns=["id", "file_id", "partition_name"])
+
+
 def _two_level_full_probe(spark, sf):
     """A two-level index, every cell probed, is the exact search."""
     index = build_ivf(testdata_vector_segments(spark, sf), nlist=256, two_level=True)
@@ -293,6 +300,7 @@ def _overlap(spark, sf):
 
 QUERIES.update({
     "ivf_full_probe": ivf(8, 8),
+    "query_page_deep": _deep_page,
     "vector_pruned_cosine": pruned(32, "cosine"),
     "vector_pruned_l2": pruned(32, "l2"),
     "vector_pruned_ip": pruned(32, "ip"),

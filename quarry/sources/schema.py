@@ -104,6 +104,15 @@ class CollectionSpec:
         """PRJ-1: declared fields not marked excluded, in declared order."""
         return [f.name for f in self.fields if not f.exclude]
 
+    def analyzer_of(self, name: str) -> str | None:
+        """The pattern by which BM25 cuts a text field: None is the default
+        analyzer, which serves every ``type`` but ``whitespace``; ``pattern``
+        is a Java regex with one group."""
+        setting = self.field(name).analyzer or {}
+        if "pattern" in setting:
+            return setting["pattern"]
+        return r"(\S+)" if setting.get("type") == "whitespace" else None
+
     def with_field(self, spec: FieldSpec) -> "CollectionSpec":
         return replace(self, fields=self.fields + (spec,))
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.metadata import metadata_or_empty
 from ..functions.partitions import partition_name, partition_or_default
@@ -81,9 +82,11 @@ def testdata_vector_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
                          metadata=F.to_json(F.struct("lang", "n_chars")), partition=partition_name("lang"))
 
 
-def default_columns(df: DataFrame) -> list[str]:
-    """PRJ-1: every column except those marked excluded (vectors)."""
-    return [c for c in df.columns if c not in EXCLUDED_COLUMNS]
+def default_columns(df: DataFrame, spec=None) -> list[str]:
+    """PRJ-1: every column except those marked excluded: by ``spec`` (a
+    ``CollectionSpec``) where one is given, else the vector columns' usual names."""
+    left_out = EXCLUDED_COLUMNS if spec is None else [f.name for f in spec.fields if f.exclude]
+    return [c for c in df.columns if c not in left_out]
 
 
 def read_segments(spark: SparkSession, path: str, fmt: str = "parquet", schema: str | None = SEGMENT_DDL,
@@ -94,12 +97,17 @@ def read_segments(spark: SparkSession, path: str, fmt: str = "parquet", schema:
 
     JSON and CSV are read with the canonical schema (no inference pass);
     parquet and ORC carry their own.  Partition directories
-    (``partition_name=...``) are discovered and pruned by Spark.
+    (``partition_name=...``) are discovered and pruned by Spark; their names
+    stay text (``001`` is not 1).
     """
     reader = spark.read.format(fmt)
     if fmt in ("json", "csv") and schema:
         reader = reader.schema(schema)
     df = reader.load(path)
+    if "partition_name" in df.columns and df.schema["partition_name"].dataType != T.StringType():
+        # Spark reads a folder name such as 001 as the number 1: say that it is text.
+        text = [T.StructField(f.name, T.StringType()) if f.name == "partition_name" else f for f in df.schema.fields]
+        df = spark.read.format(fmt).schema(T.StructType(text)).load(path)
     if mapping:
         return load_segments(df, **mapping)
     return load_segments(df, id="id", content="content", embedding="embedding", file_id="file_id",
