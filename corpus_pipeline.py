@@ -29,18 +29,22 @@ from quarry.llm.mixing import mixed_documents  # noqa: E402
 from quarry.llm.queries import tokenizer_file  # noqa: E402
 from quarry.llm.subword_sampling import sample_segmentations  # noqa: E402
 
-# The score of language identification below which no language is told; four
-# equal scores are 0.25 each, clean text of a known language is above 0.45.
-MIN_LANGUAGE_SCORE = 0.35
+# The score of language identification below which no language is told, in
+# equal shares: of four languages an equal share is 0.25, clean text of a known
+# language is above 0.45.  With one language there is nothing to compare.
+MIN_SHARES = 1.4
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects text that is null, has no letter, or fits no language (score
-    below :data:`MIN_LANGUAGE_SCORE`).  Nothing goes if no model can be trained."""
+    below :data:`MIN_SHARES` equal shares).  Without labelled rows there is no
+    model, and only null text and text without a letter go."""
     model = train_on_documents(docs)
     if model is None:
-        return docs
-    told = (F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE)
+        return docs.filter(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    told = F.col("lang_pred") != UNDETERMINED
+    if len(model.languages) > 1:
+        told &= F.col("score") >= MIN_SHARES / len(model.languages)
     return identify_language(docs, model).filter(told).select(*docs.columns)
 
 
@@ -62,12 +66,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it."""
+    """Every row as often as the mix takes it.  Rows without words have size 0
+    and are never taken; a null source is one source; repeated rows count apart."""
     return mixed_documents(docs)
 
 
 def subword_samples(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Two segmentations of every row, with ids, scores and whether they decode to the text."""
+    """Two segmentations of every row, with ids, scores and whether they decode
+    to the text.  Null and empty text has one without pieces; repeated rows give the same."""
     return sample_segmentations(docs.select("doc_id", "text"), tokenizer_file("piece_bpe_32k.model"), k=2).select(
         "doc_id", "sample", F.size("ids").cast("long").alias("n_pieces"), "log_prob", "perturbed", "log_inclusion",
         "decodes", "ids")
