@@ -214,8 +214,9 @@ def repeats(base: DataFrame, window: int, run_words: int, shard_words: int, hot:
     total = cold.agg(F.sum(F.length("words") - F.length(F.translate("words", " ", "")) + 1)).first()[0] or 0
     told = judged_by_index(cold, window, 1 + int(total) // shard_words).unionByName(
         judged_by_window(cut.filter("hot"), window))
-    verdicts = bodies.join(told, ["anchor", "body"], "left").select(
-        "anchor", "body", "first", F.coalesce("repeats", F.lit(0)).alias("repeats"))
+    # Written first, as the anchors: a body that very many documents hold is split.
+    verdicts = stored(bodies.join(told, ["anchor", "body"], "left").select(
+        "anchor", "body", "first", F.coalesce("repeats", F.lit(0)).alias("repeats")), "verdicts")
     is_first = (F.col("doc_id") == F.col("first.doc_id")) & (F.col("start") == F.col("first.start"))
     every = F.expr(f"shiftleft(1L, n - {window - 1}) - 1")
     marks = hits.join(verdicts, ["anchor", "body"]).select(
