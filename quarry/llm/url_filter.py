@@ -2,10 +2,13 @@
 
 Host names run words together.  A unigram Viterbi splits every distinct
 letter run of the hosts into the words of highest total probability; the
-word counts come from the whole texts of all pages.  A multinomial naive Bayes,
-trained on all pages that a rule decides, then scores the words of host and
-path.  Tokens are hashed to ``2 ** bits`` counters, so the model's size is
-fixed whatever the vocabulary.
+word counts come from the whole texts of all pages, urls and dotted names
+aside: a page that prints its own host would make the joined name a word.  A
+multinomial naive Bayes, trained on all pages that a rule decides, then scores
+the words of host and path.  What the deciding rule itself matched is no
+feature of such a page: it would teach the rules, not the names they stand for.
+Tokens are hashed to ``2 ** bits`` counters, so the model's size is fixed
+whatever the vocabulary.
 
 Everything is counted per distinct run, word or host, with partial sums
 before each shuffle; page texts stay where they are read.
@@ -25,9 +28,12 @@ from .common import ascii_lower, schema_with, stored
 # (host and path prefix, verdict): the rules of the registered query.
 RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"),
          ("net/es/", "block"), ("net/fr/", "block")]
-MAX_WORD = 24  # characters of the longest word a host is split into
+MAX_WORD = 63  # fixed value: the longest label a host name can have
 MARKUP = (r"(?is)<!--.*?(?:-->|\z)|<(script|style)(?=[\s/>]).*?(?:</\1(?=[\s/>])[^>]*(?:>|\z)|\z)"
           r"|<[a-z/!?][^>]*(?:>|\z)|&#?[a-z0-9]{1,32};")
+# A url, or a dotted name from its first character on; no start inside a run, so that long runs cost one pass.
+ADDRESS = (r"""(?:[a-zA-Z][a-zA-Z0-9+.-]{0,15})?://[^\s<>"']*"""
+           r"|(?<![\p{L}\p{N}_.-])[\p{L}\p{N}_-]++\.[\p{L}\p{N}_-][\p{L}\p{N}_.-]*+")
 
 
 def url_part(url: Column, group: int) -> Column:
@@ -51,8 +57,9 @@ def letter_runs(c: Column) -> Column:
 
 def page_text(html: Column) -> Column:
     """What a page says: tags, comments, character references and all of script
-    and style become blanks; what is left open reaches to the end."""
-    return F.regexp_replace(html, MARKUP, " ")
+    and style become blanks (what is left open reaches to the end), then urls
+    and dotted names."""
+    return F.regexp_replace(F.regexp_replace(html, MARKUP, " "), ADDRESS, " ")
 
 
 def best_split(run: str, logp: dict[str, float], log_total: float) -> list[str]:
@@ -105,12 +112,23 @@ def segment_runs(runs: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def segment_hosts(hosts: DataFrame, counts: DataFrame) -> DataFrame:
-    """``host, host_words`` for distinct ``hosts(host)``, words in order."""
+    """``host, host_runs`` for distinct ``hosts(host)``: the words of each letter run, in order."""
     runs = hosts.select("host", F.posexplode(letter_runs(F.col("host"))).alias("at", "run"))
     split = segment_runs(runs.select("run").distinct(), counts)
     words = runs.join(split, "run").groupBy("host").agg(
         F.sort_array(F.collect_list(F.struct("at", "words"))).alias("w"))
-    return words.select("host", F.flatten(F.transform("w", lambda x: x["words"])).alias("host_words"))
+    return words.select("host", F.transform("w", lambda x: x["words"]).alias("host_runs"))
+
+
+def unruled(rule: Column, host_runs: Column, path: Column) -> tuple[Column, Column]:
+    """Host words and path without what ``rule`` matched of them: the last
+    labels of the host and the first characters of the path."""
+    name = F.substring_index(rule, "/", 1)
+    runs = F.coalesce(host_runs, F.array().cast("array<array<string>>"))
+    rest = F.when(rule.isNull(), runs).otherwise(
+        F.slice(runs, 1, F.greatest(F.size(runs) - F.size(letter_runs(F.coalesce(name, F.lit("")))), F.lit(0))))
+    tail = F.when(rule.isNull(), path).otherwise(path.substr(F.length(rule) - F.length(name) + 1, F.length(path)))
+    return F.flatten(rest), tail
 
 
 def path_tokens(path: Column) -> Column:
@@ -120,8 +138,7 @@ def path_tokens(path: Column) -> Column:
 
 
 def token_slots(host_words: Column, path: Column, bits: int) -> Column:
-    tokens = F.concat(F.transform(F.coalesce(host_words, F.array().cast("array<string>")),
-                                  lambda w: F.concat(F.lit("host "), w)),
+    tokens = F.concat(F.transform(host_words, lambda w: F.concat(F.lit("host "), w)),
                       F.transform(path_tokens(path), lambda w: F.concat(F.lit("path "), w)))
     return F.transform(tokens, lambda t: F.pmod(F.xxhash64(t), F.lit(2 ** bits)).cast("int"))
 
@@ -151,7 +168,9 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, url:
 
     A null url, or one without ``://``, has an empty host and path, fits no
     rule and is judged by the prior alone.  Without any page that a rule
-    decides, every verdict is ``allow``; equal odds are ``allow``.
+    decides, every verdict is ``allow``; equal odds are ``allow``.  Repeated
+    rows count, and come back, as often as they occur; urls of any length are
+    judged whole.
     """
     import pyarrow as pa
 
@@ -162,7 +181,9 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, url:
         "verdict", matching_rule(F.col("host"), F.col("path"), rules, 1))
     counts = stored(word_counts(page_text(F.col(html)), pages), "words")
     hosts = segment_hosts(base.select("host").distinct(), counts)
-    tokens = base.join(hosts, "host", "left").withColumn("__slots", token_slots(F.col("host_words"), F.col("path"), bits))
+    seen_host, seen_path = unruled(F.col("rule"), F.col("host_runs"), F.col("path"))
+    tokens = (base.join(hosts, "host", "left").withColumn("__slots", token_slots(seen_host, seen_path, bits))
+              .withColumn("host_words", F.array_join(F.flatten("host_runs"), " ")).drop("host_runs"))
     odds, prior = train_bayes(tokens.filter("verdict IS NOT NULL").select(
         F.col("verdict").alias("label"), F.col("__slots").alias("slots")), bits)
     shared = pages.sparkSession.sparkContext.broadcast(odds)  # 2 ** bits numbers
@@ -183,4 +204,4 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, url:
     return scored.select(
         *rest, "host", "path", "rule",
         F.coalesce("verdict", F.when(F.col("__odds") > 0, "block").otherwise("allow")).alias("verdict"),
-        (1 / (1 + F.exp(-F.col("__odds")))).alias("block_score"), F.array_join("host_words", " ").alias("host_words"))
+        (1 / (1 + F.exp(-F.col("__odds")))).alias("block_score"), "host_words")

@@ -324,6 +324,73 @@ def test_url_words_come_from_whole_pages(spark):
     assert {r.word: r.n for r in uf.word_counts(uf.page_text(F.col("html")), big).collect()} == {"a": 400_000}
 
 
+def test_addresses_are_no_words(spark):
+    body = ("Green house. See http://greenhouse.example.com/x?y=z or www.greenhouse.com, greenhouse.org. "
+            "Grün.haus a.b. end. tea-pot (tea.pot)")
+    df = spark.createDataFrame([(1, body)], "page_id long, html string")
+    got = {r.word: r.n for r in uf.word_counts(uf.page_text(F.col("html")), df).collect()}
+    assert got == {"green": 1, "house": 1, "see": 1, "or": 1, "end": 1, "tea": 1, "pot": 1}
+    # long runs cost one pass and no stack
+    long = [(i, x * 200_000) for i, x in enumerate(("ab", "a.", "://", "a-", ".", "é:"))]
+    big = spark.createDataFrame(long, "page_id long, html string")
+    assert {r.word for r in uf.word_counts(uf.page_text(F.col("html")), big).collect()} == {"a", "é"}
+    # a host's longest label can be one word
+    label = "x" * 63
+    df = spark.createDataFrame([(1, f"http://{label}yes.com/", f"{label} yes b org com"), (2, "http://b.org/", None)],
+                               "page_id long, url string, html string")
+    assert {r.page_id: r.host_words for r in uf.judge_urls(df).collect()} == {1: f"{label} yes com", 2: "b org"}
+
+
+def plain_bayes(rows, bits):
+    """Verdicts and scores of undecided urls by counting in dictionaries; the hosts' runs are words as they are."""
+    import math
+    import re
+    counts, priors, out = {"allow": {}, "block": {}}, {"allow": 0, "block": 0}, {}
+    runs = lambda t: re.findall(r"[^\W\d_]+", t.lower())
+    tokens = lambda h, p: ([("host", w) for w in h] + [
+        ("path", "0" if t[0].isdigit() else t) for t in re.findall(r"[^\W\d_]+|\d+", p.lower())])
+    for _, url in rows:
+        host, path, rule = brute_rule(url)
+        if rule:
+            verdict, name = dict(uf.RULES)[rule], rule.split("/", 1)[0]
+            host_words = runs(host)[:len(runs(host)) - len(runs(name))]
+            priors[verdict] += 1
+            for t in tokens(host_words, path[len(rule) - len(name):]):
+                counts[verdict][t] = counts[verdict].get(t, 0) + 1
+    total = {v: sum(counts[v].values()) for v in counts}
+    for i, url in rows:
+        host, path, rule = brute_rule(url)
+        if rule is None:
+            odds = math.log((priors["block"] + 1) / (priors["allow"] + 1))
+            for t in tokens(runs(host), path):
+                if t in counts["allow"] or t in counts["block"]:
+                    odds += (math.log(counts["block"].get(t, 0) + 1) - math.log(total["block"] + 2 ** bits)
+                             - math.log(counts["allow"].get(t, 0) + 1) + math.log(total["allow"] + 2 ** bits))
+            out[i] = odds
+    return out
+
+
+def test_undecided_urls_against_plain_bayes(spark):
+    import math
+    names = ["news", "shop", "pills", "blog"]
+    urls = [None, "no scheme", "http://news.org/cheap/1", "http://pills.org/cheap/2", "http://blog.pills.net/x/3",
+            "http://news.net/daily/9", "http://" + "pills." * 3000 + "org/" + "cheap/" * 3000, "http://x.org"]
+    urls += [f"http://{n}.com/daily/{i}" for i, n in enumerate(names * 3)]
+    urls += [f"http://pills.net/es/cheap/{i}" for i in range(9)] + ["http://shop.net/fr/", "http://a.example.com/en/cheap"]
+    urls += urls[3:5] * 2  # repeated rows
+    rows = list(enumerate(urls))
+    html = " ".join(names * 50 + ["com", "net", "org", "example"] * 50)
+    df = spark.createDataFrame([(i, u, html) for i, u in rows], "page_id long, url string, html string")
+    want = plain_bayes(rows, 18)
+    got = {r.page_id: r for r in uf.judge_urls(df).collect()}
+    assert len(got) == len(rows)
+    for i, odds in want.items():
+        score = 1 / (1 + math.exp(-odds)) if odds > -700 else 0.0
+        assert abs(got[i].block_score - score) < 1e-9
+        assert got[i].verdict == ("block" if odds > 0 else "allow")
+    assert {got[i].verdict for i in want} == {"allow", "block"}
+
+
 def test_segmentation_is_the_best_split():
     import itertools
     import math
