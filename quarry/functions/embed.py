@@ -46,8 +46,9 @@ class HashEmbedder:
 
     input = "tokens"
 
-    def __init__(self, dim: int = HASH_DIM):
-        self.dim = dim
+    def __init__(self, dim: int = HASH_DIM, max_tokens: int | None = None):
+        """Like a real model, it refuses a batch that holds an input of more than ``max_tokens``."""
+        self.dim, self.max_tokens = dim, max_tokens
 
     def embed_batch(self, values) -> list:
         """All token lists of a batch at once: factorize the tokens, hash
@@ -57,6 +58,8 @@ class HashEmbedder:
         out = [None] * len(lists)
         if lengths.sum() == 0:
             return out
+        if self.max_tokens is not None and lengths.max() > self.max_tokens:
+            raise ValueError(f"more than {self.max_tokens} tokens")
         flat = np.concatenate(lists)
         codes, uniques = pd.factorize(flat)
         slots = np.array([_token_slot(t, self.dim) for t in uniques], dtype=np.float64).reshape(-1, 2)
@@ -74,9 +77,37 @@ def _model_input(model, text: Column) -> Column:
     return analyze(text) if getattr(model, "input", "text") == "tokens" else text
 
 
-def embed_column(model, text, mask: Column | None = None) -> Column:
+def embed_each(model, values: list) -> tuple[list, list]:
+    """Vectors and reasons of failure.  A batch that the model refuses is
+    halved until the values that it fails on stand alone, so ``f`` of them cost
+    about ``2 f log2(n)`` further calls.  A vector of another length than
+    ``model.dim`` is a failure too."""
+    vectors, reasons, todo = [None] * len(values), [None] * len(values), [(0, len(values))]
+    while todo:
+        start, end = todo.pop()
+        try:
+            got = list(model.embed_batch(values[start:end]))
+            if len(got) != end - start:
+                raise ValueError(f"{len(got)} vectors for {end - start} inputs")
+        except Exception as e:  # whatever the model raises is that value's reason
+            if end - start == 1:
+                reasons[start] = f"{type(e).__name__}: {e}"
+            elif end > start:
+                middle = (start + end) // 2
+                todo += [(start, middle), (middle, end)]
+            continue
+        for i, vec in enumerate(got, start):
+            if vec is not None and len(vec) != model.dim:
+                reasons[i] = f"ValueError: {len(vec)} components instead of {model.dim}"
+            else:
+                vectors[i] = vec
+    return vectors, reasons
+
+
+def embed_column(model, text, mask: Column | None = None, with_errors: bool = False) -> Column:
     """A pandas UDF column: the model's vector for ``text`` (NULL in, NULL
-    out).  Rows where ``mask`` is false reach the UDF as NULL."""
+    out).  Rows where ``mask`` is false reach the UDF as NULL.  A failing model
+    fails the job, or ``with_errors`` yields ``struct<vector, error>``."""
     if model is None:
         raise ValueError("no embedding model configured")
     text = F.col(text) if isinstance(text, str) else text
@@ -93,6 +124,16 @@ def embed_column(model, text, mask: Column | None = None) -> Column:
                 result[i] = None if vec is None else np.asarray(vec, dtype=np.float32)
         return pd.Series(result, dtype=object)
 
+    def _embed_or_reason(values: pd.Series) -> pd.DataFrame:
+        given = np.nonzero(values.notna().to_numpy())[0]
+        vectors, reasons = [None] * len(values), [None] * len(values)
+        for i, vec, why in zip(given, *embed_each(model, [values.iloc[i] for i in given])):
+            vectors[i], reasons[i] = None if vec is None else np.asarray(vec, dtype=np.float32), why
+        return pd.DataFrame({"vector": pd.Series(vectors, dtype=object), "error": pd.Series(reasons, dtype=object)})
+
+    if with_errors:
+        _embed_or_reason.__name__ = f"embed_{next(_UDF_IDS)}"
+        return F.pandas_udf(_embed_or_reason, "vector array<float>, error string")(value)
     _embed.__name__ = f"embed_{next(_UDF_IDS)}"
     # Deterministic, so identical subplans over embedded rows share their
     # exchanges; searches never filter on the vector column itself (the
@@ -112,18 +153,27 @@ def _has_text(text: Column) -> Column:
 
 
 def embed_documents(df: DataFrame, model, text_col: str = "content", vector_col: str = "embedding",
-                    tasks: int | None = None) -> DataFrame:
+                    tasks: int | None = None, errors_col: str | None = None) -> DataFrame:
     """UDF-1: fill a vector only where it is missing and the text is not
     empty; other rows are untouched.  Without a model nothing changes.
 
     The model runs where the rows are read; ``tasks`` deals them out anew
-    first, for an input of fewer splits than the model needs tasks."""
+    first, for an input of fewer splits than the model needs tasks.
+
+    With ``errors_col``, a text that the model fails on costs its own vector
+    only: the row stays without one and that column tells why (NULL for all
+    other rows).  Write the result once, then its rows with a reason are the
+    errors table.  Without it, a failing model fails the job."""
     if model is None:
-        return df
+        return df if errors_col is None else df.withColumn(errors_col, F.lit(None).cast("string"))
     if tasks:
         df = df.repartition(tasks)
     vec, text = F.col(vector_col), F.col(text_col)
     need = _missing(vec) & _has_text(text)
+    if errors_col is not None:
+        got = df.withColumn("_embedded", embed_column(model, text, need, with_errors=True))
+        return got.withColumns({vector_col: F.coalesce(F.when(~need, vec), F.col("_embedded.vector")),
+                                errors_col: F.col("_embedded.error")}).drop("_embedded")
     return df.withColumn(vector_col, F.coalesce(
         F.when(~need, vec), embed_column(model, text, need)))
 

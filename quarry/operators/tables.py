@@ -64,16 +64,35 @@ def dedupe_changes(changes: DataFrame, seq_col: str | None = "seq") -> DataFrame
             .where(F.col("_ok").isNotNull()).drop("_n", "_ok", "_p", "_i"))
 
 
+def not_outranked(base: DataFrame, changes: DataFrame, seq_col: str) -> DataFrame:
+    """The changes whose stored row holds no higher ``seq``: what arrives late,
+    in a later batch than its successor, changes nothing.  An equal ``seq``
+    replaces; NULL is the lowest.  Only the stored rows of the changed keys
+    are aggregated."""
+    partition = partition_or_default("partition_name")
+    keys = changes.select(F.col("partition_name").alias("_p"), F.col("id").alias("_i"))
+    held = (base.select(partition.alias("_bp"), F.col("id").alias("_bi"), F.col(seq_col).alias("_held"))
+            .where(F.col("_held").isNotNull())
+            .join(keys, F.col("_bp").eqNullSafe(F.col("_p")) & F.col("_bi").eqNullSafe(F.col("_i")), "left_semi")
+            .groupBy("_bp", "_bi").agg(F.max("_held").alias("_held")))
+    same = F.col("partition_name").eqNullSafe(F.col("_bp")) & F.col("id").eqNullSafe(F.col("_bi"))
+    late = F.col("_held").isNotNull() & (F.col(seq_col).isNull() | (F.col(seq_col) < F.col("_held")))
+    return changes.join(held, same, "left").where(~late).drop("_bp", "_bi", "_held")
+
+
 def upsert(base: DataFrame, docs: DataFrame, partition: str | None = None, seq_col: str | None = "seq") -> DataFrame:
     """SNK-2: insert or replace by key; empty input changes nothing.
 
     ``base`` minus the changed keys (one null-safe anti join; a NULL or empty
     partition is the default one), plus the changes.  Spark broadcasts the
     key side when AQE measures it small, else both sides shuffle on the key.
+
+    A ``base`` that keeps the ``seq`` column orders changes across batches
+    too (:func:`not_outranked`); without it only the batch itself is ordered.
     """
     changes = dedupe_changes(_with_partition(docs, partition), seq_col)
-    if seq_col and seq_col in changes.columns and seq_col not in base.columns:
-        changes = changes.drop(seq_col)
+    if seq_col and seq_col in changes.columns:
+        changes = not_outranked(base, changes, seq_col) if seq_col in base.columns else changes.drop(seq_col)
     keys = changes.select(F.col("partition_name").alias("_p"), F.col("id").alias("_i"))
     kept = base.join(keys, partition_or_default("partition_name").eqNullSafe(F.col("_p"))
                      & F.col("id").eqNullSafe(F.col("_i")), "left_anti")

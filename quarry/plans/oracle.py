@@ -15,6 +15,7 @@ SEGMENTS = """segments AS (
 # Every embedding, with its document's columns where it has one.
 VSEGMENTS = """segments AS (
   SELECT CAST(e.vec_id AS VARCHAR) AS id, d.source AS file_id, e.embedding AS embedding,
+         d.lang AS lang, d.n_chars AS n_chars,
          coalesce('partition_' || regexp_replace(d.lang, '[^a-zA-Z0-9]', '_', 'g'), '_default') AS partition_name
   FROM embeddings e LEFT JOIN documents d ON d.doc_id = e.vec_id)"""
 
@@ -351,3 +352,22 @@ v AS (SELECT query_id, partition_name, id FROM cmp WHERE method = 'vector')
 SELECT v.query_id, round(count(h.id) / count(*), 6) AS overlap
 FROM v LEFT JOIN h ON v.query_id = h.query_id AND v.partition_name = h.partition_name AND v.id = h.id
 GROUP BY v.query_id"""
+
+ORACLE_SQL["vector_dynamic_filter"] = _vector(
+    COS, COS, where="n_chars >= 300 AND lang <> 'de' AND file_id IN ('src1', 'src2', 'src3')", extra="file_id, n_chars")
+
+ORACLE_SQL["stream_upsert_late"] = ORACLE_SQL["upsert_seq"]
+
+ORACLE_SQL["embed_errors"] = f"""WITH {SEGMENTS},
+t AS (SELECT partition_name, id, len({TOKENS.format('content')}) AS n FROM segments)
+SELECT partition_name, id, CAST(CASE WHEN n BETWEEN 1 AND 200 THEN 64 END AS BIGINT) AS n_dims,
+       CASE WHEN n > 200 THEN 'ValueError: more than 200 tokens' END AS error FROM t"""
+
+ORACLE_SQL["validate_existing"] = f"""WITH {SEGMENTS}, {CONV}, {CHANGES},
+    dup AS (SELECT partition_name, id FROM changes GROUP BY ALL HAVING count(*) > 1)
+    SELECT partition_name, id, 'id: longer than 64 bytes' AS violation FROM changes WHERE strlen(id) > 64
+    UNION ALL SELECT partition_name, id, 'file_id: longer than 64 bytes' FROM changes WHERE strlen(file_id) > 64
+    UNION ALL SELECT partition_name, id, 'content: longer than 65535 bytes' FROM changes WHERE strlen(content) > 65535
+    UNION ALL SELECT c.partition_name, c.id, 'id: duplicate key' FROM changes c JOIN dup USING (partition_name, id)
+    UNION ALL SELECT c.partition_name, c.id, 'id: key exists' FROM changes c
+        WHERE EXISTS (SELECT 1 FROM segments s WHERE s.partition_name = c.partition_name AND s.id = c.id)"""

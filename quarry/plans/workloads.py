@@ -24,7 +24,7 @@ from ..operators.knn import vector_search
 from ..session import ensure_checkpoint_dir, materialize
 from ..sources.rows import from_json_rows, promote_metadata_field, to_json_rows
 from ..sources.schema import (CollectionSpec, FieldSpec, default_schema, pack_dynamic_fields, segment_schema,
-                              typed_view, validate_batch, with_auto_id)
+                              typed_view, validate_batch, with_auto_id, with_dynamic_fields)
 from ..sources.segments import read_table, testdata_segments, testdata_vector_segments
 from ..sources.versions import compact_table, read_current, write_version
 from ..streaming.upsert_sink import upsert_stream
@@ -556,3 +556,60 @@ def _query_errors(spark, sf):
 
 
 QUERIES["query_errors"] = _query_errors
+
+
+# ------------------------------------------- dynamic fields, late changes, errors
+
+
+def _vector_dynamic(spark, sf):
+    """Dense search filtered on, and returning, fields that the schema does not
+    declare; they are stored in one VARIANT column."""
+    docs, emb = read_table(spark, sf, "documents"), read_table(spark, sf, "embeddings").select("vec_id", "embedding")
+    rows = emb.join(docs, docs.doc_id == emb.vec_id, "left").select(
+        F.col("vec_id").cast("string").alias("id"), F.col("text").alias("content"), "embedding",
+        F.coalesce(partition_name("lang"), partition_name(F.lit(""))).alias("partition_name"),
+        F.col("source").alias("file_id"), "lang", "n_chars")
+    corpus = materialize(pack_dynamic_fields(rows, default_schema(64), variant=True), "dynamic")
+    corpus = with_dynamic_fields(corpus, {"file_id": "string", "lang": "string", "n_chars": "long"})
+    return vector_search(corpus, _vector_queries(spark, sf), 10, columns=["file_id", "n_chars"],
+                         pred="n_chars >= 300 AND lang <> 'de' AND file_id IN ('src1', 'src2', 'src3')")
+
+
+def _stream_late(spark, sf):
+    """Changes that arrive out of order: a first run of the stream brings the
+    turns from 2 on, a second the earlier ones.  The table keeps ``seq``, so a
+    late change replaces nothing that is newer than it."""
+    import uuid
+    root = f"{ensure_checkpoint_dir(spark)}/quarry-late-{uuid.uuid4().hex}"
+    write_version(_seg(spark, sf).withColumn("seq", F.lit(None).cast("long")), f"{root}/table")
+    changes = _seq_changes(spark, sf).withColumn("seq", F.col("seq").cast("long"))
+    early = F.coalesce(F.col("seq") < 2, F.lit(True))
+    for part in (changes.where(~early), changes.where(early)):
+        part.write.mode("append").parquet(f"{root}/arrived")
+        stream = spark.readStream.schema(changes.schema).parquet(f"{root}/arrived")
+        upsert_stream(stream, f"{root}/table", f"{root}/checkpoint").awaitTermination()
+    return read_current(spark, f"{root}/table").select(*PAGE_COLS)
+
+
+def _embed_errors(spark, sf):
+    """Every document's text embedded by a model that refuses batches with a
+    text of over 200 tokens: the others have their vector, those a reason."""
+    docs = _seg(spark, sf).withColumn("embedding", F.lit(None).cast("array<float>"))
+    done = embed_documents(docs, HashEmbedder(max_tokens=200), errors_col="error",
+                           tasks=spark.sparkContext.defaultParallelism)
+    return done.select("partition_name", "id", F.when(F.col("embedding").isNotNull(), F.size("embedding"))
+                       .cast("long").alias("n_dims"), "error")
+
+
+def _validate_existing(spark, sf):
+    """The change set checked against the stored rows: keys that exist already."""
+    _, bad = validate_batch(_upsert_changes(spark, sf), segment_schema(64), existing=_seg(spark, sf))
+    return bad.select("partition_name", "id", F.explode("violations").alias("violation"))
+
+
+QUERIES.update({
+    "vector_dynamic_filter": _vector_dynamic,
+    "stream_upsert_late": _stream_late,
+    "embed_errors": _embed_errors,
+    "validate_existing": _validate_existing,
+})

@@ -151,16 +151,45 @@ def undeclared_columns(df: DataFrame, spec: CollectionSpec, ignore=("partition_n
     return [c for c in df.columns if c not in declared and c not in ignore]
 
 
-def pack_dynamic_fields(df: DataFrame, spec: CollectionSpec, column: str = DYNAMIC_COLUMN) -> DataFrame:
-    """SRC-5: undeclared columns go to one JSON column (nulls omitted).
-    With dynamic fields disabled they are an error."""
+def pack_dynamic_fields(df: DataFrame, spec: CollectionSpec, column: str = DYNAMIC_COLUMN,
+                        variant: bool = False) -> DataFrame:
+    """SRC-5: undeclared columns go to one JSON column (nulls omitted), or to
+    a VARIANT column, which is parsed once, when written.  With dynamic fields
+    disabled they are an error."""
     extra = undeclared_columns(df, spec)
     if not extra:
         return df
     if not spec.enable_dynamic_field:
         raise ValueError(f"columns {extra} are not declared and dynamic fields are disabled")
     packed = F.to_json(F.struct(*[F.col(c) for c in extra]))
-    return df.withColumn(column, packed).drop(*extra)
+    return df.withColumn(column, F.parse_json(packed) if variant else packed).drop(*extra)
+
+
+def dynamic_field(column, name: str, dtype: str) -> Column:
+    """One dynamic field as a typed column; NULL where a row lacks the field
+    or holds a value that is not of the type."""
+    column = F.col(column) if isinstance(column, str) else column
+    if not name or "'" in name or "?" in name:  # a variant path cannot hold these
+        entries = column.cast("map<string,variant>")
+        return F.try_variant_get(F.try_element_at(entries, F.lit(name)), "$", dtype)
+    return F.try_variant_get(column, f"$['{name}']", dtype)
+
+
+def with_dynamic_fields(df: DataFrame, fields: dict[str, str], column: str = DYNAMIC_COLUMN) -> DataFrame:
+    """``df`` with some dynamic fields (name to SQL type) as columns of their
+    own, so that predicates, ``columns=`` arguments and joins can name them
+    like declared ones.  They are expressions of the projection: a filter on
+    one is evaluated in the scan, and what no one reads is not parsed.
+
+    ``column`` is a VARIANT or a JSON string (invalid JSON has no fields).  A
+    field with the name of a column of ``df`` is an error."""
+    clash = [n for n in fields if n.lower() in {c.lower() for c in df.columns}]
+    if clash:
+        raise ValueError(f"fields {clash} are declared columns already")
+    packed = F.col(column)
+    if isinstance(df.schema[column].dataType, T.StringType):
+        packed = F.try_parse_json(packed)
+    return df.select("*", *[dynamic_field(packed, n, t).alias(n) for n, t in fields.items()])
 
 
 def _violations(df: DataFrame, spec: CollectionSpec, allow_missing_vectors: bool) -> list[Column]:
@@ -205,7 +234,7 @@ def _violations(df: DataFrame, spec: CollectionSpec, allow_missing_vectors: bool
 
 
 def validate_batch(df: DataFrame, spec: CollectionSpec, *, allow_missing_vectors: bool = True,
-                   key_cols=("partition_name",)) -> tuple[DataFrame, DataFrame]:
+                   key_cols=("partition_name",), existing: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """SRC-6: split a batch into (good rows, bad rows + ``violations``).
 
     Row checks are one projection.  Key uniqueness is a ``groupBy`` on the
@@ -213,6 +242,11 @@ def validate_batch(df: DataFrame, spec: CollectionSpec, *, allow_missing_vectors
     back; AQE splits a hot key's partition, so no key's rows gather in one
     task.  Missing vectors are allowed unless ``allow_missing_vectors`` is
     false (D13).
+
+    Keys that ``existing`` (a stored table) holds already are violations as
+    well.  Its key columns alone are read and semi-joined with the batch's
+    keys, so Spark can broadcast those or filter the stored side by a runtime
+    Bloom filter before it is shuffled.
     """
     checks = _violations(df, spec, allow_missing_vectors)
     pk = spec.primary_key
@@ -225,10 +259,18 @@ def validate_batch(df: DataFrame, spec: CollectionSpec, *, allow_missing_vectors
         flagged = df.join(dups.withColumnsRenamed({c: f"_key_{c}" for c in key}), same, "left").drop(
             *[f"_key_{c}" for c in key])
         checks.append(F.when(F.col("_dup"), F.lit(f"{pk.name}: duplicate key")))
+        if existing is not None:
+            key = [c for c in key if c in existing.columns]
+            own = df.where(F.col(pk.name).isNotNull()).select(*[F.col(c).alias(f"_own_{c}") for c in key])
+            stored = existing.select(*[F.col(c).alias(f"_key_{c}") for c in key])
+            held = (stored.join(own, [F.col(f"_key_{c}").eqNullSafe(F.col(f"_own_{c}")) for c in key], "left_semi")
+                    .distinct().withColumn("_held", F.lit(True)))
+            flagged = flagged.join(held, [F.col(f"_key_{c}").eqNullSafe(F.col(c)) for c in key], "left").drop(
+                *[f"_key_{c}" for c in key])
+            checks.append(F.when(F.col("_held"), F.lit(f"{pk.name}: key exists")))
     arr = F.filter(F.array(*checks), lambda x: x.isNotNull()) if checks else F.array().cast("array<string>")
     out = flagged.withColumn("violations", arr)
-    if "_dup" in out.columns:
-        out = out.drop("_dup")
+    out = out.drop("_dup", "_held")
     good = out.where(F.size("violations") == 0).drop("violations")
     bad = out.where(F.size("violations") > 0)
     return good, bad

@@ -6,6 +6,11 @@ and written as the next version.  The version marker records the micro-batch
 id, so a batch replayed after a failure (Structured Streaming re-runs the
 last uncommitted batch) is recognised and skipped: the sink is idempotent
 and the table never shows half a batch.
+
+A table that keeps the ``seq`` column orders changes across batches as well:
+a change that arrives after a higher ``seq`` of its key was stored is left
+out.  The order lives in the table, so it needs no state store, has no time
+limit and outlives the stream's checkpoint; a deleted key's order is gone.
 """
 
 from __future__ import annotations
