@@ -371,3 +371,6 @@ ORACLE_SQL["validate_existing"] = f"""WITH {SEGMENTS}, {CONV}, {CHANGES},
     UNION ALL SELECT c.partition_name, c.id, 'id: duplicate key' FROM changes c JOIN dup USING (partition_name, id)
     UNION ALL SELECT c.partition_name, c.id, 'id: key exists' FROM changes c
         WHERE EXISTS (SELECT 1 FROM segments s WHERE s.partition_name = c.partition_name AND s.id = c.id)"""
+
+ORACLE_SQL["bm25_pruned"] = ORACLE_SQL["bm25_search"]
+ORACLE_SQL["bm25_pruned_filtered"] = ORACLE_SQL["bm25_filtered"]

@@ -18,6 +18,7 @@ from ..functions.partitions import knowledge_id, partition_collisions, partition
 from ..functions.vectors import cosine
 from ..operators import tables as tb
 from ..operators.bm25 import bm25_search, build_bm25_index
+from ..operators.bm25_pruned import bm25_pruned_search
 from ..operators.hybrid import compare_methods, hybrid_search, overlap_at_k
 from ..operators.ivf import IvfIndex, build_ivf, exact_ivf_search, ivf_search, recall_at_k
 from ..operators.knn import vector_search
@@ -157,6 +158,14 @@ def bm25(**kw):
     return run
 
 
+def bm25_pruned(**kw):
+    """The same hits by two passes: only documents that can still win are summed over common terms."""
+    def run(spark, sf):
+        seg = _seg(spark, sf)
+        return bm25_pruned_search(build_bm25_index(seg), _bench_queries(spark, sf), corpus=seg, columns=[], **kw)
+    return run
+
+
 def _bm25_index_terms(spark, sf):
     return build_bm25_index(_seg(spark, sf)).terms
 
@@ -167,6 +176,8 @@ QUERIES.update({
     "bm25_filtered": bm25(partitions=["partition_en", "partition_de"], pred="file_id <> 'src0'"),
     "bm25_offset": bm25(k=5, offset=5),
     "bm25_drop_ratio": bm25(drop_ratio=0.3),
+    "bm25_pruned": bm25_pruned(),
+    "bm25_pruned_filtered": bm25_pruned(partitions=["partition_en", "partition_de"], pred="file_id <> 'src0'"),
 })
 
 
