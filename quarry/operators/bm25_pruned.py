@@ -12,7 +12,8 @@ hardly any score.  Here a table holds each term's highest document weight:
    document that holds none of the others cannot win, so only the others are
    joined with their postings, and of the documents found only those stay that
    the terms set aside could still lift to the threshold.  Their postings of
-   these terms are then looked up by document and term.
+   these terms are then looked up by document and term: those of the upper half
+   first, then those of the lower half for the documents still open.
 
 The hits and scores are those of the plain search.  A query with fewer than
 ``k`` documents in the first pass has no threshold and sets nothing aside.
@@ -47,11 +48,9 @@ def doc_weights(index: Bm25Index) -> DataFrame:
             .groupBy(*DOC, "term").agg(F.sum(part).alias("part")))
 
 
-def term_bounds(index: Bm25Index) -> DataFrame:
-    """``term, df, bound``: the highest document weight of every term.  One
-    pass over the postings; keep it (:func:`quarry.session.materialize`) beside
-    an index that serves many searches."""
-    return doc_weights(index).groupBy("term").agg(F.count("*").alias("df"), F.max("part").alias("bound"))
+def term_bounds(weights: DataFrame) -> DataFrame:
+    """``term, df, bound``: the highest document weight of every term."""
+    return weights.groupBy("term").agg(F.count("*").alias("df"), F.max("part").alias("bound"))
 
 
 def _small(df: DataFrame, text: str | None = None) -> DataFrame:
@@ -75,13 +74,15 @@ def _looked_up(pairs: DataFrame, terms: DataFrame, weights: DataFrame) -> DataFr
             .agg(F.sum(F.col("weight") * F.col("part")).alias("more")))
 
 
-def pruned_parts(index: Bm25Index, queries: DataFrame, kk: int, *, bounds: DataFrame | None = None,
+def pruned_parts(index: Bm25Index, queries: DataFrame, kk: int, *, weights: DataFrame | None = None,
                  text_col: str = "text", pred=None, partitions=None, corpus: DataFrame | None = None,
                  drop_ratio: float | None = None) -> dict[str, DataFrame]:
     """The tables of both passes: ``terms`` (all, with ``lead``), ``judged``
-    (with ``aside``), ``weights``, ``found`` (documents of the second pass with
-    their score so far) and ``candidates`` (full scores)."""
-    bounds = term_bounds(index) if bounds is None else bounds
+    (with ``aside`` and its lower half, ``low``), ``weights``, ``open`` and
+    ``halved`` (documents that can still win before and after the upper half)
+    and ``candidates`` (full scores)."""
+    weights = materialize(doc_weights(index), "bm25-weights") if weights is None else weights
+    bounds = term_bounds(weights)
     ratio = index.drop_ratio_search if drop_ratio is None else drop_ratio
     most = (F.col("weight") * F.col("bound")).alias("most")
     best_first = Window.partitionBy("query_id").orderBy(F.col("most").desc(), "term")
@@ -90,7 +91,6 @@ def pruned_parts(index: Bm25Index, queries: DataFrame, kk: int, *, bounds: DataF
         query_terms(index, queries, text_col, ratio).join(bounds, "term")
         .select("query_id", "term", "weight", "df", most).withColumn("lead", before < LEAD * kk), "bm25-query-terms")
 
-    weights = doc_weights(index)
     if partitions:
         weights = weights.where(F.col("partition_name").isin([partitions] if isinstance(partitions, str) else list(partitions)))
     if pred is not None and not (isinstance(pred, str) and not pred.strip()):
@@ -108,28 +108,39 @@ def pruned_parts(index: Bm25Index, queries: DataFrame, kk: int, *, bounds: DataF
     least_first = Window.partitionBy("query_id").orderBy("most", F.col("term").desc())
     reach = F.sum("most").over(least_first.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     judged = materialize(terms.join(floors, "query_id", "left").withColumn("reach", reach).withColumn(
-        "aside", F.coalesce(F.col("reach") < F.col("floor") - SLACK, F.lit(False))), "bm25-judged-terms")
-    rest = judged.groupBy("query_id").agg(
-        F.max("floor").alias("floor"), F.coalesce(F.max(F.when(F.col("aside"), F.col("reach"))), F.lit(0.0)).alias("rest"))
-
-    found = _scored(judged.where("NOT aside"), weights)
-    open_ = materialize(
-        found.join(_small(rest), "query_id")
-        .where(F.col("floor").isNull() | (F.col("score") + F.col("rest") >= F.col("floor") - SLACK))
-        .select("query_id", *DOC, "score"), "bm25-open")
-    more = _looked_up(open_, judged.where("aside"), weights)
-    candidates = open_.join(more, ["query_id", *DOC], "left").select(
-        "query_id", *DOC, (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score"))
-    return {"terms": terms, "judged": judged, "weights": weights, "found": found, "open": open_, "candidates": candidates}
+        "aside", F.coalesce(F.col("reach") < F.col("floor") - SLACK, F.lit(False))).withColumn(
+        "low", F.row_number().over(least_first) * 2 <= F.sum(F.col("aside").cast("int")).over(
+            Window.partitionBy("query_id"))), "bm25-judged-terms")
+    upper, lower = F.col("aside") & ~F.col("low"), F.col("aside") & F.col("low")
+
+    def still_open(scored: DataFrame, left_out) -> DataFrame:
+        """Of ``scored``, the documents that the terms ``left_out`` could lift to the threshold."""
+        rest = judged.groupBy("query_id").agg(
+            F.max("floor").alias("floor"), F.coalesce(F.max(F.when(left_out, F.col("reach"))), F.lit(0.0)).alias("rest"))
+        return materialize(
+            scored.join(_small(rest), "query_id")
+            .where(F.col("floor").isNull() | (F.col("score") + F.col("rest") >= F.col("floor") - SLACK))
+            .select("query_id", *DOC, "score"), "bm25-open")
+
+    def with_terms(scored: DataFrame, which) -> DataFrame:
+        more = _looked_up(scored, judged.where(which), weights)
+        return scored.join(more, ["query_id", *DOC], "left").select(
+            "query_id", *DOC, (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score"))
+
+    opened = still_open(_scored(judged.where("NOT aside"), weights), F.col("aside"))
+    halved = still_open(with_terms(opened, upper), lower)
+    return {"terms": terms, "judged": judged, "weights": weights, "open": opened, "halved": halved,
+            "candidates": with_terms(halved, lower)}
 
 
 def bm25_pruned_search(index: Bm25Index, queries: DataFrame, k: int = 10, offset: int = 0, *,
-                       bounds: DataFrame | None = None, text_col: str = "text", pred=None, partitions=None,
+                       weights: DataFrame | None = None, text_col: str = "text", pred=None, partitions=None,
                        corpus: DataFrame | None = None, threshold: float | None = 0.0,
                        drop_ratio: float | None = None, columns=None) -> DataFrame:
     """The rows of :func:`quarry.operators.bm25.bm25_search`, by two passes.
-    ``bounds`` is a stored :func:`term_bounds` of the same index."""
-    parts = pruned_parts(index, queries, k + offset, bounds=bounds, text_col=text_col, pred=pred, partitions=partitions,
+    ``weights`` are the written :func:`doc_weights` of the same index, for an
+    index that serves many searches; else they are written here."""
+    parts = pruned_parts(index, queries, k + offset, weights=weights, text_col=text_col, pred=pred, partitions=partitions,
                          corpus=corpus, drop_ratio=drop_ratio)
     ranked = apply_threshold(rank_topk(parts["candidates"], k, offset).withColumn("distance", F.col("score")), threshold)
     ranked = ranked.select("query_id", "rank", "partition_name", "id", "score", "distance")

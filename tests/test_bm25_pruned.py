@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quarry.operators.bm25 import bm25_candidates, bm25_search, build_bm25_index
-from quarry.operators.bm25_pruned import bm25_pruned_search, pruned_parts, term_bounds
+from quarry.operators.bm25_pruned import bm25_pruned_search, doc_weights, pruned_parts, term_bounds
 from quarry.session import materialize
 
 COLS = ["query_id", "rank", "partition_name", "id", "score", "distance"]
@@ -37,11 +37,11 @@ def queries(spark):
 
 def test_same_hits(corpus, queries):
     index = build_bm25_index(corpus)
-    bounds = materialize(term_bounds(index), "bounds")
+    weights = materialize(doc_weights(index), "weights")
     for k, offset in ((1, 0), (10, 0), (5, 7), (2000, 0)):
-        assert rows(bm25_pruned_search(index, queries, k, offset, bounds=bounds)) == rows(bm25_search(index, queries, k, offset))
+        assert rows(bm25_pruned_search(index, queries, k, offset, weights=weights)) == rows(bm25_search(index, queries, k, offset))
     some = dict(pred="id NOT LIKE '1%'", partitions=["p0", "p2"], corpus=corpus, columns=[])
-    assert rows(bm25_pruned_search(index, queries, 10, bounds=bounds, **some)) == rows(bm25_search(index, queries, 10, **some))
+    assert rows(bm25_pruned_search(index, queries, 10, weights=weights, **some)) == rows(bm25_search(index, queries, 10, **some))
     assert rows(bm25_pruned_search(index, queries, 10, drop_ratio=0.4)) == rows(bm25_search(index, queries, 10, drop_ratio=0.4))
     assert bm25_pruned_search(index, queries.limit(0), 10).count() == 0
     with pytest.raises(ValueError, match="needs the corpus"):
@@ -58,17 +58,18 @@ def test_fewer_rows_are_summed(corpus, queries):
     joined = lambda terms: terms.join(parts["weights"], "term").count()
     plain = joined(parts["terms"])
     lead, second = joined(parts["terms"].where("lead")), joined(parts["judged"].where("NOT aside"))
-    looked_up = parts["open"].join(parts["judged"].where("aside"), "query_id").count()
+    looked_up = (parts["open"].join(parts["judged"].where("aside AND NOT low"), "query_id").count()
+                 + parts["halved"].join(parts["judged"].where("aside AND low"), "query_id").count())
     pairs = bm25_candidates(index, queries).count()
-    assert parts["open"].count() < pairs / 2
+    assert parts["open"].count() < pairs / 2 and parts["halved"].count() < parts["open"].count()
     assert lead + second + looked_up < plain * 0.8, (lead, second, looked_up, plain)
-    # every hit of the plain search is among the open documents
+    # every hit of the plain search is among the documents left open
     hits = bm25_search(index, queries, 5)
-    assert hits.join(parts["open"], ["query_id", "partition_name", "id"], "left_anti").count() == 0
+    assert hits.join(parts["halved"], ["query_id", "partition_name", "id"], "left_anti").count() == 0
 
 
 def test_bounds_cover_every_document(corpus):
     index = build_bm25_index(corpus)
-    bounds = term_bounds(index)
+    bounds = term_bounds(doc_weights(index))
     parts = index.postings.groupBy("partition_name", "id", "term").count()
     assert bounds.agg(F.sum("df")).first()[0] == parts.count()
