@@ -61,8 +61,10 @@ def _small(df: DataFrame, text: str | None = None) -> DataFrame:
 
 
 def _scored(terms: DataFrame, weights: DataFrame) -> DataFrame:
-    """Every (query, document) that shares one of ``terms``, with the sum over these."""
-    return (_small(terms, "term").join(weights, "term").groupBy("query_id", *DOC)
+    """Every (query, document) that shares one of ``terms``, with the sum over
+    these.  The weights are dealt by document, so that they are shuffled and
+    the far more numerous pairs are not."""
+    return (_small(terms, "term").join(weights.repartition(*DOC), "term").groupBy("query_id", *DOC)
             .agg(F.sum(F.col("weight") * F.col("part")).alias("score")))
 
 
