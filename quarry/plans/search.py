@@ -59,7 +59,8 @@ class SearchRequest:
     partitions: tuple = ()
     similarity_threshold: float = 0.0
     output_fields: tuple = ()  # empty -> default columns
-    metric: str | None = None  # None: the index's metric, cosine without an index
+    metric: str | None = None  # not given: the index's metric, cosine without an index
+    follows_index: bool = field(init=False, default=False)  # whether no metric was given
     nprobe: int = 8
     drop_ratio: float | None = None  # None: the index's drop_ratio_search
     vector_weight: float = 0.5
@@ -70,6 +71,10 @@ class SearchRequest:
     corpus_vector_col: str = "embedding"
     params: dict = field(default_factory=dict)
 
+    def __post_init__(self):
+        object.__setattr__(self, "follows_index", self.metric is None)
+        object.__setattr__(self, "metric", self.metric or "cosine")
+
     def with_params(self) -> "SearchRequest":
         """``params`` by their index names (``nprobe``, ``drop_ratio_search``)
         count over the fields of the same meaning."""
@@ -159,10 +164,11 @@ def search(corpus: DataFrame, queries: DataFrame, request: SearchRequest = Searc
     marked excluded) and the analyzer of a BM25 index built here.  A metric
     other than the given index's is an error.
     """
+    follows = request.follows_index and not {"metric", "metric_type"} & set(request.params)
     request = request.with_params()
-    if ivf_index is not None and request.metric not in (None, ivf_index.metric):
+    if ivf_index is not None and not follows and request.metric != ivf_index.metric:
         raise ValueError(f"the request's metric {request.metric!r} is not the index's {ivf_index.metric!r}")
-    metric = request.metric or (ivf_index.metric if ivf_index is not None else "cosine")
+    metric = ivf_index.metric if ivf_index is not None else request.metric
     columns = request.columns()
     if columns is None and spec is not None:
         columns = default_columns(corpus, spec)
