@@ -1,7 +1,7 @@
 """BM25 full-text index and top-k (SRCH-6, SRCH-7, SRCH-8; SURVEY D5).
 
-Index build: every document is tokenised once, its tokens become rows and are
-counted by row and term, partly before the shuffle; these postings are
+Index build: every document is tokenised once and its terms are counted where
+it is read, in its sorted tokens.  The counts, a row for each document, are
 written to the shared folder, and the term table and the collection
 statistics (N and avgdl, one row) are read from there.  Texts are shuffled
 only when the corpus lies in fewer files than there are cores.
@@ -96,6 +96,20 @@ def dealt_out(corpus: DataFrame) -> DataFrame:
     return corpus.repartition(cores) if 0 < len(files) < cores else corpus
 
 
+def count_terms(corpus: DataFrame, text_col: str, analyzer: str | None) -> DataFrame:
+    """``partition_name, id, dl, terms, tfs``: a row for each row, its distinct
+    terms and how often each occurs, counted in its sorted tokens: nothing is shuffled."""
+    rows = corpus.select("partition_name", "id", F.sort_array(F.coalesce(
+        analyze(text_col, analyzer), F.array().cast("array<string>"))).alias("toks"))
+    new = lambda i: (i == 1) | (F.element_at("toks", i) != F.element_at("toks", F.greatest(i - 1, F.lit(1))))
+    rows = rows.withColumn("at", F.when(F.size("toks") > 0, F.filter(F.sequence(F.lit(1), F.size("toks")), new))
+                           .otherwise(F.array().cast("array<int>")))
+    return rows.select(
+        "partition_name", "id", F.size("toks").cast("long").alias("dl"),
+        F.transform("at", lambda i: F.element_at("toks", i)).alias("terms"),
+        F.transform("at", lambda i, j: F.coalesce(F.get("at", j + 1), F.size("toks") + 1) - i).alias("tfs"))
+
+
 def build_bm25_index(corpus: DataFrame, text_col: str = "content", *, k1: float = BM25_K1, b: float = BM25_B,
                      analyzer: str | None = None) -> Bm25Index:
     """SRCH-6: postings, term table and collection statistics.
@@ -106,18 +120,17 @@ def build_bm25_index(corpus: DataFrame, text_col: str = "content", *, k1: float
     :meth:`Bm25Index.write` and :meth:`Bm25Index.save_table` keep an index
     for good.
     """
-    # ``row`` keeps rows apart that repeat a key; ``first`` marks one entry of each row.
-    tokens = dealt_out(corpus.select("partition_name", "id", text_col)).select(
-        F.monotonically_increasing_id().alias("row"), "partition_name", "id", analyze(text_col, analyzer).alias("toks"))
-    entries = tokens.select("row", "partition_name", "id", F.size("toks").cast("long").alias("dl"),
-                            F.posexplode_outer("toks").alias("pos", "term"))
-    counted = materialize(entries.groupBy("row", "partition_name", "id", "dl", "term").agg(
-        F.count("*").alias("tf"), F.coalesce(F.min("pos") == 0, F.lit(True)).alias("first")), "bm25")
-    st = counted.filter("first").agg(F.count("*").alias("n"), F.coalesce(F.sum("dl"), F.lit(0)).alias("t")).first()
-    # Clustered by document, so a search's sums need no exchange.
-    postings = (counted.filter("term IS NOT NULL").select("term", "partition_name", "id", "tf", "dl")
-                .repartition("partition_name", "id"))
-    terms = (counted.filter("term IS NOT NULL").groupBy("term")
+    counted = materialize(count_terms(dealt_out(corpus.select("partition_name", "id", text_col)), text_col, analyzer),
+                          "bm25")
+    st = counted.agg(F.count("*").alias("n"), F.coalesce(F.sum("dl"), F.lit(0)).alias("t")).first()
+
+    def entries(rows: DataFrame) -> DataFrame:
+        return (rows.select("partition_name", "id", "dl", F.explode(F.arrays_zip("terms", "tfs")).alias("e"))
+                .select(F.col("e.terms").alias("term"), "partition_name", "id", F.col("e.tfs").cast("long").alias("tf"), "dl"))
+
+    # Clustered by document, so a search's sums need no exchange; rows are shuffled, not their entries.
+    postings = entries(counted.repartition("partition_name", "id"))
+    terms = (entries(counted).groupBy("term")
              .agg(F.count(F.lit(1)).cast("long").alias("df"), F.sum("tf").cast("long").alias("cf")))
     return Bm25Index(postings, terms, int(st["n"]), float(st["t"]) / st["n"] if st["n"] else 0.0, k1, b, analyzer)
 
