@@ -7,7 +7,7 @@ is any picklable object with::
     input: "text" | "tokens"          # what embed_batch receives
     embed_batch(values: list) -> list[np.ndarray | None]
 
-It runs inside an Arrow-batched pandas UDF, once per batch, and is built
+It runs inside an Arrow UDF, once for each slice of a batch, and is built
 lazily once per Python worker.  Only rows that need a vector reach it: the
 input of every other row is masked to NULL before the UDF.
 """
@@ -19,6 +19,8 @@ import itertools
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +31,9 @@ HASH_DIM = 64
 HEX_DIGITS = "0123456789abcdef"
 
 _UDF_IDS = itertools.count()
+# What a model gets at once.
+SLICE_ROWS = 1_024
+SLICE_SIZE = 1 << 18
 
 
 def _token_slot(token: str, dim: int) -> tuple[int, float]:
@@ -104,8 +109,23 @@ def embed_each(model, values: list) -> tuple[list, list]:
     return vectors, reasons
 
 
+def _slices(values: pa.Array):
+    """The rows to embed, in slices of at most ``SLICE_ROWS`` rows and, a
+    longer row aside, ``SLICE_SIZE`` tokens (texts: characters): their places and inputs."""
+    given = np.flatnonzero(values.is_valid().to_numpy(zero_copy_only=False))
+    if not len(given):
+        return
+    size = pc.list_value_length(values) if pa.types.is_list(values.type) else pc.utf8_length(values)
+    size = size.take(pa.array(given)).to_numpy(zero_copy_only=False).astype(np.int64)
+    at = 0
+    while at < len(given):
+        n = max(1, int(np.searchsorted(np.cumsum(size[at:at + SLICE_ROWS]), SLICE_SIZE, side="right")))
+        yield given[at:at + n].tolist(), values.take(pa.array(given[at:at + n])).to_pylist()
+        at += n
+
+
 def embed_column(model, text, mask: Column | None = None, with_errors: bool = False) -> Column:
-    """A pandas UDF column: the model's vector for ``text`` (NULL in, NULL
+    """An Arrow UDF column: the model's vector for ``text`` (NULL in, NULL
     out).  Rows where ``mask`` is false reach the UDF as NULL.  A failing model
     fails the job, or ``with_errors`` yields ``struct<vector, error>``."""
     if model is None:
@@ -115,25 +135,25 @@ def embed_column(model, text, mask: Column | None = None, with_errors: bool = Fa
     if mask is not None:
         value = F.when(mask, value)
 
-    def _embed(values: pd.Series) -> pd.Series:
-        mask = values.notna().to_numpy()
-        result = [None] * len(values)
-        if mask.any():
-            got = model.embed_batch([values.iloc[i] for i in np.nonzero(mask)[0]])
-            for i, vec in zip(np.nonzero(mask)[0], got):
-                result[i] = None if vec is None else np.asarray(vec, dtype=np.float32)
-        return pd.Series(result, dtype=object)
-
-    def _embed_or_reason(values: pd.Series) -> pd.DataFrame:
-        given = np.nonzero(values.notna().to_numpy())[0]
+    # The batch stays in Arrow; Python objects exist for one slice at a time.
+    def _embed(values: pa.Array) -> pa.Array:
+        vectors = [None] * len(values)
+        for given, inputs in _slices(values):
+            for i, vec in zip(given, model.embed_batch(inputs)):
+                vectors[i] = None if vec is None else np.asarray(vec, dtype=np.float32)
+        return pa.array(vectors, pa.list_(pa.float32()))
+
+    def _embed_or_reason(values: pa.Array) -> pa.Array:
         vectors, reasons = [None] * len(values), [None] * len(values)
-        for i, vec, why in zip(given, *embed_each(model, [values.iloc[i] for i in given])):
-            vectors[i], reasons[i] = None if vec is None else np.asarray(vec, dtype=np.float32), why
-        return pd.DataFrame({"vector": pd.Series(vectors, dtype=object), "error": pd.Series(reasons, dtype=object)})
+        for given, inputs in _slices(values):
+            for i, vec, why in zip(given, *embed_each(model, inputs)):
+                vectors[i], reasons[i] = None if vec is None else np.asarray(vec, dtype=np.float32), why
+        return pa.StructArray.from_arrays([pa.array(vectors, pa.list_(pa.float32())), pa.array(reasons, pa.string())],
+                                          names=["vector", "error"])
 
     if with_errors:
         _embed_or_reason.__name__ = f"embed_{next(_UDF_IDS)}"
-        return F.pandas_udf(_embed_or_reason, "vector array<float>, error string")(value)
+        return F.arrow_udf(_embed_or_reason, "vector array<float>, error string")(value)
     _embed.__name__ = f"embed_{next(_UDF_IDS)}"
     # Deterministic, so identical subplans over embedded rows share their
     # exchanges; searches never filter on the vector column itself (the
@@ -141,7 +161,7 @@ def embed_column(model, text, mask: Column | None = None, with_errors: bool = Fa
     # the model call into.  A model that is not a pure function should have
     # its output written once (a table under spark.checkpoint.dir) before
     # several searches read it.
-    return F.pandas_udf(_embed, "array<float>")(value)
+    return F.arrow_udf(_embed, "array<float>")(value)
 
 
 def _missing(vec: Column) -> Column:
