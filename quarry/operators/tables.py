@@ -90,9 +90,20 @@ def upsert(base: DataFrame, docs: DataFrame, partition: str | None = None, seq_c
     A ``base`` that keeps the ``seq`` column orders changes across batches
     too (:func:`not_outranked`); without it only the batch itself is ordered.
     """
+    return replaced(base, settled_changes(base, docs, partition, seq_col))
+
+
+def settled_changes(base: DataFrame, docs: DataFrame, partition: str | None = None,
+                    seq_col: str | None = "seq") -> DataFrame:
+    """The rows that an upsert of ``docs`` puts into ``base``: one for each key."""
     changes = dedupe_changes(_with_partition(docs, partition), seq_col)
     if seq_col and seq_col in changes.columns:
         changes = not_outranked(base, changes, seq_col) if seq_col in base.columns else changes.drop(seq_col)
+    return changes
+
+
+def replaced(base: DataFrame, changes: DataFrame) -> DataFrame:
+    """``base`` without the keys of ``changes``, plus ``changes``."""
     keys = changes.select(F.col("partition_name").alias("_p"), F.col("id").alias("_i"))
     kept = base.join(keys, partition_or_default("partition_name").eqNullSafe(F.col("_p"))
                      & F.col("id").eqNullSafe(F.col("_i")), "left_anti")
