@@ -6,13 +6,14 @@ written to the shared folder, and the term table and the collection
 statistics (N and avgdl, one row) are read from there.  Texts are shuffled
 only when the corpus lies in fewer files than there are cores.
 
-Search: query terms (with repeats counted) join the term table for idf, then
-the postings on ``term``; per (query, doc) sum of
-``idf * qtf * tf*(k1+1) / (tf + k1*(1-b+b*dl/avgdl))``; per-query top-k.
-Filters cut the documents before anything is scored.  The query terms are
-broadcast when their measured bytes fit the budget, so postings stay where
-their documents are; beyond it the join shuffles on the term and AQE splits
-common ones.
+Search: query terms (with repeats counted) join the term table for idf; per
+(query, doc) sum of ``idf * qtf * tf*(k1+1) / (tf + k1*(1-b+b*dl/avgdl))``;
+per-query top-k.  Filters cut the documents before anything is scored.  An index
+of this session has a row for each document, and the sums are made where these
+rows are (:mod:`quarry.operators.bm25_rows`).  A saved index has its postings
+only: the query terms join them on ``term``.  They are broadcast when their
+measured bytes fit the budget, so postings stay where their documents are;
+beyond it the join shuffles on the term and AQE splits common ones.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import BM25_B, BM25_K1, analyze, bm25_doc_weight, idf
 from ..session import broadcast_budget, materialize
+from .bm25_rows import DOC, one_row_each, scored_rows
 from .knn import attach_columns, scope_corpus
 from .topk import apply_threshold, rank_topk
 
@@ -40,6 +42,13 @@ class Bm25Index:
     b: float = BM25_B
     analyzer: str | None = None
     drop_ratio_search: float = 0.0  # index-level default of SRCH-8
+    counted: DataFrame | None = None  # partition_name, id, dl, terms, tfs; an index of this session only
+
+    def document_rows(self) -> DataFrame:
+        """``partition_name, id, terms, parts``: a row for each row counted,
+        with the document side of each term's score."""
+        part = lambda tf: bm25_doc_weight(tf, "dl", F.lit(float(self.avgdl) or 1.0), self.k1, self.b)
+        return self.counted.select(*DOC, "terms", F.transform("tfs", part).alias("parts"))
 
     def write(self, root: str, n_files: int | None = None) -> None:
         """Persist the index; postings are clustered by term so a search
@@ -132,7 +141,8 @@ def build_bm25_index(corpus: DataFrame, text_col: str = "content", *, k1: float
     postings = entries(counted.repartition("partition_name", "id"))
     terms = (entries(counted).groupBy("term")
              .agg(F.count(F.lit(1)).cast("long").alias("df"), F.sum("tf").cast("long").alias("cf")))
-    return Bm25Index(postings, terms, int(st["n"]), float(st["t"]) / st["n"] if st["n"] else 0.0, k1, b, analyzer)
+    return Bm25Index(postings, terms, int(st["n"]), float(st["t"]) / st["n"] if st["n"] else 0.0, k1, b, analyzer,
+                     counted=counted)
 
 
 def query_terms(index: Bm25Index, queries: DataFrame, text_col: str = "text", drop_ratio: float = 0.0) -> DataFrame:
@@ -147,7 +157,11 @@ def query_terms(index: Bm25Index, queries: DataFrame, text_col: str = "text", dr
     qt = (queries.where(F.col(text_col).isNotNull() & (F.trim(F.col(text_col)) != ""))
           .select("query_id", F.explode(analyze(text_col, index.analyzer)).alias("term"))
           .groupBy("query_id", "term").agg(F.count(F.lit(1)).cast("long").alias("qtf")))
-    qt = qt.join(index.terms.select("term", "df"), "term")
+    words, held = qt.select("term").distinct(), index.terms.select("term", "df")
+    size = words.agg(F.coalesce(F.sum(F.octet_length("term") + 64), F.lit(0))).first()[0]
+    if size <= broadcast_budget(qt.sparkSession):  # other terms are not counted
+        held = held.join(F.broadcast(words), "term", "left_semi")
+    qt = qt.join(held, "term")
     qt = qt.withColumn("weight", idf(F.lit(float(index.n_docs)), F.col("df")) * F.col("qtf"))
     if drop_ratio > 0:
         by_q = Window.partitionBy("query_id")
@@ -159,6 +173,18 @@ def query_terms(index: Bm25Index, queries: DataFrame, text_col: str = "text", dr
     return qt.select("query_id", "term", "qtf", "weight")
 
 
+def scoped_rows(rows: DataFrame, pred=None, partitions=None, corpus: DataFrame | None = None) -> DataFrame:
+    """Those of ``rows`` (with ``partition_name, id``) that a search by these filters ranks."""
+    if partitions:
+        names = [partitions] if isinstance(partitions, str) else list(partitions)
+        rows = rows.where(F.col("partition_name").isin(names))
+    if pred is not None and not (isinstance(pred, str) and not pred.strip()):
+        if corpus is None:
+            raise ValueError("a predicate on document columns needs the corpus")
+        rows = rows.join(scope_corpus(corpus, pred, partitions).select(*DOC), DOC, "left_semi")
+    return rows
+
+
 def bm25_candidates(index: Bm25Index, queries: DataFrame, *, text_col: str = "text", pred=None,
                     partitions=None, corpus: DataFrame | None = None, drop_ratio: float | None = None) -> DataFrame:
     """Every (query, doc) sharing at least one term, with its BM25 score
@@ -166,16 +192,8 @@ def bm25_candidates(index: Bm25Index, queries: DataFrame, *, text_col: str = "te
     ``drop_ratio=None`` uses the index's ``drop_ratio_search``."""
     ratio = index.drop_ratio_search if drop_ratio is None else drop_ratio
     qt = query_terms(index, queries, text_col, ratio)
-    post = index.postings
-    if partitions:
-        names = [partitions] if isinstance(partitions, str) else list(partitions)
-        post = post.where(F.col("partition_name").isin(names))
+    post = scoped_rows(index.postings, pred, partitions, corpus)
     contrib = F.col("weight") * bm25_doc_weight("tf", "dl", F.lit(float(index.avgdl) or 1.0), index.k1, index.b)
-    if pred is not None and not (isinstance(pred, str) and not pred.strip()):
-        if corpus is None:
-            raise ValueError("a predicate on document columns needs the corpus")
-        allowed = scope_corpus(corpus, pred, partitions).select("partition_name", "id")
-        post = post.join(allowed, ["partition_name", "id"], "left_semi")
     size = qt.agg(F.coalesce(F.sum(F.octet_length("term") + 64), F.lit(0))).first()[0]
     if size <= broadcast_budget(qt.sparkSession):
         qt = F.broadcast(qt)
@@ -193,8 +211,13 @@ def bm25_search(index: Bm25Index, queries: DataFrame, k: int = 10, offset: int =
     Result: ``query_id, rank, partition_name, id, score, distance`` plus
     ``columns`` (needs ``corpus``; default none when no corpus is given).
     """
-    cands = bm25_candidates(index, queries, text_col=text_col, pred=pred, partitions=partitions,
-                            corpus=corpus, drop_ratio=drop_ratio)
+    if index.counted is None:
+        cands = bm25_candidates(index, queries, text_col=text_col, pred=pred, partitions=partitions,
+                                corpus=corpus, drop_ratio=drop_ratio)
+    else:
+        terms = materialize(query_terms(index, queries, text_col, index.drop_ratio_search if drop_ratio is None else drop_ratio),
+                            "bm25-query-terms")
+        cands = scored_rows(one_row_each(scoped_rows(index.document_rows(), pred, partitions, corpus)), terms, k + offset)
     ranked = rank_topk(cands, k, offset).withColumn("distance", F.col("score"))
     ranked = apply_threshold(ranked, threshold)
     ranked = ranked.select("query_id", "rank", "partition_name", "id", "score", "distance")
