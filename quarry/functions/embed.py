@@ -6,6 +6,8 @@ is any picklable object with::
     dim: int
     input: "text" | "tokens"          # what embed_batch receives
     embed_batch(values: list) -> list[np.ndarray | None]
+    embed_arrow(values: pa.Array) -> pa.Array   # optional: the same on Arrow
+                                                # values, list<float> or null each
 
 It runs inside an Arrow UDF, once for each slice of a batch, and is built
 lazily once per Python worker.  Only rows that need a vector reach it: the
@@ -34,6 +36,9 @@ _UDF_IDS = itertools.count()
 # What a model gets at once.
 SLICE_ROWS = 1_024
 SLICE_SIZE = 1 << 18
+# The same for a model that reads Arrow values, of which no Python objects are made.
+ARROW_ROWS = 16_384
+ARROW_SIZE = 1 << 21
 
 
 def _token_slot(token: str, dim: int) -> tuple[int, float]:
@@ -56,26 +61,37 @@ class HashEmbedder:
         self.dim, self.max_tokens = dim, max_tokens
 
     def embed_batch(self, values) -> list:
-        """All token lists of a batch at once: factorize the tokens, hash
-        each distinct token once, and sum signs per (row, bucket)."""
         lists = [np.asarray(v, dtype=object) if v is not None else np.empty(0, dtype=object) for v in values]
         lengths = np.array([len(v) for v in lists], dtype=np.int64)
         out = [None] * len(lists)
         if lengths.sum() == 0:
             return out
-        if self.max_tokens is not None and lengths.max() > self.max_tokens:
+        codes, distinct = pd.factorize(np.concatenate(lists))
+        some, vectors = self._vectors(lengths, codes, distinct)
+        for i, vec in zip(some.tolist(), vectors):
+            out[i] = vec
+        return out
+
+    def embed_arrow(self, values: pa.Array) -> pa.Array:
+        lengths = pc.fill_null(pc.list_value_length(values), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        tokens = values.flatten().dictionary_encode()
+        some, vectors = self._vectors(lengths, tokens.indices.to_numpy(zero_copy_only=False), tokens.dictionary.to_pylist())
+        place = np.full(len(values), -1)
+        place[some] = np.arange(len(some))
+        offsets = pa.array(np.arange(len(some) + 1, dtype=np.int32) * self.dim)
+        return pa.ListArray.from_arrays(offsets, pa.array(vectors.ravel())).take(pa.array(place, mask=place < 0))
+
+    def _vectors(self, lengths: np.ndarray, codes: np.ndarray, distinct) -> tuple[np.ndarray, np.ndarray]:
+        """All token lists at once, their tokens numbered: hash each distinct
+        token once, and sum signs per (row, bucket).  The rows with a vector, and these."""
+        if self.max_tokens is not None and lengths.max(initial=0) > self.max_tokens:
             raise ValueError(f"more than {self.max_tokens} tokens")
-        flat = np.concatenate(lists)
-        codes, uniques = pd.factorize(flat)
-        slots = np.array([_token_slot(t, self.dim) for t in uniques], dtype=np.float64).reshape(-1, 2)
-        rows = np.repeat(np.arange(len(lists)), lengths)
-        buckets = slots[codes, 0].astype(np.int64)
-        mat = np.zeros((len(lists), self.dim), dtype=np.float64)
-        np.add.at(mat, (rows, buckets), slots[codes, 1])
+        slots = np.array([_token_slot(t, self.dim) for t in distinct], dtype=np.float64).reshape(-1, 2)
+        cells = np.repeat(np.arange(len(lengths)) * self.dim, lengths) + slots[:, 0].astype(np.int64)[codes]
+        mat = np.bincount(cells, slots[:, 1][codes], minlength=len(lengths) * self.dim).reshape(-1, self.dim)
         norms = np.sqrt((mat * mat).sum(axis=1))
-        for i in np.nonzero(norms > 0)[0]:
-            out[i] = (mat[i] / norms[i]).astype(np.float32)
-        return out
+        some = np.flatnonzero(norms > 0)
+        return some, (mat[some] / norms[some, None]).astype(np.float32)
 
 
 def _model_input(model, text: Column) -> Column:
@@ -109,9 +125,9 @@ def embed_each(model, values: list) -> tuple[list, list]:
     return vectors, reasons
 
 
-def _slices(values: pa.Array):
-    """The rows to embed, in slices of at most ``SLICE_ROWS`` rows and, a
-    longer row aside, ``SLICE_SIZE`` tokens (texts: characters): their places and inputs."""
+def _parts(values: pa.Array, rows: int, most: int):
+    """The rows to embed, in slices of at most ``rows`` rows and, a longer row
+    aside, ``most`` tokens (texts: characters): their places and inputs."""
     given = np.flatnonzero(values.is_valid().to_numpy(zero_copy_only=False))
     if not len(given):
         return
@@ -119,11 +135,28 @@ def _slices(values: pa.Array):
     size = size.take(pa.array(given)).to_numpy(zero_copy_only=False).astype(np.int64)
     at = 0
     while at < len(given):
-        n = max(1, int(np.searchsorted(np.cumsum(size[at:at + SLICE_ROWS]), SLICE_SIZE, side="right")))
-        yield given[at:at + n].tolist(), values.take(pa.array(given[at:at + n])).to_pylist()
+        n = max(1, int(np.searchsorted(np.cumsum(size[at:at + rows]), most, side="right")))
+        yield given[at:at + n], values.take(pa.array(given[at:at + n]))
         at += n
 
 
+def _slices(values: pa.Array):
+    """The same as Python lists, for models that read these."""
+    for given, inputs in _parts(values, SLICE_ROWS, SLICE_SIZE):
+        yield given.tolist(), inputs.to_pylist()
+
+
+def _embed_arrow(model, values: pa.Array) -> pa.Array:
+    """The vectors of a batch by a model that reads Arrow values."""
+    parts = list(_parts(values, ARROW_ROWS, ARROW_SIZE))
+    if not parts:
+        return pa.nulls(len(values), pa.list_(pa.float32()))
+    place = np.full(len(values), -1)
+    place[np.concatenate([given for given, _ in parts])] = np.arange(sum(len(given) for given, _ in parts))
+    got = pa.concat_arrays([model.embed_arrow(inputs).cast(pa.list_(pa.float32())) for _, inputs in parts])
+    return got.take(pa.array(place, mask=place < 0))
+
+
 def embed_column(model, text, mask: Column | None = None, with_errors: bool = False) -> Column:
     """An Arrow UDF column: the model's vector for ``text`` (NULL in, NULL
     out).  Rows where ``mask`` is false reach the UDF as NULL.  A failing model
@@ -137,6 +170,8 @@ def embed_column(model, text, mask: Column | None = None, with_errors: bool = Fa
 
     # The batch stays in Arrow; Python objects exist for one slice at a time.
     def _embed(values: pa.Array) -> pa.Array:
+        if hasattr(model, "embed_arrow"):
+            return _embed_arrow(model, values)
         vectors = [None] * len(values)
         for given, inputs in _slices(values):
             for i, vec in zip(given, model.embed_batch(inputs)):
