@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import defaultdict
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -158,8 +159,9 @@ class Walks(Lattices):
 
     def __init__(self, vocab: Vocabulary, texts: list[str], keys: np.ndarray):
         parts = [vocab.split.findall(BLANK + t.replace(" ", BLANK)) if t else [] for t in texts]
-        number: dict[str, int] = {}
-        which = np.array([number.setdefault(w, len(number)) for p in parts for w in p], np.int64)
+        number: dict[str, int] = defaultdict()
+        number.default_factory = number.__len__  # words are numbered as they come
+        which = np.array([number[w] for p in parts for w in p], np.int64)
         super().__init__(vocab, list(number))
         self.keys = keys.astype(np.int64).view(U64)
         self.n_words = np.array([len(p) for p in parts])
@@ -169,6 +171,21 @@ class Walks(Lattices):
         self.doc = np.repeat(np.arange(len(texts)), self.n_words)
         self.doc_at = self.at[self.word_start[:-1]] if len(texts) else np.zeros(0, np.int64)
 
+    def drawn(self, node, x):
+        """The first edge of each node that reaches ``x`` in ``cum``, else its
+        last: a search among the node's own edges, which lie together."""
+        low, high = self.first[node], self.first[node + 1] - 1
+        todo = np.flatnonzero(low < high)
+        a, b, x = low[todo], high[todo], x[todo]
+        while len(todo):
+            middle = (a + b) >> 1
+            right = self.cum[middle] < x
+            a, b = np.where(right, middle + 1, a), np.where(right, b, middle)
+            low[todo] = a
+            more = np.flatnonzero(a < b)
+            todo, a, b, x = todo[more], a[more], b[more], x[more]
+        return low
+
     def walk(self, words, nodes, sample: int):
         """Random paths from a node of each of some words to its end:
         word, position and edge of every step, in order of position."""
@@ -179,8 +196,7 @@ class Walks(Lattices):
             pos = self.at[w] + node - self.head[w]
             d = self.doc[w]
             u = uniform(self.keys[d], np.full(len(w), sample), pos - self.doc_at[d])
-            edge = np.searchsorted(self.cum, node + u, side="left")
-            edge = np.clip(edge, self.first[node], self.first[node + 1] - 1)
+            edge = self.drawn(node, node + u)
             out.append((w, pos, edge))
             node = node + self.step[edge]
             go = node < self.tail[w]

@@ -226,3 +226,17 @@ def test_large_alphabets_keep_their_letters(spark):
     assert sum(r.lang_pred == r.lang for r in got) >= 0.98 * len(got)
     assert li.identify_language(df.limit(0), model).count() == 0
     assert li.identify_language(df, li.train_on_documents(df.limit(0))).filter("lang_pred != 'und'").count() == 0
+
+
+def test_a_draw_searches_its_own_node():
+    """op3: every draw searched the edges of all words; a node's own edges give the same."""
+    vocab = sw.Vocabulary(tokenizer_file("piece_bpe_32k.model"))
+    rng = np.random.default_rng(3)
+    texts = ["the cat sat on the mat", "", "字 of antidisestablishmentarianism", "a" * 300]
+    walks = sw.Walks(vocab, texts, np.arange(len(texts)))
+    node = rng.integers(0, len(walks.first) - 1, 4000)
+    u = np.concatenate((rng.random(3900), np.full(50, 2.0 ** -54), np.full(50, 1 - 2.0 ** -53)))
+    every = np.searchsorted(walks.cum, node + u, side="left")
+    want = np.clip(every, walks.first[node], walks.first[node + 1] - 1)
+    assert (walks.drawn(node, node + u) == want).all()
+    assert len(walks.drawn(node[:0], u[:0])) == 0
