@@ -19,18 +19,20 @@ highest bound left is the ``k+1``-st value ``t``, and a path of
 log-probability ``l`` has the inclusion score ``1 - exp(-exp(l - t))``, by
 which sums over the sample can be weighted without bias.
 
-Pieces never run across the end of a word (a blank starts a piece), so the
-lattice of a text is a chain of words' lattices, made once for each distinct
-word of a batch.  All texts of a batch walk at once, in numpy.  Draws are
-hashes of the row's key, the sample and the position: a row gives the same
-segmentations in every run, batch and partition.
+No piece runs across two characters that follow each other in no piece (a
+letter and a line's end, mostly a letter and a blank), so the lattice of a text
+is a chain of the lattices of its words, cut there.  A worker makes a word's
+lattice once and keeps it for later batches, up to a bound.  All texts of a
+batch walk at once, in numpy.  Draws are hashes of the row's key, the sample and
+the position: a row gives the same segmentations in every run, batch and
+partition.
 """
 
 from __future__ import annotations
 
 import math
-import re
 from collections import defaultdict
+from itertools import islice
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -41,18 +43,47 @@ from .head_table import U64, HeadTable, mix
 
 BLANK = "▁"
 # Texts are taken in groups of about so many characters (no result depends on it).
-BATCH_CHARS = 1 << 20
+BATCH_CHARS = 1 << 17
+# A worker drops lattices once its words have more characters than this (no result depends on it).
+KEPT_CHARS = 1 << 19
+SEED = U64(0x9E3779B97F4A7C15)
 
 
-def uniform(*parts) -> np.ndarray:
-    """Numbers in (0, 1) from integers, the same for the same integers."""
-    h = U64(0x9E3779B97F4A7C15)
+def stirred(h, *parts):
+    """A hash of ``h`` and some integers, one after the other."""
     with np.errstate(over="ignore"):
         for p in parts:
-            h = mix((h ^ np.asarray(p).astype(U64)) + U64(0x9E3779B97F4A7C15))
+            h = mix((h ^ np.asarray(p).astype(U64)) + SEED)
+    return h
+
+
+def unit(h) -> np.ndarray:
+    """Numbers in (0, 1) from hashes."""
     return ((h >> U64(11)).astype(np.float64) + 0.5) * 2.0 ** -53
 
 
+def uniform(*parts) -> np.ndarray:
+    """Numbers in (0, 1) from integers, the same for the same integers."""
+    return unit(stirred(SEED, *parts))
+
+
+def ranges(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """``count`` numbers from each ``start`` on, in a row."""
+    return np.repeat(start - np.cumsum(count) + count, count) + np.arange(int(count.sum()))
+
+
+def code_points(text: str) -> np.ndarray:
+    """The characters of a text, its spaces as blanks."""
+    cps = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    return np.where(cps == ord(" "), np.uint32(ord(BLANK)), cps)
+
+
+def pair_slot(a, b):
+    """Where :attr:`Vocabulary.joined` has two characters that follow each other."""
+    with np.errstate(over="ignore"):
+        return ((a * np.uint32(0x9E3779B1) + b) * np.uint32(0x85EBCA6B)) >> np.uint32(12)
+
+
 class Vocabulary:
     """The pieces of a model and their scores."""
 
@@ -68,11 +99,15 @@ class Vocabulary:
             self.raw[i] = bytes([b])
         self.ids = {self.pieces[i]: (i, -math.log1p(max(0.0, -sp.get_score(i)))) for i in plain}
         self.byte_score = -math.log1p(n)
-        self.split = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
+        # Whether two characters follow each other in a piece; two that share a slot only make a longer word.
+        self.joined = np.zeros(1 << 20, bool)
+        beside = np.array([(ord(x), ord(y)) for p in self.ids for x, y in zip(p, p[1:])], np.uint32).reshape(-1, 2)
+        self.joined[pair_slot(beside[:, 0], beside[:, 1])] = True
         self.table = HeadTable(([ord(c) for c in p], i) for p, (i, _) in self.ids.items())
         self.score = np.zeros(n)
         for i, score in self.ids.values():
             self.score[i] = score
+        self.known = Lexicon(self)
 
     def decode(self, ids) -> str:
         """The text of a piece sequence: blanks restored, bytes joined, the
@@ -83,18 +118,18 @@ class Vocabulary:
 
 
 class Lattices:
-    """The lattices of some words, in flat arrays.
+    """The lattices of some words (at least one), in flat arrays.
 
     A word of ``n`` characters has ``n + 1`` nodes from ``head`` to ``tail``;
     node ``x`` has the edges ``first[x]`` to ``first[x + 1]``, each with its
     ``piece`` (``-1 - c`` for a character ``c`` without a piece), its ``step``
-    in characters and its share ``prob`` of the node's completions.  ``cum``
-    holds ``x`` plus the running share, so one search over the whole array
-    finds the edge for a draw at any node.  An end node has one idle edge."""
+    in characters and its share ``prob`` of the node's completions, ``others``
+    for all other edges of the node, ``run`` up to this edge.  An end node has
+    one idle edge.  Nothing depends on the words beside a word."""
 
     def __init__(self, vocab: Vocabulary, words: list[str]):
         size = np.fromiter(map(len, words), np.int64, len(words))
-        cps = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(U64)
+        cps = code_points("".join(words)).astype(U64)
         self.tail = np.cumsum(size + 1) - 1
         self.head = self.tail - size
         end = np.repeat(np.cumsum(size), size)  # where the word of a character ends
@@ -115,32 +150,29 @@ class Lattices:
         self.step = np.concatenate((step, np.zeros(idle, np.int64)))[order]
         self.piece = np.concatenate((piece, np.zeros(idle, np.int64)))[order]
         score = np.concatenate((score, np.zeros(idle)))[order]
-        n_nodes = int(self.tail[-1]) + 1 if len(words) else 0
+        n_nodes = int(self.tail[-1]) + 1
         self.first = np.concatenate(([0], np.cumsum(np.bincount(src, minlength=n_nodes)))).astype(np.int64)
         total = self.backward(src, score, n_nodes)
         self.prob = np.exp(score + total[src + self.step] - total[src])
         self.prob[self.step == 0] = 1.0
         # Share of the other edges of an edge's node, summed apart from a share near 1.
         light = np.where(self.prob > 0.5, 0.0, self.prob)
-        self.others = np.where(self.prob > 0.5, np.add.reduceat(light, self.first[:-1])[src], 1.0 - self.prob) if (
-            n_nodes) else np.zeros(0)
-        run = np.cumsum(self.prob)
-        before = np.concatenate(([0.0], run))[self.first[:-1]]
-        self.cum = src + np.minimum(run - before[src], 1.0)
-        if n_nodes:
-            self.cum[self.first[1:] - 1] = np.arange(n_nodes) + 1.0
+        self.others = np.where(self.prob > 0.5, np.add.reduceat(light, self.first[:-1])[src], 1.0 - self.prob)
+        self.run, at, last = self.prob.copy(), self.first[:-1], self.first[1:] - 1
+        while len(at):  # the second edges of all nodes, then the third
+            more = at < last
+            at, last = at[more] + 1, last[more]
+            self.run[at] = np.minimum(self.run[at] + self.run[at - 1], 1.0)
+        self.run[self.first[1:] - 1] = 1.0
 
     def backward(self, src, score, n_nodes: int):
         """Log of the summed completions of every node: all nodes at distance
         1 from their word's end, then 2, and so on."""
         total = np.zeros(n_nodes)
-        if not n_nodes:
-            return total
         far = np.repeat(self.tail, self.tail - self.head + 1) - np.arange(n_nodes)
         nodes = np.argsort(far, kind="stable")
         counts = np.diff(self.first)[nodes]
-        edges = np.repeat(self.first[nodes] - np.concatenate(([0], np.cumsum(counts)[:-1])), counts) + np.arange(
-            counts.sum())
+        edges = ranges(self.first[nodes], counts)
         target, score = src[edges] + self.step[edges], score[edges]
         node_cut = np.searchsorted(far[nodes], np.arange(far.max() + 2))
         edge_cut = np.concatenate(([0], np.cumsum(counts)))
@@ -154,53 +186,152 @@ class Lattices:
         return total
 
 
-class Walks(Lattices):
-    """The lattices of some texts in a row, and random walks through them."""
+class Column:
+    """A flat array that grows at its end."""
+
+    def __init__(self, values):
+        self.data, self.n = values, len(values)
+
+    def add(self, values) -> None:
+        end = self.n + len(values)
+        if end > len(self.data):
+            data = np.empty(end + end // 2, self.data.dtype)
+            data[:self.n] = self.data[:self.n]
+            self.data = data
+        self.data[self.n:end] = values
+        self.n = end
+
+    @property
+    def values(self) -> np.ndarray:
+        return self.data[:self.n]
+
+
+class Lexicon:
+    """The lattices of the words met so far, one after the other.
+
+    Beyond :data:`KEPT_CHARS` characters those of words that only one batch
+    held are dropped, or all, if that leaves more than half."""
+
+    EDGES = {"step": np.int32, "piece": np.int32, "prob": np.float64, "others": np.float64, "run": np.float64}
+
+    def __init__(self, vocab: Vocabulary):
+        self.vocab = vocab
+        self.start({}, np.zeros(0, np.int64), np.zeros(1, np.int64), {k: np.zeros(0, t) for k, t in self.EDGES.items()})
+
+    def start(self, words, tail, first, edges) -> None:
+        self.number: dict[str, int] = defaultdict(None, zip(words, range(len(words))))
+        self.number.default_factory = self.number.__len__  # words are numbered as they come
+        self.tail, self.first = Column(tail), Column(first)  # the end node of each word, the first edge of each node
+        self.edges = {k: Column(v) for k, v in edges.items()}
+        self.met = np.zeros(len(tail), np.int64)
+
+    def cut(self, text: str, starts: np.ndarray):
+        """The words of ``text``, which begins anew at ``starts``: where each begins, and its number."""
+        if self.tail.n and self.tail.values[-1] + 1 - self.tail.n > KEPT_CHARS:
+            self.drop()
+        if not text:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        cps = code_points(text)
+        new = np.ones(len(cps), bool)
+        new[1:] = ~self.vocab.joined[pair_slot(cps[:-1], cps[1:])]
+        new[starts] = True
+        at = np.flatnonzero(new)
+        cuts, number, held = [*at.tolist(), len(text)], self.number, len(self.number)
+        which = np.array([number[text[a:b]] for a, b in zip(cuts, islice(cuts, 1, None))], np.int64)
+        if len(self.number) > held:
+            self.add(Lattices(self.vocab, list(islice(self.number, held, None))))
+        met = np.zeros(len(self.number), np.int64)
+        met[which] = 1
+        met[:held] += self.met
+        self.met = met
+        return at, which
+
+    def add(self, made: Lattices) -> None:
+        nodes, edges = self.first.n - 1, int(self.first.values[-1])
+        self.tail.add(made.tail + nodes)
+        self.first.add(made.first[1:] + edges)
+        for name, column in self.edges.items():
+            column.add(getattr(made, name))
+
+    def drop(self) -> None:
+        tail, first = self.tail.values, self.first.values
+        head = np.concatenate(([0], tail[:-1] + 1))
+        stay = np.flatnonzero(self.met > 1)
+        size = tail[stay] + 1 - head[stay]
+        if size.sum() - len(stay) > KEPT_CHARS // 2:
+            self.__init__(self.vocab)
+            return
+        words = list(self.number)
+        count = np.diff(first)[ranges(head[stay], size)]
+        edges = ranges(first[head[stay]], first[tail[stay] + 1] - first[head[stay]])
+        self.start([words[i] for i in stay.tolist()], np.cumsum(size) - 1, np.concatenate(([0], np.cumsum(count))),
+                   {k: v.data[edges] for k, v in self.edges.items()})
+
+
+class Walks:
+    """The chains of words' lattices of some texts in a row, and random walks through them."""
 
     def __init__(self, vocab: Vocabulary, texts: list[str], keys: np.ndarray):
-        parts = [vocab.split.findall(BLANK + t.replace(" ", BLANK)) if t else [] for t in texts]
-        number: dict[str, int] = defaultdict()
-        number.default_factory = number.__len__  # words are numbered as they come
-        which = np.array([number[w] for p in parts for w in p], np.int64)
-        super().__init__(vocab, list(number))
+        spelt = [" " + t.replace(BLANK, " ") if t else "" for t in texts]
+        size = np.fromiter(map(len, spelt), np.int64, len(spelt))
+        self.doc_at = np.cumsum(size) - size
+        known = vocab.known
+        at, which = known.cut("".join(spelt), self.doc_at[size > 0])
+        self.at = np.append(at, size.sum())  # position of each word, all texts in a row
         self.keys = keys.astype(np.int64).view(U64)
-        self.n_words = np.array([len(p) for p in parts])
-        self.word_start = np.concatenate(([0], np.cumsum(self.n_words)))
-        self.head, self.tail = self.head[which], self.tail[which]
-        self.at = np.concatenate(([0], np.cumsum(self.tail - self.head)))  # position of each word, all texts in a row
-        self.doc = np.repeat(np.arange(len(texts)), self.n_words)
-        self.doc_at = self.at[self.word_start[:-1]] if len(texts) else np.zeros(0, np.int64)
+        self.word_start = np.searchsorted(at, np.append(self.doc_at, size.sum()))
+        self.doc = np.repeat(np.arange(len(texts)), np.diff(self.word_start))
+        self.first = known.first.values
+        self.step, self.piece, self.prob, self.others, self.run = (known.edges[k].values for k in Lexicon.EDGES)
+        self.tail = known.tail.values[which]
+        self.head = self.tail - np.diff(self.at)
+
+    @property
+    def cum(self):
+        """The number of an edge's node plus the running share."""
+        return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first)) + self.run
 
     def drawn(self, node, x):
-        """The first edge of each node that reaches ``x`` in ``cum``, else its
-        last: a search among the node's own edges, which lie together."""
+        """The first edge of each node that reaches ``x`` in ``cum``, else its last."""
+        return self.reached(node, x - node)
+
+    def reached(self, node, share):
+        """The first edge of each node whose running share reaches ``share``: a
+        search among the node's own edges, which lie together."""
         low, high = self.first[node], self.first[node + 1] - 1
         todo = np.flatnonzero(low < high)
-        a, b, x = low[todo], high[todo], x[todo]
+        a, b, x = low[todo], high[todo], share[todo]
         while len(todo):
             middle = (a + b) >> 1
-            right = self.cum[middle] < x
+            right = self.run[middle] < x
             a, b = np.where(right, middle + 1, a), np.where(right, b, middle)
             low[todo] = a
             more = np.flatnonzero(a < b)
             todo, a, b, x = todo[more], a[more], b[more], x[more]
         return low
 
+    def keyed(self, number: int):
+        """The hash of every text's key and a number; :meth:`draws` goes on from it."""
+        return stirred(SEED, self.keys, np.full(len(self.keys), number))
+
+    def draws(self, keyed, doc, pos):
+        """A number in (0, 1) for each position of a document."""
+        return unit(stirred(keyed[doc], pos - self.doc_at[doc]))
+
     def walk(self, words, nodes, sample: int):
         """Random paths from a node of each of some words to its end:
         word, position and edge of every step, in order of position."""
-        w, node, out = words, nodes, []
+        w, node, out, keyed = words, nodes, [], self.keyed(sample)
         go = node < self.tail[w]
         w, node = w[go], node[go]
+        pos, tail, doc = self.at[w] + node - self.head[w], self.tail[w], self.doc[w]
         while len(w):
-            pos = self.at[w] + node - self.head[w]
-            d = self.doc[w]
-            u = uniform(self.keys[d], np.full(len(w), sample), pos - self.doc_at[d])
-            edge = self.drawn(node, node + u)
+            edge = self.reached(node, self.draws(keyed, doc, pos))
             out.append((w, pos, edge))
-            node = node + self.step[edge]
-            go = node < self.tail[w]
-            w, node = w[go], node[go]
+            step = self.step[edge]
+            node = node + step
+            go = np.flatnonzero(node < tail)
+            w, node, pos, tail, doc = w[go], node[go], (pos + step)[go], tail[go], doc[go]
         if not out:
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         w, pos, edge = (np.concatenate([o[i] for o in out]) for i in range(3))
@@ -264,7 +395,7 @@ def sample_texts(vocab: Vocabulary, texts: list[str], keys: np.ndarray, k: int,
                 left[a + i] = share
         siblings = np.full(len(left), -np.inf)
         np.log(left, out=siblings, where=left > 0)
-        u = uniform(walks.keys[doc], np.full(len(doc), (1 << 41) + sample), pos - walks.doc_at[doc])
+        u = walks.draws(walks.keyed((1 << 41) + sample), doc, pos)
         below = truncated(through - logq + siblings, bound[doc], u)
         starts = []
         for d, a, b in zip(live.tolist(), start.tolist(), end.tolist()):
@@ -305,14 +436,19 @@ def sample_texts(vocab: Vocabulary, texts: list[str], keys: np.ndarray, k: int,
 
 def piece_ids(vocab: Vocabulary, codes: np.ndarray) -> np.ndarray:
     """Vocabulary ids of a path; a character without a piece becomes its bytes."""
+    return ids_of(vocab, codes)[0]
+
+
+def ids_of(vocab: Vocabulary, codes: np.ndarray):
+    """Vocabulary ids of some codes in a row, and how many each code has."""
+    size = np.ones(len(codes), np.int64)
     bare = codes < 0
     if not bare.any():
-        return codes.astype(np.int32)
+        return codes.astype(np.int32), size
     chars, which = np.unique(-1 - codes[bare], return_inverse=True)
     spelt = [[vocab.bytes[b] for b in chr(c).encode("utf-8", "replace")] for c in chars.tolist()]
     width = np.array(list(map(len, spelt)))[which]
     table = np.array([x + [0] * (4 - len(x)) for x in spelt], np.int32)
-    size = np.ones(len(codes), np.int64)
     size[bare] = width
     at = np.cumsum(size) - size
     out = np.empty(int(size.sum()), np.int32)
@@ -320,7 +456,17 @@ def piece_ids(vocab: Vocabulary, codes: np.ndarray) -> np.ndarray:
     for j in range(4):
         has = width > j
         out[at[bare][has] + j] = table[which[has], j]
-    return out
+    return out, size
+
+
+def decoding(vocab: Vocabulary, texts: list[str], of: list[int], ids: np.ndarray, ends: list[int]) -> list[bool]:
+    """Whether each run of ``ids``, up to its end, decodes to the text it is
+    ``of``.  Runs whose bytes are those of the text as it was encoded do."""
+    raw = vocab.raw[ids].tolist()
+    want = [t.replace(" ", BLANK) for t in texts]
+    coded = [(BLANK + t).encode("utf-8", "surrogatepass") if t else b"" for t in want]
+    return [b"".join(raw[a:b]) == coded[i] or vocab.decode(ids[a:b]) == texts[i].replace(BLANK, " ")
+            for i, a, b in zip(of, [0, *ends], ends)]
 
 
 def sample_segmentations(df: DataFrame, model_path: str, key: str = "doc_id", text: str = "text", k: int = 2,
@@ -360,10 +506,10 @@ def sample_segmentations(df: DataFrame, model_path: str, key: str = "doc_id", te
                         end += 1
                     found = sample_texts(vocab, texts[at:end], keys[at:end], k, seed)
                     rows = [(i, j, *r) for i, rs in enumerate(found) for j, r in enumerate(rs)]
-                    ids = [piece_ids(vocab, r[2]) for r in rows]
-                    offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
-                    back = [vocab.decode(x) == texts[at + r[0]].replace(BLANK, " ") for x, r in zip(ids, rows)]
-                    flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
+                    flat, size = ids_of(vocab, np.concatenate([r[2] for r in rows]))
+                    ends = np.cumsum([len(r[2]) for r in rows])
+                    offsets = np.concatenate(([0], np.cumsum(size)))[np.append(0, ends)].astype(np.int32)
+                    back = decoding(vocab, texts[at:end], [r[0] for r in rows], flat, offsets[1:].tolist())
                     part = b.slice(at, end - at).take(pa.array([r[0] for r in rows], pa.int64()))
                     yield pa.RecordBatch.from_arrays(
                         [*part.columns[:-1], pa.array([r[1] + 1 for r in rows], pa.int32()),

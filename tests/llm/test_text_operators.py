@@ -240,3 +240,25 @@ def test_a_draw_searches_its_own_node():
     want = np.clip(every, walks.first[node], walks.first[node + 1] - 1)
     assert (walks.drawn(node, node + u) == want).all()
     assert len(walks.drawn(node[:0], u[:0])) == 0
+
+
+def test_a_word_has_one_lattice_for_all_batches(monkeypatch):
+    """pipeline, op3: every batch made the lattices of its words anew, and a line's end joined two words to one."""
+    vocab = sw.Vocabulary(tokenizer_file("piece_bpe_32k.model"))
+    rng = random.Random(8)
+    words = ["".join(rng.choices("aeinrst", k=rng.randint(2, 9))) for _ in range(400)]
+    texts = [rng.choice([" ", "\n", ", "]).join(rng.choices(words, k=80)) + "語" for _ in range(60)]
+    made, make = [], sw.Lattices.__init__
+    monkeypatch.setattr(sw.Lattices, "__init__", lambda self, v, w: (made.extend(w), make(self, v, w))[1])
+    whole = sw.sample_texts(vocab, texts, np.arange(60), 2, 7)
+    assert len(made) == len(set(made)) and not any("\n" in w and len(w) > 1 for w in made)
+    n = len(made)
+    for kept in (sw.KEPT_CHARS, 900, 0):  # what is kept changes no sample
+        monkeypatch.setattr(sw, "KEPT_CHARS", kept)
+        for i in range(0, 60, 7):
+            for one, f in zip(sw.sample_texts(vocab, texts[i:i + 7], np.arange(60)[i:i + 7], 2, 7), whole[i:i + 7]):
+                assert [x[0].tolist() for x in one] == [x[0].tolist() for x in f]
+                assert np.allclose([x[1:] for x in one], [x[1:] for x in f], rtol=1e-9)
+        assert (len(made) == n) == (kept == 1 << 19)
+        held = vocab.known
+        assert len(held.number) == held.tail.n == len(held.met) and held.first.values[-1] == held.edges["prob"].n
