@@ -22,6 +22,7 @@ query and a document is shuffled or written.
 The hits and scores are those of the plain search.  A query with fewer than
 ``k`` documents in the first pass has no threshold and sets nothing aside.
 Nothing but the hits is bounded by a parameter: thresholds come from the data.
+A filter is applied once, when the documents are written.
 """
 
 from __future__ import annotations
@@ -82,7 +83,8 @@ def pruned_parts(index: Bm25Index, queries: DataFrame, kk: int, *, weights: Data
     (with ``aside`` and its lower half, ``low``), ``weights``, ``open`` and
     ``halved`` (documents that can still win before and after the upper half)
     and ``candidates`` (full scores; the best of each query and task)."""
-    rows = materialize(weight_rows(index, weights), "bm25-weights")
+    # Filtered before they are written: the corpus is read once for all passes, and bounds are those of possible hits.
+    rows = materialize(scoped_rows(weight_rows(index, weights), pred, partitions, corpus), "bm25-weights")
     ratio = index.drop_ratio_search if drop_ratio is None else drop_ratio
     weighted = materialize(query_terms(index, queries, text_col, ratio), "bm25-query-terms")
     # Bounds of the terms asked for; the others are not counted.
@@ -93,7 +95,6 @@ def pruned_parts(index: Bm25Index, queries: DataFrame, kk: int, *, weights: Data
     terms = materialize(
         weighted.join(bounds, "term")
         .select("query_id", "term", "weight", "df", most).withColumn("lead", before < LEAD * kk), "bm25-led-terms")
-    rows = scoped_rows(rows, pred, partitions, corpus)
 
     leaders = scored_rows(rows, terms.withColumn("kind", (~F.col("lead")).cast("int")), kk, "lead")
     by_score = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id", "partition_name")
